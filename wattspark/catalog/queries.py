@@ -1,8 +1,11 @@
 """Registered queries: library plans run over stand-ins of the driver tables.
 
 Every query reads the driver's parquet tables (through
-:mod:`wattspark.sources.standins` or directly), so its work grows with them,
-and runs the library's own operators on the whole input.
+:mod:`wattspark.sources.standins`, or ``events`` directly) so its work grows
+with them, and runs the library's own operators on the whole input.  The
+final ``select`` of a query only names the columns that are compared with the
+DuckDB oracle; where a value is a sum of non-integers (so its last bits depend
+on summation order) it is rounded on both sides.
 """
 
 from __future__ import annotations
@@ -10,39 +13,582 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from wattspark.plans import datasets, preprocess
-from wattspark.sources.standins import standin_long
+from wattspark.functions import units
+from wattspark.functions.missing import to_numeric
+from wattspark.functions.timeops import floor_time, parse_range, parse_time
+from wattspark.operators import aggregate, profile, select, setops
+from wattspark.operators.joins import regex_match_join
+from wattspark.operators.learn import metrics as lmetrics
+from wattspark.operators.learn import scale as lscale
+from wattspark.operators.learn import split as lsplit
+from wattspark.operators.pivot import pivot_mean
+from wattspark.plans import datasets, preprocess, selection
+from wattspark.schemas import (
+    ENERGY_FEATURES, ENERGY_TARGET, K8S_DROP, SOURCES,
+)
+from wattspark.session import scratch_path
+from wattspark.sources import exports, sinks
+from wattspark.sources.standins import standin_long, telemetry_table
 
 #: Alignment interval of the dataset queries: the stand-in entities scrape
 #: about twice a day, so daily buckets give joins with real fan-out.
 DATASET_INTERVAL = "1D"
+#: Selection window of the telemetry queries (the events span January 2024).
+RANGE = "start: 2024-01-03T00:00:00Z, stop: 2024-01-28T00:00:00Z"
+START, STOP = parse_range(RANGE)
+VM_FILTER = "^neuronet-"
+SEED = 42
+TEST_FRACTION = 0.2
+SPLIT_KEY = ["_time", "container_name", "namespace", "pod_name"]
 
 Query = Callable[[SparkSession, str], DataFrame]
+_REGISTRY: dict[str, Query] = {}
 
 
-def _long(spark, sf_dir, source):
+def register(name: str):
+    def deco(fn):
+        _REGISTRY[name] = fn
+        return fn
+    return deco
+
+
+def queries() -> dict[str, Query]:
+    return dict(_REGISTRY)
+
+
+# --------------------------------------------------------------------------
+# shared building blocks
+# --------------------------------------------------------------------------
+
+def long(spark, sf_dir, source) -> DataFrame:
     return standin_long(spark, sf_dir, source)
 
 
-def wide(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    long = _long(spark, sf_dir, source)
-    fn = {
-        "k8s": preprocess.prep_k8s, "kepler": preprocess.prep_kepler,
-        "pdu": preprocess.prep_pdu, "proxmox": preprocess.prep_proxmox,
-        "scaphandre_host": preprocess.prep_scaphandre_host,
-        "scaphandre_vm": preprocess.prep_scaphandre_vm,
-    }[source]
-    return fn(long)
+_PREP = {
+    "k8s": preprocess.prep_k8s, "kepler": preprocess.prep_kepler,
+    "pdu": preprocess.prep_pdu, "proxmox": preprocess.prep_proxmox,
+    "scaphandre_host": preprocess.prep_scaphandre_host,
+    "scaphandre_vm": preprocess.prep_scaphandre_vm,
+}
 
 
-def q_energy_dataset(spark, sf_dir):
-    """Container energy dataset from the processed k8s and Kepler tables."""
+def wide(spark, sf_dir, source) -> DataFrame:
+    return _PREP[source](long(spark, sf_dir, source))
+
+
+def tel(spark, sf_dir) -> DataFrame:
+    return telemetry_table(spark, sf_dir)
+
+
+def ntz(df: DataFrame) -> DataFrame:
+    """Timestamp columns as timestamp_ntz (the oracle's timestamp type)."""
+    return df.select(*[
+        select.col(f.name).cast(T.TimestampNTZType()).alias(f.name)
+        if isinstance(f.dataType, T.TimestampType) else select.col(f.name)
+        for f in df.schema.fields])
+
+
+def rnd(df: DataFrame, cols, digits: int = 6) -> DataFrame:
+    cols = set(cols)
+    return df.select(*[F.round(select.col(c), digits).alias(c) if c in cols else select.col(c)
+                       for c in df.columns])
+
+
+def numeric_value(df: DataFrame, keep) -> DataFrame:
+    """Selected long rows with ``_value`` parsed to a number."""
+    v = F.col("_value")
+    v = to_numeric(v) if isinstance(df.schema["_value"].dataType, T.StringType) else v
+    return ntz(df.select(*[select.col(c) for c in keep], v.alias("_value")))
+
+
+def energy(spark, sf_dir) -> DataFrame:
     return datasets.energy_dataset(wide(spark, sf_dir, "k8s"), wide(spark, sf_dir, "kepler"),
                                    interval=DATASET_INTERVAL)
 
 
-def queries() -> dict[str, Query]:
-    return {
-        "energy_dataset": q_energy_dataset,
-    }
+def vm_power(spark, sf_dir) -> DataFrame:
+    return datasets.vm_power_dataset(wide(spark, sf_dir, "proxmox"),
+                                     wide(spark, sf_dir, "scaphandre_vm"),
+                                     interval=DATASET_INTERVAL)
+
+
+def energy_split(spark, sf_dir) -> DataFrame:
+    return lsplit.train_test_split(energy(spark, sf_dir), test_size=TEST_FRACTION, seed=SEED,
+                                   key_cols=SPLIT_KEY)
+
+
+def inventory(spark, sf_dir) -> DataFrame:
+    return selection.inventory_ids(tel(spark, sf_dir), START, STOP, VM_FILTER)
+
+
+# --------------------------------------------------------------------------
+# 2.1 scans / sources / sinks
+# --------------------------------------------------------------------------
+
+@register("scan_long")
+def q_scan_long(spark, sf_dir):
+    """k8s exports written as CSV files, then scanned with the declared
+    schema (``k8s*`` files, missing tokens -> null)."""
+    path = scratch_path(spark, "exports-k8s")
+    exports.write_exports(long(spark, sf_dir, "k8s"), path, "k8s")
+    df = exports.read_exports(spark, path, "k8s")
+    return ntz(df.drop("_file", "_start", "_stop"))
+
+
+@register("scan_routed")
+def q_scan_routed(spark, sf_dir):
+    """Host and VM scaphandre exports in one folder, routed by prefix."""
+    path = scratch_path(spark, "exports-scaph")
+    exports.write_exports(long(spark, sf_dir, "scaphandre_host"), path, "scaphandre_host")
+    exports.write_exports(long(spark, sf_dir, "scaphandre_vm"), path, "scaphandre_vm")
+    host, vm = exports.read_routed(spark, path)
+    keep = ["_time", "_field", "_value", "url"]
+    return ntz(host.select(F.lit("host").alias("route"), *keep)
+               .unionByName(vm.select(F.lit("vm").alias("route"), *keep)))
+
+
+@register("scan_multi_table_csv")
+def q_scan_multi_table_csv(spark, sf_dir):
+    """Concatenated exports (empty first column, a header repeated per
+    series table) read back with header lines dropped."""
+    path = scratch_path(spark, "exports-concat")
+    exports.write_exports(long(spark, sf_dir, "scaphandre_host"), path, "scaphandre_host",
+                          leading_blank=True, header_per="table")
+    df = exports.read_exports(spark, path, "scaphandre_host", leading_blank=True)
+    return ntz(df.select("table", "_time", "_field", "_value", "url"))
+
+
+@register("telemetry_select")
+def q_telemetry_select(spark, sf_dir):
+    """Bucket selection (plugin, absolute range, vm_name regex)."""
+    spec = selection.TelemetrySpec.from_range("scaphandre", RANGE, vm_name_filter=VM_FILTER)
+    df = selection.select_telemetry(tel(spark, sf_dir), spec)
+    return numeric_value(df, ["_time", "_field", "url", "vm_id", "vm_name"])
+
+
+@register("export_partitioned")
+def q_export_partitioned(spark, sf_dir):
+    """Per-inventory PDU exports written, then read back per export."""
+    path = scratch_path(spark, "exports-pdu")
+    df = selection.run_plugin(tel(spark, sf_dir), "pdu", START, STOP, vm_name_filter=VM_FILTER)
+    exports.write_exports(df, path, "pdu", name_col="export_name")
+    back = exports.read_exports(spark, path, "pdu")
+    return back.groupBy(F.col("_file").alias("export")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("processed_roundtrip")
+def q_processed_roundtrip(spark, sf_dir):
+    """Processed k8s table written as Parquet and read back."""
+    path = scratch_path(spark, "processed-k8s")
+    sinks.write_table(wide(spark, sf_dir, "k8s"), path, sort_within="_time")
+    return sinks.read_table(spark, path)
+
+
+@register("split_sink")
+def q_split_sink(spark, sf_dir):
+    """Splits written partitioned by split, test split read back."""
+    path = scratch_path(spark, "splits-energy")
+    sinks.write_splits(energy_split(spark, sf_dir), path)
+    return sinks.read_split(spark, path, "test")
+
+
+# --------------------------------------------------------------------------
+# 2.2 filters
+# --------------------------------------------------------------------------
+
+@register("filter_eq")
+def q_filter_eq(spark, sf_dir):
+    """plugin and field equality on the shared telemetry table."""
+    df = select.filter_eq(tel(spark, sf_dir), "plugin", "pdu")
+    df = select.filter_eq(df, "_field", "activePower")
+    return numeric_value(df, ["_time", "inventory-server-id", "url"])
+
+
+@register("filter_regex")
+def q_filter_regex(spark, sf_dir):
+    """vm_name regular expression (partial match, missing never matches)."""
+    df = select.filter_eq(tel(spark, sf_dir), "plugin", "proxmox")
+    df = select.filter_regex(df, "vm_name", VM_FILTER)
+    return numeric_value(df, ["_time", "vm_id", "vm_name", "_field"])
+
+
+@register("filter_time_range")
+def q_filter_time_range(spark, sf_dir):
+    """start-inclusive, stop-exclusive time range."""
+    df = select.filter_time_range(long(spark, sf_dir, "k8s"), START, STOP)
+    return numeric_value(df, ["_time", "container_name", "pod_name", "_field"])
+
+
+@register("filter_not_null")
+def q_filter_not_null(spark, sf_dir):
+    """F8: drop rows with a missing container or pod name."""
+    df = select.not_null(long(spark, sf_dir, "k8s"), ["container_name", "pod_name"])
+    return numeric_value(df, ["_time", "container_name", "pod_name", "_field"])
+
+
+@register("filter_contains")
+def q_filter_contains(spark, sf_dir):
+    """case-sensitive substring on vm_name."""
+    df = select.contains(wide(spark, sf_dir, "proxmox"), "vm_name", "k8s")
+    return ntz(df.select("_time", "vm_id", "vm_name", "cpuload", "mem_used"))
+
+
+@register("filter_icontains")
+def q_filter_icontains(spark, sf_dir):
+    """case-insensitive substring on vm_name."""
+    df = select.contains(wide(spark, sf_dir, "proxmox"), "vm_name", "k8s", case_sensitive=False)
+    return ntz(df.select("_time", "vm_id", "vm_name", "cpuload", "mem_used"))
+
+
+@register("dropna_any")
+def q_dropna_any(spark, sf_dir):
+    """drop wide rows with any missing cell."""
+    src = SOURCES["scaphandre_vm"]
+    df = pivot_mean(long(spark, sf_dir, "scaphandre_vm"), src.index, src.fields)
+    return ntz(select.dropna_any(df))
+
+
+@register("dropna_subset")
+def q_dropna_subset(spark, sf_dir):
+    """drop rows missing a value in a column subset."""
+    cols = ["cpu_usage_nanocores", "network_rx_bytes"]
+    df = select.dropna_subset(wide(spark, sf_dir, "k8s"), cols)
+    return ntz(df.select(*SOURCES["k8s"].index, *cols))
+
+
+@register("exists_gate")
+def q_exists_gate(spark, sf_dir):
+    """PDU rows pass only when the inventory set is not empty."""
+    df = select.exists_gate(select.filter_eq(tel(spark, sf_dir), "plugin", "pdu"),
+                            inventory(spark, sf_dir))
+    return numeric_value(df, ["_time", "inventory-server-id", "_field"])
+
+
+# --------------------------------------------------------------------------
+# 2.3 projections
+# --------------------------------------------------------------------------
+
+@register("drop_columns")
+def q_drop_columns(spark, sf_dir):
+    """Drop bookkeeping and inventory columns (absent names ignored)."""
+    df = select.drop_columns(long(spark, sf_dir, "k8s"), K8S_DROP + ["_file", "not_a_column"])
+    return ntz(df)
+
+
+@register("select_columns")
+def q_select_columns(spark, sf_dir):
+    """Keep-list projection of the model columns."""
+    return select.select_columns(energy(spark, sf_dir), ENERGY_FEATURES + [ENERGY_TARGET])
+
+
+@register("guarded_columns")
+def q_guarded_columns(spark, sf_dir):
+    """Disk GiB columns added because their inputs exist."""
+    src = SOURCES["proxmox"]
+    df = pivot_mean(long(spark, sf_dir, "proxmox"), src.index, src.fields)
+    df = preprocess.add_disk_columns(df)
+    return ntz(df.select("_time", "vm_id", "disk_free_gb", "disk_total_gb", "disk_used_gb"))
+
+
+# --------------------------------------------------------------------------
+# 2.4 joins
+# --------------------------------------------------------------------------
+
+@register("join_energy")
+def q_join_energy(spark, sf_dir):
+    """Complete k8s rows joined to bucketed Kepler energy (fan-out kept)."""
+    return ntz(datasets.energy_join(wide(spark, sf_dir, "k8s"), wide(spark, sf_dir, "kepler"),
+                                    DATASET_INTERVAL))
+
+
+@register("join_vm_power")
+def q_join_vm_power(spark, sf_dir):
+    """Complete Proxmox rows joined to aggregated scaphandre VM rows."""
+    df = datasets.vm_power_join(wide(spark, sf_dir, "proxmox"),
+                                wide(spark, sf_dir, "scaphandre_vm"), DATASET_INTERVAL)
+    return ntz(df)
+
+
+@register("join_left_meta")
+def q_join_left_meta(spark, sf_dir):
+    """PDU wide rows left-joined to (server, url) metadata (url_x/url_y)."""
+    return ntz(preprocess.prep_pdu(long(spark, sf_dir, "pdu"), meta="faithful"))
+
+
+@register("semi_join_inventory")
+def q_semi_join_inventory(spark, sf_dir):
+    """PDU rows of the inventory servers, one semi-join."""
+    t = tel(spark, sf_dir)
+    df = selection.semi_join_inventory(select.filter_eq(t, "plugin", "pdu"),
+                                       inventory(spark, sf_dir))
+    return numeric_value(df, ["_time", "inventory-server-id", "url", "_field"])
+
+
+@register("theta_join_regex")
+def q_theta_join_regex(spark, sf_dir):
+    """Host power rows whose url matches an inventory id as a regex."""
+    host = long(spark, sf_dir, "scaphandre_host")
+    ids = inventory(spark, sf_dir).select(F.col("`inventory-server-id`").alias("inventory_id"))
+    df = regex_match_join(host, ids, "url", "inventory_id")
+    return numeric_value(df, ["_time", "url", "inventory_id"])
+
+
+# --------------------------------------------------------------------------
+# 2.5 aggregations
+# --------------------------------------------------------------------------
+
+@register("pivot_mean")
+def q_pivot_mean(spark, sf_dir):
+    """A3: PDU long -> wide, mean of duplicates within each hour."""
+    return ntz(preprocess.prep_pdu(long(spark, sf_dir, "pdu"), meta="none"))
+
+
+@register("pivot_mean_coerced")
+def q_pivot_mean_coerced(spark, sf_dir):
+    """A4: Proxmox text values coerced to numbers, then pivoted."""
+    src = SOURCES["proxmox"]
+    return ntz(pivot_mean(long(spark, sf_dir, "proxmox"), src.index, src.fields))
+
+
+@register("distinct_rows")
+def q_distinct_rows(spark, sf_dir):
+    """Whole-row distinct of host power rows (time, value, url)."""
+    df = long(spark, sf_dir, "scaphandre_host").select("_time", "_value", "url")
+    return ntz(aggregate.distinct_rows(df))
+
+
+@register("distinct_inventory")
+def q_distinct_inventory(spark, sf_dir):
+    """Sorted distinct trimmed inventory ids of matching Proxmox VMs."""
+    return inventory(spark, sf_dir)
+
+
+@register("distinct_pairs")
+def q_distinct_pairs(spark, sf_dir):
+    """Distinct (server, vm_name) pairs."""
+    return selection.host_vm_pairs(tel(spark, sf_dir), START, STOP, VM_FILTER)
+
+
+@register("group_sum_zero")
+def q_group_sum_zero(spark, sf_dir):
+    """Kepler joules summed per bucket and container (all-missing -> 0.0)."""
+    return ntz(datasets.kepler_energy(wide(spark, sf_dir, "kepler"), DATASET_INTERVAL))
+
+
+@register("group_mixed_agg")
+def q_group_mixed_agg(spark, sf_dir):
+    """Scaphandre VM means and 0.0-default sums per (bucket, vm_id)."""
+    return ntz(datasets.scaphandre_vm_aggregate(wide(spark, sf_dir, "scaphandre_vm"),
+                                                DATASET_INTERVAL))
+
+
+@register("profile_shape")
+def q_profile_shape(spark, sf_dir):
+    """Rows and columns of every processed table."""
+    return profile.shape({s: wide(spark, sf_dir, s) for s in _PREP})
+
+
+@register("profile_nulls")
+def q_profile_nulls(spark, sf_dir):
+    """Missing count per column of the processed Proxmox table."""
+    return profile.null_counts(wide(spark, sf_dir, "proxmox"))
+
+
+@register("profile_columns")
+def q_profile_columns(spark, sf_dir):
+    """Per-column distinct/missing/constant/min/max of the energy dataset."""
+    return profile.column_profile(energy(spark, sf_dir), exact=True)
+
+
+@register("threshold_3sigma")
+def q_threshold_3sigma(spark, sf_dir):
+    """Mean + 3 population standard deviations of container power."""
+    out = lmetrics.three_sigma(energy(spark, sf_dir), ENERGY_TARGET)
+    return rnd(out, out.columns)
+
+
+@register("rowwise_mse")
+def q_rowwise_mse(spark, sf_dir):
+    """Per-row mean squared deviation of the features from their means."""
+    df = energy(spark, sf_dir)
+    means = df.agg(*[F.avg(c).alias(f"m_{c}") for c in ENERGY_FEATURES])
+    with_means = df.crossJoin(F.broadcast(means))  # one row: bounded broadcast
+    out = lmetrics.rowwise_mse(with_means, ENERGY_FEATURES, [f"m_{c}" for c in ENERGY_FEATURES],
+                               "row_mse")
+    return rnd(out.select(*SPLIT_KEY, "row_mse"), ["row_mse"], 3)
+
+
+@register("max_of_two")
+def q_max_of_two(spark, sf_dir):
+    """The larger of two column maxima."""
+    return lmetrics.max_of_two(energy(spark, sf_dir), ENERGY_TARGET, "cpu_millicores")
+
+
+# --------------------------------------------------------------------------
+# 2.7 sorts / limits, 2.8 sets
+# --------------------------------------------------------------------------
+
+@register("sort_time")
+def q_sort_time(spark, sf_dir):
+    """O1: processed host power ordered by time."""
+    return ntz(preprocess.prep_scaphandre_host(long(spark, sf_dir, "scaphandre_host"), sort=True))
+
+
+@register("limit_head")
+def q_limit_head(spark, sf_dir):
+    """O3: first five rows after an explicit order."""
+    return ntz(profile.head(wide(spark, sf_dir, "scaphandre_host"), 5, ["_time", "url"]))
+
+
+@register("union_by_name")
+def q_union_by_name(spark, sf_dir):
+    """Processed k8s and Kepler rows in one table by column name."""
+    return ntz(setops.union_by_name([wide(spark, sf_dir, "k8s"), wide(spark, sf_dir, "kepler")]))
+
+
+@register("select_all_plugins")
+def q_select_all_plugins(spark, sf_dir):
+    """The 'all' run over the five plugins (scaphandre twice)."""
+    df = selection.select_all_plugins(tel(spark, sf_dir), START, STOP, vm_name_filter=VM_FILTER)
+    return numeric_value(df, ["run_plugin", "pass", "export_name", "_time", "_field"])
+
+
+@register("run_plugin")
+def q_run_plugin(spark, sf_dir):
+    """One plugin run (PDU): inventory lookup, gate, per-id selection."""
+    df = selection.run_plugin(tel(spark, sf_dir), "pdu", START, STOP, vm_name_filter=VM_FILTER)
+    return numeric_value(df, ["export_name", "_time", "inventory-server-id", "url", "_field"])
+
+
+# --------------------------------------------------------------------------
+# 2.9 scalar functions
+# --------------------------------------------------------------------------
+
+@register("parse_time")
+def q_parse_time(spark, sf_dir):
+    """ISO-8601 text -> timestamp; unparseable text -> missing."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return ntz(ev.select("event_id", parse_time(text).alias("parsed"),
+                         parse_time(F.col("props")).alias("parsed_props")))
+
+
+@register("to_numeric_coerce")
+def q_to_numeric_coerce(spark, sf_dir):
+    """Proxmox text values -> numbers ('running', '12.0d' -> missing)."""
+    df = long(spark, sf_dir, "proxmox")
+    return ntz(df.select("_time", "vm_id", "_field", to_numeric("_value").alias("value")))
+
+
+@register("time_floor")
+def q_time_floor(spark, sf_dir):
+    """Timestamps floored to 15 minutes, 1 hour and 1 day."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return ev.select("event_id",
+                     floor_time("ts", "15min", ntz=True).alias("t15m"),
+                     floor_time("ts", "1h", ntz=True).alias("t1h"),
+                     floor_time("ts", "1D", ntz=True).alias("t1d"))
+
+
+@register("unit_conversions")
+def q_unit_conversions(spark, sf_dir):
+    """Nanocores->millicores, bytes->MiB, joules->watts."""
+    df = datasets.energy_join(wide(spark, sf_dir, "k8s"), wide(spark, sf_dir, "kepler"),
+                              DATASET_INTERVAL)
+    return ntz(df.select(
+        *SPLIT_KEY,
+        units.nanocores_to_millicores("cpu_usage_nanocores").alias("cpu_millicores"),
+        units.bytes_to_mib("memory_usage_bytes").alias("memory_usage_mb"),
+        units.joules_to_watts("kepler_container_joules_total").alias("container_power_watts")))
+
+
+@register("ieee_percent")
+def q_ieee_percent(spark, sf_dir):
+    """100*(1 - free/total) with IEEE division (-inf and missing kept)."""
+    df = wide(spark, sf_dir, "proxmox")
+    return ntz(df.select("_time", "vm_id", "disk_free", "disk_total", "disk_usage_percent"))
+
+
+@register("guarded_percent")
+def q_guarded_percent(spark, sf_dir):
+    """used/capacity*100 when capacity > 0, else 0."""
+    df = select.dropna_subset(wide(spark, sf_dir, "k8s"),
+                              ["logsfs_used_bytes", "logsfs_capacity_bytes"])
+    return ntz(df.select(*SOURCES["k8s"].index,
+                         units.guarded_percent("logsfs_used_bytes", "logsfs_capacity_bytes")
+                         .alias("logsfs_usage_percent")))
+
+
+@register("export_name")
+def q_export_name(spark, sf_dir):
+    """Export names: the inventory id, else the filter regex stem."""
+    ids = inventory(spark, sf_dir)
+    return ids.select("`inventory-server-id`",
+                      select.export_name_col("inventory-server-id", VM_FILTER).alias("export_name"),
+                      select.export_name_col(None, VM_FILTER).alias("filter_export_name"))
+
+
+# --------------------------------------------------------------------------
+# 2.12 learning (SQL-checkable parts)
+# --------------------------------------------------------------------------
+
+@register("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    """M1: deterministic hash split (20 % test, seed 42) keyed on the bucket."""
+    return ntz(energy_split(spark, sf_dir))
+
+
+@register("standard_scale")
+def q_standard_scale(spark, sf_dir):
+    """M2: standard scaling fitted on the train split (population std)."""
+    df = energy_split(spark, sf_dir)
+    model = lscale.fit_standard_scaler(df.where(F.col("split") == "train"), ENERGY_FEATURES)
+    out = lscale.transform_standard(df, model, ENERGY_FEATURES)
+    return rnd(ntz(out.select(*SPLIT_KEY, "split", *ENERGY_FEATURES)), ENERGY_FEATURES)
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    """M6: MAE / MSE / R2 of the train-mean predictor on the test split."""
+    df = energy_split(spark, sf_dir)
+    mean = df.where(F.col("split") == "train").agg(F.avg(ENERGY_TARGET).alias("prediction"))
+    test = df.where(F.col("split") == "test").crossJoin(F.broadcast(mean))  # one row
+    out = lmetrics.regression_metrics(test, ENERGY_TARGET, "prediction")
+    return rnd(out, ["mae", "mse", "r2"])
+
+
+# --------------------------------------------------------------------------
+# 2.13 per-source processing and datasets
+# --------------------------------------------------------------------------
+
+def _prep_query(source, doc):
+    def q(spark, sf_dir):
+        return ntz(wide(spark, sf_dir, source))
+    q.__doc__ = doc
+    return q
+
+
+for _src, _doc in [
+    ("k8s", "W1: k8s processing (drop, not-null, pivot)."),
+    ("kepler", "W2: Kepler processing (pivot)."),
+    ("pdu", "W3: PDU processing (pivot, metadata join)."),
+    ("proxmox", "W4: Proxmox processing (coerce, pivot, disk columns)."),
+    ("scaphandre_host", "W5: scaphandre host processing (pivot, dropna, distinct)."),
+    ("scaphandre_vm", "W5: scaphandre VM processing (pivot, dropna, distinct)."),
+]:
+    register(f"prep_{_src}")(_prep_query(_src, _doc))
+
+
+@register("energy_dataset")
+def q_energy_dataset(spark, sf_dir):
+    """Container energy dataset from the processed k8s and Kepler tables."""
+    return ntz(energy(spark, sf_dir))
+
+
+@register("vm_power_dataset")
+def q_vm_power_dataset(spark, sf_dir):
+    """VM power dataset from the processed Proxmox and scaphandre tables."""
+    return ntz(vm_power(spark, sf_dir))

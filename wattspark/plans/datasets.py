@@ -22,6 +22,21 @@ def align_time(df: DataFrame, interval: str = "1min", col: str = "_time") -> Dat
     return df.withColumn(col, floor_time(F.col(col), interval, ntz=ntz))
 
 
+def kepler_energy(kepler_wide: DataFrame, interval: str = "1min") -> DataFrame:
+    """Joules summed per (time bucket, container, namespace, pod)."""
+    kep = align_time(kepler_wide, interval)
+    return group_aggregate(kep, ENERGY_JOIN_KEYS, {"kepler_container_joules_total": "sum"})
+
+
+def energy_join(k8s_wide: DataFrame, kepler_wide: DataFrame,
+                interval: str = "1min") -> DataFrame:
+    """Complete k8s rows inner-joined to the bucketed Kepler energy (fan-out
+    kept: every k8s row of a bucket gets the bucket's energy)."""
+    k8s = align_time(k8s_wide, interval).select(*ENERGY_K8S_COLUMNS).na.drop("any")
+    kep = kepler_energy(kepler_wide, interval).select(*ENERGY_KEPLER_COLUMNS).na.drop("any")
+    return k8s.join(kep, on=ENERGY_JOIN_KEYS, how="inner")
+
+
 def energy_dataset(k8s_wide: DataFrame, kepler_wide: DataFrame,
                    interval: str = "1min") -> DataFrame:
     """Container energy dataset.
@@ -40,12 +55,7 @@ def energy_dataset(k8s_wide: DataFrame, kepler_wide: DataFrame,
     the four keys (AQE turns it into a broadcast join when the aggregated
     side is measured small, and splits a hot key's partition otherwise).
     """
-    k8s = align_time(k8s_wide, interval)
-    kep = align_time(kepler_wide, interval)
-    kep = group_aggregate(kep, ENERGY_JOIN_KEYS, {"kepler_container_joules_total": "sum"})
-    k8s = k8s.select(*ENERGY_K8S_COLUMNS).na.drop("any")
-    kep = kep.select(*ENERGY_KEPLER_COLUMNS).na.drop("any")
-    joined = k8s.join(kep, on=ENERGY_JOIN_KEYS, how="inner")
+    joined = energy_join(k8s_wide, kepler_wide, interval)
     out = joined.select(
         *ENERGY_JOIN_KEYS,
         units.nanocores_to_millicores("cpu_usage_nanocores").alias("cpu_millicores"),
@@ -57,6 +67,22 @@ def energy_dataset(k8s_wide: DataFrame, kepler_wide: DataFrame,
     return out.select(*ENERGY_OUTPUT).na.drop("any")
 
 
+def scaphandre_vm_aggregate(scaph_vm_wide: DataFrame, interval: str = "1min",
+                            vm_name_marker: str = "k8s") -> DataFrame:
+    """Scaphandre VM metrics per (time bucket, vm_id): means and 0.0-default sums."""
+    scaph = align_time(contains(scaph_vm_wide, "vm_name", vm_name_marker), interval)
+    return group_aggregate(scaph, VM_JOIN_KEYS, VM_SCAPH_AGG)
+
+
+def vm_power_join(proxmox_wide: DataFrame, scaph_vm_wide: DataFrame, interval: str = "1min",
+                  vm_name_marker: str = "k8s") -> DataFrame:
+    """Complete Proxmox rows inner-joined to the aggregated scaphandre rows."""
+    prox = align_time(contains(proxmox_wide, "vm_name", vm_name_marker), interval)
+    prox = prox.select(*VM_PROXMOX_COLUMNS).na.drop("any")
+    scaph = scaphandre_vm_aggregate(scaph_vm_wide, interval, vm_name_marker)
+    return prox.join(scaph, on=VM_JOIN_KEYS, how="inner")
+
+
 def vm_power_dataset(proxmox_wide: DataFrame, scaph_vm_wide: DataFrame,
                      interval: str = "1min", vm_name_marker: str = "k8s") -> DataFrame:
     """VM power dataset.
@@ -68,13 +94,7 @@ def vm_power_dataset(proxmox_wide: DataFrame, scaph_vm_wide: DataFrame,
     aggregated, so rows fan out), adds uptime_hours and vm_power_watts and
     drops rows with a missing value.
     """
-    prox = contains(proxmox_wide, "vm_name", vm_name_marker)
-    scaph = contains(scaph_vm_wide, "vm_name", vm_name_marker)
-    prox = align_time(prox, interval)
-    scaph = align_time(scaph, interval)
-    scaph = group_aggregate(scaph, VM_JOIN_KEYS, VM_SCAPH_AGG)
-    prox = prox.select(*VM_PROXMOX_COLUMNS).na.drop("any")
-    joined = prox.join(scaph, on=VM_JOIN_KEYS, how="inner")
+    joined = vm_power_join(proxmox_wide, scaph_vm_wide, interval, vm_name_marker)
     extra = {
         "uptime_hours": units.seconds_to_hours("uptime"),
         "vm_power_watts": units.microwatts_to_watts("scaph_process_power_consumption_microwatts"),
