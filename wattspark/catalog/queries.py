@@ -21,13 +21,14 @@ from wattspark.functions.missing import to_numeric
 from wattspark.functions.timeops import floor_time, parse_range, parse_time
 from wattspark.operators import aggregate, profile, select, setops
 from wattspark.operators.joins import regex_match_join
+from wattspark.operators.learn import anomaly, dense, forest
 from wattspark.operators.learn import metrics as lmetrics
 from wattspark.operators.learn import scale as lscale
 from wattspark.operators.learn import split as lsplit
 from wattspark.operators.pivot import pivot_mean
-from wattspark.plans import datasets, preprocess, selection
+from wattspark.plans import datasets, preprocess, selection, workflows
 from wattspark.schemas import (
-    ENERGY_FEATURES, ENERGY_TARGET, K8S_DROP, SOURCES,
+    ANOMALY_FEATURES, ENERGY_FEATURES, ENERGY_TARGET, K8S_DROP, SOURCES, VM_FEATURES, VM_TARGET,
 )
 from wattspark.session import scratch_path
 from wattspark.sources import exports, sinks
@@ -592,3 +593,150 @@ def q_energy_dataset(spark, sf_dir):
 def q_vm_power_dataset(spark, sf_dir):
     """VM power dataset from the processed Proxmox and scaphandre tables."""
     return ntz(vm_power(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# 2.12 learning (rows-only checks; exact behaviour is tested in tests/)
+# --------------------------------------------------------------------------
+
+VM_SPLIT_KEY = ["_time", "vm_id"]
+
+
+def vm_split(spark, sf_dir) -> DataFrame:
+    return lsplit.train_test_split(vm_power(spark, sf_dir), test_size=TEST_FRACTION, seed=SEED,
+                                   key_cols=VM_SPLIT_KEY).checkpoint(eager=True)
+
+
+def _energy_forest(spark, sf_dir, num_trees=100):
+    df = energy_split(spark, sf_dir).checkpoint(eager=True)
+    model = forest.fit_random_forest(df.where(F.col("split") == "train"), ENERGY_FEATURES,
+                                     ENERGY_TARGET, num_trees=num_trees, seed=SEED)
+    return df, model
+
+
+@register("rf_energy")
+def q_rf_energy(spark, sf_dir):
+    """Random forest (100 trees, seed 42) on the energy train
+    split; true vs predicted power on the test split."""
+    df, model = _energy_forest(spark, sf_dir)
+    scored = forest.predict(model, df.where(F.col("split") == "test"))
+    return ntz(forest.true_vs_predicted(scored, ENERGY_TARGET, SPLIT_KEY))
+
+
+@register("rf_vm_power")
+def q_rf_vm_power(spark, sf_dir):
+    """M4: VM power forest on features scaled with the train-split scaler."""
+    df = vm_split(spark, sf_dir)
+    train = df.where(F.col("split") == "train")
+    scaler = lscale.fit_standard_scaler(train, VM_FEATURES)
+    scaled = lscale.transform_standard(df, scaler, VM_FEATURES)
+    model = forest.fit_random_forest(scaled.where(F.col("split") == "train"), VM_FEATURES,
+                                     VM_TARGET, num_trees=100, seed=SEED)
+    scored = forest.predict(model, scaled.where(F.col("split") == "test"))
+    return ntz(forest.true_vs_predicted(scored, VM_TARGET, VM_SPLIT_KEY))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    """M7: feature importances of the energy forest."""
+    _, model = _energy_forest(spark, sf_dir)
+    return forest.feature_importances(spark, model, ENERGY_FEATURES)
+
+
+def _vm_mlp(spark, sf_dir, epochs=20):
+    df = vm_split(spark, sf_dir)
+    train = df.where(F.col("split") == "train")
+    scaler = lscale.fit_standard_scaler(train, VM_FEATURES)
+    model, history = dense.fit_dense(lscale.transform_standard(train, scaler, VM_FEATURES),
+                                     VM_FEATURES, [VM_TARGET], (128, 64), epochs=epochs, lr=1e-3,
+                                     batch_size=32, seed=SEED)
+    arr = lscale.scaler_arrays(scaler, VM_FEATURES).first()  # one row
+    model.scaler_mean, model.scaler_scale = list(arr["mean"]), list(arr["scale"])
+    return df, model, history
+
+
+@register("mlp_vm_power")
+def q_mlp_vm_power(spark, sf_dir):
+    """M8/M9: MLP 128-64-1 (Adam 1e-3, batch 32, 20 epochs) trained
+    data-parallel; test-split predictions from the stored scaler + net."""
+    df, model, _ = _vm_mlp(spark, sf_dir)
+    scored = dense.predict_dense(df.where(F.col("split") == "test"), model)
+    return ntz(forest.true_vs_predicted(scored, VM_TARGET, VM_SPLIT_KEY))
+
+
+@register("loss_history")
+def q_loss_history(spark, sf_dir):
+    """Mean training loss per epoch of the VM power MLP."""
+    _, _, history = _vm_mlp(spark, sf_dir)
+    return history
+
+
+def _autoencoder(spark, sf_dir):
+    return anomaly.fit_autoencoder(vm_power(spark, sf_dir), ANOMALY_FEATURES, (16, 8, 16),
+                                   epochs=50, batch_size=64, lr=1e-3, seed=SEED,
+                                   validation_fraction=0.1)
+
+
+@register("autoencoder_train")
+def q_autoencoder_train(spark, sf_dir):
+    """Autoencoder 14-16-8-16-14 (50 epochs, batch 64), last 10 % of
+    rows by time held out; loss per epoch and final validation loss."""
+    _, history = _autoencoder(spark, sf_dir)
+    return history
+
+
+@register("anomaly_flags")
+def q_anomaly_flags(spark, sf_dir):
+    """Reconstruction error, mean + 3 std threshold, flags."""
+    model, _ = _autoencoder(spark, sf_dir)
+    flagged = anomaly.score_anomalies(vm_power(spark, sf_dir), model)
+    return ntz(flagged.select("_time", "vm_id", "reconstruction_error", "threshold", "is_anomaly"))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """Forest and dense models stored, loaded, and re-scored."""
+    df, model = _energy_forest(spark, sf_dir, num_trees=20)
+    path = scratch_path(spark, "model-rf")
+    forest.save_model(model, path)
+    loaded = forest.load_model(path)
+    test = df.where(F.col("split") == "test")
+    a = forest.predict(model, test, "p_saved")
+    b = forest.predict(loaded, a, "p_loaded")
+    return ntz(b.select(*SPLIT_KEY, "p_saved", "p_loaded",
+                        (F.col("p_saved") == F.col("p_loaded")).alias("same")))
+
+
+@register("energy_workflow")
+def q_energy_workflow(spark, sf_dir):
+    """Select (Kepler, k8s) -> process -> dataset -> split -> forest ->
+    MAE / MSE / R2 on the test split."""
+    res = workflows.energy_workflow(tel(spark, sf_dir), START, STOP, vm_name_filter=VM_FILTER,
+                                    interval=DATASET_INTERVAL, split_key=SPLIT_KEY)
+    return res.metrics
+
+
+@register("vm_power_workflow")
+def q_vm_power_workflow(spark, sf_dir):
+    """Select (Proxmox, scaphandre) -> process -> dataset -> split ->
+    scaler -> MLP -> MAE / MSE / R2 on the test split."""
+    res = workflows.vm_power_workflow(tel(spark, sf_dir), START, STOP, vm_name_filter=VM_FILTER,
+                                      interval=DATASET_INTERVAL, split_key=VM_SPLIT_KEY)
+    return res.metrics
+
+
+@register("anomaly_workflow")
+def q_anomaly_workflow(spark, sf_dir):
+    """VM dataset -> scaler -> autoencoder -> errors -> anomaly flags."""
+    flagged, _, _ = workflows.anomaly_workflow(vm_power(spark, sf_dir))
+    return ntz(flagged.select("_time", "vm_id", "reconstruction_error", "threshold", "is_anomaly"))
+
+
+@register("batch_score")
+def q_batch_score(spark, sf_dir):
+    """A stored forest applied to the whole energy dataset."""
+    _, model = _energy_forest(spark, sf_dir)
+    path = scratch_path(spark, "model-served")
+    forest.save_model(model, path)
+    scored = workflows.batch_score(path, energy(spark, sf_dir))
+    return ntz(scored.select(*SPLIT_KEY, ENERGY_TARGET, "prediction"))
