@@ -83,12 +83,16 @@ def wide_kepler() -> str:
 
 
 def wide_pdu_faithful() -> str:
+    # the stand-in has one export file per day (of the scrape hour); the
+    # metadata join pairs a wide row with the URLs of its own export
     w = pivot_sql("pdu")
     f = SOURCES["pdu"].fields
     return f"""(SELECT w._time, w."inventory-server-id", w.placement, w.url AS url_x,
         {', '.join('w.' + q(x) for x in f)}, m.url AS url_y
-      FROM {w} w LEFT JOIN (SELECT DISTINCT "inventory-server-id", url FROM {L('pdu')} r) m
-        ON w."inventory-server-id" = m."inventory-server-id")"""
+      FROM {w} w LEFT JOIN (SELECT DISTINCT strftime(_time, '%Y%m%d') AS f, "inventory-server-id", url
+                            FROM {L('pdu')} r) m
+        ON w."inventory-server-id" = m."inventory-server-id"
+       AND strftime(w._time, '%Y%m%d') = m.f)"""
 
 
 def disk_cols(prefix: str = "") -> str:
