@@ -216,6 +216,7 @@ def oracle_sql() -> dict[str, str]:
                              f"FROM {telemetry_sql()} t WHERE plugin = 'scaphandre' "
                              f"AND _time >= {START} AND _time < {STOP} "
                              f"AND regexp_matches(vm_name, '{VM_FILTER}')")
+    o["telemetry_store_select"] = o["telemetry_select"]
     o["export_partitioned"] = (f"SELECT 'pdu_' || i.\"inventory-server-id\" AS export, count(*) AS n_rows "
                                f"FROM {L('pdu')} p JOIN {inventory_sql()} i "
                                f"ON p.\"inventory-server-id\" = i.\"inventory-server-id\" "

@@ -31,7 +31,7 @@ from wattspark.schemas import (
     ANOMALY_FEATURES, ENERGY_FEATURES, ENERGY_TARGET, K8S_DROP, SOURCES, VM_FEATURES, VM_TARGET,
 )
 from wattspark.session import scratch_path
-from wattspark.sources import exports, sinks
+from wattspark.sources import exports, sinks, telemetry
 from wattspark.sources.standins import standin_long, telemetry_table
 
 #: Alignment interval of the dataset queries: the stand-in entities scrape
@@ -170,6 +170,17 @@ def q_telemetry_select(spark, sf_dir):
     return numeric_value(df, ["_time", "_field", "url", "vm_id", "vm_name"])
 
 
+@register("telemetry_store_select")
+def q_telemetry_store_select(spark, sf_dir):
+    """S6 over the partitioned store: the telemetry is written partitioned
+    by plugin and date, then the same selection prunes partitions."""
+    path = scratch_path(spark, "telemetry-store")
+    telemetry.write_telemetry(tel(spark, sf_dir), path)
+    spec = selection.TelemetrySpec.from_range("scaphandre", RANGE, vm_name_filter=VM_FILTER)
+    df = selection.select_telemetry(telemetry.read_telemetry(spark, path), spec)
+    return numeric_value(df, ["_time", "_field", "url", "vm_id", "vm_name"])
+
+
 @register("export_partitioned")
 def q_export_partitioned(spark, sf_dir):
     """Per-inventory PDU exports written, then read back per export."""

@@ -19,6 +19,24 @@ from wattspark.operators.select import col
 MAX_BROADCAST_PATTERNS = 5000
 
 
+#: Largest lookup set (e.g. inventory ids) broadcast by an explicit hint.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def materialize_small(df: DataFrame) -> tuple[DataFrame, int]:
+    """Write a (expected small) derived set to the checkpoint folder and
+    count it, so a later broadcast of it has a checked size and the scan
+    that produced it is not repeated by every consumer."""
+    out = df.checkpoint(eager=True)
+    return out, out.count()
+
+
+def broadcast_if_small(df: DataFrame, n_rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only when the counted size is within the bound;
+    otherwise the join planner (and AQE) picks a shuffle join."""
+    return F.broadcast(df) if n_rows <= max_rows else df
+
+
 def left_meta_join(left: DataFrame, meta: DataFrame, keys: Sequence[str],
                    shared: str, suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Left join ``meta`` on ``keys``; a non-key column present on both sides

@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattspark.functions.timeops import parse_range
-from wattspark.operators.joins import regex_match_join, semi_join_values
+from wattspark.operators.joins import (
+    broadcast_if_small, materialize_small, regex_match_join, semi_join_values,
+)
 from wattspark.operators.select import (
     col, distinct_pairs, distinct_trimmed, exists_gate, export_name, filter_time_range,
 )
@@ -57,9 +59,18 @@ def _where_col(df: DataFrame, name: str, cond):
 
 
 def select_telemetry(tel: DataFrame, spec: TelemetrySpec) -> DataFrame:
-    """Rows of ``tel`` the bucket query for ``spec`` returns."""
-    df = tel.where(F.col("plugin") == spec.plugin)
-    df = filter_time_range(df, spec.start, spec.stop)
+    """Rows of ``tel`` the bucket query for ``spec`` returns.
+
+    On the partitioned store (a ``date`` partition column) the date bounds
+    are added so the scan lists only the matching directories.
+    """
+    if "date" in tel.columns:
+        from wattspark.sources.telemetry import prune
+
+        df = prune(tel, spec.plugin, spec.start, spec.stop)
+    else:
+        df = tel.where(F.col("plugin") == spec.plugin)
+        df = filter_time_range(df, spec.start, spec.stop)
     if spec.field:
         df = df.where(F.col("_field") == spec.field)
     if spec.vm_name_filter and spec.plugin not in _NO_VM_NAME:
@@ -92,9 +103,16 @@ def host_vm_pairs(tel: DataFrame, start: datetime, stop: datetime,
     return distinct_pairs(df, SERVER, "vm_name")
 
 
+def lookup_inventory(tel: DataFrame, start: datetime, stop: datetime,
+                     vm_name_filter: str = DEFAULT_VM_NAME_FILTER) -> tuple[DataFrame, int]:
+    """Inventory ids materialised once (checkpoint) with their count."""
+    return materialize_small(inventory_ids(tel, start, stop, vm_name_filter, sort=False))
+
+
 def run_plugin(tel: DataFrame, plugin: str, start: datetime, stop: datetime, *,
                field: str | None = None,
-               vm_name_filter: str = DEFAULT_VM_NAME_FILTER) -> DataFrame:
+               vm_name_filter: str = DEFAULT_VM_NAME_FILTER,
+               inventory: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Everything one plugin run exports, with its ``export_name``.
 
     1. look up the inventory ids (Proxmox VMs matching ``vm_name_filter``);
@@ -105,15 +123,18 @@ def run_plugin(tel: DataFrame, plugin: str, start: datetime, stop: datetime, *,
        several ids is exported once per id;
     3. otherwise one selection with the vm_name filter (k8s/Kepler default
        to servers matching the cluster name).
+
+    ``inventory`` passes an already materialised (ids, count) so several
+    runs share one lookup.
     """
-    ids = inventory_ids(tel, start, stop, vm_name_filter, sort=False)
+    ids, n_ids = inventory or lookup_inventory(tel, start, stop, vm_name_filter)
     if (plugin == "scaphandre" and field) or plugin == "pdu":
         base = select_telemetry(tel, TelemetrySpec(plugin, start, stop, field=field))
         if plugin == "pdu":
             if SERVER not in base.columns:
                 out = base.where(F.lit(False)).withColumn(EXPORT, F.lit(None).cast("string"))
             else:
-                ids_named = ids.select(col(SERVER).alias("__id"))
+                ids_named = broadcast_if_small(ids.select(col(SERVER).alias("__id")), n_ids)
                 out = base.join(ids_named, col(SERVER) == F.col("__id"), "inner")
                 out = out.withColumn(EXPORT, F.col("__id")).drop("__id")
         else:
@@ -131,14 +152,16 @@ def select_all_plugins(tel: DataFrame, start: datetime, stop: datetime, *,
                        vm_name_filter: str = DEFAULT_VM_NAME_FILTER) -> DataFrame:
     """The 'all' run: every plugin, scaphandre twice (VM pass, host pass).
 
-    One plan: the union of the per-plugin runs, tagged with ``run_plugin``
-    and ``pass``.
+    The inventory lookup runs once and is shared; the rest is one plan: the
+    union of the per-plugin runs, tagged with ``run_plugin`` and ``pass``.
     """
+    inventory = lookup_inventory(tel, start, stop, vm_name_filter)
     parts = []
     for plg in ALL_PLUGINS:
         passes = [("vm", None), ("host", HOST_POWER_FIELD)] if plg == "scaphandre" else [("main", None)]
         for pass_name, field in passes:
-            df = run_plugin(tel, plg, start, stop, field=field, vm_name_filter=vm_name_filter)
+            df = run_plugin(tel, plg, start, stop, field=field, vm_name_filter=vm_name_filter,
+                            inventory=inventory)
             parts.append(df.withColumn("run_plugin", F.lit(plg)).withColumn("pass", F.lit(pass_name)))
     out = parts[0]
     for p in parts[1:]:
