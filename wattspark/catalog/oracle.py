@@ -359,6 +359,9 @@ def oracle_sql() -> dict[str, str]:
                         f"AS export_name, '{stem}' AS filter_export_name FROM {inventory_sql()} i")
 
     # learning
+    k8s = SOURCES["k8s"]
+    hour_long = f"(SELECT * REPLACE (date_trunc('hour', _time) AS _time) FROM {L('k8s')} z)"
+    o["stream_window_pivot"] = f"SELECT * FROM {pivot_sql('k8s', long_sql=hour_long)} w"
     o["train_test_split"] = f"SELECT * FROM {split_sql()} s"
     fstats = ", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 OR stddev_pop({c}) IS NULL "
                        f"THEN 1.0 ELSE stddev_pop({c}) END AS s_{c}" for c in ENERGY_FEATURES)

@@ -33,6 +33,7 @@ from wattspark.schemas import (
 from wattspark.session import scratch_path
 from wattspark.sources import exports, sinks, telemetry
 from wattspark.sources.standins import standin_long, telemetry_table
+from wattspark.streaming import telemetry_stream as tstream
 
 #: Alignment interval of the dataset queries: the stand-in entities scrape
 #: about twice a day, so daily buckets give joins with real fan-out.
@@ -543,6 +544,20 @@ def q_export_name(spark, sf_dir):
                       select.export_name_col(None, VM_FILTER).alias("filter_export_name"))
 
 
+@register("stream_window_pivot")
+def q_stream_window_pivot(spark, sf_dir):
+    """Streaming re-aim of the pivot: k8s exports land as Parquet files, a
+    file stream with a watermark pivots them per hour window and key; the
+    result table is read back."""
+    base = scratch_path(spark, "stream-k8s")
+    src = long(spark, sf_dir, "k8s").drop("_file")
+    src.write.parquet(f"{base}/in")
+    stream = tstream.read_long_stream(spark, f"{base}/in", src.schema, max_files_per_trigger=4)
+    out = tstream.source_windowed_pivot(stream, "k8s", window="1 hour", watermark="2 hours")
+    tstream.run_to_table(out, f"{base}/out", f"{base}/ckpt")
+    return ntz(spark.read.parquet(f"{base}/out"))
+
+
 # --------------------------------------------------------------------------
 # 2.12 learning (SQL-checkable parts)
 # --------------------------------------------------------------------------
