@@ -192,9 +192,9 @@ def inventory_sql() -> str:
     AND trim("inventory-server-id") <> '')"""
 
 
-def split_sql(interval: str = DAY) -> str:
+def split_sql(interval: str = DAY, seed: int = SEED) -> str:
     key = "concat_ws('|', CAST(_time AS VARCHAR), container_name, namespace, pod_name)"
-    bucket = f"(('0x' || substr(md5({key} || '|{SEED}'), 1, 8))::BIGINT % 10000)"
+    bucket = f"(('0x' || substr(md5({key} || '|{seed}'), 1, 8))::BIGINT % 10000)"
     return (f"(SELECT e.*, CASE WHEN {bucket} < {TEST_CUT} THEN 'test' ELSE 'train' END AS split "
             f"FROM {energy_sql(interval)} e)")
 
@@ -377,6 +377,9 @@ def oracle_sql() -> dict[str, str]:
 SELECT n, round(mae, 6) AS mae, round(mse, 6) AS mse,
        round(CASE WHEN n = 0 THEN NULL WHEN sst = 0 THEN CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END
                   ELSE 1 - sse / sst END, 6) AS r2 FROM a"""
+    o["metrics_log"] = " UNION ALL ".join(
+        f"SELECT '{rid}' AS run_id, * FROM ({metrics_sql(seed)}) m{k}"
+        for k, (rid, seed) in enumerate((("run-42", 42), ("run-7", 7))))
 
     # processed tables and datasets
     o["prep_k8s"] = f"SELECT * FROM {wide_k8s()} w"
@@ -390,6 +393,17 @@ SELECT n, round(mae, 6) AS mae, round(mse, 6) AS mse,
     return o
 
 
+def metrics_sql(seed: int = SEED) -> str:
+    return f"""WITH s AS {split_sql(seed=seed)},
+  m AS (SELECT avg(container_power_watts) AS p FROM s WHERE split = 'train'),
+  t AS (SELECT container_power_watts AS y, p FROM s CROSS JOIN m WHERE split = 'test'),
+  a AS (SELECT count(*) AS n, avg(abs(y - p)) AS mae, avg((y - p) * (y - p)) AS mse,
+               sum((y - p) * (y - p)) AS sse, var_pop(y) * count(*) AS sst FROM t)
+SELECT n, round(mae, 6) AS mae, round(mse, 6) AS mse,
+       round(CASE WHEN n = 0 THEN NULL WHEN sst = 0 THEN CASE WHEN sse = 0 THEN 1.0 ELSE 0.0 END
+                  ELSE 1 - sse / sst END, 6) AS r2 FROM a"""
+
+
 def all_plugins_sql() -> str:
     t = telemetry_sql()
     rng = f"_time >= {START} AND _time < {STOP}"

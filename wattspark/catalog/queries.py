@@ -621,6 +621,22 @@ def q_vm_power_dataset(spark, sf_dir):
     return ntz(vm_power(spark, sf_dir))
 
 
+@register("metrics_log")
+def q_metrics_log(spark, sf_dir):
+    """Metrics rows (run id, mae, mse, r2) appended to a metrics log
+    by two runs (train-mean predictor on two split seeds), read back."""
+    path = scratch_path(spark, "metrics-log")
+    data = energy(spark, sf_dir).checkpoint(eager=True)   # shared by both runs
+    for run_id, seed in (("run-42", 42), ("run-7", 7)):
+        df = lsplit.train_test_split(data, test_size=TEST_FRACTION, seed=seed, key_cols=SPLIT_KEY)
+        mean = df.where(F.col("split") == "train").agg(F.avg(ENERGY_TARGET).alias("prediction"))
+        test = df.where(F.col("split") == "test").crossJoin(F.broadcast(mean))  # one row
+        m = lmetrics.regression_metrics(test, ENERGY_TARGET, "prediction")
+        sinks.append_metrics(rnd(m, ["mae", "mse", "r2"]).select(F.lit(run_id).alias("run_id"), "*"),
+                             path)
+    return sinks.read_table(spark, path)
+
+
 # --------------------------------------------------------------------------
 # 2.12 learning (rows-only checks; exact behaviour is tested in tests/)
 # --------------------------------------------------------------------------

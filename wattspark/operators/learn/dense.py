@@ -20,6 +20,8 @@ Parquet row (layer sizes, activations, flat weights, scaler arrays).
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -32,6 +34,8 @@ from pyspark.sql import types as T
 from wattspark.operators.select import col
 from wattspark.session import checkpoint_dir
 
+log = logging.getLogger("wattspark.dense")
+
 
 @dataclass
 class DenseModel:
@@ -144,15 +148,25 @@ def _train_rows(df: DataFrame, features, targets, num_partitions, seed) -> DataF
 
 
 def _average(states: DataFrame) -> tuple[np.ndarray, int, float]:
-    """Row-count-weighted mean of the partition states (distributed)."""
+    """Row-count-weighted mean of the partition states, in one job.
+
+    The states are exploded to (position, value) and reduced by a
+    ``groupBy`` (distributed; the partitions' states never meet in one
+    task); the totals of rows and loss ride along in the same aggregation.
+    Only the averaged, model-sized vector is collected and put in order on
+    the driver, so the training stage runs exactly once per epoch.
+    """
     exploded = states.where(F.col("n") > 0).select(
-        "n", F.posexplode("state").alias("pos", "val"))
-    avg = (exploded.groupBy("pos")
-           .agg((F.sum(F.col("val") * F.col("n")) / F.sum("n")).alias("val"))
-           .orderBy("pos"))
-    totals = states.agg(F.sum("n").alias("n"), F.sum("loss_sum").alias("loss")).first()
-    vec = np.array([r["val"] for r in avg.collect()], dtype=float)
-    return vec, int(totals["n"] or 0), float(totals["loss"] or 0.0)
+        "n", "loss_sum", F.posexplode("state").alias("pos", "val"))
+    avg = exploded.groupBy("pos").agg(
+        (F.sum(F.col("val") * F.col("n")) / F.sum("n")).alias("val"),
+        F.sum("n").alias("n"), F.sum("loss_sum").alias("loss"))
+    pdf = avg.toPandas()   # Arrow transfer of the model-sized result
+    if pdf.empty:
+        raise ValueError("no training rows")
+    vec = np.empty(len(pdf), dtype=float)
+    vec[pdf["pos"].to_numpy()] = pdf["val"].to_numpy(dtype=float)
+    return vec, int(pdf["n"].iloc[0]), float(pdf["loss"].iloc[0])
 
 
 def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
@@ -175,6 +189,7 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
     state = np.concatenate([init_params(sizes, seed), np.zeros(2 * p), [0.0]])
     history = []
     for epoch in range(1, epochs + 1):
+        t0 = time.perf_counter()
         bstate = spark.sparkContext.broadcast(state)
 
         def run(batches, _b=bstate, _epoch=epoch):
@@ -193,13 +208,15 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
                 cur, ls = adam_epoch(cur, sizes, acts, x, y, lr, batch_size, rng)
                 n += len(x)
                 loss_sum += ls
-            yield pd.DataFrame({"n": [n], "loss_sum": [loss_sum], "state": [list(cur)]})
+            yield pd.DataFrame({"n": [n], "loss_sum": [loss_sum], "state": [cur]})
 
         states = rows.mapInPandas(run, _STATE_SCHEMA)
         state, n, loss = _average(states)
         bstate.unpersist()
         entry = {"epoch": epoch, "loss": loss / n if n else float("nan")}
         history.append(entry)
+        log.info("epoch %d loss %.6g rows %d (%.2fs)", epoch, entry["loss"], n,
+                 time.perf_counter() - t0)
     model = DenseModel(sizes, acts, state[:p], features, targets)
     schema = "epoch int, loss double"
     if validation is not None:

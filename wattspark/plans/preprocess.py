@@ -18,8 +18,13 @@ from wattspark.operators.select import drop_columns, not_null
 from wattspark.schemas import SOURCES
 
 
-def _sorted(df: DataFrame, sort: bool) -> DataFrame:
-    return df.orderBy("_time") if sort else df
+def _sorted(df: DataFrame, sort: bool, keys=None) -> DataFrame:
+    """Order by time, ties broken by the remaining index keys: the range
+    partitioner can then split a timestamp shared by many rows."""
+    if not sort:
+        return df
+    keys = [k for k in (keys or []) if k in df.columns and k != "_time"]
+    return df.orderBy("_time", *[F.col(f"`{k}`") for k in keys])
 
 
 def prep_k8s(long: DataFrame, *, sort: bool = False, per_file: bool | None = None) -> DataFrame:
@@ -27,12 +32,12 @@ def prep_k8s(long: DataFrame, *, sort: bool = False, per_file: bool | None = Non
     src = SOURCES["k8s"]
     df = drop_columns(long, src.drop)
     df = not_null(df, src.require_not_null)
-    return _sorted(pivot_mean(df, src.index, src.fields, per_file=per_file), sort)
+    return _sorted(pivot_mean(df, src.index, src.fields, per_file=per_file), sort, src.index)
 
 
 def prep_kepler(long: DataFrame, *, sort: bool = False, per_file: bool | None = None) -> DataFrame:
     src = SOURCES["kepler"]
-    return _sorted(pivot_mean(long, src.index, src.fields, per_file=per_file), sort)
+    return _sorted(pivot_mean(long, src.index, src.fields, per_file=per_file), sort, src.index)
 
 
 def prep_pdu(long: DataFrame, *, meta: str = "faithful", sort: bool = False,
@@ -56,7 +61,7 @@ def prep_pdu(long: DataFrame, *, meta: str = "faithful", sort: bool = False,
         wide = pivot_mean(long, src.index, src.fields, per_file=False)
     if meta == "none":
         out = wide.drop("__file") if per_file else wide
-        return _sorted(out, sort)
+        return _sorted(out, sort, src.index)
     if meta != "faithful":
         raise ValueError("meta must be 'faithful' or 'none'")
     from wattspark.operators.joins import left_meta_join
@@ -67,7 +72,7 @@ def prep_pdu(long: DataFrame, *, meta: str = "faithful", sort: bool = False,
     out = left_meta_join(wide, meta_df, meta_keys, "url")
     if per_file:
         out = out.drop("__file")
-    return _sorted(out, sort)
+    return _sorted(out, sort, ["inventory-server-id", "placement", "url_x", "url_y"])
 
 
 def prep_proxmox(long: DataFrame, *, sort: bool = False, per_file: bool | None = None) -> DataFrame:
@@ -76,7 +81,7 @@ def prep_proxmox(long: DataFrame, *, sort: bool = False, per_file: bool | None =
     df = coerce_numeric_values(long)
     wide = pivot_mean(df, src.index, src.fields, per_file=per_file)
     wide = add_disk_columns(wide)
-    return _sorted(wide, sort)
+    return _sorted(wide, sort, src.index)
 
 
 def add_disk_columns(wide: DataFrame) -> DataFrame:
@@ -99,7 +104,7 @@ def add_disk_columns(wide: DataFrame) -> DataFrame:
 def _prep_scaphandre(long: DataFrame, name: str, sort: bool, per_file: bool | None) -> DataFrame:
     src = SOURCES[name]
     wide = pivot_mean(long, src.index, src.fields, per_file=per_file)
-    wide = _sorted(wide, sort)
+    wide = _sorted(wide, sort, src.index)
     # rows with any missing cell go, then exact duplicates (e.g. from
     # overlapping exports) collapse to one
     return distinct_rows(wide.na.drop("any"))

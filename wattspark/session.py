@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -46,11 +48,38 @@ def build_session(master: str | None = None, app_name: str = "wattspark",
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Apply the SQL-level defaults to a session someone else created."""
+    """Apply the SQL-level defaults to a session someone else created, and
+    make the package importable by the Python workers."""
     for k, v in DEFAULT_CONF.items():
         if k.startswith("spark.sql.") and k != "spark.sql.execution.arrow.pyspark.enabled":
             spark.conf.set(k, v)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
+
+
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors (``addPyFile`` of a zip),
+    once per SparkContext, so pandas UDFs and ``mapInPandas`` functions that
+    reference it unpickle on any worker, whatever its working directory."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    with _SHIP_LOCK:
+        if key in _SHIPPED:
+            return
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        out = os.path.join(tempfile.mkdtemp(prefix="wattspark-pyfiles-"), "wattspark.zip")
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+            for root, _dirs, files in os.walk(pkg_dir):
+                for f in files:
+                    if f.endswith(".py"):
+                        full = os.path.join(root, f)
+                        zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+        sc.addPyFile(out)
+        _SHIPPED.add(key)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
