@@ -390,6 +390,8 @@ SELECT n, round(mae, 6) AS mae, round(mse, 6) AS mse,
     o["prep_scaphandre_vm"] = f"SELECT * FROM {wide_scaph('scaphandre_vm')} w"
     o["energy_dataset"] = f"SELECT * FROM {energy_sql()} e"
     o["vm_power_dataset"] = f"SELECT * FROM {vm_dataset_sql()} v"
+    o["energy_dataset_skew_split"] = o["energy_dataset"]
+    o["vm_power_dataset_skew_split"] = o["vm_power_dataset"]
     return o
 
 

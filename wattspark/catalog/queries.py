@@ -615,6 +615,22 @@ def q_energy_dataset(spark, sf_dir):
     return ntz(energy(spark, sf_dir))
 
 
+@register("energy_dataset_skew_split")
+def q_energy_dataset_skew_split(spark, sf_dir):
+    """W6 with hot keys isolated explicitly (skew_split_join) instead of
+    relying on AQE's skew-join splitting."""
+    return ntz(datasets.energy_dataset(wide(spark, sf_dir, "k8s"), wide(spark, sf_dir, "kepler"),
+                                       interval=DATASET_INTERVAL, skew="split"))
+
+
+@register("vm_power_dataset_skew_split")
+def q_vm_power_dataset_skew_split(spark, sf_dir):
+    """W7 with hot keys isolated explicitly."""
+    return ntz(datasets.vm_power_dataset(wide(spark, sf_dir, "proxmox"),
+                                         wide(spark, sf_dir, "scaphandre_vm"),
+                                         interval=DATASET_INTERVAL, skew="split"))
+
+
 @register("vm_power_dataset")
 def q_vm_power_dataset(spark, sf_dir):
     """VM power dataset from the processed Proxmox and scaphandre tables."""

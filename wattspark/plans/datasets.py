@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from wattspark.functions import units
 from wattspark.functions.timeops import floor_time
 from wattspark.operators.aggregate import group_aggregate
+from wattspark.operators.joins import skew_split_join
 from wattspark.operators.select import contains
 from wattspark.schemas import (
     ENERGY_JOIN_KEYS, ENERGY_K8S_COLUMNS, ENERGY_KEPLER_COLUMNS, ENERGY_OUTPUT,
@@ -28,17 +29,27 @@ def kepler_energy(kepler_wide: DataFrame, interval: str = "1min") -> DataFrame:
     return group_aggregate(kep, ENERGY_JOIN_KEYS, {"kepler_container_joules_total": "sum"})
 
 
+def _join(left: DataFrame, right: DataFrame, keys, skew: str) -> DataFrame:
+    """``skew='aqe'``: one shuffle join, AQE splits skewed partitions at run
+    time; ``skew='split'``: hot keys isolated explicitly (skew_split_join)."""
+    if skew == "split":
+        return skew_split_join(left, right, keys, "inner")
+    if skew != "aqe":
+        raise ValueError("skew must be 'aqe' or 'split'")
+    return left.join(right, on=keys, how="inner")
+
+
 def energy_join(k8s_wide: DataFrame, kepler_wide: DataFrame,
-                interval: str = "1min") -> DataFrame:
+                interval: str = "1min", skew: str = "aqe") -> DataFrame:
     """Complete k8s rows inner-joined to the bucketed Kepler energy (fan-out
     kept: every k8s row of a bucket gets the bucket's energy)."""
     k8s = align_time(k8s_wide, interval).select(*ENERGY_K8S_COLUMNS).na.drop("any")
     kep = kepler_energy(kepler_wide, interval).select(*ENERGY_KEPLER_COLUMNS).na.drop("any")
-    return k8s.join(kep, on=ENERGY_JOIN_KEYS, how="inner")
+    return _join(k8s, kep, ENERGY_JOIN_KEYS, skew)
 
 
 def energy_dataset(k8s_wide: DataFrame, kepler_wide: DataFrame,
-                   interval: str = "1min") -> DataFrame:
+                   interval: str = "1min", skew: str = "aqe") -> DataFrame:
     """Container energy dataset.
 
     1. floor both sides' ``_time`` to ``interval``;
@@ -54,8 +65,9 @@ def energy_dataset(k8s_wide: DataFrame, kepler_wide: DataFrame,
     Plan: one aggregation exchange on the Kepler side, one shuffle join on
     the four keys (AQE turns it into a broadcast join when the aggregated
     side is measured small, and splits a hot key's partition otherwise).
+    ``skew='split'`` isolates hot keys explicitly instead.
     """
-    joined = energy_join(k8s_wide, kepler_wide, interval)
+    joined = energy_join(k8s_wide, kepler_wide, interval, skew)
     out = joined.select(
         *ENERGY_JOIN_KEYS,
         units.nanocores_to_millicores("cpu_usage_nanocores").alias("cpu_millicores"),
@@ -75,16 +87,17 @@ def scaphandre_vm_aggregate(scaph_vm_wide: DataFrame, interval: str = "1min",
 
 
 def vm_power_join(proxmox_wide: DataFrame, scaph_vm_wide: DataFrame, interval: str = "1min",
-                  vm_name_marker: str = "k8s") -> DataFrame:
+                  vm_name_marker: str = "k8s", skew: str = "aqe") -> DataFrame:
     """Complete Proxmox rows inner-joined to the aggregated scaphandre rows."""
     prox = align_time(contains(proxmox_wide, "vm_name", vm_name_marker), interval)
     prox = prox.select(*VM_PROXMOX_COLUMNS).na.drop("any")
     scaph = scaphandre_vm_aggregate(scaph_vm_wide, interval, vm_name_marker)
-    return prox.join(scaph, on=VM_JOIN_KEYS, how="inner")
+    return _join(prox, scaph, VM_JOIN_KEYS, skew)
 
 
 def vm_power_dataset(proxmox_wide: DataFrame, scaph_vm_wide: DataFrame,
-                     interval: str = "1min", vm_name_marker: str = "k8s") -> DataFrame:
+                     interval: str = "1min", vm_name_marker: str = "k8s",
+                     skew: str = "aqe") -> DataFrame:
     """VM power dataset.
 
     Keeps VMs whose name contains ``vm_name_marker`` (case-sensitive, a
@@ -94,7 +107,7 @@ def vm_power_dataset(proxmox_wide: DataFrame, scaph_vm_wide: DataFrame,
     aggregated, so rows fan out), adds uptime_hours and vm_power_watts and
     drops rows with a missing value.
     """
-    joined = vm_power_join(proxmox_wide, scaph_vm_wide, interval, vm_name_marker)
+    joined = vm_power_join(proxmox_wide, scaph_vm_wide, interval, vm_name_marker, skew)
     extra = {
         "uptime_hours": units.seconds_to_hours("uptime"),
         "vm_power_watts": units.microwatts_to_watts("scaph_process_power_consumption_microwatts"),
