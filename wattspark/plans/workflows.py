@@ -30,9 +30,11 @@ class WorkflowResult:
     history: DataFrame | None = None
 
 
-def _plugin_long(tel: DataFrame, plugin: str, start, stop, vm_name_filter: str, field=None):
+def _plugin_long(tel: DataFrame, plugin: str, start, stop, vm_name_filter: str, inventory,
+                 field=None):
     return selection.run_plugin(tel, plugin, start, stop, field=field,
-                                vm_name_filter=vm_name_filter).drop("export_name")
+                                vm_name_filter=vm_name_filter,
+                                inventory=inventory).drop("export_name")
 
 
 def energy_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
@@ -42,8 +44,9 @@ def energy_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
                     max_depth: int = 10, split_key=None) -> WorkflowResult:
     """Kepler + k8s selection -> processing -> energy dataset -> split ->
     random forest -> test predictions -> MAE / MSE / R2."""
-    kep = preprocess.prep_kepler(_plugin_long(tel, "kepler", start, stop, vm_name_filter))
-    k8s = preprocess.prep_k8s(_plugin_long(tel, "k8s", start, stop, vm_name_filter))
+    inv = selection.lookup_inventory(tel, start, stop, vm_name_filter)   # once, shared
+    kep = preprocess.prep_kepler(_plugin_long(tel, "kepler", start, stop, vm_name_filter, inv))
+    k8s = preprocess.prep_k8s(_plugin_long(tel, "k8s", start, stop, vm_name_filter, inv))
     data = datasets.energy_dataset(k8s, kep, interval)
     splits = split.train_test_split(data, test_size, seed, key_cols=split_key).checkpoint(eager=True)
     train = splits.where(F.col("split") == "train")
@@ -64,8 +67,10 @@ def vm_power_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
                       split_key=None) -> WorkflowResult:
     """Proxmox + scaphandre selection -> processing -> VM power dataset ->
     split -> scaler fitted on train -> MLP -> test predictions -> metrics."""
-    prox = preprocess.prep_proxmox(_plugin_long(tel, "proxmox", start, stop, vm_name_filter))
-    vm = preprocess.prep_scaphandre_vm(_plugin_long(tel, "scaphandre", start, stop, vm_name_filter))
+    inv = selection.lookup_inventory(tel, start, stop, vm_name_filter)   # once, shared
+    prox = preprocess.prep_proxmox(_plugin_long(tel, "proxmox", start, stop, vm_name_filter, inv))
+    vm = preprocess.prep_scaphandre_vm(_plugin_long(tel, "scaphandre", start, stop, vm_name_filter,
+                                                    inv))
     data = datasets.vm_power_dataset(prox, vm, interval)
     splits = split.train_test_split(data, test_size, seed, key_cols=split_key).checkpoint(eager=True)
     train = splits.where(F.col("split") == "train")

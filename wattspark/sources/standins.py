@@ -262,11 +262,12 @@ def standin_sql(source: str, events: str = "events") -> str:
 
 def telemetry_table(spark: SparkSession, sf_dir: str,
                     sources: list[str] | None = None) -> DataFrame:
-    """All stand-in sources in one long table (the shared bucket), values as
-    text since sources differ in value type."""
+    """All stand-in sources in one long table (the shared bucket), in the
+    store's value form (see :func:`wattspark.sources.telemetry.normalize_values`)."""
+    from wattspark.sources.telemetry import normalize_values
+
     out = None
     for s in sources or list(STANDINS):
-        df = standin_long(spark, sf_dir, s, with_file=False)
-        df = df.withColumn("_value", F.col("_value").cast("string"))
+        df = normalize_values(standin_long(spark, sf_dir, s, with_file=False))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out

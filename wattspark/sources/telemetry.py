@@ -14,8 +14,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattspark.functions.missing import clean_value, to_numeric
 from wattspark.functions.timeops import in_range
 
+VALUE_TEXT = "_value_text"
+
+
+def normalize_values(long: DataFrame) -> DataFrame:
+    """Store form of the value: ``_value`` double, parsed once at ingest.
+
+    Text values are coerced with the numeric rule (``to_numeric``); text that
+    is not a number (e.g. a status word) is missing in ``_value`` and kept
+    verbatim in ``_value_text``.  Every later read then aggregates doubles
+    instead of re-parsing strings.
+    """
+    if VALUE_TEXT in long.columns:
+        return long
+    if isinstance(long.schema["_value"].dataType, T.StringType):
+        num = to_numeric(F.col("_value"))
+        text = F.when(num.isNull() & F.col("_value").isNotNull(), F.col("_value"))
+        return long.withColumns({VALUE_TEXT: text, "_value": num})
+    return long.withColumns({VALUE_TEXT: F.lit(None).cast("string"),
+                             "_value": clean_value(F.col("_value").cast("double"))})
+
 
 def _date_col(time_col: str = "_time"):
     return F.date_format(F.col(time_col).cast(T.TimestampType()), "yyyy-MM-dd")
@@ -23,13 +44,14 @@ def _date_col(time_col: str = "_time"):
 
 def write_telemetry(df: DataFrame, path: str, *, mode: str = "append",
                     max_records_per_file: int = 5_000_000) -> None:
-    """Append long telemetry to the store (``plugin=<p>/date=<yyyy-mm-dd>``).
+    """Append long telemetry to the store (``plugin=<p>/date=<yyyy-mm-dd>``),
+    values normalised by :func:`normalize_values`.
 
     Rows are clustered by (plugin, date) within each task before writing, so
     each task writes one file per partition it holds; no global shuffle is
     needed and a hot plugin or day is written by many tasks in parallel.
     """
-    out = df.withColumn("date", _date_col())
+    out = normalize_values(df).withColumn("date", _date_col())
     (out.sortWithinPartitions("plugin", "date", "_time")
      .write.mode(mode).partitionBy("plugin", "date")
      .option("maxRecordsPerFile", max_records_per_file)
