@@ -103,11 +103,16 @@ def add_disk_columns(wide: DataFrame) -> DataFrame:
 
 def _prep_scaphandre(long: DataFrame, name: str, sort: bool, per_file: bool | None) -> DataFrame:
     src = SOURCES[name]
+    if per_file is None:
+        per_file = FILE_COL in long.columns
     wide = pivot_mean(long, src.index, src.fields, per_file=per_file)
     wide = _sorted(wide, sort, src.index)
     # rows with any missing cell go, then exact duplicates (e.g. from
-    # overlapping exports) collapse to one
-    return distinct_rows(wide.na.drop("any"))
+    # overlapping exports) collapse to one.  Without per-file pivots every
+    # row is unique by its index key already, so the distinct (a shuffle)
+    # would be a no-op and is skipped.
+    clean = wide.na.drop("any")
+    return distinct_rows(clean) if per_file else clean
 
 
 def prep_scaphandre_host(long: DataFrame, *, sort: bool = False,
