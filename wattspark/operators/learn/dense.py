@@ -135,38 +135,55 @@ def adam_epoch(state: np.ndarray, sizes, activations, x, y, lr: float, batch: in
 _STATE_SCHEMA = T.StructType([
     T.StructField("n", T.LongType()),
     T.StructField("loss_sum", T.DoubleType()),
+    T.StructField("val_n", T.LongType()),
+    T.StructField("val_loss_sum", T.DoubleType()),
     T.StructField("state", T.ArrayType(T.DoubleType())),
 ])
 
 
-def _train_rows(df: DataFrame, features, targets, num_partitions, seed) -> DataFrame:
-    rows = df.select(F.array(*[col(c).cast("double") for c in features]).alias("x"),
-                     F.array(*[col(c).cast("double") for c in targets]).alias("y"))
+def _train_rows(df: DataFrame, features, targets, num_partitions, seed,
+                validation: DataFrame | None = None) -> DataFrame:
+    def arrays(d, is_val):
+        return d.select(F.array(*[col(c).cast("double") for c in features]).alias("x"),
+                        F.array(*[col(c).cast("double") for c in targets]).alias("y"),
+                        F.lit(is_val).alias("is_val"))
+    rows = arrays(df, False)
+    if validation is not None:
+        rows = rows.unionByName(arrays(validation, True))
     # spread rows by a hash of their content: balanced, deterministic
     rows = rows.repartition(num_partitions, F.xxhash64("x", "y", F.lit(seed)))
     return rows.checkpoint(eager=True)
 
 
-def _average(states: DataFrame) -> tuple[np.ndarray, int, float]:
+def _average(states: DataFrame) -> dict:
     """Row-count-weighted mean of the partition states, in one job.
 
     The states are exploded to (position, value) and reduced by a
     ``groupBy`` (distributed; the partitions' states never meet in one
-    task); the totals of rows and loss ride along in the same aggregation.
+    task); the totals of rows and losses ride along in the same aggregation.
     Only the averaged, model-sized vector is collected and put in order on
     the driver, so the training stage runs exactly once per epoch.
     """
-    exploded = states.where(F.col("n") > 0).select(
-        "n", "loss_sum", F.posexplode("state").alias("pos", "val"))
+    exploded = states.select("n", "loss_sum", "val_n", "val_loss_sum",
+                             F.posexplode("state").alias("pos", "val"))
+    weight = F.col("n").cast("double")
     avg = exploded.groupBy("pos").agg(
-        (F.sum(F.col("val") * F.col("n")) / F.sum("n")).alias("val"),
-        F.sum("n").alias("n"), F.sum("loss_sum").alias("loss"))
+        (F.sum(F.col("val") * weight) / F.sum(weight)).alias("val"),
+        F.sum("n").alias("n"), F.sum("loss_sum").alias("loss"),
+        F.sum("val_n").alias("val_n"), F.sum("val_loss_sum").alias("val_loss"))
     pdf = avg.toPandas()   # Arrow transfer of the model-sized result
-    if pdf.empty:
+    if pdf.empty or int(pdf["n"].iloc[0]) == 0:
         raise ValueError("no training rows")
     vec = np.empty(len(pdf), dtype=float)
     vec[pdf["pos"].to_numpy()] = pdf["val"].to_numpy(dtype=float)
-    return vec, int(pdf["n"].iloc[0]), float(pdf["loss"].iloc[0])
+    first = pdf.iloc[0]
+    return {"state": vec, "n": int(first["n"]), "loss": float(first["loss"]),
+            "val_n": int(first["val_n"]), "val_loss": float(first["val_loss"])}
+
+
+def _mse_sum(params, sizes, acts, x, y) -> float:
+    out, _ = forward(params, sizes, acts, x)
+    return float(np.sum(np.mean((out - y) ** 2, axis=1)))
 
 
 def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
@@ -177,6 +194,10 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
     """Train a ReLU network ``features -> hidden... -> targets`` with MSE.
 
     Returns the model and the loss history ``epoch, loss[, val_loss]``.
+    Validation rows travel with the training rows: in the job of epoch e
+    each partition first scores its validation rows with the incoming
+    weights (the average after epoch e-1), so the validation loss of every
+    epoch costs no extra job (the last one costs one scoring pass).
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -184,20 +205,24 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
     sizes = [len(features), *hidden, len(targets)]
     acts = ["relu"] * len(hidden) + [output_activation]
     nparts = num_partitions or spark.sparkContext.defaultParallelism
-    rows = _train_rows(df, features, targets, nparts, seed)
+    rows = _train_rows(df, features, targets, nparts, seed, validation)
     p = param_count(sizes)
     state = np.concatenate([init_params(sizes, seed), np.zeros(2 * p), [0.0]])
-    history = []
-    for epoch in range(1, epochs + 1):
+    history: list[dict] = []
+    # one extra pass after the last epoch only scores the validation rows
+    passes = epochs + (1 if validation is not None else 0)
+    for epoch in range(1, passes + 1):
         t0 = time.perf_counter()
         bstate = spark.sparkContext.broadcast(state)
+        train_now = epoch <= epochs
 
-        def run(batches, _b=bstate, _epoch=epoch):
+        def run(batches, _b=bstate, _epoch=epoch, _train=train_now):
             from pyspark import TaskContext
 
             pid = TaskContext.get().partitionId()
             rng = np.random.default_rng([seed, _epoch, pid])
-            cur, n, loss_sum = _b.value, 0, 0.0
+            start = _b.value
+            cur, n, loss_sum, val_n, val_sum = start, 0, 0.0, 0, 0.0
             # stream the partition's Arrow batches: rows are already spread
             # at random over partitions, each batch is shuffled again
             for pdf in batches:
@@ -205,27 +230,38 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
                     continue
                 x = np.array(pdf["x"].tolist(), dtype=float)
                 y = np.array(pdf["y"].tolist(), dtype=float)
-                cur, ls = adam_epoch(cur, sizes, acts, x, y, lr, batch_size, rng)
-                n += len(x)
-                loss_sum += ls
-            yield pd.DataFrame({"n": [n], "loss_sum": [loss_sum], "state": [cur]})
+                is_val = pdf["is_val"].to_numpy(dtype=bool)
+                if is_val.any():
+                    val_sum += _mse_sum(start[:p], sizes, acts, x[is_val], y[is_val])
+                    val_n += int(is_val.sum())
+                if _train and (~is_val).any():
+                    cur, ls = adam_epoch(cur, sizes, acts, x[~is_val], y[~is_val], lr,
+                                         batch_size, rng)
+                    n += int((~is_val).sum())
+                    loss_sum += ls
+            yield pd.DataFrame({"n": [n], "loss_sum": [loss_sum], "val_n": [val_n],
+                                "val_loss_sum": [val_sum], "state": [cur]})
 
         states = rows.mapInPandas(run, _STATE_SCHEMA)
-        state, n, loss = _average(states)
+        if train_now:
+            res = _average(states)
+            state = res["state"]
+            history.append({"epoch": epoch, "loss": res["loss"] / res["n"]})
+        else:
+            res = states.agg(F.sum("val_n").alias("val_n"),
+                             F.sum("val_loss_sum").alias("val_loss")).first()
+            res = {"val_n": int(res["val_n"] or 0), "val_loss": float(res["val_loss"] or 0.0)}
         bstate.unpersist()
-        entry = {"epoch": epoch, "loss": loss / n if n else float("nan")}
-        history.append(entry)
-        log.info("epoch %d loss %.6g rows %d (%.2fs)", epoch, entry["loss"], n,
-                 time.perf_counter() - t0)
+        if epoch > 1 and validation is not None:
+            # weights scored in this pass are the result of epoch - 1
+            history[epoch - 2]["val_loss"] = (res["val_loss"] / res["val_n"]
+                                              if res["val_n"] else None)
+        if train_now:
+            log.info("epoch %d loss %.6g rows %d (%.2fs)", epoch, history[-1]["loss"], res["n"],
+                     time.perf_counter() - t0)
     model = DenseModel(sizes, acts, state[:p], features, targets)
-    schema = "epoch int, loss double"
-    if validation is not None:
-        # validation loss of the final model: per-row errors averaged in Spark
-        errs = reconstruction_errors(validation, model, out="__err", targets=targets)
-        val = errs.agg(F.avg("__err")).first()[0]
-        history[-1]["val_loss"] = float(val) if val is not None else None
-        schema += ", val_loss double"
     keys = ["epoch", "loss"] + (["val_loss"] if validation is not None else [])
+    schema = "epoch int, loss double" + (", val_loss double" if validation is not None else "")
     return model, spark.createDataFrame([tuple(h.get(k) for k in keys) for h in history], schema)
 
 
