@@ -79,22 +79,34 @@ def regex_match_join(df: DataFrame, patterns: DataFrame, text_col: str, pattern_
                      max_broadcast_rows: int = MAX_BROADCAST_PATTERNS) -> DataFrame:
     """Theta join ``text_col =~ /pattern/`` (partial match, unescaped).
 
-    The nested-loop comparison runs only on the *distinct* texts of
-    ``df`` against the distinct patterns (a broadcast of checked size, in
-    pieces if large); the matching (text, pattern) pairs are then equi-joined
-    back to ``df``.  ``how='inner'`` yields one row per (row, matching
-    pattern) with the pattern in ``pattern_col``; ``'left_semi'`` keeps each
-    matching row once.  ``escape=True`` treats patterns as literal text.
+    The nested-loop comparison runs only between the *distinct* texts of
+    ``df`` and the distinct patterns, never on raw rows.  The distinct texts
+    are materialised and counted: when they fit ``max_broadcast_rows`` they
+    are the broadcast side and the patterns stream past them, so each
+    pattern is compiled once for all texts; otherwise the patterns are
+    broadcast in counted pieces.  The matching (text, pattern) pairs are
+    then equi-joined back to ``df``.  ``how='inner'`` yields one row per
+    (row, matching pattern) with the pattern in ``pattern_col``;
+    ``'left_semi'`` keeps each matching row once.  ``escape=True`` treats
+    patterns as literal text.
     """
     texts = df.select(col(text_col).alias("__text")).where(F.col("__text").isNotNull()).distinct()
-    pieces = []
-    for chunk in _pattern_chunks(patterns, pattern_col, max_broadcast_rows):
-        cond = (F.instr(F.col("__text"), F.col("__pattern")) > 0) if escape else \
+    texts, n_texts = materialize_small(texts)
+
+    def cond():
+        return (F.instr(F.col("__text"), F.col("__pattern")) > 0) if escape else \
             F.expr("__text rlike __pattern")
-        pieces.append(texts.join(F.broadcast(chunk), cond, "inner"))
-    pairs = pieces[0]
-    for p in pieces[1:]:
-        pairs = pairs.unionByName(p)
+
+    if n_texts <= max_broadcast_rows:
+        pats = (patterns.select(col(pattern_col).alias("__pattern"))
+                .where(F.col("__pattern").isNotNull()).distinct())
+        pairs = pats.join(F.broadcast(texts), cond(), "inner")
+    else:
+        pieces = [texts.join(F.broadcast(chunk), cond(), "inner")
+                  for chunk in _pattern_chunks(patterns, pattern_col, max_broadcast_rows)]
+        pairs = pieces[0]
+        for p in pieces[1:]:
+            pairs = pairs.unionByName(p)
     if how == "left_semi":
         keys = pairs.select("__text").distinct()
         return df.join(keys, col(text_col) == F.col("__text"), "left_semi")
