@@ -128,27 +128,39 @@ def write_exports(df: DataFrame, directory: str, source: str | Source, *,
 
     One export (query result) per name is a directory of part files; each
     task writes its own part files (no repartition, so a hot export name is
-    not funnelled into one task).  Lines follow the raw export column order
-    and every export holds one header line, as appended exports do; the
-    reader drops header lines wherever they are.  ``header_per`` repeats the
-    header once per distinct value of that column (one per appended query
-    result, as concatenated exports have).  An empty input writes nothing.
+    not funnelled into one task) with the raw export column order and a
+    header line at the top of every file.  With ``leading_blank`` every line
+    starts with an empty column, as appended exports do.  An empty input
+    writes nothing.
+
+    ``header_per`` writes the concatenated layout instead: the header is
+    repeated once per distinct value of that column (one per appended query
+    result) inside the export's files.  The input is checkpointed first so
+    that the header lines and the rows come from one computation.
     """
     src = SOURCES[source] if isinstance(source, str) else source
     names = [f.name for f in raw_schema(src).fields]
+    name = F.col(name_col).cast("string") if name_col else F.lit("export")
+    export = F.concat(F.lit(src.prefix + "_"), name).alias("export")
+    fields = [(_text(n, df.schema[n].dataType) if n in df.columns
+               else F.lit(None).cast("string")).alias(n) for n in names]
+    if header_per is None:
+        lead = [F.lit(None).cast("string").alias("_c0")] if leading_blank else []
+        out = df.select(export, *lead, *fields)
+        (out.write.mode("append").partitionBy("export")
+         .option("header", True).option("maxRecordsPerFile", max_records_per_file)
+         .csv(directory))
+        return
+    df = df.checkpoint(eager=True)
     lead = [F.lit("").alias("_c0")] if leading_blank else []
-    fields = [(_text(n, df.schema[n].dataType) if n in df.columns else F.lit("")).alias(n)
-              for n in names]
     # to_csv quotes values holding separators or quotes
     line = F.to_csv(F.struct(*lead, *fields))
-    name = F.col(name_col).cast("string") if name_col else F.lit("export")
-    export = F.concat(F.lit(src.prefix + "_"), name)
-    extra = [F.col(f"`{header_per}`").alias("__hp")] if header_per else []
-    body = df.select(export.alias("export"), line.alias("value"), *extra)
+    body = df.select(export, line.alias("value"), F.col(f"`{header_per}`").alias("__hp"))
     header = ("," if leading_blank else "") + ",".join(names)
-    hkeys = ["export"] + (["__hp"] if header_per else [])
-    headers = body.select(*hkeys).distinct().select("export", F.lit(header).alias("value"))
-    body = body.select("export", "value")
-    (body.unionByName(headers).write.mode("append").partitionBy("export")
+    headers = (body.select("export", "__hp").distinct()
+               .select("export", F.lit(header).alias("value")))
+    (body.select("export", "value").unionByName(headers)
+     .write.mode("append").partitionBy("export")
      .option("maxRecordsPerFile", max_records_per_file)
      .text(directory))
+
