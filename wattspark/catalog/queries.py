@@ -729,8 +729,9 @@ def q_loss_history(spark, sf_dir):
     return history
 
 
-def _autoencoder(spark, sf_dir):
-    return anomaly.fit_autoencoder(vm_power(spark, sf_dir), ANOMALY_FEATURES, (16, 8, 16),
+def _autoencoder(spark, sf_dir, data=None):
+    data = data if data is not None else vm_power(spark, sf_dir)
+    return anomaly.fit_autoencoder(data, ANOMALY_FEATURES, (16, 8, 16),
                                    epochs=50, batch_size=64, lr=1e-3, seed=SEED,
                                    validation_fraction=0.1)
 
@@ -746,8 +747,9 @@ def q_autoencoder_train(spark, sf_dir):
 @register("anomaly_flags")
 def q_anomaly_flags(spark, sf_dir):
     """Reconstruction error, mean + 3 std threshold, flags."""
-    model, _ = _autoencoder(spark, sf_dir)
-    flagged = anomaly.score_anomalies(vm_power(spark, sf_dir), model)
+    data = vm_power(spark, sf_dir).checkpoint(eager=True)   # shared by fit and scoring
+    model, _ = _autoencoder(spark, sf_dir, data)
+    flagged = anomaly.score_anomalies(data, model)
     return ntz(flagged.select("_time", "vm_id", "reconstruction_error", "threshold", "is_anomaly"))
 
 

@@ -36,7 +36,11 @@ def fit_autoencoder(df: DataFrame, features: Sequence[str], hidden: Sequence[int
     """Scale (fitted on all complete rows), hold out the last rows, train
     ``features -> hidden -> features``; returns (model, loss history)."""
     features = list(features)
-    data = df.na.drop("any", subset=features)
+    cols = list(dict.fromkeys(([order_col] if order_col else []) + features))
+    # the scaler, the hold-out cut and the training rows all read the data:
+    # materialise it once (reliable checkpoint) instead of three computations
+    data = df.select(*[col(c) for c in cols]).na.drop("any", subset=features)
+    data = data.checkpoint(eager=True)
     scaler = scale.fit_standard_scaler(data, features)
     scaled = scale.transform_standard(data, scaler, features)
     train, val = holdout_last(scaled, validation_fraction, order_col)
@@ -51,7 +55,12 @@ def fit_autoencoder(df: DataFrame, features: Sequence[str], hidden: Sequence[int
 
 def score_anomalies(df: DataFrame, model: dense.DenseModel, k: float = 3.0,
                     error_col: str = "reconstruction_error") -> DataFrame:
-    """Per-row reconstruction error, threshold mean + k*std, ``is_anomaly``."""
+    """Per-row reconstruction error, threshold mean + k*std, ``is_anomaly``.
+
+    The errors are checkpointed, so the pandas UDF scores every row once.
+    """
     data = df.na.drop("any", subset=model.features)
     errors = dense.reconstruction_errors(data, model, out=error_col, targets=model.features)
+    # the threshold and the flags both read the errors: score once
+    errors = errors.checkpoint(eager=True)
     return flag_anomalies(errors, error_col, k)

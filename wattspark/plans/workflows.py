@@ -94,8 +94,10 @@ def anomaly_workflow(vm_dataset: DataFrame, *, features=ANOMALY_FEATURES, epochs
                      num_partitions: int | None = None):
     """VM power dataset -> autoencoder -> reconstruction errors -> flags.
 
+    The dataset is materialised once and shared by training and scoring.
     Returns (flagged rows, model, loss history).
     """
+    vm_dataset = vm_dataset.checkpoint(eager=True)
     model, history = anomaly.fit_autoencoder(vm_dataset, features, epochs=epochs,
                                              batch_size=batch_size, lr=lr, seed=seed,
                                              validation_fraction=validation_fraction,
