@@ -9,9 +9,11 @@ NumPy model trained with synchronous parameter averaging:
   broadcast, each partition runs shuffled minibatch Adam over its own rows
   (``mapInPandas``), and returns its weights, moments, row count and loss
   sum as one row;
-* the per-partition states are averaged weighted by row count with a
-  distributed aggregation (``posexplode`` + ``groupBy``), and only the
-  averaged state (model-sized) comes back to the driver.
+* the per-partition states are averaged weighted by row count: with few
+  partitions and a small model the states (partitions x model size, at most
+  ~32 MB) are collected and averaged in one stage; otherwise a distributed
+  aggregation (``posexplode`` + ``groupBy``) reduces them and only the
+  averaged, model-sized state comes back to the driver.
 
 With one partition this is plain minibatch Adam.  Prediction is a pandas UDF
 (Arrow batches) with the weights broadcast.  A model is stored as one
@@ -155,6 +157,25 @@ def _train_rows(df: DataFrame, features, targets, num_partitions, seed,
     return rows.checkpoint(eager=True)
 
 
+#: Above this many doubles (partitions x state length, ~32 MB) the
+#: per-partition states are averaged by a distributed groupBy instead of
+#: being collected.
+MAX_COLLECTED_STATE = 4_000_000
+
+
+def _average_collected(states: DataFrame) -> dict:
+    """Average a few small partition states on the driver (one stage)."""
+    pdf = states.toPandas()
+    pdf = pdf[pdf["n"] > 0]
+    if pdf.empty:
+        raise ValueError("no training rows")
+    w = pdf["n"].to_numpy(dtype=float)
+    mat = np.stack([np.asarray(v, dtype=float) for v in pdf["state"]])
+    return {"state": (mat * w[:, None]).sum(axis=0) / w.sum(), "n": int(w.sum()),
+            "loss": float(pdf["loss_sum"].sum()), "val_n": int(pdf["val_n"].sum()),
+            "val_loss": float(pdf["val_loss_sum"].sum())}
+
+
 def _average(states: DataFrame) -> dict:
     """Row-count-weighted mean of the partition states, in one job.
 
@@ -244,7 +265,8 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
 
         states = rows.mapInPandas(run, _STATE_SCHEMA)
         if train_now:
-            res = _average(states)
+            small = nparts * (3 * p + 1) <= MAX_COLLECTED_STATE
+            res = _average_collected(states) if small else _average(states)
             state = res["state"]
             history.append({"epoch": epoch, "loss": res["loss"] / res["n"]})
         else:
