@@ -127,3 +127,24 @@ def test_export_roundtrip_with_missing_tokens(spark, tmp_dir):
     assert back[1]["inventory-rack-id"] is None                # 'NA' token is missing
     assert sorted(r["_file"] for r in back) == ["pdu_A", "pdu_B"]
     assert exports.read_exports(spark, os.path.join(tmp_dir, "nothing"), "pdu").count() == 0
+
+
+def test_ingest_exports_into_store_and_select(spark, tmp_dir):
+    from wattspark.sources import telemetry
+
+    t = datetime(2025, 8, 4, 6, 0)
+    rows = [("_result", 0, None, None, t, "2.5", "cpuload", "proxmox", "c", "r", "flux-node1",
+             "n1", "running", "proxmox", 5, "neuronet-k8s-w1"),
+            ("_result", 0, None, None, t, "running", "status", "proxmox", "c", "r", "flux-node1",
+             "n1", "running", "proxmox", 5, "neuronet-k8s-w1")]
+    schema = ("result string, table int, _start timestamp, _stop timestamp, _time timestamp, "
+              "_value string, _field string, _measurement string, `inventory-cluster-id` string, "
+              "`inventory-rack-id` string, `inventory-server-id` string, node_fqdn string, "
+              "status string, plugin string, vm_id long, vm_name string")
+    exports.write_exports(spark.createDataFrame(rows, schema), tmp_dir + "/raw", "proxmox")
+    telemetry.ingest_exports(spark, tmp_dir + "/raw", "proxmox", tmp_dir + "/store")
+    store = telemetry.read_telemetry(spark, tmp_dir + "/store")
+    got = sorted((r["_field"], r["_value"], r["_value_text"]) for r in store.collect())
+    assert got == [("cpuload", 2.5, None), ("status", None, "running")]
+    spec = selection.TelemetrySpec("proxmox", START, STOP, vm_name_filter="^neuronet-")
+    assert selection.select_telemetry(store, spec).count() == 2

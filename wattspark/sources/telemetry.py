@@ -77,3 +77,17 @@ def prune(df: DataFrame, plugin: str | None, start: datetime, stop: datetime) ->
     if plugin:
         cond = cond & (F.col("plugin") == F.lit(plugin))
     return df.where(cond)
+
+
+def ingest_exports(spark: SparkSession, directory: str, source: str, store_path: str, *,
+                   leading_blank: bool = False) -> None:
+    """Read a source's CSV exports once and append them to the store.
+
+    Text parsing happens here, once; later selections read typed Parquet
+    with partition pruning instead of re-scanning CSV.  The export name is
+    not part of the store (the store is the bucket, not the exports).
+    """
+    from wattspark.sources.exports import read_exports
+
+    long = read_exports(spark, directory, source, leading_blank=leading_blank).drop("_file")
+    write_telemetry(long, store_path)
