@@ -91,3 +91,18 @@ def test_pdu_metadata_join_multiplies_rows(spark):
     assert "url_x" in out.columns and "url_y" in out.columns
     assert out.count() == 4          # two wide rows x two urls of the server
     assert preprocess.prep_pdu(long, meta="none").count() == 2
+
+
+def test_scaphandre_absent_metric_is_no_column(spark):
+    t = datetime(2025, 8, 4, 6, 0)
+    long = spark.createDataFrame([
+        (t, "u", "x", 1, "vm-k8s", "scaph_process_cpu_usage_percentage", 5.0),
+        (t, "u", "x", 1, "vm-k8s", "scaph_process_memory_bytes", 7.0),
+    ], "_time timestamp, url string, uuid string, vm_id bigint, vm_name string, "
+       "_field string, _value double")
+    out = preprocess.prep_scaphandre_vm(long)
+    assert out.count() == 1
+    assert "scaph_process_disk_read_bytes" not in out.columns
+    # with the full declared schema the absent metrics are all-missing and
+    # the row-wise drop removes the row
+    assert preprocess.prep_scaphandre_vm(long, present_only=False).count() == 0

@@ -70,6 +70,21 @@ def pivot_mean(df: DataFrame, index: Sequence[str], fields: Sequence[str] | str,
     return out.select(*index, *fields)
 
 
+def present_fields(df: DataFrame, fields: Sequence[str], *, value_col: str = "_value",
+                   field_col: str = "_field") -> list[str]:
+    """Declared fields with at least one non-missing value, in declared order.
+
+    One aggregation job; the collected set is bounded by ``len(fields)``.
+    """
+    if isinstance(df.schema[value_col].dataType, T.StringType):
+        value = to_numeric(F.col(value_col))
+    else:
+        value = clean_value(F.col(value_col))
+    seen = {r[0] for r in df.where(F.col(field_col).isin(list(fields)) & value.isNotNull())
+            .select(field_col).distinct().collect()}
+    return [f for f in fields if f in seen]
+
+
 def coerce_numeric_values(df: DataFrame, value_col: str = "_value") -> DataFrame:
     """Text values -> double; unparseable text (e.g. 'running') becomes missing."""
     return df.withColumn(value_col, to_numeric(F.col(value_col)))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wattspark.functions import units
 from wattspark.operators.aggregate import distinct_rows
-from wattspark.operators.pivot import FILE_COL, coerce_numeric_values, pivot_mean
+from wattspark.operators.pivot import FILE_COL, coerce_numeric_values, pivot_mean, present_fields
 from wattspark.operators.select import drop_columns, not_null
 from wattspark.schemas import SOURCES
 
@@ -101,11 +101,16 @@ def add_disk_columns(wide: DataFrame) -> DataFrame:
     return wide.withColumns(new) if new else wide
 
 
-def _prep_scaphandre(long: DataFrame, name: str, sort: bool, per_file: bool | None) -> DataFrame:
+def _prep_scaphandre(long: DataFrame, name: str, sort: bool, per_file: bool | None,
+                     present_only: bool) -> DataFrame:
     src = SOURCES[name]
     if per_file is None:
         per_file = FILE_COL in long.columns
-    wide = pivot_mean(long, src.index, src.fields, per_file=per_file)
+    # a metric that never occurs is no column at all (rather than an
+    # all-missing column, which would make the row-wise drop remove every
+    # row); finding the occurring metrics is one small extra job
+    fields = present_fields(long, src.fields) if present_only else src.fields
+    wide = pivot_mean(long, src.index, fields, per_file=per_file)
     wide = _sorted(wide, sort, src.index)
     # rows with any missing cell go, then exact duplicates (e.g. from
     # overlapping exports) collapse to one.  Without per-file pivots every
@@ -115,14 +120,18 @@ def _prep_scaphandre(long: DataFrame, name: str, sort: bool, per_file: bool | No
     return distinct_rows(clean) if per_file else clean
 
 
-def prep_scaphandre_host(long: DataFrame, *, sort: bool = False,
-                         per_file: bool | None = None) -> DataFrame:
-    return _prep_scaphandre(long, "scaphandre_host", sort, per_file)
+def prep_scaphandre_host(long: DataFrame, *, sort: bool = False, per_file: bool | None = None,
+                         present_only: bool = True) -> DataFrame:
+    """Pivot host power; drop rows with a missing cell, then exact duplicates."""
+    return _prep_scaphandre(long, "scaphandre_host", sort, per_file, present_only)
 
 
-def prep_scaphandre_vm(long: DataFrame, *, sort: bool = False,
-                       per_file: bool | None = None) -> DataFrame:
-    return _prep_scaphandre(long, "scaphandre_vm", sort, per_file)
+def prep_scaphandre_vm(long: DataFrame, *, sort: bool = False, per_file: bool | None = None,
+                       present_only: bool = True) -> DataFrame:
+    """Pivot VM process metrics; drop rows with a missing cell, then exact
+    duplicates.  ``present_only`` (default) leaves out metrics that never
+    occur, as a dynamic pivot would."""
+    return _prep_scaphandre(long, "scaphandre_vm", sort, per_file, present_only)
 
 
 def prep_scaphandre(host_long: DataFrame, vm_long: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
