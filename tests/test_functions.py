@@ -64,3 +64,19 @@ def test_parse_range():
     assert parse_range("start: -10m", now) == (datetime(2025, 8, 4, 11, 50), now)
     s, e = parse_range("start: 2025-08-01T00:00:00Z, stop: 2025-08-05T23:59:59Z", now)
     assert s == datetime(2025, 8, 1) and e == datetime(2025, 8, 5, 23, 59, 59)
+
+
+def test_tune_shuffle_sizes_partitions(spark):
+    from wattspark.session import input_bytes, tune_shuffle
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        size = input_bytes(spark, ["/root/testdata/sf0.01/events.parquet"])
+        assert size > 0
+        n = tune_shuffle(spark, ["/root/testdata/sf0.01/events.parquet"], target_partition_bytes=1024)
+        assert n == max(size // 1024 + 1, 2 * spark.sparkContext.defaultParallelism)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(n)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "true")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")

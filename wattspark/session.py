@@ -117,3 +117,39 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return int(total)
+
+
+def tune_shuffle(spark: SparkSession, paths: list[str], *,
+                 target_partition_bytes: int = 128 * 1024 ** 2,
+                 expansion: float = 1.0, max_partitions: int = 200_000) -> int:
+    """Size shuffles for the data at ``paths`` on a cluster.
+
+    Sets the shuffle partition count (and AQE's initial count) to about
+    ``input size * expansion / target_partition_bytes``, at least twice the
+    cluster's parallelism, and lets AQE coalesce towards the target size
+    instead of towards maximum parallelism, so every shuffle partition fits
+    an executor's memory at 100 TB and small stages are not over-split.
+    ``expansion`` accounts for plans whose shuffles are larger than their
+    input (e.g. a long -> wide explode).  Returns the partition count.
+    """
+    size = input_bytes(spark, paths) * expansion
+    floor_n = 2 * spark.sparkContext.defaultParallelism
+    n = int(min(max(size // target_partition_bytes + 1, floor_n), max_partitions))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    return n
