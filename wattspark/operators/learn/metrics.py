@@ -1,4 +1,4 @@
-"""Regression metrics and reconstruction-error statistics (single pass)."""
+"""Regression metrics and reconstruction-error statistics (each one aggregation)."""
 
 from __future__ import annotations
 

@@ -12,8 +12,10 @@ from wattspark.functions.timeops import in_range
 
 
 def col(name: str) -> Column:
-    """Column by name, safe for hyphenated tag names."""
-    return F.col(f"`{name}`") if "-" in name and not name.startswith("`") else F.col(name)
+    """Column by exact name (hyphens, dots and spaces are taken literally)."""
+    if name.startswith("`") and name.endswith("`"):
+        return F.col(name)
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def filter_eq(df: DataFrame, column: str, value) -> DataFrame:
