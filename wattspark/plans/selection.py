@@ -119,7 +119,7 @@ def run_plugin(tel: DataFrame, plugin: str, start: datetime, stop: datetime, *,
        with none, nothing is selected for any plugin (existence gate);
     2. PDU, and scaphandre with a field: one selection per id, expressed as
        a single join in one plan:
-       PDU by equality on the server id (semi-join), scaphandre host power by
+       PDU by an equi-join with the distinct ids, scaphandre host power by
        ``url =~ /id/`` (regex theta join on distinct URLs); a row matching
        several ids is exported once per id;
     3. otherwise one selection with the vm_name filter (k8s/Kepler default
