@@ -107,3 +107,20 @@ def test_autoencoder_scores_outlier_highest(spark):
     flagged = anomaly.score_anomalies(df, model)
     top = flagged.orderBy(F.desc("reconstruction_error")).first()
     assert top.a == 5.0 and top.is_anomaly
+
+
+def test_exact_split_count_and_ties(spark):
+    import math as _m
+
+    df = _linear(spark, 1003)
+    out = split.train_test_split(df, 0.2, 42, key_cols=["id"], exact=True)
+    assert out.where("split = 'test'").count() == _m.ceil(0.2 * 1003)
+    again = split.train_test_split(df.repartition(5), 0.2, 42, key_cols=["id"], exact=True)
+    a = {r.id for r in out.where("split = 'test'").collect()}
+    b = {r.id for r in again.where("split = 'test'").collect()}
+    assert a == b
+    # many equal keys: the boundary group is split by quota, count stays exact
+    dup = spark.range(0, 997).select(F.lit("same").alias("k"), F.col("id"))
+    d = split.train_test_split(dup.repartition(4), 0.3, 1, key_cols=["k"], exact=True)
+    assert d.where("split = 'test'").count() == _m.ceil(0.3 * 997)
+    assert d.count() == 997

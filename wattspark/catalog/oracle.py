@@ -363,6 +363,15 @@ def oracle_sql() -> dict[str, str]:
     hour_long = f"(SELECT * REPLACE (date_trunc('hour', _time) AS _time) FROM {L('k8s')} z)"
     o["stream_window_pivot"] = f"SELECT * FROM {pivot_sql('k8s', long_sql=hour_long)} w"
     o["train_test_split"] = f"SELECT * FROM {split_sql()} s"
+    ekey = ("concat_ws('|', CAST(_time AS VARCHAR), container_name, namespace, pod_name, "
+            "printf('%.4f', cpu_millicores), printf('%.4f', memory_usage_mb), "
+            "printf('%.4f', logsfs_usage_percent))")
+    o["train_test_split_exact"] = f"""WITH e AS {energy_sql()},
+  h AS (SELECT e.*, ('0x' || substr(md5({ekey} || '|{SEED}'), 1, 15))::BIGINT AS u FROM e),
+  r AS (SELECT h.*, row_number() OVER (ORDER BY u) AS rn, count(*) OVER () AS n FROM h)
+SELECT _time, container_name, namespace, pod_name, cpu_millicores, memory_usage_mb,
+       logsfs_usage_percent, container_power_watts,
+       CASE WHEN rn <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM r"""
     fstats = ", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 OR stddev_pop({c}) IS NULL "
                        f"THEN 1.0 ELSE stddev_pop({c}) END AS s_{c}" for c in ENERGY_FEATURES)
     scaled = ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in ENERGY_FEATURES)

@@ -568,6 +568,19 @@ def q_train_test_split(spark, sf_dir):
     return ntz(energy_split(spark, sf_dir))
 
 
+@register("train_test_split_exact")
+def q_train_test_split_exact(spark, sf_dir):
+    """M1, exact mode: exactly ceil(20 % of n) test rows, the smallest key
+    hashes; the key adds the formatted features so equal keys mean equal rows."""
+    df = energy(spark, sf_dir)
+    fmt = {f"k_{c}": F.format_string("%.4f", F.col(c)) for c in
+           ("cpu_millicores", "memory_usage_mb", "logsfs_usage_percent")}
+    keyed = df.withColumns(fmt)
+    out = lsplit.train_test_split(keyed, test_size=TEST_FRACTION, seed=SEED,
+                                  key_cols=SPLIT_KEY + list(fmt), exact=True)
+    return ntz(out.drop(*fmt))
+
+
 @register("standard_scale")
 def q_standard_scale(spark, sf_dir):
     """M2: standard scaling fitted on the train split (population std)."""
