@@ -148,3 +148,10 @@ def test_ingest_exports_into_store_and_select(spark, tmp_dir):
     assert got == [("cpuload", 2.5, None), ("status", None, "running")]
     spec = selection.TelemetrySpec("proxmox", START, STOP, vm_name_filter="^neuronet-")
     assert selection.select_telemetry(store, spec).count() == 2
+
+
+def test_regex_join_literal_mode(spark):
+    df = spark.createDataFrame([("http://nodeX1/m",), ("http://node.1/m",)], "url string")
+    pats = spark.createDataFrame([("node.1",)], "p string")
+    assert regex_match_join(df, pats, "url", "p").count() == 2            # '.' is a wildcard
+    assert regex_match_join(df, pats, "url", "p", escape=True).count() == 1

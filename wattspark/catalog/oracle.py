@@ -10,7 +10,7 @@ from __future__ import annotations
 from wattspark.schemas import (
     ENERGY_FEATURES, K8S_DROP, SOURCES, VM_PROXMOX_COLUMNS, VM_SCAPH_AGG,
 )
-from wattspark.sources.standins import STANDINS, standin_sql
+from wattspark.sources.standins import STANDINS, overlapping_exports_sql, standin_sql
 
 DAY = "day"
 START = "TIMESTAMP '2024-01-03 00:00:00'"
@@ -45,10 +45,15 @@ def num(expr: str = "_value") -> str:
 
 
 def pivot_sql(source: str, fields: list[str] | None = None, long_sql: str | None = None,
-              index: list[str] | None = None) -> str:
+              index: list[str] | None = None, per_file: bool = False) -> str:
+    """Pivot (mean per key and field); ``per_file`` groups by export too
+    (the file column is not part of the output)."""
     src = SOURCES[source]
     fields = fields or src.fields
     index = index or src.index
+    if per_file:
+        inner = pivot_sql(source, fields, long_sql, ["_file"] + list(index))
+        return f"(SELECT {cols(index)}, {cols(fields)} FROM {inner} pf)"
     long_sql = long_sql or L(source)
     val = _TEXT_NUM if src.value_is_text else "_value"
     aggs = ", ".join(f"avg(__val) FILTER (WHERE _field = '{f}') AS {q(f)}" for f in fields)
@@ -270,8 +275,17 @@ def oracle_sql() -> dict[str, str]:
                              f"ON regexp_matches(h.url, i.\"inventory-server-id\")")
 
     # aggregations
+    ov_k8s = (f"(SELECT * FROM {overlapping_exports_sql('k8s')} o "
+              f"WHERE container_name IS NOT NULL AND pod_name IS NOT NULL)")
+    ov_host = overlapping_exports_sql("scaphandre_host")
     o["pivot_mean"] = f"SELECT * FROM {pivot_sql('pdu')} w"
     o["pivot_mean_coerced"] = f"SELECT * FROM {pivot_sql('proxmox')} w"
+    o["pivot_overlapping_exports"] = (
+        f"SELECT * FROM {pivot_sql('k8s', long_sql=ov_k8s, per_file=True)} w")
+    hsrc = SOURCES["scaphandre_host"]
+    o["distinct_overlapping_exports"] = (
+        f"SELECT DISTINCT * FROM {pivot_sql('scaphandre_host', long_sql=ov_host, per_file=True)} w "
+        f"WHERE {notmissing_all(hsrc.index + hsrc.fields, set(hsrc.fields))}")
     o["distinct_rows"] = f"SELECT DISTINCT _time, _value, url FROM {L('scaphandre_host')} x"
     o["distinct_inventory"] = f"SELECT * FROM {inventory_sql()} i"
     o["distinct_pairs"] = (f"SELECT DISTINCT \"inventory-server-id\", vm_name FROM {telemetry_sql()} t "

@@ -32,7 +32,7 @@ from wattspark.schemas import (
 )
 from wattspark.session import scratch_path
 from wattspark.sources import exports, sinks, telemetry
-from wattspark.sources.standins import standin_long, telemetry_table
+from wattspark.sources.standins import overlapping_exports, standin_long, telemetry_table
 from wattspark.streaming import telemetry_stream as tstream
 
 #: Alignment interval of the dataset queries: the stand-in entities scrape
@@ -366,6 +366,22 @@ def q_pivot_mean_coerced(spark, sf_dir):
     return ntz(pivot_mean(long(spark, sf_dir, "proxmox"), src.index, src.fields))
 
 
+@register("pivot_overlapping_exports")
+def q_pivot_overlapping_exports(spark, sf_dir):
+    """U1/A1 per export: k8s exports overlap by an hour; each export is
+    pivoted on its own, so an overlapped key stays twice."""
+    long_df = overlapping_exports(long(spark, sf_dir, "k8s"), "k8s")
+    return ntz(preprocess.prep_k8s(long_df))
+
+
+@register("distinct_overlapping_exports")
+def q_distinct_overlapping_exports(spark, sf_dir):
+    """W5/A7 per export: overlapping host-power exports pivoted per export,
+    then complete rows de-duplicated, so overlapped rows appear once."""
+    long_df = overlapping_exports(long(spark, sf_dir, "scaphandre_host"), "scaphandre_host")
+    return ntz(preprocess.prep_scaphandre_host(long_df))
+
+
 @register("distinct_rows")
 def q_distinct_rows(spark, sf_dir):
     """Whole-row distinct of host power rows (time, value, url)."""

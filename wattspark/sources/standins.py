@@ -233,8 +233,27 @@ def standin_long(spark: SparkSession, sf_dir: str, source: str,
                        for c in order])
 
 
-def standin_sql(source: str, events: str = "events") -> str:
-    """DuckDB SQL yielding the same long rows (without ``_file``)."""
+def overlapping_exports(long: DataFrame, source: str) -> DataFrame:
+    """The same rows as exports that overlap: rows of the first hour of a
+    day are also in the previous day's export file (input shaping only)."""
+    src = SOURCES[source]
+    prev = F.date_format(F.date_sub(F.col("_time").cast("date"), 1), "yyyyMMdd")
+    extra = (long.where(F.hour(F.col("_time").cast(T.TimestampType())) < 1)
+             .withColumn("_file", F.concat(F.lit(src.prefix + "_"), prev, F.lit(".csv"))))
+    return long.unionByName(extra)
+
+
+def overlapping_exports_sql(source: str) -> str:
+    """DuckDB form of :func:`overlapping_exports` (with a ``_file`` column)."""
+    prefix = SOURCES[source].prefix
+    base = standin_sql(source, with_file=True)
+    return (f"(SELECT * FROM {base} b UNION ALL "
+            f"SELECT * REPLACE ('{prefix}_' || strftime(CAST(_time AS DATE) - INTERVAL 1 DAY, '%Y%m%d')"
+            f" || '.csv' AS _file) FROM {base} c WHERE hour(_time) < 1)")
+
+
+def standin_sql(source: str, events: str = "events", with_file: bool = False) -> str:
+    """DuckDB SQL yielding the same long rows (``_file`` when asked)."""
     si = STANDINS[source]
     src = SOURCES[source]
     time_sql = "ts" if si.time == "raw" else "date_trunc('hour', ts)"
@@ -256,6 +275,7 @@ def standin_sql(source: str, events: str = "events") -> str:
             f"{time_sql} AS _time, {val} AS _value, '{name}' AS _field, "
             f"'{si.measurement}' AS _measurement, "
             + ", ".join(tag_sql).replace("AS STRING", "AS VARCHAR")
+            + (f", '{src.prefix}_' || strftime(ts, '%Y%m%d') || '.csv' AS _file" if with_file else "")
             + f" FROM {base} e")
     return "(" + " UNION ALL ".join(parts) + ")"
 
