@@ -95,6 +95,9 @@ def exists_gate(df: DataFrame, gate: DataFrame) -> DataFrame:
 
     An uncorrelated EXISTS: a left-semi join with one row of the gate.  The
     gate side is a single row, so its broadcast is bounded by construction.
+    When the gate's row count is already known (a materialised set), filter
+    on that constant instead, as :func:`wattspark.plans.selection.run_plugin`
+    does: it folds away and keeps filters above it pushable.
     """
     one = gate.limit(1).select(F.lit(1).alias("__gate"))
     return df.join(F.broadcast(one), F.lit(True), "left_semi")
