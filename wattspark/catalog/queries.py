@@ -443,8 +443,8 @@ def q_threshold_3sigma(spark, sf_dir):
 def q_rowwise_mse(spark, sf_dir):
     """Per-row mean squared deviation of the features from their means."""
     df = energy(spark, sf_dir)
-    means = df.agg(*[F.avg(c).alias(f"m_{c}") for c in ENERGY_FEATURES])
-    with_means = df.crossJoin(F.broadcast(means))  # one row: bounded broadcast
+    means = df.agg(*[F.avg(c).alias(f"m_{c}") for c in ENERGY_FEATURES]).first()  # one row
+    with_means = df.withColumns({f"m_{c}": F.lit(means[f"m_{c}"]) for c in ENERGY_FEATURES})
     out = lmetrics.rowwise_mse(with_means, ENERGY_FEATURES, [f"m_{c}" for c in ENERGY_FEATURES],
                                "row_mse")
     return rnd(out.select(*SPLIT_KEY, "row_mse"), ["row_mse"], 3)
@@ -610,8 +610,8 @@ def q_standard_scale(spark, sf_dir):
 def q_regression_metrics(spark, sf_dir):
     """M6: MAE / MSE / R2 of the train-mean predictor on the test split."""
     df = energy_split(spark, sf_dir)
-    mean = df.where(F.col("split") == "train").agg(F.avg(ENERGY_TARGET).alias("prediction"))
-    test = df.where(F.col("split") == "test").crossJoin(F.broadcast(mean))  # one row
+    mean = df.where(F.col("split") == "train").agg(F.avg(ENERGY_TARGET)).first()[0]  # one value
+    test = df.where(F.col("split") == "test").withColumn("prediction", F.lit(mean))
     out = lmetrics.regression_metrics(test, ENERGY_TARGET, "prediction")
     return rnd(out, ["mae", "mse", "r2"])
 
@@ -674,8 +674,8 @@ def q_metrics_log(spark, sf_dir):
     data = energy(spark, sf_dir).checkpoint(eager=True)   # shared by both runs
     for run_id, seed in (("run-42", 42), ("run-7", 7)):
         df = lsplit.train_test_split(data, test_size=TEST_FRACTION, seed=seed, key_cols=SPLIT_KEY)
-        mean = df.where(F.col("split") == "train").agg(F.avg(ENERGY_TARGET).alias("prediction"))
-        test = df.where(F.col("split") == "test").crossJoin(F.broadcast(mean))  # one row
+        mean = df.where(F.col("split") == "train").agg(F.avg(ENERGY_TARGET)).first()[0]
+        test = df.where(F.col("split") == "test").withColumn("prediction", F.lit(mean))
         m = lmetrics.regression_metrics(test, ENERGY_TARGET, "prediction")
         sinks.append_metrics(rnd(m, ["mae", "mse", "r2"]).select(F.lit(run_id).alias("run_id"), "*"),
                              path)
@@ -715,7 +715,7 @@ def q_rf_vm_power(spark, sf_dir):
     """M4: VM power forest on features scaled with the train-split scaler."""
     df = vm_split(spark, sf_dir)
     train = df.where(F.col("split") == "train")
-    scaler = lscale.fit_standard_scaler(train, VM_FEATURES)
+    scaler = lscale.scaler_values(lscale.fit_standard_scaler(train, VM_FEATURES))  # one row
     scaled = lscale.transform_standard(df, scaler, VM_FEATURES)
     model = forest.fit_random_forest(scaled.where(F.col("split") == "train"), VM_FEATURES,
                                      VM_TARGET, num_trees=100, seed=SEED)
@@ -733,12 +733,11 @@ def q_feature_importance(spark, sf_dir):
 def _vm_mlp(spark, sf_dir, epochs=20):
     df = vm_split(spark, sf_dir)
     train = df.where(F.col("split") == "train")
-    scaler = lscale.fit_standard_scaler(train, VM_FEATURES)
+    scaler = lscale.scaler_values(lscale.fit_standard_scaler(train, VM_FEATURES))  # one row
     model, history = dense.fit_dense(lscale.transform_standard(train, scaler, VM_FEATURES),
                                      VM_FEATURES, [VM_TARGET], (128, 64), epochs=epochs, lr=1e-3,
                                      batch_size=32, seed=SEED)
-    arr = lscale.scaler_arrays(scaler, VM_FEATURES).first()  # one row
-    model.scaler_mean, model.scaler_scale = list(arr["mean"]), list(arr["scale"])
+    model.scaler_mean, model.scaler_scale = lscale.scaler_arrays(scaler, VM_FEATURES)
     return df, model, history
 
 

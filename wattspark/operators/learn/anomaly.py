@@ -21,12 +21,11 @@ def holdout_last(df: DataFrame, fraction: float, order_col: str = "_time",
     """
     if fraction <= 0:
         return df, df.limit(0)
-    key = col(order_col).cast("timestamp").cast("double") if order_col else None
-    cut = df.agg(F.percentile_approx(key, 1.0 - fraction, accuracy).alias("cut"))
-    tagged = df.crossJoin(F.broadcast(cut))  # one row
-    train = tagged.where(key <= F.col("cut")).drop("cut")
-    val = tagged.where(key > F.col("cut")).drop("cut")
-    return train, val
+    key = col(order_col).cast("timestamp").cast("double")
+    cut = df.agg(F.percentile_approx(key, 1.0 - fraction, accuracy).alias("cut")).first()["cut"]
+    if cut is None:
+        return df, df.limit(0)
+    return df.where(key <= F.lit(cut)), df.where(key > F.lit(cut))
 
 
 def fit_autoencoder(df: DataFrame, features: Sequence[str], hidden: Sequence[int] = (16, 8, 16), *,
@@ -41,15 +40,14 @@ def fit_autoencoder(df: DataFrame, features: Sequence[str], hidden: Sequence[int
     # materialise it once (reliable checkpoint) instead of three computations
     data = df.select(*[col(c) for c in cols]).na.drop("any", subset=features)
     data = data.checkpoint(eager=True)
-    scaler = scale.fit_standard_scaler(data, features)
+    scaler = scale.scaler_values(scale.fit_standard_scaler(data, features))
     scaled = scale.transform_standard(data, scaler, features)
     train, val = holdout_last(scaled, validation_fraction, order_col)
     model, history = dense.fit_dense(train, features, features, hidden, epochs=epochs, lr=lr,
                                      batch_size=batch_size, seed=seed,
                                      num_partitions=num_partitions,
                                      validation=val if validation_fraction > 0 else None)
-    arr = scale.scaler_arrays(scaler, features).first()  # one row
-    model.scaler_mean, model.scaler_scale = list(arr["mean"]), list(arr["scale"])
+    model.scaler_mean, model.scaler_scale = scale.scaler_arrays(scaler, features)
     return model, history
 
 

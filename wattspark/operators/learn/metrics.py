@@ -60,8 +60,8 @@ def max_of_two(df: DataFrame, a: str, b: str) -> DataFrame:
 def flag_anomalies(errors: DataFrame, error_col: str = "reconstruction_error",
                    k: float = 3.0) -> DataFrame:
     """Add ``threshold`` (mean + k*population std of the errors) and
-    ``is_anomaly`` (error strictly above it); the threshold is one row,
-    broadcast to every task."""
-    stats = three_sigma(errors, error_col, k).select("threshold")
-    return (errors.crossJoin(F.broadcast(stats))
-            .withColumn("is_anomaly", F.col(error_col) > F.col("threshold")))
+    ``is_anomaly`` (error strictly above it).  The threshold is one
+    aggregation; its single value is applied as a literal."""
+    threshold = three_sigma(errors, error_col, k).first()["threshold"]
+    thr = F.lit(threshold).cast("double")
+    return errors.withColumns({"threshold": thr, "is_anomaly": F.col(error_col) > thr})

@@ -1,7 +1,8 @@
 """Standard scaling with population standard deviation.
 
-Fit is one aggregation producing a single row (means and deviations), so the
-transform is a broadcast of one row: bounded whatever the data size.  A
+Fit is one aggregation producing a single row (means and deviations); the
+transform reads that row once and applies it as literals, so it is plain
+column arithmetic inside whole-stage codegen, with no join.  A
 zero-variance column is divided by 1 (it becomes 0), matching the usual
 scaler convention; MLlib's StandardScaler uses the sample deviation and is
 therefore not used.
@@ -29,14 +30,23 @@ def fit_standard_scaler(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def transform_standard(df: DataFrame, model: DataFrame, cols: Sequence[str],
                        suffix: str = "") -> DataFrame:
-    """(x - mean) / scale for every column; ``suffix`` keeps the originals."""
-    joined = df.crossJoin(F.broadcast(model))  # one-row model
-    new = {f"{c}{suffix}": (col(c) - F.col(f"mean_{c}")) / F.col(f"scale_{c}") for c in cols}
-    out = joined.withColumns(new)
-    return out.drop(*[f"mean_{c}" for c in cols], *[f"scale_{c}" for c in cols])
+    """(x - mean) / scale for every column; ``suffix`` keeps the originals.
 
+    ``model`` is the one-row result of :func:`fit_standard_scaler` (or a
+    dict of its values); its row is read once.
+    """
+    m = model if isinstance(model, dict) else model.first().asDict()
+    new = {f"{c}{suffix}": (col(c) - F.lit(m[f"mean_{c}"])) / F.lit(m[f"scale_{c}"])
+           for c in cols}
+    return df.withColumns(new)
 
-def scaler_arrays(model: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The fitted scaler as two arrays (``mean``, ``scale``) in column order."""
-    return model.select(F.array(*[F.col(f"mean_{c}") for c in cols]).alias("mean"),
-                        F.array(*[F.col(f"scale_{c}") for c in cols]).alias("scale"))
+
+def scaler_values(model: DataFrame) -> dict:
+    """The one fitted row as a dict (read once, reused by transforms)."""
+    return model.first().asDict()
+
+
+def scaler_arrays(model, cols: Sequence[str]) -> tuple[list[float], list[float]]:
+    """The fitted scaler as (means, scales) in column order."""
+    m = model if isinstance(model, dict) else scaler_values(model)
+    return [m[f"mean_{c}"] for c in cols], [m[f"scale_{c}"] for c in cols]

@@ -55,8 +55,9 @@ def energy_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
                                      max_depth=max_depth)
     scored = forest.predict(model, test)
     m = metrics.regression_metrics(scored, target, "prediction")
-    n_train = train.agg(F.count(F.lit(1)).alias("n_train"))
-    return WorkflowResult(data, splits, model, scored, m.crossJoin(n_train))
+    n_train = train.count()
+    return WorkflowResult(data, splits, model, scored,
+                          m.withColumn("n_train", F.lit(n_train).cast("bigint")))
 
 
 def vm_power_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
@@ -75,17 +76,17 @@ def vm_power_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
     splits = split.train_test_split(data, test_size, seed, key_cols=split_key).checkpoint(eager=True)
     train = splits.where(F.col("split") == "train")
     test = splits.where(F.col("split") == "test")
-    scaler = scale.fit_standard_scaler(train, features)
+    scaler = scale.scaler_values(scale.fit_standard_scaler(train, features))  # one row
     model, history = dense.fit_dense(scale.transform_standard(train, scaler, features), features,
                                      [target], hidden, epochs=epochs, lr=lr,
                                      batch_size=batch_size, seed=seed,
                                      num_partitions=num_partitions)
-    arr = scale.scaler_arrays(scaler, features).first()  # one row
-    model.scaler_mean, model.scaler_scale = list(arr["mean"]), list(arr["scale"])
+    model.scaler_mean, model.scaler_scale = scale.scaler_arrays(scaler, features)
     scored = dense.predict_dense(test, model)
     m = metrics.regression_metrics(scored, target, "prediction")
-    n_train = train.agg(F.count(F.lit(1)).alias("n_train"))
-    return WorkflowResult(data, splits, model, scored, m.crossJoin(n_train), history)
+    n_train = train.count()
+    return WorkflowResult(data, splits, model, scored,
+                          m.withColumn("n_train", F.lit(n_train).cast("bigint")), history)
 
 
 def anomaly_workflow(vm_dataset: DataFrame, *, features=ANOMALY_FEATURES, epochs: int = 50,
