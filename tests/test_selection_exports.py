@@ -155,3 +155,17 @@ def test_regex_join_literal_mode(spark):
     pats = spark.createDataFrame([("node.1",)], "p string")
     assert regex_match_join(df, pats, "url", "p").count() == 2            # '.' is a wildcard
     assert regex_match_join(df, pats, "url", "p", escape=True).count() == 1
+
+
+def test_store_files_per_partition(spark, tmp_dir):
+    import glob
+
+    from wattspark.sources import telemetry
+
+    t = datetime(2025, 8, 4, 6, 0)
+    rows = [("k8s", t, "cpu", float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "plugin string, _time timestamp, _field string, _value double")
+    telemetry.write_telemetry(df.repartition(16), tmp_dir + "/s", files_per_partition=3)
+    files = glob.glob(tmp_dir + "/s/plugin=k8s/date=2025-08-04/*.parquet")
+    assert 1 <= len(files) <= 3
+    assert telemetry.read_telemetry(spark, tmp_dir + "/s").count() == 200

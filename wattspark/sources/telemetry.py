@@ -43,15 +43,23 @@ def _date_col(time_col: str = "_time"):
 
 
 def write_telemetry(df: DataFrame, path: str, *, mode: str = "append",
+                    files_per_partition: int | None = None,
                     max_records_per_file: int = 5_000_000) -> None:
     """Append long telemetry to the store (``plugin=<p>/date=<yyyy-mm-dd>``),
     values normalised by :func:`normalize_values`.
 
-    Rows are clustered by (plugin, date) within each task before writing, so
-    each task writes one file per partition it holds; no global shuffle is
-    needed and a hot plugin or day is written by many tasks in parallel.
+    Without ``files_per_partition`` every task writes one file per
+    (plugin, date) it holds: no shuffle, fine for incremental appends.  For
+    large backfills set it: rows are hash-partitioned on (plugin, date,
+    salt) with ``files_per_partition`` salts, so each partition directory
+    gets at most that many files, and a hot plugin or day is still written
+    by that many tasks in parallel.
     """
     out = normalize_values(df).withColumn("date", _date_col())
+    if files_per_partition:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in out.columns]),
+                      F.lit(files_per_partition))
+        out = out.repartition("plugin", "date", salt)
     (out.sortWithinPartitions("plugin", "date", "_time")
      .write.mode(mode).partitionBy("plugin", "date")
      .option("maxRecordsPerFile", max_records_per_file)
