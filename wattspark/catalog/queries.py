@@ -783,7 +783,7 @@ def q_anomaly_flags(spark, sf_dir):
 
 @register("model_roundtrip")
 def q_model_roundtrip(spark, sf_dir):
-    """Forest and dense models stored, loaded, and re-scored."""
+    """A random forest stored, loaded, and re-scored."""
     df, model = _energy_forest(spark, sf_dir, num_trees=20)
     path = scratch_path(spark, "model-rf")
     forest.save_model(model, path)
@@ -795,6 +795,21 @@ def q_model_roundtrip(spark, sf_dir):
                         (F.col("p_saved") == F.col("p_loaded")).alias("same")))
 
 
+@register("dense_model_roundtrip")
+def q_dense_model_roundtrip(spark, sf_dir):
+    """The VM power MLP (weights + scaler) stored as one Parquet row,
+    loaded, and re-scored on the test split."""
+    df, model, _ = _vm_mlp(spark, sf_dir)
+    path = scratch_path(spark, "model-mlp")
+    dense.save_dense(spark, model, path)
+    loaded = dense.load_dense(spark, path)
+    test = df.where(F.col("split") == "test")
+    a = dense.predict_dense(test, model, "p_saved")
+    b = dense.predict_dense(a, loaded, "p_loaded")
+    return ntz(b.select(*VM_SPLIT_KEY, "p_saved", "p_loaded",
+                        (F.col("p_saved") == F.col("p_loaded")).alias("same")))
+
+
 @register("energy_workflow")
 def q_energy_workflow(spark, sf_dir):
     """Select (Kepler, k8s) -> process -> dataset -> split -> forest ->
