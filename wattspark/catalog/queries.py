@@ -744,7 +744,7 @@ def _vm_mlp(spark, sf_dir, epochs=20):
 @register("mlp_vm_power")
 def q_mlp_vm_power(spark, sf_dir):
     """M8/M9: MLP 128-64-1 (Adam 1e-3, batch 32, 20 epochs) trained
-    data-parallel; test-split predictions from the stored scaler + net."""
+    data-parallel; test-split predictions from the fitted scaler + net."""
     df, model, _ = _vm_mlp(spark, sf_dir)
     scored = dense.predict_dense(df.where(F.col("split") == "test"), model)
     return ntz(forest.true_vs_predicted(scored, VM_TARGET, VM_SPLIT_KEY))
@@ -767,7 +767,7 @@ def _autoencoder(spark, sf_dir, data=None):
 @register("autoencoder_train")
 def q_autoencoder_train(spark, sf_dir):
     """Autoencoder 14-16-8-16-14 (50 epochs, batch 64), last 10 % of
-    rows by time held out; loss per epoch and final validation loss."""
+    rows by time held out; training and validation loss per epoch."""
     _, history = _autoencoder(spark, sf_dir)
     return history
 
