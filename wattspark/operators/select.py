@@ -93,12 +93,15 @@ def distinct_pairs(df: DataFrame, a: str, b: str, sort: bool = True) -> DataFram
 def exists_gate(df: DataFrame, gate: DataFrame) -> DataFrame:
     """Return ``df`` when ``gate`` has at least one row, else no rows.
 
-    An uncorrelated EXISTS: a left-semi join with one row of the gate.  The
-    gate side is a single row, so its broadcast is bounded by construction.
-    When the gate's row count is already known (a materialised set), filter
-    on that constant instead, as :func:`wattspark.plans.selection.run_plugin`
-    does: it folds away and keeps filters above it pushable.
+    An uncorrelated EXISTS: ``gate.exists()`` plans a subquery that runs
+    once (``SELECT 1 ... LIMIT 1``), so the gate is a constant filter, with
+    no join, and filters above it still push down.  Where DataFrame
+    subqueries are unavailable, a left-semi join with one broadcast row of
+    the gate (bounded by construction) is used instead.
     """
+    exists = getattr(gate, "exists", None)
+    if exists is not None:
+        return df.where(exists())
     one = gate.limit(1).select(F.lit(1).alias("__gate"))
     return df.join(F.broadcast(one), F.lit(True), "left_semi")
 
