@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import os
 import tempfile
 import threading
@@ -64,21 +66,35 @@ _SHIP_LOCK = threading.Lock()
 def ship_package(spark: SparkSession) -> None:
     """Distribute this package to the executors (``addPyFile`` of a zip),
     once per SparkContext, so pandas UDFs and ``mapInPandas`` functions that
-    reference it unpickle on any worker, whatever its working directory."""
+    reference it unpickle on any worker, whatever its working directory.
+
+    The zip is built in memory and written into the shared checkpoint folder
+    through the Hadoop FileSystem API, so no machine-local folder is used.
+    """
     sc = spark.sparkContext
     key = sc.applicationId
     with _SHIP_LOCK:
         if key in _SHIPPED:
             return
         pkg_dir = os.path.dirname(os.path.abspath(__file__))
-        out = os.path.join(tempfile.mkdtemp(prefix="wattspark-pyfiles-"), "wattspark.zip")
-        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
             for root, _dirs, files in os.walk(pkg_dir):
-                for f in files:
+                for f in sorted(files):
                     if f.endswith(".py"):
                         full = os.path.join(root, f)
                         zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-        sc.addPyFile(out)
+        data = buf.getvalue()
+        digest = hashlib.sha1(data).hexdigest()[:16]
+        target = f"{checkpoint_dir(spark).rstrip('/')}/pyfiles/wattspark-{digest}.zip"
+        jvm = sc._jvm
+        path = jvm.org.apache.hadoop.fs.Path(target)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            out = fs.create(path, True)
+            out.write(bytearray(data))
+            out.close()
+        sc.addPyFile(target)
         _SHIPPED.add(key)
 
 
