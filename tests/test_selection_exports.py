@@ -169,3 +169,24 @@ def test_store_files_per_partition(spark, tmp_dir):
     files = glob.glob(tmp_dir + "/s/plugin=k8s/date=2025-08-04/*.parquet")
     assert 1 <= len(files) <= 3
     assert telemetry.read_telemetry(spark, tmp_dir + "/s").count() == 200
+
+
+def test_per_export_semantics_through_files(spark, tmp_dir):
+    from wattspark.plans import preprocess
+
+    t = datetime(2025, 8, 4, 6, 0)
+    cols = ("result string, table int, _start timestamp, _stop timestamp, _time timestamp, "
+            "_value double, _field string, _measurement string, container_name string, "
+            "`inventory-cluster-id` string, `inventory-rack-id` string, "
+            "`inventory-server-id` string, namespace string, node_name string, plugin string, "
+            "pod_name string, name string")
+    row = ("_result", 0, None, None, t, 2.0, "cpu_usage_nanocores", "m", "c", "cl", "r", "s",
+           "ns", "n", "k8s", "p")
+    rows = [row + ("exportA",), row[:5] + (4.0,) + row[6:] + ("exportB",)]
+    exports.write_exports(spark.createDataFrame(rows, cols), tmp_dir, "k8s", name_col="name")
+    long = exports.read_exports(spark, tmp_dir, "k8s")
+    assert sorted(r["_file"] for r in long.collect()) == ["k8s_exportA", "k8s_exportB"]
+    wide = preprocess.prep_k8s(long)
+    assert sorted(r.cpu_usage_nanocores for r in wide.collect()) == [2.0, 4.0]   # one row per export
+    merged = preprocess.prep_k8s(long, per_file=False)
+    assert [r.cpu_usage_nanocores for r in merged.collect()] == [3.0]
