@@ -66,10 +66,16 @@ def source_windowed_pivot(long: DataFrame, source: str, **kw) -> DataFrame:
 
 
 def run_to_table(stream: DataFrame, table_path: str, checkpoint_path: str, *,
-                 output_mode: str = "complete", available_now: bool = True,
+                 output_mode: str = "append", available_now: bool = True,
                  fmt: str = "parquet") -> None:
-    """Run the stream into a table; each micro-batch overwrites (complete
-    mode) or appends (append/update mode) the output from the executors."""
+    """Run the stream into a table from the executors (``foreachBatch``).
+
+    ``append`` (default, for long-running streams): a window is written once
+    the watermark passes its end, and its state is then dropped, so state
+    stays bounded.  ``complete``: every micro-batch rewrites the whole
+    result; meant for draining a finite set of files, where append would
+    never emit the windows the watermark has not yet passed.
+    """
     mode = "overwrite" if output_mode == "complete" else "append"
 
     def write(batch: DataFrame, _epoch: int) -> None:
