@@ -66,3 +66,10 @@ def test_distinct_rows_treats_missing_equal(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, float("nan")), (1, float("nan")), (2, 1.0)],
                                "a int, b double")
     assert distinct_rows(df).count() == 3
+
+
+def test_strict_and_discover_use_non_missing_values(spark):
+    df = spark.createDataFrame([(T0, "a", "x", 1.0), (T0, "a", "w", None)], LONG)
+    with pytest.raises(KeyError):
+        pivot_mean(df, ["_time", "k"], ["x", "w"], strict=True)   # 'w' has no value
+    assert pivot_mean(df, ["_time", "k"], "discover").columns == ["_time", "k", "x"]

@@ -8,22 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattspark.functions.missing import clean_value
+from wattspark.operators.select import col
 
 _AGG = {"mean", "sum", "min", "max", "count"}
 
 
-def _agg_expr(col: str, how: str) -> Column:
-    c = clean_value(F.col(col))
+def _agg_expr(name: str, how: str) -> Column:
+    c = clean_value(col(name))
     if how == "mean":
-        return F.avg(c).alias(col)
+        return F.avg(c).alias(name)
     if how == "sum":
         # the sum of a group whose values are all missing is 0.0, not missing
-        return F.coalesce(F.sum(c), F.lit(0.0)).alias(col)
+        return F.coalesce(F.sum(c), F.lit(0.0)).alias(name)
     if how == "min":
-        return F.min(c).alias(col)
+        return F.min(c).alias(name)
     if how == "max":
-        return F.max(c).alias(col)
-    return F.count(c).alias(col)
+        return F.max(c).alias(name)
+    return F.count(c).alias(name)
 
 
 def group_aggregate(df: DataFrame, keys: Sequence[str], spec: Mapping[str, str]) -> DataFrame:
@@ -40,10 +41,10 @@ def group_aggregate(df: DataFrame, keys: Sequence[str], spec: Mapping[str, str])
     keys = list(keys)
     cond = None
     for k in keys:
-        c = F.col(k).isNotNull()
+        c = col(k).isNotNull()
         cond = c if cond is None else cond & c
     base = df.where(cond) if cond is not None else df
-    return base.groupBy(*keys).agg(*[_agg_expr(c, h) for c, h in spec.items()])
+    return base.groupBy(*[col(k) for k in keys]).agg(*[_agg_expr(c, h) for c, h in spec.items()])
 
 
 def sum_zero(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

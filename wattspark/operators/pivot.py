@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattspark.functions.missing import clean_value, to_numeric
+from wattspark.operators.select import col
 
 FILE_COL = "_file"
 
@@ -24,8 +25,8 @@ def pivot_mean(df: DataFrame, index: Sequence[str], fields: Sequence[str] | str,
     * a missing value (null or NaN) never contributes and never forms a row,
       so an index key whose values are all missing does not appear;
     * a key with a missing index column is dropped;
-    * a declared field that never occurs is an all-null column
-      (``strict=True`` raises instead);
+    * a declared field with no non-missing value is an all-null column
+      (``strict=True`` raises instead, as a later step needing it would);
     * a text ``_value`` column is coerced to numbers first; text that is not
       a number (e.g. 'running') is missing.
 
@@ -36,38 +37,42 @@ def pivot_mean(df: DataFrame, index: Sequence[str], fields: Sequence[str] | str,
     ``per_file``: when the input carries a ``_file`` column (one row set per
     exported file), pivot each file separately as the reference does, so an
     equal key in two overlapping exports stays two rows.  Defaults to True
-    exactly when the column exists.  ``fields='discover'`` collects the
-    distinct field names first (one extra job).
+    exactly when the column exists.  ``fields='discover'`` pivots the fields
+    that have at least one non-missing value (one extra job that collects
+    the field names, a set bounded by the metric vocabulary).
     """
     index = list(index)
     if per_file is None:
         per_file = FILE_COL in df.columns
     if per_file and FILE_COL not in df.columns:
         raise ValueError("per_file=True needs a _file column")
-    if isinstance(df.schema[value_col].dataType, T.StringType):
-        value = to_numeric(F.col(value_col))   # text values are coerced
-    else:
-        value = clean_value(F.col(value_col))
+    value = _value_expr(df, value_col)
     if isinstance(fields, str):
         if fields != "discover":
             raise ValueError("fields must be a list or 'discover'")
-        fields = sorted(r[0] for r in df.select(field_col).where(F.col(field_col).isNotNull())
-                        .distinct().collect())
+        fields = sorted(r[0] for r in df.where(col(field_col).isNotNull() & value.isNotNull())
+                        .select(field_col).distinct().collect())
     fields = list(fields)
     if strict:
-        present = {r[0] for r in df.select(field_col).where(F.col(field_col).isin(fields))
-                   .distinct().collect()}
+        present = set(present_fields(df, fields, value_col=value_col, field_col=field_col))
         missing = [f for f in fields if f not in present]
         if missing:
-            raise KeyError(f"declared fields never occur: {missing}")
+            raise KeyError(f"declared fields without any value: {missing}")
     keys = ([FILE_COL] if per_file else []) + index
-    cond = value.isNotNull() & F.col(field_col).isin(fields)
+    cond = value.isNotNull() & col(field_col).isin(fields)
     for k in index:
-        cond = cond & F.col(k).isNotNull()
-    base = df.select(*[F.col(k) for k in keys], F.col(field_col), value.alias(value_col)).where(cond)
-    aggs = [F.avg(F.when(F.col(field_col) == f, F.col(value_col))).alias(f) for f in fields]
-    out = base.groupBy(*keys).agg(*aggs)
-    return out.select(*index, *fields)
+        cond = cond & col(k).isNotNull()
+    base = df.select(*[col(k) for k in keys], col(field_col), value.alias(value_col)).where(cond)
+    aggs = [F.avg(F.when(col(field_col) == f, col(value_col))).alias(f) for f in fields]
+    out = base.groupBy(*[col(k) for k in keys]).agg(*aggs)
+    return out.select(*[col(c) for c in index + fields])
+
+
+def _value_expr(df: DataFrame, value_col: str):
+    """The value as a clean double: text coerced, NaN -> missing."""
+    if isinstance(df.schema[value_col].dataType, T.StringType):
+        return to_numeric(col(value_col))
+    return clean_value(col(value_col))
 
 
 def present_fields(df: DataFrame, fields: Sequence[str], *, value_col: str = "_value",
@@ -76,11 +81,8 @@ def present_fields(df: DataFrame, fields: Sequence[str], *, value_col: str = "_v
 
     One aggregation job; the collected set is bounded by ``len(fields)``.
     """
-    if isinstance(df.schema[value_col].dataType, T.StringType):
-        value = to_numeric(F.col(value_col))
-    else:
-        value = clean_value(F.col(value_col))
-    seen = {r[0] for r in df.where(F.col(field_col).isin(list(fields)) & value.isNotNull())
+    value = _value_expr(df, value_col)
+    seen = {r[0] for r in df.where(col(field_col).isin(list(fields)) & value.isNotNull())
             .select(field_col).distinct().collect()}
     return [f for f in fields if f in seen]
 
