@@ -56,8 +56,8 @@ def test_vm_power_dataset_filters_names_and_keeps_infinity(spark):
         vals.update(disk_free=disk_free, disk_total=disk_total, status=None, uptime=7200.0)
         return (datetime(2025, 8, 4, 6, 0, 3), "srv", vm_id, name, *[vals[f] for f in numeric])
 
-    prox = _wide(spark, p_idx, numeric, [prow(1, "neuronet-k8s-w1", 5.0, 0.0),
-                                         prow(2, "neuronet-K8S-w2", 5.0, 10.0),
+    prox = _wide(spark, p_idx, numeric, [prow(1, "vm-k8s-w1", 5.0, 0.0),
+                                         prow(2, "vm-K8S-w2", 5.0, 10.0),
                                          prow(3, None, 5.0, 10.0)], pt)
     prox = preprocess.add_disk_columns(prox)
     s_idx = ["_time", "url", "uuid", "vm_id", "vm_name"]
@@ -67,7 +67,7 @@ def test_vm_power_dataset_filters_names_and_keeps_infinity(spark):
         vals = {f: 2.0 for f in SCAPH_VM_FIELDS}
         vals["scaph_process_power_consumption_microwatts"] = 1e6
         vals["scaph_process_disk_read_bytes"] = None
-        srows.append((datetime(2025, 8, 4, 6, 0, sec), "u", "x", 1, "neuronet-k8s-w1",
+        srows.append((datetime(2025, 8, 4, 6, 0, sec), "u", "x", 1, "vm-k8s-w1",
                       *[vals[f] for f in SCAPH_VM_FIELDS]))
     scaph = _wide(spark, s_idx, SCAPH_VM_FIELDS, srows, st)
     out = datasets.vm_power_dataset(prox, scaph, "1min").collect()

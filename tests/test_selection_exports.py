@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 from wattspark.operators.joins import regex_match_join
 from wattspark.operators.select import exists_gate, export_name
 from wattspark.plans import selection
+from wattspark.schemas import DEFAULT_CLUSTER_FILTER, DEFAULT_VM_NAME_FILTER
 from wattspark.sources import exports
 
+VMP = DEFAULT_VM_NAME_FILTER.lstrip("^")     # names the default VM filter selects
+CL = DEFAULT_CLUSTER_FILTER
+
 TEL = ("plugin string, _time timestamp, _field string, _value string, "
        "`inventory-server-id` string, vm_name string, url string")
 
@@ -15,17 +19,17 @@ TEL = ("plugin string, _time timestamp, _field string, _value string, "
 def _tel(spark):
     t = datetime(2025, 8, 4, 6, 0)
     rows = [
-        ("proxmox", t, "cpuload", "1", " flux-node1 ", "neuronet-k8s-w1", None),
-        ("proxmox", t, "cpuload", "1", "flux-node10", "neuronet-w2", None),
+        ("proxmox", t, "cpuload", "1", " flux-node1 ", VMP + "k8s-w1", None),
+        ("proxmox", t, "cpuload", "1", "flux-node10", VMP + "w2", None),
         ("proxmox", t, "cpuload", "1", "flux-node3", "other-vm", None),
-        ("proxmox", t, "cpuload", "1", "   ", "neuronet-x", None),
+        ("proxmox", t, "cpuload", "1", "   ", VMP + "x", None),
         ("pdu", t, "activePower", "5", "flux-node1", None, "http://pdu1"),
         ("pdu", t, "activePower", "6", "flux-node3", None, "http://pdu3"),
         ("scaphandre", t, "scaph_host_power_microwatts", "7", None, None,
          "http://flux-node10.x:8080/metrics"),
         ("scaphandre", datetime(2025, 8, 4, 7, 0), "scaph_host_power_microwatts", "8", None, None,
          "http://flux-node1.x:8080/metrics"),
-        ("k8s", t, "cpu_usage_nanocores", "9", "Neuronet-a", None, None),
+        ("k8s", t, "cpu_usage_nanocores", "9", CL + "-a", None, None),
         ("k8s", t, "cpu_usage_nanocores", "9", "edge-b", None, None),
     ]
     return spark.createDataFrame(rows, TEL)
@@ -54,7 +58,7 @@ def test_run_plugin_pdu_and_regex_host(spark):
     # 'flux-node1' is an unescaped pattern: it also matches flux-node10
     assert got == [("flux-node1", "7"), ("flux-node1", "8"), ("flux-node10", "7")]
     k8s = selection.run_plugin(tel, "k8s", START, STOP)
-    assert [r["inventory-server-id"] for r in k8s.collect()] == ["Neuronet-a"]
+    assert [r["inventory-server-id"] for r in k8s.collect()] == [CL + "-a"]
 
 
 def test_existence_gate(spark):
@@ -78,8 +82,8 @@ def test_regex_join_escape_and_semi(spark):
 
 
 def test_export_name():
-    assert export_name("flux-node1", "^neuronet-") == "flux-node1"
-    assert export_name(None, "^neuronet-") == "neuronet"
+    assert export_name("flux-node1", "^prod-") == "flux-node1"
+    assert export_name(None, "^prod-") == "prod"
 
 
 def _concatenated_sample(path):
@@ -134,9 +138,9 @@ def test_ingest_exports_into_store_and_select(spark, tmp_dir):
 
     t = datetime(2025, 8, 4, 6, 0)
     rows = [("_result", 0, None, None, t, "2.5", "cpuload", "proxmox", "c", "r", "flux-node1",
-             "n1", "running", "proxmox", 5, "neuronet-k8s-w1"),
+             "n1", "running", "proxmox", 5, VMP + "k8s-w1"),
             ("_result", 0, None, None, t, "running", "status", "proxmox", "c", "r", "flux-node1",
-             "n1", "running", "proxmox", 5, "neuronet-k8s-w1")]
+             "n1", "running", "proxmox", 5, VMP + "k8s-w1")]
     schema = ("result string, table int, _start timestamp, _stop timestamp, _time timestamp, "
               "_value string, _field string, _measurement string, `inventory-cluster-id` string, "
               "`inventory-rack-id` string, `inventory-server-id` string, node_fqdn string, "
@@ -146,7 +150,7 @@ def test_ingest_exports_into_store_and_select(spark, tmp_dir):
     store = telemetry.read_telemetry(spark, tmp_dir + "/store")
     got = sorted((r["_field"], r["_value"], r["_value_text"]) for r in store.collect())
     assert got == [("cpuload", 2.5, None), ("status", None, "running")]
-    spec = selection.TelemetrySpec("proxmox", START, STOP, vm_name_filter="^neuronet-")
+    spec = selection.TelemetrySpec("proxmox", START, STOP, vm_name_filter=DEFAULT_VM_NAME_FILTER)
     assert selection.select_telemetry(store, spec).count() == 2
 
 

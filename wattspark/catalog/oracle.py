@@ -8,14 +8,16 @@ the operator's semantics directly in SQL, independently of the Spark code.
 from __future__ import annotations
 
 from wattspark.schemas import (
-    ENERGY_FEATURES, K8S_DROP, SOURCES, VM_PROXMOX_COLUMNS, VM_SCAPH_AGG,
+    DEFAULT_CLUSTER_FILTER, DEFAULT_VM_NAME_FILTER, ENERGY_FEATURES, K8S_DROP, SOURCES,
+    VM_PROXMOX_COLUMNS, VM_SCAPH_AGG,
 )
 from wattspark.sources.standins import STANDINS, overlapping_exports_sql, standin_sql
 
 DAY = "day"
 START = "TIMESTAMP '2024-01-03 00:00:00'"
 STOP = "TIMESTAMP '2024-01-28 00:00:00'"
-VM_FILTER = "^neuronet-"
+VM_FILTER = DEFAULT_VM_NAME_FILTER
+CLUSTER = DEFAULT_CLUSTER_FILTER
 SEED = 42
 TEST_CUT = 2000  # of 10000 buckets
 
@@ -447,10 +449,10 @@ def all_plugins_sql() -> str:
         f"FROM {t} x JOIN {inv} i ON regexp_matches(x.url, i.\"inventory-server-id\") "
         f"WHERE x.plugin = 'scaphandre' AND x._field = 'scaph_host_power_microwatts' "
         f"AND x._time >= {START} AND x._time < {STOP}",
-        f"SELECT 'k8s', 'main', 'Neuronet', {sel} FROM {t} x "
-        f"WHERE plugin = 'k8s' AND {rng} AND regexp_matches(\"inventory-server-id\", 'Neuronet')",
-        f"SELECT 'kepler', 'main', 'Neuronet', {sel} FROM {t} x "
-        f"WHERE plugin = 'kepler' AND {rng} AND regexp_matches(\"inventory-server-id\", 'Neuronet')",
+        f"SELECT 'k8s', 'main', '{CLUSTER}', {sel} FROM {t} x "
+        f"WHERE plugin = 'k8s' AND {rng} AND regexp_matches(\"inventory-server-id\", '{CLUSTER}')",
+        f"SELECT 'kepler', 'main', '{CLUSTER}', {sel} FROM {t} x "
+        f"WHERE plugin = 'kepler' AND {rng} AND regexp_matches(\"inventory-server-id\", '{CLUSTER}')",
     ]
     return ("SELECT * FROM (" + " UNION ALL ".join(parts) + f") u WHERE EXISTS (SELECT 1 FROM {inv} g)")
 

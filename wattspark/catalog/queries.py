@@ -28,7 +28,8 @@ from wattspark.operators.learn import split as lsplit
 from wattspark.operators.pivot import pivot_mean
 from wattspark.plans import datasets, preprocess, selection, workflows
 from wattspark.schemas import (
-    ANOMALY_FEATURES, ENERGY_FEATURES, ENERGY_TARGET, K8S_DROP, SOURCES, VM_FEATURES, VM_TARGET,
+    ANOMALY_FEATURES, DEFAULT_VM_NAME_FILTER, ENERGY_FEATURES, ENERGY_TARGET, K8S_DROP, SOURCES,
+    VM_FEATURES, VM_TARGET,
 )
 from wattspark.session import scratch_path
 from wattspark.sources import exports, sinks, telemetry
@@ -41,7 +42,7 @@ DATASET_INTERVAL = "1D"
 #: Selection window of the telemetry queries (the events span January 2024).
 RANGE = "start: 2024-01-03T00:00:00Z, stop: 2024-01-28T00:00:00Z"
 START, STOP = parse_range(RANGE)
-VM_FILTER = "^neuronet-"
+VM_FILTER = DEFAULT_VM_NAME_FILTER
 SEED = 42
 TEST_FRACTION = 0.2
 SPLIT_KEY = ["_time", "container_name", "namespace", "pod_name"]

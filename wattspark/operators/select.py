@@ -108,7 +108,7 @@ def exists_gate(df: DataFrame, gate: DataFrame) -> DataFrame:
 
 def export_name(inventory_id: str | None, vm_name_filter: str | None) -> str:
     """Export file stem: the id, else the filter regex without its first
-    and last character (e.g. '^neuronet-' -> 'neuronet')."""
+    and last character (e.g. '^prod-' -> 'prod')."""
     if inventory_id:
         return inventory_id
     if vm_name_filter is None:

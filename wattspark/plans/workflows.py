@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from wattspark.operators.learn import anomaly, dense, forest, metrics, scale, split
 from wattspark.plans import datasets, preprocess, selection
 from wattspark.schemas import (
-    ANOMALY_FEATURES, ENERGY_FEATURES, ENERGY_TARGET, VM_FEATURES, VM_TARGET,
+    ANOMALY_FEATURES, DEFAULT_VM_NAME_FILTER, ENERGY_FEATURES, ENERGY_TARGET, VM_FEATURES, VM_TARGET,
 )
 
 
@@ -38,7 +38,7 @@ def _plugin_long(tel: DataFrame, plugin: str, start, stop, vm_name_filter: str,
 
 
 def energy_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
-                    vm_name_filter: str = "^neuronet-", interval: str = "1min",
+                    vm_name_filter: str = DEFAULT_VM_NAME_FILTER, interval: str = "1min",
                     features=ENERGY_FEATURES, target: str = ENERGY_TARGET,
                     test_size: float = 0.2, seed: int = 42, num_trees: int = 100,
                     max_depth: int = 10, split_key=None) -> WorkflowResult:
@@ -61,7 +61,7 @@ def energy_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
 
 
 def vm_power_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
-                      vm_name_filter: str = "^neuronet-", interval: str = "1min",
+                      vm_name_filter: str = DEFAULT_VM_NAME_FILTER, interval: str = "1min",
                       features=VM_FEATURES, target: str = VM_TARGET, test_size: float = 0.2,
                       seed: int = 42, epochs: int = 20, lr: float = 1e-3, batch_size: int = 32,
                       hidden=(128, 64), num_partitions: int | None = None,

@@ -27,9 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattspark.schemas import SOURCES
+from wattspark.schemas import DEFAULT_CLUSTER_FILTER, DEFAULT_VM_NAME_FILTER, SOURCES
 
 _S = "CAST({} AS STRING)"
+# names the default selections match: the VM-name filter's literal prefix and
+# the cluster pattern (fixed values, defined in wattspark.schemas)
+_VM_PREFIX = DEFAULT_VM_NAME_FILTER.lstrip("^")
+_CLUSTER = DEFAULT_CLUSTER_FILTER
 
 
 def _s(expr: str) -> str:
@@ -40,12 +44,12 @@ _CTR = f"'ctr-' || {_s('user_id')}"
 _POD = f"'pod-' || {_s('user_id')}"
 _NS = f"'ns-' || {_s('user_id % 3')}"
 _SRV_K8S = (f"CASE WHEN user_id % 5 = 0 THEN 'edge-srv' || {_s('user_id % 4')} "
-            f"ELSE 'Neuronet-srv' || {_s('user_id % 4')} END")
+            f"ELSE '{_CLUSTER}-srv' || {_s('user_id % 4')} END")
 _FLUX_NODE = f"'flux-node' || {_s('user_id % 12')}"
 _VM_NAME = (f"CASE WHEN user_id % 50 = 7 THEN NULL "
-            f"WHEN user_id % 3 = 0 THEN 'neuronet-k8s-w' || {_s('user_id')} "
-            f"WHEN user_id % 3 = 1 THEN 'neuronet-vm' || {_s('user_id')} "
-            f"ELSE 'Neuronet-K8S-m' || {_s('user_id')} END")
+            f"WHEN user_id % 3 = 0 THEN '{_VM_PREFIX}k8s-w' || {_s('user_id')} "
+            f"WHEN user_id % 3 = 1 THEN '{_VM_PREFIX}vm' || {_s('user_id')} "
+            f"ELSE '{_VM_PREFIX.capitalize()}K8S-m' || {_s('user_id')} END")
 _HOST_URL = f"'http://flux-node' || {_s('user_id % 12')} || '.example:8080/metrics'"
 
 
@@ -63,7 +67,7 @@ STANDINS: dict[str, StandIn] = {
         "k8s", "raw", "kubernetes_pod_container",
         tags={
             "container_name": f"CASE WHEN event_id % 97 = 0 THEN NULL ELSE {_CTR} END",
-            "inventory-cluster-id": "'neuronet'",
+            "inventory-cluster-id": "'cluster-a'",
             "inventory-rack-id": f"'r' || {_s('user_id % 4')}",
             "inventory-server-id": _SRV_K8S,
             "namespace": _NS,
@@ -83,7 +87,7 @@ STANDINS: dict[str, StandIn] = {
         tags={
             "container_id": f"'cid-' || {_s('user_id')} || '-' || {_s('event_id % 2')}",
             "container_name": _CTR,
-            "inventory-cluster-id": "'neuronet'",
+            "inventory-cluster-id": "'cluster-a'",
             "inventory-rack-id": f"'r' || {_s('user_id % 4')}",
             "inventory-server-id": _SRV_K8S,
             "namespace": _NS,
@@ -115,7 +119,7 @@ STANDINS: dict[str, StandIn] = {
     "proxmox": StandIn(
         "proxmox", "raw", "proxmox",
         tags={
-            "inventory-cluster-id": "'neuronet'",
+            "inventory-cluster-id": "'cluster-a'",
             "inventory-rack-id": f"'r' || {_s('user_id % 4')}",
             "inventory-server-id": _FLUX_NODE,
             "node_fqdn": f"{_FLUX_NODE} || '.example'",
