@@ -19,16 +19,16 @@ TEL = ("plugin string, _time timestamp, _field string, _value string, "
 def _tel(spark):
     t = datetime(2025, 8, 4, 6, 0)
     rows = [
-        ("proxmox", t, "cpuload", "1", " flux-node1 ", VMP + "k8s-w1", None),
-        ("proxmox", t, "cpuload", "1", "flux-node10", VMP + "w2", None),
-        ("proxmox", t, "cpuload", "1", "flux-node3", "other-vm", None),
+        ("proxmox", t, "cpuload", "1", " host1 ", VMP + "k8s-w1", None),
+        ("proxmox", t, "cpuload", "1", "host10", VMP + "w2", None),
+        ("proxmox", t, "cpuload", "1", "host3", "other-vm", None),
         ("proxmox", t, "cpuload", "1", "   ", VMP + "x", None),
-        ("pdu", t, "activePower", "5", "flux-node1", None, "http://pdu1"),
-        ("pdu", t, "activePower", "6", "flux-node3", None, "http://pdu3"),
+        ("pdu", t, "activePower", "5", "host1", None, "http://pdu1"),
+        ("pdu", t, "activePower", "6", "host3", None, "http://pdu3"),
         ("scaphandre", t, "scaph_host_power_microwatts", "7", None, None,
-         "http://flux-node10.x:8080/metrics"),
+         "http://host10.x:8080/metrics"),
         ("scaphandre", datetime(2025, 8, 4, 7, 0), "scaph_host_power_microwatts", "8", None, None,
-         "http://flux-node1.x:8080/metrics"),
+         "http://host1.x:8080/metrics"),
         ("k8s", t, "cpu_usage_nanocores", "9", CL + "-a", None, None),
         ("k8s", t, "cpu_usage_nanocores", "9", "edge-b", None, None),
     ]
@@ -40,7 +40,7 @@ START, STOP = datetime(2025, 8, 4, 6, 0), datetime(2025, 8, 4, 7, 0)
 
 def test_inventory_ids_trimmed_distinct_sorted(spark):
     ids = [r[0] for r in selection.inventory_ids(_tel(spark), START, STOP).collect()]
-    assert ids == ["flux-node1", "flux-node10"]
+    assert ids == ["host1", "host10"]
 
 
 def test_time_range_start_inclusive_stop_exclusive(spark):
@@ -51,12 +51,12 @@ def test_time_range_start_inclusive_stop_exclusive(spark):
 def test_run_plugin_pdu_and_regex_host(spark):
     tel = _tel(spark)
     pdu = selection.run_plugin(tel, "pdu", START, STOP)
-    assert [(r["export_name"], r["_value"]) for r in pdu.collect()] == [("flux-node1", "5")]
+    assert [(r["export_name"], r["_value"]) for r in pdu.collect()] == [("host1", "5")]
     host = selection.run_plugin(tel, "scaphandre", START, datetime(2025, 8, 4, 8, 0),
                                 field="scaph_host_power_microwatts")
     got = sorted((r["export_name"], r["_value"]) for r in host.collect())
-    # 'flux-node1' is an unescaped pattern: it also matches flux-node10
-    assert got == [("flux-node1", "7"), ("flux-node1", "8"), ("flux-node10", "7")]
+    # 'host1' is an unescaped pattern: it also matches host10
+    assert got == [("host1", "7"), ("host1", "8"), ("host10", "7")]
     k8s = selection.run_plugin(tel, "k8s", START, STOP)
     assert [r["inventory-server-id"] for r in k8s.collect()] == [CL + "-a"]
 
@@ -71,18 +71,18 @@ def test_existence_gate(spark):
 
 def test_regex_join_escape_and_semi(spark):
     tel = _tel(spark).where("url is not null")
-    ids = spark.createDataFrame([("flux-node1",)], "id string")
+    ids = spark.createDataFrame([("host1",)], "id string")
     assert regex_match_join(tel, ids, "url", "id").count() == 2
     assert regex_match_join(tel, ids, "url", "id", how="left_semi").count() == 2
     # chunked broadcast gives the same pairs
-    many = spark.createDataFrame([(f"flux-node{i}",) for i in range(12)], "id string")
+    many = spark.createDataFrame([(f"host{i}",) for i in range(12)], "id string")
     a = regex_match_join(tel, many, "url", "id").count()
     b = regex_match_join(tel, many, "url", "id", max_broadcast_rows=1).count()
     assert a == b
 
 
 def test_export_name():
-    assert export_name("flux-node1", "^prod-") == "flux-node1"
+    assert export_name("host1", "^prod-") == "host1"
     assert export_name(None, "^prod-") == "prod"
 
 
@@ -100,8 +100,8 @@ def _concatenated_sample(path):
                 lines.append(
                     f",_result,0,2025-07-30T13:59:55.923183872Z,2025-07-30T14:09:55.923183872Z,"
                     f"2025-07-30T14:0{m}:02Z,{70000000 + m * 1000 + len(node)},"
-                    f"scaph_host_power_microwatts,energy_measurements,host+process,flux,r4,"
-                    f"scaphandre,http://flux-{node}.example:8080/metrics")
+                    f"scaph_host_power_microwatts,energy_measurements,host+process,cluster-b,r4,"
+                    f"scaphandre,http://{node}.example:8080/metrics")
             lines.append("")
     with open(path, "w") as f:
         f.write("\n".join(lines) + "\n")
@@ -137,9 +137,9 @@ def test_ingest_exports_into_store_and_select(spark, tmp_dir):
     from wattspark.sources import telemetry
 
     t = datetime(2025, 8, 4, 6, 0)
-    rows = [("_result", 0, None, None, t, "2.5", "cpuload", "proxmox", "c", "r", "flux-node1",
+    rows = [("_result", 0, None, None, t, "2.5", "cpuload", "proxmox", "c", "r", "host1",
              "n1", "running", "proxmox", 5, VMP + "k8s-w1"),
-            ("_result", 0, None, None, t, "running", "status", "proxmox", "c", "r", "flux-node1",
+            ("_result", 0, None, None, t, "running", "status", "proxmox", "c", "r", "host1",
              "n1", "running", "proxmox", 5, VMP + "k8s-w1")]
     schema = ("result string, table int, _start timestamp, _stop timestamp, _time timestamp, "
               "_value string, _field string, _measurement string, `inventory-cluster-id` string, "

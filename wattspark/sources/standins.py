@@ -45,12 +45,12 @@ _POD = f"'pod-' || {_s('user_id')}"
 _NS = f"'ns-' || {_s('user_id % 3')}"
 _SRV_K8S = (f"CASE WHEN user_id % 5 = 0 THEN 'edge-srv' || {_s('user_id % 4')} "
             f"ELSE '{_CLUSTER}-srv' || {_s('user_id % 4')} END")
-_FLUX_NODE = f"'flux-node' || {_s('user_id % 12')}"
+_HOST = f"'host' || {_s('user_id % 12')}"
 _VM_NAME = (f"CASE WHEN user_id % 50 = 7 THEN NULL "
             f"WHEN user_id % 3 = 0 THEN '{_VM_PREFIX}k8s-w' || {_s('user_id')} "
             f"WHEN user_id % 3 = 1 THEN '{_VM_PREFIX}vm' || {_s('user_id')} "
             f"ELSE '{_VM_PREFIX.capitalize()}K8S-m' || {_s('user_id')} END")
-_HOST_URL = f"'http://flux-node' || {_s('user_id % 12')} || '.example:8080/metrics'"
+_HOST_URL = f"'http://host' || {_s('user_id % 12')} || '.example:8080/metrics'"
 
 
 @dataclass(frozen=True)
@@ -105,7 +105,7 @@ STANDINS: dict[str, StandIn] = {
         "pdu", "hour", "pdu",
         tags={
             "inventory-rack-id": f"'r' || {_s('user_id % 4')}",
-            "inventory-server-id": _FLUX_NODE,
+            "inventory-server-id": _HOST,
             "placement": "CASE WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END",
             "url": f"'http://pdu-' || {_s('user_id % 24')} || '.example/api'",
         },
@@ -121,8 +121,8 @@ STANDINS: dict[str, StandIn] = {
         tags={
             "inventory-cluster-id": "'cluster-a'",
             "inventory-rack-id": f"'r' || {_s('user_id % 4')}",
-            "inventory-server-id": _FLUX_NODE,
-            "node_fqdn": f"{_FLUX_NODE} || '.example'",
+            "inventory-server-id": _HOST,
+            "node_fqdn": f"{_HOST} || '.example'",
             "status": "'running'",
             "vm_id": "user_id",
             "vm_name": _VM_NAME,
@@ -147,7 +147,7 @@ STANDINS: dict[str, StandIn] = {
         "scaphandre_host", "hour", "energy_measurements",
         tags={
             "granularity": "'host+process'",
-            "inventory-cluster-id": "'flux'",
+            "inventory-cluster-id": "'cluster-b'",
             "inventory-rack-id": f"'r' || {_s('user_id % 4')}",
             "url": _HOST_URL,
         },
@@ -158,7 +158,7 @@ STANDINS: dict[str, StandIn] = {
             "cmdline": f"'/usr/bin/kvm -id ' || {_s('user_id')}",
             "exe": "'qemu-system-x86_64'",
             "granularity": "'host+process'",
-            "inventory-cluster-id": "'flux'",
+            "inventory-cluster-id": "'cluster-b'",
             "inventory-rack-id": f"'r' || {_s('user_id % 4')}",
             "system_type": "'vm'",
             "url": _HOST_URL,
