@@ -210,3 +210,15 @@ def test_stream_append_mode_emits_closed_windows(spark, tmp_dir):
     got = sorted(r.cpu_usage_nanocores for r in spark.read.parquet(tmp_dir + "/out").collect())
     # windows whose end the watermark (max time - 1 h) has passed are final
     assert got == [0.0, 1.0, 2.0, 3.0]
+
+
+def test_processed_table_csv_option(spark, tmp_dir):
+    from wattspark.sources import sinks
+
+    t = datetime(2025, 8, 4, 6, 0)
+    df = spark.createDataFrame([(t, "c1", 1.5), (t, "c2", None)], "_time timestamp, k string, x double")
+    sinks.write_table(df, tmp_dir + "/csv", fmt="csv", sort_within="_time")
+    back = sinks.read_table(spark, tmp_dir + "/csv", fmt="csv").orderBy("k").collect()
+    assert [(r.k, r.x) for r in back] == [("c1", "1.5"), ("c2", None)]   # text, header kept
+    sinks.write_table(df, tmp_dir + "/pq")
+    assert sinks.read_table(spark, tmp_dir + "/pq").schema == df.schema  # types preserved
