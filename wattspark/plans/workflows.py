@@ -51,8 +51,9 @@ def energy_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
     splits = split.train_test_split(data, test_size, seed, key_cols=split_key).checkpoint(eager=True)
     train = splits.where(F.col("split") == "train")
     test = splits.where(F.col("split") == "test")
+    # the splits are already a reliable checkpoint: no second one for the forest
     model = forest.fit_random_forest(train, features, target, num_trees=num_trees, seed=seed,
-                                     max_depth=max_depth)
+                                     max_depth=max_depth, checkpoint=False)
     scored = forest.predict(model, test)
     m = metrics.regression_metrics(scored, target, "prediction")
     n_train = train.count()
