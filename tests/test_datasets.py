@@ -106,3 +106,18 @@ def test_scaphandre_absent_metric_is_no_column(spark):
     # with the full declared schema the absent metrics are all-missing and
     # the row-wise drop removes the row
     assert preprocess.prep_scaphandre_vm(long, present_only=False).count() == 0
+
+
+def test_field_modes_match_a_dynamic_pivot(spark):
+    t = datetime(2025, 8, 4, 6, 0)
+    long = spark.createDataFrame([
+        (t, "c", "ns", "n", "p", "cpu_usage_nanocores", 5.0),
+        (t, "c", "ns", "n", "p", "gpu_watts", 7.0),            # not a declared metric
+        (t, "c", "ns", "n", "p", "memory_usage_bytes", None),   # declared, never a value
+    ], "_time timestamp, container_name string, namespace string, node_name string, "
+       "pod_name string, _field string, _value double")
+    idx = ["_time", "container_name", "namespace", "node_name", "pod_name"]
+    assert len(preprocess.prep_k8s(long).columns) == len(idx) + len(K8S_FIELDS)
+    assert preprocess.prep_k8s(long, fields="present").columns == idx + ["cpu_usage_nanocores"]
+    assert preprocess.prep_k8s(long, fields="discover").columns == idx + ["cpu_usage_nanocores",
+                                                                          "gpu_watts"]

@@ -107,3 +107,16 @@ def test_vm_power_dataset_matches_pandas(spark):
     cols = list(expected.columns)
     assert set(cols) == set(got.columns)
     assert _rows(got, cols) == _rows(expected, cols)
+
+
+@pytest.mark.parametrize("source", ["k8s", "kepler", "proxmox", "scaphandre_vm"])
+def test_discover_mode_has_the_dynamic_pivot_columns(spark, source):
+    from wattspark.plans import preprocess
+
+    expected = _wide_pandas(_pdf(spark, source), source)
+    prep = {"k8s": preprocess.prep_k8s, "kepler": preprocess.prep_kepler,
+            "proxmox": preprocess.prep_proxmox, "scaphandre_vm": preprocess.prep_scaphandre_vm}[source]
+    got = prep(Q.long(spark, SF001, source), fields="discover")
+    derived = {"disk_free_gb", "disk_total_gb", "disk_used_gb", "disk_usage_percent"}
+    assert set(got.columns) - derived == set(expected.columns)
+    assert _rows(got, list(expected.columns)) == _rows(expected, list(expected.columns))

@@ -27,21 +27,46 @@ def _sorted(df: DataFrame, sort: bool, keys=None) -> DataFrame:
     return df.orderBy("_time", *[F.col(f"`{k}`") for k in keys])
 
 
-def prep_k8s(long: DataFrame, *, sort: bool = False, per_file: bool | None = None) -> DataFrame:
+FIELD_MODES = ("declared", "present", "discover")
+
+
+def pivot_fields(long: DataFrame, declared, mode: str = "declared"):
+    """The wide columns to build.
+
+    * ``'declared'``: the source's declared metrics, a static schema (a metric
+      that never occurs is an all-missing column);
+    * ``'present'``: the declared metrics that have a value (one small job);
+    * ``'discover'``: every metric that has a value, declared or not, which
+      is exactly the column set of a dynamic pivot (one small job).
+    """
+    if mode == "declared":
+        return list(declared)
+    if mode == "present":
+        return present_fields(long, declared)
+    if mode == "discover":
+        return "discover"
+    raise ValueError(f"fields must be one of {FIELD_MODES}")
+
+
+def prep_k8s(long: DataFrame, *, sort: bool = False, per_file: bool | None = None,
+             fields: str = "declared") -> DataFrame:
     """Drop bookkeeping and inventory tags, require container and pod, pivot."""
     src = SOURCES["k8s"]
     df = drop_columns(long, src.drop)
     df = not_null(df, src.require_not_null)
-    return _sorted(pivot_mean(df, src.index, src.fields, per_file=per_file), sort, src.index)
+    wide = pivot_mean(df, src.index, pivot_fields(df, src.fields, fields), per_file=per_file)
+    return _sorted(wide, sort, src.index)
 
 
-def prep_kepler(long: DataFrame, *, sort: bool = False, per_file: bool | None = None) -> DataFrame:
+def prep_kepler(long: DataFrame, *, sort: bool = False, per_file: bool | None = None,
+                fields: str = "declared") -> DataFrame:
     src = SOURCES["kepler"]
-    return _sorted(pivot_mean(long, src.index, src.fields, per_file=per_file), sort, src.index)
+    wide = pivot_mean(long, src.index, pivot_fields(long, src.fields, fields), per_file=per_file)
+    return _sorted(wide, sort, src.index)
 
 
 def prep_pdu(long: DataFrame, *, meta: str = "faithful", sort: bool = False,
-             per_file: bool | None = None) -> DataFrame:
+             per_file: bool | None = None, fields: str = "declared") -> DataFrame:
     """Pivot PDU telemetry; ``meta='faithful'`` re-attaches server URLs.
 
     The faithful form left-joins the distinct (server, url) pairs of the same
@@ -53,12 +78,13 @@ def prep_pdu(long: DataFrame, *, meta: str = "faithful", sort: bool = False,
     src = SOURCES["pdu"]
     if per_file is None:
         per_file = FILE_COL in long.columns
+    cols = pivot_fields(long, src.fields, fields)
     if per_file:
         # the file stays a key through the metadata join, dropped afterwards
         keyed = long.withColumnRenamed(FILE_COL, "__file")
-        wide = pivot_mean(keyed, ["__file"] + src.index, src.fields, per_file=False)
+        wide = pivot_mean(keyed, ["__file"] + src.index, cols, per_file=False)
     else:
-        wide = pivot_mean(long, src.index, src.fields, per_file=False)
+        wide = pivot_mean(long, src.index, cols, per_file=False)
     if meta == "none":
         out = wide.drop("__file") if per_file else wide
         return _sorted(out, sort, src.index)
@@ -75,11 +101,12 @@ def prep_pdu(long: DataFrame, *, meta: str = "faithful", sort: bool = False,
     return _sorted(out, sort, ["inventory-server-id", "placement", "url_x", "url_y"])
 
 
-def prep_proxmox(long: DataFrame, *, sort: bool = False, per_file: bool | None = None) -> DataFrame:
+def prep_proxmox(long: DataFrame, *, sort: bool = False, per_file: bool | None = None,
+                 fields: str = "declared") -> DataFrame:
     """Coerce text values to numbers, pivot, derive disk GiB and usage columns."""
     src = SOURCES["proxmox"]
     df = coerce_numeric_values(long)
-    wide = pivot_mean(df, src.index, src.fields, per_file=per_file)
+    wide = pivot_mean(df, src.index, pivot_fields(df, src.fields, fields), per_file=per_file)
     wide = add_disk_columns(wide)
     return _sorted(wide, sort, src.index)
 
@@ -102,15 +129,15 @@ def add_disk_columns(wide: DataFrame) -> DataFrame:
 
 
 def _prep_scaphandre(long: DataFrame, name: str, sort: bool, per_file: bool | None,
-                     present_only: bool) -> DataFrame:
+                     present_only: bool, fields: str | None = None) -> DataFrame:
     src = SOURCES[name]
     if per_file is None:
         per_file = FILE_COL in long.columns
     # a metric that never occurs is no column at all (rather than an
     # all-missing column, which would make the row-wise drop remove every
     # row); finding the occurring metrics is one small extra job
-    fields = present_fields(long, src.fields) if present_only else src.fields
-    wide = pivot_mean(long, src.index, fields, per_file=per_file)
+    mode = fields or ("present" if present_only else "declared")
+    wide = pivot_mean(long, src.index, pivot_fields(long, src.fields, mode), per_file=per_file)
     wide = _sorted(wide, sort, src.index)
     # rows with any missing cell go, then exact duplicates (e.g. from
     # overlapping exports) collapse to one.  Without per-file pivots every
@@ -121,17 +148,17 @@ def _prep_scaphandre(long: DataFrame, name: str, sort: bool, per_file: bool | No
 
 
 def prep_scaphandre_host(long: DataFrame, *, sort: bool = False, per_file: bool | None = None,
-                         present_only: bool = True) -> DataFrame:
+                         present_only: bool = True, fields: str | None = None) -> DataFrame:
     """Pivot host power; drop rows with a missing cell, then exact duplicates."""
-    return _prep_scaphandre(long, "scaphandre_host", sort, per_file, present_only)
+    return _prep_scaphandre(long, "scaphandre_host", sort, per_file, present_only, fields)
 
 
 def prep_scaphandre_vm(long: DataFrame, *, sort: bool = False, per_file: bool | None = None,
-                       present_only: bool = True) -> DataFrame:
+                       present_only: bool = True, fields: str | None = None) -> DataFrame:
     """Pivot VM process metrics; drop rows with a missing cell, then exact
     duplicates.  ``present_only`` (default) leaves out metrics that never
     occur, as a dynamic pivot would."""
-    return _prep_scaphandre(long, "scaphandre_vm", sort, per_file, present_only)
+    return _prep_scaphandre(long, "scaphandre_vm", sort, per_file, present_only, fields)
 
 
 def prep_scaphandre(host_long: DataFrame, vm_long: DataFrame, **kw) -> tuple[DataFrame, DataFrame]:
