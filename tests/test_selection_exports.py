@@ -222,3 +222,22 @@ def test_processed_table_csv_option(spark, tmp_dir):
     assert [(r.k, r.x) for r in back] == [("c1", "1.5"), ("c2", None)]   # text, header kept
     sinks.write_table(df, tmp_dir + "/pq")
     assert sinks.read_table(spark, tmp_dir + "/pq").schema == df.schema  # types preserved
+
+
+def test_directory_runs(spark, tmp_dir):
+    from conftest import SF001
+    from wattspark.catalog import queries as Q
+    from wattspark.plans import runs
+
+    raw = tmp_dir + "/raw"
+    for src in ("k8s", "kepler", "scaphandre_host", "scaphandre_vm"):
+        exports.write_exports(Q.long(spark, SF001, src), raw, src)
+    k8s = runs.process_exports(spark, raw, "k8s", tmp_dir + "/p/k8s")
+    runs.process_exports(spark, raw, "kepler", tmp_dir + "/p/kepler")
+    host, vm = runs.process_exports(spark, raw, "scaphandre", tmp_dir + "/p/scaph")
+    assert k8s.count() == Q.wide(spark, SF001, "k8s").count()
+    assert vm.count() == Q.wide(spark, SF001, "scaphandre_vm").count()
+    ds = runs.build_dataset(spark, "energy", tmp_dir + "/p/k8s", tmp_dir + "/p/kepler",
+                            tmp_dir + "/p/energy", interval="1D")
+    direct = Q.energy(spark, SF001)
+    assert ds.count() == direct.count()

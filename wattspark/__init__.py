@@ -21,6 +21,7 @@ from wattspark.plans.datasets import energy_dataset, vm_power_dataset  # noqa: E
 from wattspark.plans.selection import (  # noqa: E402,F401
     TelemetrySpec, inventory_ids, run_plugin, select_all_plugins, select_telemetry,
 )
+from wattspark.plans.runs import build_dataset, process_exports  # noqa: E402,F401
 from wattspark.plans.workflows import (  # noqa: E402,F401
     anomaly_workflow, batch_score, energy_workflow, vm_power_workflow,
 )
