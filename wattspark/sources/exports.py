@@ -69,6 +69,13 @@ def read_exports(spark: SparkSession, directory: str, source: str | Source, *,
     name).  Header lines repeated inside a file (concatenated exports) and
     blank lines are dropped, so appended multi-table exports read the same.
     ``paths`` scans an explicit list of files instead of the prefix glob.
+
+    Columns are taken by position in the export layout of
+    :func:`wattspark.schemas.raw_schema` (bookkeeping columns, ``_value``,
+    ``_field``, ``_measurement``, then the tags in sorted order), which is
+    the order the exports are written in; a header is recognised by its
+    content wherever it appears, so concatenated files need no special mode
+    besides ``leading_blank``.
     """
     src = SOURCES[source] if isinstance(source, str) else source
     schema = raw_schema(src, leading_blank=leading_blank)
