@@ -281,6 +281,12 @@ def oracle_sql() -> dict[str, str]:
               f"WHERE container_name IS NOT NULL AND pod_name IS NOT NULL)")
     ov_host = overlapping_exports_sql("scaphandre_host")
     o["pivot_mean"] = f"SELECT * FROM {pivot_sql('pdu')} w"
+    kidx = SOURCES["k8s"].index
+    o["pivot_discover"] = (
+        f"SELECT {cols(kidx)}, * EXCLUDE ({cols(['_file'] + kidx)}) FROM "
+        f"(PIVOT (SELECT _file, {cols(kidx)}, _field, _value FROM {standin_sql('k8s', with_file=True)} l "
+        f"WHERE _value IS NOT NULL AND NOT isnan(_value) AND {notnull_all(kidx)}) "
+        f"ON _field USING avg(_value) GROUP BY _file, {cols(kidx)}) p")
     o["pivot_mean_coerced"] = f"SELECT * FROM {pivot_sql('proxmox')} w"
     o["pivot_overlapping_exports"] = (
         f"SELECT * FROM {pivot_sql('k8s', long_sql=ov_k8s, per_file=True)} w")

@@ -360,6 +360,13 @@ def q_pivot_mean(spark, sf_dir):
     return ntz(preprocess.prep_pdu(long(spark, sf_dir, "pdu"), meta="none"))
 
 
+@register("pivot_discover")
+def q_pivot_discover(spark, sf_dir):
+    """A1 as a dynamic pivot: every metric with a value becomes a column
+    (``fields='discover'``), declared or not."""
+    return ntz(preprocess.prep_k8s(long(spark, sf_dir, "k8s"), fields="discover"))
+
+
 @register("pivot_mean_coerced")
 def q_pivot_mean_coerced(spark, sf_dir):
     """A4: Proxmox text values coerced to numbers, then pivoted."""
