@@ -58,3 +58,27 @@ def test_energy_join_fan_out_count(spark, k8s_rows, kep_rows):
     expected = sum(1 for m, c, s in k8s_rows if (m, c) in buckets)
     assert out.count() == expected
     assert set(out.columns) >= set(ENERGY_K8S_COLUMNS)
+
+
+_num_text = st.one_of(
+    st.from_regex(r"\A[ \t]?[+-]?[0-9]{0,4}(\.[0-9]{0,3})?([eE][+-]?[0-9]{1,3})?[dfx_%]?[ \t]?\Z"),
+    st.sampled_from(["inf", "-inf", "Infinity", "nan", "NaN", "True", "0x10", "1_000", "", " ",
+                     "1e400", "-1e400", "1.2.3", "++1", "e5", "."]),
+)
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_num_text, min_size=200, max_size=200))
+def test_to_numeric_agrees_with_pandas(spark, texts):
+    import math
+
+    import pandas as pd
+
+    from wattspark.functions.missing import to_numeric
+
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = [r[0] for r in df.select(to_numeric("s")).collect()]
+    exp = pd.to_numeric(pd.Series(texts, dtype=object), errors="coerce").tolist()
+    for t, g, e in zip(texts, got, exp):
+        e = None if e is None or (isinstance(e, float) and math.isnan(e)) else float(e)
+        assert g == e, (t, g, e)

@@ -51,11 +51,16 @@ def to_numeric(c) -> Column:
     """Text -> double; anything unparseable (and NaN) becomes null.
 
     Spark's own cast accepts a few forms ('1d', '1f') that a coercing parse
-    rejects, so the cast is guarded by :data:`_NUMERIC_TEXT`.
+    rejects, so the cast is guarded by :data:`_NUMERIC_TEXT`; a literal that
+    overflows a double is missing too.
     """
     c = _col(c)
     parsed = F.trim(c).try_cast("double")
-    return clean_value(F.when(is_numeric_text(c), parsed))
+    # a literal too large for a double overflows to infinity in a cast, but
+    # is missing under the coercing rule; only the words inf/infinity are
+    word_inf = F.lower(F.trim(c)).rlike(r"^[+-]?inf(inity)?$")
+    overflow = (F.abs(parsed) == F.lit(float("inf"))) & ~word_inf
+    return clean_value(F.when(is_numeric_text(c) & ~overflow, parsed))
 
 
 def ieee_div(numerator, denominator) -> Column:
