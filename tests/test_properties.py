@@ -82,3 +82,18 @@ def test_to_numeric_agrees_with_pandas(spark, texts):
     for t, g, e in zip(texts, got, exp):
         e = None if e is None or (isinstance(e, float) and math.isnan(e)) else float(e)
         assert g == e, (t, g, e)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.datetimes(min_value=datetime(1960, 1, 1), max_value=datetime(2040, 1, 1)),
+                min_size=50, max_size=50),
+       st.sampled_from(["1min", "15min", "7min", "1h", "1D", "30s", "2h"]))
+def test_floor_time_agrees_with_pandas(spark, times, interval):
+    import pandas as pd
+
+    from wattspark.functions.timeops import floor_time
+
+    df = spark.createDataFrame([(t,) for t in times], "t timestamp_ntz")
+    got = [r[0] for r in df.select(floor_time("t", interval, ntz=True)).collect()]
+    exp = [x.to_pydatetime() for x in pd.Series(pd.to_datetime(times)).dt.floor(interval)]
+    assert got == exp
