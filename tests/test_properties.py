@@ -97,3 +97,26 @@ def test_floor_time_agrees_with_pandas(spark, times, interval):
     got = [r[0] for r in df.select(floor_time("t", interval, ntz=True)).collect()]
     exp = [x.to_pydatetime() for x in pd.Series(pd.to_datetime(times)).dt.floor(interval)]
     assert got == exp
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]),
+                          st.one_of(st.none(), st.just(float("nan")), st.integers(-50, 50).map(float)),
+                          st.one_of(st.none(), st.just(float("nan")), st.integers(-50, 50).map(float))),
+                min_size=1, max_size=30))
+def test_group_aggregate_agrees_with_pandas(spark, rows):
+    import math
+
+    import pandas as pd
+
+    from wattspark.operators.aggregate import group_aggregate
+
+    df = spark.createDataFrame(rows, "k string, s double, m double")
+    got = {r.k: (r.s, r.m) for r in group_aggregate(df, ["k"], {"s": "sum", "m": "mean"}).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "s", "m"]).astype({"s": float, "m": float})
+    exp = pdf.groupby("k").agg({"s": "sum", "m": "mean"})
+    assert set(got) == set(exp.index)
+    for k, (s, m) in got.items():
+        assert s == exp.loc[k, "s"]
+        em = exp.loc[k, "m"]
+        assert (m is None and math.isnan(em)) or m == em
