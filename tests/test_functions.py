@@ -80,3 +80,14 @@ def test_tune_shuffle_sizes_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "true")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_parse_range_compound_and_calendar_durations():
+    now = datetime(2025, 3, 31, 12, 0, 0)
+    assert parse_range("start: -1h30m", now)[0] == datetime(2025, 3, 31, 10, 30)
+    assert parse_range("start: -1mo", now)[0] == datetime(2025, 2, 28, 12, 0)    # day clamped
+    assert parse_range("start: -1y", now)[0] == datetime(2024, 3, 31, 12, 0)
+    assert parse_range("start: -2w, stop: -1d", now) == (datetime(2025, 3, 17, 12, 0),
+                                                        datetime(2025, 3, 30, 12, 0))
+    with pytest.raises(ValueError):
+        parse_range("stop: -1h", now)

@@ -71,16 +71,41 @@ def floor_time(c, interval: str | int = "1min", ntz: bool = False) -> Column:
     return out.cast(T.TimestampNTZType()) if ntz else out
 
 
-_REL = re.compile(r"^\s*(-?)(\d+)\s*(us|ms|s|m|h|d|w)\s*$")
+# Flux duration literal: optional sign, then one or more <int><unit> parts
+# (units ns us ms s m h d w mo y), e.g. -10m, -1h30m, -2mo, -1y.
+_REL = re.compile(r"^\s*(-?)((?:\d+(?:ns|us|µs|ms|mo|s|m|h|d|w|y))+)\s*$")
+_PART = re.compile(r"(\d+)(ns|us|µs|ms|mo|s|m|h|d|w|y)")
+
+
+def _add_months(dt: datetime, months: int) -> datetime:
+    """Calendar month arithmetic, clamping the day to the target month."""
+    y, m = divmod(dt.month - 1 + months, 12)
+    year, month = dt.year + y, m + 1
+    nxt = datetime(year + (month == 12), month % 12 + 1, 1, tzinfo=dt.tzinfo)
+    last_day = (nxt - timedelta(days=1)).day
+    return dt.replace(year=year, month=month, day=min(dt.day, last_day))
+
+
+def _shift(now: datetime, sign: int, body: str) -> datetime:
+    out = now
+    for num, unit in _PART.findall(body):
+        n = sign * int(num)
+        if unit == "mo":
+            out = _add_months(out, n)
+        elif unit == "y":
+            out = _add_months(out, 12 * n)
+        elif unit == "ns":
+            out = out + timedelta(microseconds=n / 1000)
+        else:
+            out = out + timedelta(microseconds=n * _UNIT_MICROS["us" if unit == "µs" else unit])
+    return out
 
 
 def _parse_point(text: str, now: datetime) -> datetime:
     text = text.strip()
     m = _REL.match(text)
     if m:
-        sign = -1 if m.group(1) else 1
-        micros = int(m.group(2)) * _UNIT_MICROS[m.group(3)]
-        return now + sign * timedelta(microseconds=micros)
+        return _shift(now, -1 if m.group(1) else 1, m.group(2))
     if text.lower() == "now()":
         return now
     dt = datetime.fromisoformat(text.replace("Z", "+00:00"))
