@@ -331,11 +331,14 @@ def oracle_sql() -> dict[str, str]:
         miss = f"{q(c)} IS NULL" + (f" OR isnan({q(c)})" if isnum else "")
         lo = f"CAST(min({q(c)}) AS DOUBLE)" if isnum else "CAST(NULL AS DOUBLE)"
         hi = f"CAST(max({q(c)}) AS DOUBLE)" if isnum else "CAST(NULL AS DOUBLE)"
+        istime = t == "timestamp_ntz"
+        tlo = f"min({q(c)})" if istime else "CAST(NULL AS TIMESTAMP)"
+        thi = f"max({q(c)})" if istime else "CAST(NULL AS TIMESTAMP)"
         cparts.append(f"SELECT '{c}' AS \"column\", '{t}' AS dtype, "
                       f"CAST(count(DISTINCT {q(c)}) AS BIGINT) AS n_distinct, "
                       f"CAST(count(*) FILTER (WHERE {miss}) AS BIGINT) AS n_missing, "
                       f"count(DISTINCT {q(c)}) <= 1 AS is_constant, {lo} AS min_value, "
-                      f"{hi} AS max_value FROM e")
+                      f"{hi} AS max_value, {tlo} AS min_time, {thi} AS max_time FROM e")
     o["profile_columns"] = f"WITH e AS {energy_sql()} " + " UNION ALL ".join(cparts)
     o["threshold_3sigma"] = (f"SELECT round(avg(container_power_watts), 6) AS mean, "
                              f"round(stddev_pop(container_power_watts), 6) AS std, "

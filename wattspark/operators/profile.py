@@ -50,8 +50,9 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, *,
                    exact: bool = False, rsd: float = 0.01) -> DataFrame:
-    """Per column: distinct count, missing count, constant flag, and for
-    numeric and time columns min / max (as double / timestamp columns).
+    """Per column: distinct count, missing count, constant flag, min / max
+    for numeric columns (as doubles) and the time span for timestamp
+    columns (``min_time`` / ``max_time``).
 
     ``exact=False`` uses HyperLogLog (``approx_count_distinct``), one pass
     with no per-column shuffle; ``exact=True`` counts exactly.
@@ -65,8 +66,12 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, *,
                  F.sum(F.when(_missing(f.name, f.dataType), 1).otherwise(0)).cast("bigint")
                  .alias(f"m{i}")]
         numeric = isinstance(f.dataType, T.NumericType)
-        aggs += [(F.min(c).cast("double") if numeric else F.lit(None).cast("double")).alias(f"lo{i}"),
-                 (F.max(c).cast("double") if numeric else F.lit(None).cast("double")).alias(f"hi{i}")]
+        timed = isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))
+        none_d, none_t = F.lit(None).cast("double"), F.lit(None).cast(T.TimestampNTZType())
+        aggs += [(F.min(c).cast("double") if numeric else none_d).alias(f"lo{i}"),
+                 (F.max(c).cast("double") if numeric else none_d).alias(f"hi{i}"),
+                 (F.min(c).cast(T.TimestampNTZType()) if timed else none_t).alias(f"tlo{i}"),
+                 (F.max(c).cast(T.TimestampNTZType()) if timed else none_t).alias(f"thi{i}")]
     row = df.agg(*aggs)
     stacked = F.explode(F.array(*[
         F.struct(F.lit(f.name).alias("column"),
@@ -75,7 +80,9 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, *,
                  F.col(f"m{i}").alias("n_missing"),
                  (F.col(f"d{i}") <= 1).alias("is_constant"),
                  F.col(f"lo{i}").alias("min_value"),
-                 F.col(f"hi{i}").alias("max_value"))
+                 F.col(f"hi{i}").alias("max_value"),
+                 F.col(f"tlo{i}").alias("min_time"),
+                 F.col(f"thi{i}").alias("max_time"))
         for i, f in enumerate(fields)]))
     return row.select(stacked.alias("s")).select("s.*")
 
