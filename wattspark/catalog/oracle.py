@@ -340,6 +340,13 @@ def oracle_sql() -> dict[str, str]:
                       f"count(DISTINCT {q(c)}) <= 1 AS is_constant, {lo} AS min_value, "
                       f"{hi} AS max_value, {tlo} AS min_time, {thi} AS max_time FROM e")
     o["profile_columns"] = f"WITH e AS {energy_sql()} " + " UNION ALL ".join(cparts)
+    vs = []
+    for c in ["inventory-server-id", "vm_name"]:
+        vs.append(f"SELECT '{c}' AS \"column\", "
+                  f"CASE WHEN count(DISTINCT {q(c)}) <= 50 THEN count(DISTINCT {q(c)}) END AS n_values, "
+                  f"CASE WHEN count(DISTINCT {q(c)}) <= 50 THEN list(DISTINCT {q(c)} ORDER BY {q(c)}) "
+                  f"FILTER (WHERE {q(c)} IS NOT NULL) END AS \"values\" FROM w")
+    o["profile_value_sets"] = f"WITH w AS {wide_proxmox()} " + " UNION ALL ".join(vs)
     o["threshold_3sigma"] = (f"SELECT round(avg(container_power_watts), 6) AS mean, "
                              f"round(stddev_pop(container_power_watts), 6) AS std, "
                              f"round(avg(container_power_watts) + 3 * stddev_pop(container_power_watts), 6) "

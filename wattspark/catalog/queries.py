@@ -440,6 +440,13 @@ def q_profile_columns(spark, sf_dir):
     return profile.column_profile(energy(spark, sf_dir), exact=True)
 
 
+@register("profile_value_sets")
+def q_profile_value_sets(spark, sf_dir):
+    """A15 value sets: sorted distinct values of the low-cardinality text
+    columns of the processed Proxmox table (at most 50 values each)."""
+    return profile.value_sets(wide(spark, sf_dir, "proxmox"), max_values=50)
+
+
 @register("threshold_3sigma")
 def q_threshold_3sigma(spark, sf_dir):
     """Mean + 3 population standard deviations of container power."""
