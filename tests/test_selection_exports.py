@@ -241,3 +241,20 @@ def test_directory_runs(spark, tmp_dir):
                             tmp_dir + "/p/energy", interval="1D")
     direct = Q.energy(spark, SF001)
     assert ds.count() == direct.count()
+
+
+def test_selection_spec_branches(spark):
+    tel = _tel(spark)
+    later = datetime(2025, 8, 4, 8, 0)
+    # inventory id equality (not for scaphandre)
+    spec = selection.TelemetrySpec("pdu", START, STOP, inventory_id="host1")
+    assert [r["_value"] for r in selection.select_telemetry(tel, spec).collect()] == ["5"]
+    # url regex only when a field is given
+    with_field = selection.TelemetrySpec("scaphandre", START, later,
+                                         field="scaph_host_power_microwatts", url_match="host10")
+    assert [r["_value"] for r in selection.select_telemetry(tel, with_field).collect()] == ["7"]
+    no_field = selection.TelemetrySpec("scaphandre", START, later, url_match="host10")
+    assert selection.select_telemetry(tel, no_field).count() == 2
+    # k8s without an id keeps the default cluster's servers only
+    k8s = selection.TelemetrySpec("k8s", START, STOP)
+    assert [r["inventory-server-id"] for r in selection.select_telemetry(tel, k8s).collect()] == [CL + "-a"]
