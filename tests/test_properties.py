@@ -120,3 +120,22 @@ def test_group_aggregate_agrees_with_pandas(spark, rows):
         assert s == exp.loc[k, "s"]
         em = exp.loc[k, "m"]
         assert (m is None and math.isnan(em)) or m == em
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.one_of(st.just(0.0), st.integers(-5, 5).map(float)),
+                          st.one_of(st.just(0.0), st.integers(-5, 5).map(float))),
+                min_size=20, max_size=20))
+def test_usage_percent_agrees_with_numpy(spark, pairs):
+    import math
+
+    import numpy as np
+
+    from wattspark.functions import units
+
+    df = spark.createDataFrame(pairs, "free double, total double")
+    got = [r[0] for r in df.select(units.usage_percent_from_free("free", "total")).collect()]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        exp = 100 * (1 - np.array([f for f, _ in pairs]) / np.array([t for _, t in pairs]))
+    for g, e in zip(got, exp.tolist()):
+        assert (g is None and math.isnan(e)) or g == e
