@@ -258,3 +258,17 @@ def test_selection_spec_branches(spark):
     # k8s without an id keeps the default cluster's servers only
     k8s = selection.TelemetrySpec("k8s", START, STOP)
     assert [r["inventory-server-id"] for r in selection.select_telemetry(tel, k8s).collect()] == [CL + "-a"]
+
+
+def test_leading_blank_export_roundtrip(spark, tmp_dir):
+    t = datetime(2025, 8, 4, 6, 0)
+    rows = [("_result", 0, None, None, t, float(i), "scaph_host_power_microwatts", "m", "g", "c",
+             "r", "scaphandre", f"http://h{i}") for i in range(3)]
+    cols = ("result string, table int, _start timestamp, _stop timestamp, _time timestamp, "
+            "_value double, _field string, _measurement string, granularity string, "
+            "`inventory-cluster-id` string, `inventory-rack-id` string, plugin string, url string")
+    exports.write_exports(spark.createDataFrame(rows, cols), tmp_dir, "scaphandre_host",
+                          leading_blank=True)
+    back = exports.read_exports(spark, tmp_dir, "scaphandre_host", leading_blank=True)
+    assert sorted((r["url"], r["_value"]) for r in back.collect()) == [
+        ("http://h0", 0.0), ("http://h1", 1.0), ("http://h2", 2.0)]
