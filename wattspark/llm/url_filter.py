@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, checked_broadcast, hot_cold_join, materialize
+from .common import BROADCAST_BYTES, ascii_lower, hot_cold_join, materialize
 
 #: Hex digits of the digest by which rules are looked up (32 bits).
 PREFIX_HEX = 8
@@ -89,13 +89,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url",
     urls = pages.select(F.col(f"`{url_col}`").alias("__url"), host.alias("__host"),
                         path.alias("__path"))
     # rules depend on host and path alone: copies of a URL are judged once
-    urls = urls.select("__host", "__path").distinct()
+    urls = materialize(urls.groupBy("__host", "__path").agg(F.count(F.lit(1)).alias("__uses")),
+                       "url-distinct")
     exprs = urls.select("__host", "__path", F.explode(expressions(
         F.col("__host"), F.col("__path"), head["labels"] or 1, head["slashes"] or 0))
         .alias("digest")).withColumn("prefix", F.substring("digest", 1, PREFIX_HEX))
     confirmed = (F.col("digest") == F.col("rule_digest")) & F.startswith(
         F.col("__path"), F.col("rule_path"))
-    if (head["bytes"] or 0) * 4 <= 32 * 1024 ** 2:
+    if (head["bytes"] or 0) * 4 <= BROADCAST_BYTES:
         hits = exprs.join(F.broadcast(compiled), "prefix").filter(confirmed)
     else:
         # a prefix shared by a large part of the URLs is split off by its count
@@ -112,13 +113,15 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url",
                     (F.col("rule_verdict") == "block").cast("int"), F.col("rule"))
     best = (hits.groupBy("__host", "__path")
             .agg(F.max_by(F.struct("rule", "rule_verdict"), rank).alias("__best")))
-    best = materialize(best, "url-best").withColumnsRenamed({"__host": "__h", "__path": "__p"})
-    n = best.agg(F.count(F.lit(1)).alias("n"), F.max(
-        F.octet_length("__h") + F.octet_length("__p") + 160).alias("b")).first()
-    best = checked_broadcast(best, n["n"], n["b"] or 0)
+    keys = ["__host", "__path"]
+    judged = materialize(urls.join(best, keys, "left"), "url-judged")
+    n = judged.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("__uses"), F.lit(0)).alias("rows"),
+                   F.max(F.octet_length("__host") + F.octet_length("__path") + 160).alias("b")).first()
     rows = pages.withColumns({"__host": host, "__path": path})
-    out = rows.join(best, (F.col("__host") == F.col("__h")) & (F.col("__path") == F.col("__p")),
-                    "left")
+    if n["n"] * (n["b"] or 0) <= BROADCAST_BYTES:
+        out = rows.join(F.broadcast(judged), keys)
+    else:
+        out = hot_cold_join(rows, judged, keys, "__uses", n["rows"])
     return out.select(
         *[F.col(f"`{c}`") for c in keep], F.col("__host").alias("host"),
         F.col("__path").alias("path"), F.col("__best.rule").alias("rule"),
