@@ -20,8 +20,6 @@ from pyspark.sql import types as T
 
 ALL_PLUGINS = ["proxmox", "pdu", "scaphandre", "k8s", "kepler"]
 
-BOOKKEEPING_COLUMNS = ["result", "table", "_start", "_stop", "_measurement"]
-
 K8S_FIELDS = [
     "available_bytes", "capacity_bytes", "cpu_usage_core_nanoseconds", "cpu_usage_nanocores",
     "fs_available_bytes", "fs_capacity_bytes", "fs_used_bytes", "logsfs_available_bytes",
@@ -50,7 +48,8 @@ SCAPH_VM_FIELDS = [
     "scaph_process_memory_virtual_bytes", "scaph_process_power_consumption_microwatts",
 ]
 
-K8S_DROP = BOOKKEEPING_COLUMNS + [
+K8S_DROP = [
+    "result", "table", "_start", "_stop", "_measurement",
     "inventory-cluster-id", "inventory-rack-id", "inventory-server-id", "plugin",
 ]
 
@@ -164,18 +163,12 @@ SOURCES: dict[str, Source] = {
 }
 
 
-def raw_schema(source: Source, leading_blank: bool = False) -> T.StructType:
-    """Explicit StructType of a raw export of ``source`` (no inference pass).
-
-    Column order follows the export layout: bookkeeping columns, then
-    ``_value``/``_field``/``_measurement``, then the sorted tag columns with
-    ``plugin`` in sorted position.  ``leading_blank`` adds the empty first
-    column that appended exports carry.
-    """
+def raw_schema(source: Source) -> T.StructType:
+    """Explicit StructType of a raw export of ``source`` (no inference pass):
+    bookkeeping columns, then ``_value``/``_field``/``_measurement``, then the
+    sorted tag columns with ``plugin`` in sorted position."""
     value_type = T.StringType() if source.value_is_text else T.DoubleType()
     cols: list[T.StructField] = []
-    if leading_blank:
-        cols.append(T.StructField("_c0", T.StringType(), True))
     cols += [
         T.StructField("result", T.StringType(), True),
         T.StructField("table", T.IntegerType(), True),

@@ -1,13 +1,19 @@
 """Raw export files: per-source CSV scans, routed scans, concatenated exports.
 
-Scans use an explicit schema per source (no inference pass), read every file
-of a source in one multi-file scan and keep the file name in ``_file`` so the
-per-file semantics of the processing step can be reproduced.
+Columns are taken by the names in each file's header, wherever they stand.
+One pass over the text finds the headers (repeated ones included); files with
+one header are scanned together with an explicit schema, files that hold
+several different headers are parsed line by line under the header above.
+The file name is kept in ``_file`` so the per-file semantics of the processing
+step can be reproduced.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,10 +28,6 @@ def _globs(directory: str, prefix: str) -> list[str]:
     return [f"{d}/{prefix}*.csv", f"{d}/export={prefix}*/part-*"]
 
 
-def _as_text_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-
-
 def _existing(spark: SparkSession, globs: list[str]) -> list[str]:
     """Globs that match at least one file (checked through Hadoop FS)."""
     jvm = spark.sparkContext._jvm
@@ -39,15 +41,19 @@ def _existing(spark: SparkSession, globs: list[str]) -> list[str]:
     return out
 
 
-def _typed_schema(schema: T.StructType, leading_blank: bool) -> T.StructType:
-    fields = [f for f in schema.fields if not (leading_blank and f.name == "_c0")]
-    return T.StructType(fields + [T.StructField(FILE_COL, T.StringType(), True)])
+def _typed_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(FILE_COL, T.StringType(), True)])
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast text columns to the declared types; unparseable text is missing."""
+    """The declared columns by name, cast from text; an absent column and
+    unparseable text are missing, an undeclared column is left out."""
+    have = set(df.columns)
     cols = []
     for f in schema.fields:
+        if f.name not in have:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
         c = clean_tag(F.col(f"`{f.name}`"))
         if isinstance(f.dataType, T.TimestampType):
             c = F.try_to_timestamp(c)
@@ -56,68 +62,115 @@ def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
         elif not isinstance(f.dataType, T.StringType):
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
-    return df.select(*cols, F.col(FILE_COL)) if FILE_COL in df.columns else df.select(*cols)
+    return df.select(*cols, F.col(FILE_COL))
+
+
+#: Columns every export has; a line that names them is a header.
+_HEADER_NAMES = ("_time", "_field", "_value")
+
+
+def _is_header(line: Column) -> Column:
+    cells = F.split(line, ",")
+    out = line.contains(_HEADER_NAMES[0])  # cheap test first: most lines are data
+    for name in _HEADER_NAMES:
+        out = out & F.array_contains(cells, name)
+    return out
+
+
+def _export_name() -> Column:
+    """The export a row came from: the export directory, else the file name."""
+    in_dir = F.regexp_extract(F.col("_metadata.file_path"), r"/export=([^/]+)/[^/]+$", 1)
+    return F.when(in_dir != "", in_dir).otherwise(F.col("_metadata.file_name"))
+
+
+def _header_schema(header: str) -> T.StructType:
+    """All columns of a header as text; unnamed and repeated names get a place number."""
+    names: list[str] = []
+    for k, name in enumerate(x.strip().strip('"') for x in header.split(",")):
+        names.append(name if name and name not in names else f"_c{k}")
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+
+
+def _by_header(spark: SparkSession, paths: list[str], schema: T.StructType) -> list[DataFrame]:
+    lines = spark.read.text(paths)
+    headers = (lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
+               .where(_is_header(F.col("header"))).groupBy("path")
+               .agg(F.collect_set("header").alias("headers")))
+    # a row per file, with its distinct headers
+    files: dict[str, list[str]] = {}
+    mixed: dict[str, list[str]] = {}
+    for r in headers.collect():
+        if len(r["headers"]) == 1:
+            files.setdefault(r["headers"][0], []).append(r["path"])
+        else:
+            mixed[r["path"]] = r["headers"]
+    parts = []
+    for header, own in sorted(files.items()):
+        raw = (spark.read.schema(_header_schema(header)).option("header", False)
+               .option("mode", "PERMISSIVE").csv(sorted(own)))
+        raw = raw.withColumn(FILE_COL, _export_name())
+        parts.append(_typed(raw.where(F.col("_field").isNull() | (F.col("_field") != "_field")),
+                            schema))
+    if mixed:
+        text = spark.read.text(sorted(mixed)).select(
+            "value", F.col("_metadata.file_path").alias("path"), _export_name().alias(FILE_COL),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("nth"))
+        above = Window.partitionBy("path").orderBy("block", "nth")
+        text = text.withColumn("header", F.last(
+            F.when(_is_header(F.col("value")), F.col("value")), ignorenulls=True).over(above))
+        for header in sorted({h for own in mixed.values() for h in own}):
+            cells = F.from_csv(F.col("value"), _header_schema(header).toDDL())
+            rows = text.where((F.col("header") == header) & (F.col("value") != header)
+                              & (F.trim("value") != ""))
+            parts.append(_typed(rows.select(cells.alias("c"), FILE_COL).select("c.*", FILE_COL),
+                                schema))
+    return parts
 
 
 def read_exports(spark: SparkSession, directory: str, source: str | Source, *,
-                 prefix: str | None = None, leading_blank: bool = False,
-                 paths: list[str] | None = None) -> DataFrame:
+                 prefix: str | None = None, paths: list[str] | None = None) -> DataFrame:
     """Scan all ``<prefix>*.csv`` exports of a source in ``directory``.
 
     Returns the long telemetry with declared types, missing-value tokens in
     text mapped to null, NaN values mapped to null, and ``_file`` (the file
-    name).  Header lines repeated inside a file (concatenated exports) and
-    blank lines are dropped, so appended multi-table exports read the same.
-    ``paths`` scans an explicit list of files instead of the prefix glob.
-
-    Columns are taken by position in the export layout of
-    :func:`wattspark.schemas.raw_schema` (bookkeeping columns, ``_value``,
-    ``_field``, ``_measurement``, then the tags in sorted order), which is
-    the order the exports are written in; a header is recognised by its
-    content wherever it appears, so concatenated files need no special mode
-    besides ``leading_blank``.
+    name).  Columns are matched by header name in any order: undeclared
+    columns (an empty first one too) are left out, absent ones are missing.
+    Headers repeated inside a file (concatenated exports), also with other
+    columns than the first, and blank lines are dropped.  A file without a
+    header has no columns and no rows.  ``paths`` scans an explicit list of
+    files instead of the prefix glob.
     """
     src = SOURCES[source] if isinstance(source, str) else source
-    schema = raw_schema(src, leading_blank=leading_blank)
-    reader = (spark.read.schema(_as_text_schema(schema))
-              .option("header", False)
-              .option("mode", "PERMISSIVE"))
+    schema = raw_schema(src)
     if paths is None:
-        fs_paths = _existing(spark, _globs(directory, prefix or src.prefix))
-        if not fs_paths:
-            return spark.createDataFrame([], _typed_schema(schema, leading_blank))
-        paths = fs_paths
-    raw = reader.csv(paths)
-    # the export a row came from: the export directory, else the file name
-    path = F.col("_metadata.file_path")
-    in_dir = F.regexp_extract(path, r"/export=([^/]+)/[^/]+$", 1)
-    raw = raw.withColumn(FILE_COL, F.when(in_dir != "", in_dir)
-                         .otherwise(F.col("_metadata.file_name")))
-    # header lines (repeated per table in appended exports) carry the
-    # column names as values
-    raw = raw.where(F.col("result").isNull() | (F.col("result") != "result"))
-    typed = _typed(raw, schema)
-    if leading_blank:
-        typed = typed.drop("_c0")
-    return typed
+        paths = _existing(spark, _globs(directory, prefix or src.prefix))
+    parts = _by_header(spark, paths, schema) if paths else []
+    if not parts:
+        return spark.createDataFrame([], _typed_schema(schema))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def read_routed(spark: SparkSession, directory: str, *,
                 host_prefix: str = SOURCES["scaphandre_host"].prefix,
-                vm_prefix: str = SOURCES["scaphandre_vm"].prefix,
-                leading_blank: bool = False) -> tuple[DataFrame, DataFrame]:
+                vm_prefix: str = SOURCES["scaphandre_vm"].prefix) -> tuple[DataFrame, DataFrame]:
     """Two-way routing by file-name prefix: (host exports, VM exports)."""
-    host = read_exports(spark, directory, "scaphandre_host", prefix=host_prefix,
-                        leading_blank=leading_blank)
-    vm = read_exports(spark, directory, "scaphandre_vm", prefix=vm_prefix,
-                      leading_blank=leading_blank)
-    return host, vm
+    return (read_exports(spark, directory, "scaphandre_host", prefix=host_prefix),
+            read_exports(spark, directory, "scaphandre_vm", prefix=vm_prefix))
 
 
 def read_multi_table_csv(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Read concatenated multi-table exports (repeated headers, blank lines,
     an empty first column), as produced by appending query results."""
-    return read_exports(spark, path, source, leading_blank=True, paths=[path])
+    return read_exports(spark, path, source, paths=[path])
+
+
+def new_run_id() -> str:
+    """Name of one export run: its UTC time and a random suffix."""
+    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:6]}"
 
 
 def _text(c: str, dtype: T.DataType):
@@ -129,11 +182,13 @@ def _text(c: str, dtype: T.DataType):
 
 def write_exports(df: DataFrame, directory: str, source: str | Source, *,
                   name_col: str | None = None, leading_blank: bool = False,
-                  header_per: str | None = None,
+                  header_per: str | None = None, run_id: str | None = None,
                   max_records_per_file: int = 5_000_000) -> None:
-    """Write long telemetry as exports ``<dir>/export=<prefix>_<name>/part-*``.
+    """Write long telemetry as exports ``<dir>/export=<prefix>_<name>_<run>/part-*``.
 
-    One export (query result) per name is a directory of part files; each
+    One export (query result) per name and run is a directory of part files,
+    so a second run never adds to an export of the first; ``run_id`` is
+    :func:`new_run_id` unless given.  Each
     task writes its own part files (no repartition, so a hot export name is
     not funnelled into one task) with the raw export column order and a
     header line at the top of every file.  With ``leading_blank`` every line
@@ -142,13 +197,13 @@ def write_exports(df: DataFrame, directory: str, source: str | Source, *,
 
     ``header_per`` writes the concatenated layout instead: the header is
     repeated once per distinct value of that column (one per appended query
-    result) inside the export's files.  The input is checkpointed first so
-    that the header lines and the rows come from one computation.
+    result) inside the export's files, above that result's rows and after a
+    blank line.  Results are spread over files by a hash of the column.
     """
     src = SOURCES[source] if isinstance(source, str) else source
     names = [f.name for f in raw_schema(src).fields]
     name = F.col(name_col).cast("string") if name_col else F.lit("export")
-    export = F.concat(F.lit(src.prefix + "_"), name).alias("export")
+    export = F.concat(F.lit(src.prefix + "_"), name, F.lit(f"_{run_id or new_run_id()}")).alias("export")
     fields = [(_text(n, df.schema[n].dataType) if n in df.columns
                else F.lit(None).cast("string")).alias(n) for n in names]
     if header_per is None:
@@ -158,16 +213,17 @@ def write_exports(df: DataFrame, directory: str, source: str | Source, *,
          .option("header", True).option("maxRecordsPerFile", max_records_per_file)
          .csv(directory))
         return
-    df = df.checkpoint(eager=True)
     lead = [F.lit("").alias("_c0")] if leading_blank else []
     # to_csv quotes values holding separators or quotes
     line = F.to_csv(F.struct(*lead, *fields))
-    body = df.select(export, line.alias("value"), F.col(f"`{header_per}`").alias("__hp"))
+    table = F.col(f"`{header_per}`").alias("__table")
+    body = df.select(export, table, F.lit(1).alias("__part"), line.alias("value"))
     header = ("," if leading_blank else "") + ",".join(names)
-    headers = (body.select("export", "__hp").distinct()
-               .select("export", F.lit(header).alias("value")))
-    (body.select("export", "value").unionByName(headers)
-     .write.mode("append").partitionBy("export")
-     .option("maxRecordsPerFile", max_records_per_file)
+    top = F.explode(F.array(F.lit(""), F.lit(header)))
+    tables = df.select(export, table).distinct().select(
+        "export", "__table", F.lit(0).alias("__part"), top.alias("value"))
+    # in a file: each result's blank line and header (part 0), then its rows
+    order = ["export", "__table", "__part", F.length(F.trim("value")) > 0]
+    (body.unionByName(tables).repartition("export", "__table").sortWithinPartitions(*order)
+     .select("export", "value").write.mode("append").partitionBy("export")
      .text(directory))
-

@@ -107,7 +107,8 @@ STANDINS: dict[str, StandIn] = {
             "inventory-rack-id": f"'r' || {_s('user_id % 4')}",
             "inventory-server-id": _HOST,
             "placement": "CASE WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END",
-            "url": f"'http://pdu-' || {_s('user_id % 24')} || '.example/api'",
+            "url": f"CASE WHEN user_id % 8 < 4 THEN 'http://' || {_HOST} || '.example/pdu' "
+                   f"ELSE 'http://pdu-' || {_s('user_id % 24')} || '.example/api' END",
         },
         fields={
             "activePower": "v * 10",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattspark.functions.missing import clean_value, to_numeric
-from wattspark.functions.timeops import in_range
+from wattspark.functions.timeops import as_utc, in_range
 
 VALUE_TEXT = "_value_text"
 
@@ -74,7 +74,7 @@ def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
 
 def date_bounds(start: datetime, stop: datetime) -> tuple[str, str]:
     """Inclusive date-partition range covering ``[start, stop)``."""
-    last = stop - timedelta(microseconds=1)
+    start, last = as_utc(start), as_utc(stop) - timedelta(microseconds=1)
     return start.strftime("%Y-%m-%d"), last.strftime("%Y-%m-%d")
 
 
@@ -88,8 +88,9 @@ def prune(df: DataFrame, plugin: str | None, start: datetime, stop: datetime) ->
 
 
 def ingest_exports(spark: SparkSession, directory: str, source: str, store_path: str, *,
-                   leading_blank: bool = False) -> None:
-    """Read a source's CSV exports once and append them to the store.
+                   files_per_partition: int = 8) -> None:
+    """Read a source's CSV exports once and append them to the store, at most
+    ``files_per_partition`` files per plugin and day.
 
     Text parsing happens here, once; later selections read typed Parquet
     with partition pruning instead of re-scanning CSV.  The export name is
@@ -97,5 +98,5 @@ def ingest_exports(spark: SparkSession, directory: str, source: str, store_path:
     """
     from wattspark.sources.exports import read_exports
 
-    long = read_exports(spark, directory, source, leading_blank=leading_blank).drop("_file")
-    write_telemetry(long, store_path)
+    long = read_exports(spark, directory, source).drop("_file")
+    write_telemetry(long, store_path, files_per_partition=files_per_partition)

@@ -70,16 +70,22 @@ def run_to_table(stream: DataFrame, table_path: str, checkpoint_path: str, *,
                  fmt: str = "parquet") -> None:
     """Run the stream into a table from the executors (``foreachBatch``).
 
+    An appended micro-batch is written to the table's partition ``batch_id``
+    of its number, which a retry of the batch replaces, so no row comes twice.
+
     ``append`` (default, for long-running streams): a window is written once
     the watermark passes its end, and its state is then dropped, so state
     stays bounded.  ``complete``: every micro-batch rewrites the whole
     result; meant for draining a finite set of files, where append would
     never emit the windows the watermark has not yet passed.
     """
-    mode = "overwrite" if output_mode == "complete" else "append"
-
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode(mode).format(fmt).save(table_path)
+    def write(batch: DataFrame, number: int) -> None:
+        if output_mode != "complete":
+            batch = batch.withColumn("batch_id", F.lit(number))
+            writer = batch.write.option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+        else:
+            writer = batch.write
+        writer.mode("overwrite").format(fmt).save(table_path)
 
     writer = (stream.writeStream.outputMode(output_mode)
               .option("checkpointLocation", checkpoint_path)
