@@ -18,14 +18,6 @@ NULL_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Text accepted as a number by a coercing numeric parse: optional sign,
-# decimal digits with an optional fraction and exponent, or inf/nan words.
-# Java-style suffixes ('1d', '1f'), hex, underscores and booleans are not.
-_NUMERIC_TEXT = (
-    r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|inf|infinity|nan)\s*$"
-)
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -42,25 +34,21 @@ def clean_tag(c) -> Column:
     return F.when(c.isin(NULL_TOKENS), F.lit(None).cast("string")).otherwise(c)
 
 
-def is_numeric_text(c) -> Column:
-    """True where text parses as a number under the coercing rule."""
-    return F.lower(_col(c)).rlike(_NUMERIC_TEXT)
-
-
 def to_numeric(c) -> Column:
     """Text -> double; anything unparseable (and NaN) becomes null.
 
-    Spark's own cast accepts a few forms ('1d', '1f') that a coercing parse
-    rejects, so the cast is guarded by :data:`_NUMERIC_TEXT`; a literal that
-    overflows a double is missing too.
+    The text is parsed once, by the cast.  The cast accepts a few forms that a
+    coercing parse rejects, which are looked at only where it gave a value: a
+    type suffix ('1d', '1f'), hexadecimal, and literals too large for a double
+    (infinite though no word for infinity).
     """
-    c = _col(c)
-    parsed = F.trim(c).try_cast("double")
-    # a literal too large for a double overflows to infinity in a cast, but
-    # is missing under the coercing rule; only the words inf/infinity are
-    word_inf = F.lower(F.trim(c)).rlike(r"^[+-]?inf(inity)?$")
-    overflow = (F.abs(parsed) == F.lit(float("inf"))) & ~word_inf
-    return clean_value(F.when(is_numeric_text(c) & ~overflow, parsed))
+    text = F.trim(_col(c))
+    parsed = text.try_cast("double")
+    infinite = F.abs(parsed) == F.lit(float("inf"))
+    word = F.lower(text)
+    accepted = F.when(infinite, word.rlike(r"^\s*[+-]?inf(inity)?\s*$")).otherwise(
+        ~word.rlike(r"[df]\s*$|x"))
+    return clean_value(F.when(accepted, parsed))
 
 
 def ieee_div(numerator, denominator) -> Column:

@@ -138,7 +138,19 @@ def parse_range(spec: str, now: datetime | None = None) -> tuple[datetime, datet
             stop.astimezone(timezone.utc).replace(tzinfo=None))
 
 
+def as_utc(point: datetime) -> datetime:
+    """A naive UTC datetime of ``point`` (naive input is UTC already)."""
+    return point if point.tzinfo is None else point.astimezone(timezone.utc).replace(tzinfo=None)
+
+
+def instant(point: datetime) -> Column:
+    """Timestamp literal of a UTC datetime, from epoch microseconds: a Python
+    datetime literal would be read in the driver's own time zone."""
+    micros = (as_utc(point) - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros))
+
+
 def in_range(c, start: datetime, stop: datetime) -> Column:
-    """``start <= c < stop`` (literal bounds, so the filter reaches the scan)."""
+    """``start <= c < stop`` (constant bounds, so the filter reaches the scan)."""
     c = F.col(c) if isinstance(c, str) else c
-    return (c >= F.lit(start)) & (c < F.lit(stop))
+    return (c >= instant(start)) & (c < instant(stop))

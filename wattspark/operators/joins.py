@@ -3,7 +3,8 @@
 Equi-joins are left to Catalyst/AQE: the smaller side becomes a broadcast
 only when its measured runtime size is below the threshold, otherwise a
 shuffle join runs, and AQE splits a skewed (hot-key) partition.  The only
-explicit broadcasts are of sets that were first materialised and counted.
+explicit broadcasts are of sets that were first materialised and counted,
+rows and bytes.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattspark.operators.select import col
 
@@ -19,8 +21,10 @@ from wattspark.operators.select import col
 MAX_BROADCAST_PATTERNS = 5000
 
 
-#: Largest lookup set (e.g. inventory ids) broadcast by an explicit hint.
+#: Largest lookup set (e.g. inventory ids) broadcast by an explicit hint: rows
+#: and bytes, both counted on the materialised set.
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 32 * 1024 ** 2
 
 
 def materialize_small(df: DataFrame) -> tuple[DataFrame, int]:
@@ -32,9 +36,27 @@ def materialize_small(df: DataFrame) -> tuple[DataFrame, int]:
 
 
 def broadcast_if_small(df: DataFrame, n_rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the counted size is within the bound;
-    otherwise the join planner (and AQE) picks a shuffle join."""
-    return F.broadcast(df) if n_rows <= max_rows else df
+    """Broadcast hint only when the counted rows and bytes of a materialised
+    set are within the bounds; otherwise the join planner (and AQE) picks a
+    shuffle join."""
+    return F.broadcast(df) if n_rows <= max_rows and table_bytes(df) <= MAX_BROADCAST_BYTES else df
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of the values of a (small, materialised) table: text by its
+    length, anything else 8 bytes, and 16 per value and row of overhead."""
+    size = F.lit(0).cast("long")
+    for f in df.schema.fields:
+        text = isinstance(f.dataType, T.StringType)
+        size = size + 16 + (F.coalesce(F.octet_length(col(f.name)), F.lit(0)) if text else F.lit(8))
+    return int(df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"])
+
+
+def small_side(df: DataFrame) -> DataFrame:
+    """Materialise a derived lookup set and hint its broadcast if its counted
+    size allows, so that the other side is not exchanged."""
+    out, n = materialize_small(df)
+    return broadcast_if_small(out, n)
 
 
 def left_meta_join(left: DataFrame, meta: DataFrame, keys: Sequence[str],
@@ -46,7 +68,7 @@ def left_meta_join(left: DataFrame, meta: DataFrame, keys: Sequence[str],
     lx, ry = shared + suffixes[0], shared + suffixes[1]
     left_cols = [c if c != shared else lx for c in left.columns]
     l2 = left.withColumnRenamed(shared, lx)
-    r2 = meta.withColumnRenamed(shared, ry)
+    r2 = small_side(meta.withColumnRenamed(shared, ry))
     out = l2.join(r2, on=keys, how="left")
     right_cols = [c for c in r2.columns if c not in keys]
     return out.select(*[col(c) for c in left_cols + right_cols])
@@ -57,7 +79,7 @@ def semi_join_values(df: DataFrame, values: DataFrame, column: str,
     """Rows of ``df`` whose ``column`` equals one of ``values`` (one job,
     instead of one selection per value)."""
     vc = value_column or column
-    v = values.select(col(vc).alias("__v")).distinct()
+    v = small_side(values.select(col(vc).alias("__v")).distinct())
     return df.join(v, col(column) == F.col("__v"), "left_semi")
 
 
@@ -107,10 +129,11 @@ def regex_match_join(df: DataFrame, patterns: DataFrame, text_col: str, pattern_
         pairs = pieces[0]
         for p in pieces[1:]:
             pairs = pairs.unionByName(p)
+    pairs, n_pairs = materialize_small(pairs)
     if how == "left_semi":
-        keys = pairs.select("__text").distinct()
+        keys = small_side(pairs.select("__text").distinct())
         return df.join(keys, col(text_col) == F.col("__text"), "left_semi")
-    joined = df.join(pairs, col(text_col) == F.col("__text"), "inner")
+    joined = df.join(broadcast_if_small(pairs, n_pairs), col(text_col) == F.col("__text"), "inner")
     return joined.drop("__text").withColumnRenamed("__pattern", pattern_col)
 
 
@@ -154,7 +177,7 @@ def skew_split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     left_cold = left.join(hot_b, keys, "left_anti")
     right_hot, n_right_hot = materialize_small(right.join(hot_b, keys, "left_semi"))
     cold = left_cold.join(right, keys, how)
-    if n_right_hot <= max_broadcast_rows:
+    if n_right_hot <= max_broadcast_rows and table_bytes(right_hot) <= MAX_BROADCAST_BYTES:
         hot_part = left_hot.join(F.broadcast(right_hot), keys, how)
     else:
         salted_left = left_hot.withColumn(

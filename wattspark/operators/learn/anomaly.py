@@ -7,25 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattspark.operators.learn import dense, scale
+from wattspark.operators.learn import dense, scale, split
 from wattspark.operators.learn.metrics import flag_anomalies
 from wattspark.operators.select import col
 
 
-def holdout_last(df: DataFrame, fraction: float, order_col: str = "_time",
-                 accuracy: int = 10_000) -> tuple[DataFrame, DataFrame]:
-    """Split off the last ``fraction`` of rows by ``order_col``.
+def holdout_last(df: DataFrame, fraction: float,
+                 order_col: str = "_time") -> tuple[DataFrame, DataFrame]:
+    """Split off the last ``ceil(fraction * n)`` rows by ``order_col``.
 
-    The cut point is an approximate percentile (one aggregation, no global
-    sort into one task); rows after it are the validation set.
+    Exact without a global sort (:func:`split.mark_smallest` on the time
+    counted backwards); rows that share the time at the cut are taken by
+    position, and rows without a time count as the oldest.
     """
     if fraction <= 0:
         return df, df.limit(0)
-    key = col(order_col).cast("timestamp").cast("double")
-    cut = df.agg(F.percentile_approx(key, 1.0 - fraction, accuracy).alias("cut")).first()["cut"]
-    if cut is None:
-        return df, df.limit(0)
-    return df.where(key <= F.lit(cut)), df.where(key > F.lit(cut))
+    micros = F.unix_micros(col(order_col).cast("timestamp"))
+    back = F.coalesce(F.lit(1 << 59) - micros, F.lit((1 << 60) - 1))
+    marked = split.mark_smallest(df, back, fraction, "__part", "last", "first")
+    part = F.col("__part")
+    return (marked.where(part == "first").drop("__part"),
+            marked.where(part == "last").drop("__part"))
 
 
 def fit_autoencoder(df: DataFrame, features: Sequence[str], hidden: Sequence[int] = (16, 8, 16), *,

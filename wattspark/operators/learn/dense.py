@@ -3,17 +3,16 @@
 MLlib has no multilayer-perceptron *regressor*, so the network is a small
 NumPy model trained with synchronous parameter averaging:
 
-* the training rows are checkpointed (reliable, lineage cut) and spread over
-  ``num_partitions`` partitions;
+* the training rows are checkpointed (reliable, lineage cut) and dealt in turn
+  over partitions whose number follows from the row count and the batch size,
+  never from the cluster, so the same rows give the same model anywhere;
 * every epoch is one Spark job: the current weights and Adam moments are
   broadcast, each partition runs shuffled minibatch Adam over its own rows
   (``mapInPandas``), and returns its weights, moments, row count and loss
   sum as one row;
-* the per-partition states are averaged weighted by row count: with few
-  partitions and a small model the states (partitions x model size, at most
-  ~32 MB) are collected and averaged in one stage; otherwise a distributed
-  aggregation (``posexplode`` + ``groupBy``) reduces them and only the
-  averaged, model-sized state comes back to the driver.
+* the per-partition states are averaged weighted by row count by a
+  distributed aggregation (``posexplode`` + ``groupBy``); only the averaged,
+  model-sized state comes back to the driver.
 
 With one partition this is plain minibatch Adam.  Prediction is a pandas UDF
 (Arrow batches) with the weights broadcast.  A model is stored as one
@@ -152,28 +151,25 @@ def _train_rows(df: DataFrame, features, targets, num_partitions, seed,
     rows = arrays(df, False)
     if validation is not None:
         rows = rows.unionByName(arrays(validation, True))
-    # spread rows by a hash of their content: balanced, deterministic
-    rows = rows.repartition(num_partitions, F.xxhash64("x", "y", F.lit(seed)))
+    # rows are dealt in turn, so equal rows spread as evenly as any; the order
+    # within a partition is a hash of content and seed
+    rows = rows.repartition(num_partitions).sortWithinPartitions(
+        F.xxhash64("x", "y", F.lit(seed)))
     return rows.checkpoint(eager=True)
 
 
-#: Above this many doubles (partitions x state length, ~32 MB) the
-#: per-partition states are averaged by a distributed groupBy instead of
-#: being collected.
-MAX_COLLECTED_STATE = 4_000_000
+#: Fewest minibatches a partition has per epoch (the weights are averaged once
+#: per epoch, so with few of them training would hardly move), and the most
+#: partitions of a training set.
+MIN_BATCHES = 100
+MAX_PARTITIONS = 4096
 
 
-def _average_collected(states: DataFrame) -> dict:
-    """Average a few small partition states on the driver (one stage)."""
-    pdf = states.toPandas()
-    pdf = pdf[pdf["n"] > 0]
-    if pdf.empty:
-        raise ValueError("no training rows")
-    w = pdf["n"].to_numpy(dtype=float)
-    mat = np.stack([np.asarray(v, dtype=float) for v in pdf["state"]])
-    return {"state": (mat * w[:, None]).sum(axis=0) / w.sum(), "n": int(w.sum()),
-            "loss": float(pdf["loss_sum"].sum()), "val_n": int(pdf["val_n"].sum()),
-            "val_loss": float(pdf["val_loss_sum"].sum())}
+def training_partitions(n_rows: int, batch_size: int, requested: int | None = None) -> int:
+    """Partitions for ``n_rows``: at most ``requested``, each with at least
+    ``MIN_BATCHES`` minibatches."""
+    fit = max(1, min(n_rows // (batch_size * MIN_BATCHES), MAX_PARTITIONS))
+    return min(fit, requested) if requested else fit
 
 
 def _average(states: DataFrame) -> dict:
@@ -219,13 +215,14 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
     each partition first scores its validation rows with the incoming
     weights (the average after epoch e-1), so the validation loss of every
     epoch costs no extra job (the last one costs one scoring pass).
+    ``num_partitions`` is an upper bound, see :func:`training_partitions`.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
     features, targets = list(features), list(targets)
     sizes = [len(features), *hidden, len(targets)]
     acts = ["relu"] * len(hidden) + [output_activation]
-    nparts = num_partitions or spark.sparkContext.defaultParallelism
+    nparts = training_partitions(df.count(), batch_size, num_partitions)
     rows = _train_rows(df, features, targets, nparts, seed, validation)
     p = param_count(sizes)
     state = np.concatenate([init_params(sizes, seed), np.zeros(2 * p), [0.0]])
@@ -265,8 +262,7 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
 
         states = rows.mapInPandas(run, _STATE_SCHEMA)
         if train_now:
-            small = nparts * (3 * p + 1) <= MAX_COLLECTED_STATE
-            res = _average_collected(states) if small else _average(states)
+            res = _average(states)
             state = res["state"]
             history.append({"epoch": epoch, "loss": res["loss"] / res["n"]})
         else:

@@ -23,7 +23,7 @@ FEATURES_VEC = "features"
 
 
 def fit_random_forest(df: DataFrame, features: Sequence[str], label: str, *,
-                      num_trees: int = 100, seed: int = 42, max_depth: int = 10,
+                      max_depth: int, num_trees: int = 100, seed: int = 42,
                       feature_subset: str = "all", min_instances_per_node: int = 1,
                       max_bins: int = 32, subsampling_rate: float = 1.0,
                       checkpoint: bool = True, max_memory_mb: int = 512) -> PipelineModel:
@@ -31,8 +31,8 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str, *,
 
     Defaults follow the reference's regressor where MLlib allows: 100 trees,
     seed 42, every feature considered at each split (``'all'``), bootstrap
-    rows.  Trees cannot grow unbounded in MLlib (depth <= 30), so the depth
-    is a parameter (10 by default).
+    rows.  Trees cannot grow unbounded in MLlib (depth <= 30), so every call
+    states the depth.
 
     Node ids are cached on the executors (``cacheNodeIds``) and that cache is
     checkpointed every 10 iterations, so each level does not re-route every

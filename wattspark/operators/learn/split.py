@@ -58,28 +58,34 @@ def _hash60(key_cols: Sequence[str], seed: int) -> Column:
 
 def _exact_split(df: DataFrame, test_size: float, seed: int, keys: Sequence[str],
                  split_col: str) -> DataFrame:
-    """Exactly ``k = ceil(test_size * n)`` test rows: those with the
-    smallest 60-bit key hashes, found without a global sort.
-
-    The hashed rows are checkpointed (stable partitions for the passes
-    below).  Four rounds of a 15-bit histogram narrow the boundary hash
-    value (each round collects at most 32,768 counts).  Rows whose hash
-    equals the boundary value (equal keys) are split by quotas: their count
-    per partition is collected (one row per partition), the remaining test
-    quota is handed out in partition order, and within a partition the
-    first rows by position take it; that ranking is a window over one
-    partition's tie rows, never over all of them.
+    """Exactly ``k = ceil(test_size * n)`` test rows: those with the smallest
+    60-bit key hashes."""
+    return mark_smallest(df, _hash60(keys, seed), test_size, split_col)
+
+
+def mark_smallest(df: DataFrame, key: Column, share: float, mark_col: str = "split",
+                  yes: str = "test", no: str = "train") -> DataFrame:
+    """Mark exactly ``k = ceil(share * n)`` rows: those with the smallest
+    ``key`` (0 <= key < 2**60), found without a global sort.
+
+    The keyed rows are checkpointed (stable partitions for the passes
+    below).  Four rounds of a 15-bit histogram narrow the boundary key (each
+    round collects at most 32,768 counts).  Rows whose key equals the boundary
+    are split by quotas: their count per partition is collected (one row per
+    partition), the remaining quota is handed out in partition order, and
+    within a partition the first rows by position take it; that ranking is a
+    window over one partition's tie rows, never over all of them.
     """
     spark = df.sparkSession
-    base = df.withColumn("__u", _hash60(keys, seed)).checkpoint(eager=True)
+    base = df.withColumn("__u", key).checkpoint(eager=True)
     base = base.withColumn("__p", F.spark_partition_id()).withColumn(
         "__row", F.monotonically_increasing_id())
     n = base.count()
-    k = math.ceil(test_size * n)
+    k = math.ceil(share * n)
     if k == 0 or k == n:
-        return base.withColumn(split_col, F.lit("test" if k else "train")).drop(
+        return base.withColumn(mark_col, F.lit(yes if k else no)).drop(
             "__u", "__p", "__row")
-    below = F.lit(False)     # rows certainly in the test split
+    below = F.lit(False)     # rows certainly marked
     same = F.lit(True)       # rows sharing the boundary prefix so far
     need = k
     for level in range(_LEVELS):
@@ -106,8 +112,8 @@ def _exact_split(df: DataFrame, test_size: float, seed: int, keys: Sequence[str]
     quota_df = spark.createDataFrame(quota, "__p int, __q long")  # one row per partition
     rank = F.row_number().over(Window.partitionBy("__p").orderBy("__row"))
     tie_rows = (ties.join(F.broadcast(quota_df), "__p")
-                .withColumn(split_col, F.when(rank <= F.col("__q"), "test").otherwise("train"))
+                .withColumn(mark_col, F.when(rank <= F.col("__q"), yes).otherwise(no))
                 .drop("__q"))
     rest = base.where(~same).withColumn(
-        split_col, F.when(below, F.lit("test")).otherwise(F.lit("train")))
+        mark_col, F.when(below, F.lit(yes)).otherwise(F.lit(no)))
     return rest.unionByName(tie_rows.select(*rest.columns)).drop("__u", "__p", "__row")

@@ -59,12 +59,19 @@ def pivot_mean(df: DataFrame, index: Sequence[str], fields: Sequence[str] | str,
         if missing:
             raise KeyError(f"declared fields without any value: {missing}")
     keys = ([FILE_COL] if per_file else []) + index
-    cond = value.isNotNull() & col(field_col).isin(fields)
+    cond = col(field_col).isin(fields)
     for k in index:
         cond = cond & col(k).isNotNull()
-    base = df.select(*[col(k) for k in keys], col(field_col), value.alias(value_col)).where(cond)
+    # the value is computed once, in this projection: a filter on it would be
+    # pushed below and compute it again, so keys without any value go after
+    # the aggregate instead
+    base = df.where(cond).select(*[col(k) for k in keys], col(field_col), value.alias(value_col))
     aggs = [F.avg(F.when(col(field_col) == f, col(value_col))).alias(f) for f in fields]
     out = base.groupBy(*[col(k) for k in keys]).agg(*aggs)
+    if fields:
+        out = out.where(F.coalesce(*[col(f) for f in fields]).isNotNull())
+    else:
+        out = out.where(F.lit(False))
     return out.select(*[col(c) for c in index + fields])
 
 

@@ -87,30 +87,21 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, *,
     return row.select(stacked.alias("s")).select("s.*")
 
 
-def value_sets(df: DataFrame, columns: Sequence[str] | None = None, *,
-               max_values: int = 50, rsd: float = 0.01) -> DataFrame:
-    """Sorted distinct values of the low-cardinality text columns.
-
-    One HyperLogLog pass estimates every column's cardinality (bounded
-    result: one number per column); only columns at or under ``max_values``
-    are then gathered with ``collect_set`` in a single aggregation, so no
-    unbounded set is ever built.  Returns ``column, n_values, values``;
-    ``values`` is null for a column above the bound.
+def value_sets(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Every distinct value of the text columns with its row count.
+
+    Returns ``column, value, n_rows``, one row per (column, value); missing
+    values are left out.  One scan and one ``groupBy`` whose partial counts
+    are combined before the shuffle, whatever the number of values.
     """
     cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)
             and (columns is None or f.name in columns)]
     if not cols:
-        return df.sparkSession.createDataFrame([], "column string, n_values bigint, values array<string>")
-    est = df.agg(*[F.approx_count_distinct(col(c), rsd).alias(f"d{i}")
-                   for i, c in enumerate(cols)]).first()
-    small = [c for i, c in enumerate(cols) if est[f"d{i}"] <= max_values]
-    sets = {}
-    if small:
-        row = df.agg(*[F.array_sort(F.collect_set(col(c))).alias(f"s{i}")
-                       for i, c in enumerate(small)]).first()
-        sets = {c: row[f"s{i}"] for i, c in enumerate(small)}
-    rows = [(c, len(sets[c]) if c in sets else None, sets.get(c)) for c in cols]
-    return df.sparkSession.createDataFrame(rows, "column string, n_values bigint, values array<string>")
+        return df.sparkSession.createDataFrame([], "column string, value string, n_rows bigint")
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), col(c).alias("value"))
+                                for c in cols]))
+    return (df.select(pairs.alias("p")).select("p.*").where(F.col("value").isNotNull())
+            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 def time_span(df: DataFrame, column: str = "_time") -> DataFrame:

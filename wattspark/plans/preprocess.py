@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wattspark.functions import units
 from wattspark.operators.aggregate import distinct_rows
-from wattspark.operators.pivot import FILE_COL, coerce_numeric_values, pivot_mean, present_fields
+from wattspark.operators.pivot import FILE_COL, pivot_mean, present_fields
 from wattspark.operators.select import drop_columns, not_null
 from wattspark.schemas import SOURCES
 
@@ -105,8 +105,8 @@ def prep_proxmox(long: DataFrame, *, sort: bool = False, per_file: bool | None =
                  fields: str = "declared") -> DataFrame:
     """Coerce text values to numbers, pivot, derive disk GiB and usage columns."""
     src = SOURCES["proxmox"]
-    df = coerce_numeric_values(long)
-    wide = pivot_mean(df, src.index, pivot_fields(df, src.fields, fields), per_file=per_file)
+    # the pivot coerces a text value itself, once
+    wide = pivot_mean(long, src.index, pivot_fields(long, src.fields, fields), per_file=per_file)
     wide = add_disk_columns(wide)
     return _sorted(wide, sort, src.index)
 
@@ -133,11 +133,16 @@ def _prep_scaphandre(long: DataFrame, name: str, sort: bool, per_file: bool | No
     src = SOURCES[name]
     if per_file is None:
         per_file = FILE_COL in long.columns
-    # a metric that never occurs is no column at all (rather than an
-    # all-missing column, which would make the row-wise drop remove every
-    # row); finding the occurring metrics is one small extra job
     mode = fields or ("present" if present_only else "declared")
-    wide = pivot_mean(long, src.index, pivot_fields(long, src.fields, mode), per_file=per_file)
+    if mode == "present":
+        # a metric that never occurs is no column at all (rather than an
+        # all-missing column, which would make the row-wise drop remove every
+        # row): pivot all declared metrics, look which columns have a value
+        wide = pivot_mean(long, src.index, src.fields, per_file=per_file).checkpoint(eager=True)
+        seen = wide.agg(*[F.count(F.col(f"`{f}`")).alias(f) for f in src.fields]).first()
+        wide = wide.drop(*[f for f in src.fields if not seen[f]])
+    else:
+        wide = pivot_mean(long, src.index, pivot_fields(long, src.fields, mode), per_file=per_file)
     wide = _sorted(wide, sort, src.index)
     # rows with any missing cell go, then exact duplicates (e.g. from
     # overlapping exports) collapse to one.  Without per-file pivots every

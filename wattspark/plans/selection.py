@@ -84,22 +84,29 @@ def select_telemetry(tel: DataFrame, spec: TelemetrySpec) -> DataFrame:
     return df
 
 
+def _proxmox_vms(tel: DataFrame, start: datetime, stop: datetime, vm_name_filter: str) -> DataFrame:
+    """Proxmox rows of the matching VMs in the range; on the store only the
+    days of the range are listed."""
+    if "date" in tel.columns:
+        from wattspark.sources.telemetry import prune
+
+        df = prune(tel, "proxmox", start, stop)
+    else:
+        df = filter_time_range(tel.where(F.col("plugin") == "proxmox"), start, stop)
+    return _where_col(df, "vm_name", col("vm_name").rlike(vm_name_filter))
+
+
 def inventory_ids(tel: DataFrame, start: datetime, stop: datetime,
                   vm_name_filter: str = DEFAULT_VM_NAME_FILTER, sort: bool = True) -> DataFrame:
     """Distinct trimmed, non-blank server ids of the matching Proxmox VMs."""
-    spec = TelemetrySpec("proxmox", start, stop, vm_name_filter=vm_name_filter)
-    df = tel.where(F.col("plugin") == "proxmox")
-    df = filter_time_range(df, spec.start, spec.stop)
-    df = _where_col(df, "vm_name", col("vm_name").rlike(vm_name_filter))
+    df = _proxmox_vms(tel, start, stop, vm_name_filter)
     return distinct_trimmed(df, SERVER, alias=SERVER, sort=sort)
 
 
 def host_vm_pairs(tel: DataFrame, start: datetime, stop: datetime,
                   vm_name_filter: str = DEFAULT_VM_NAME_FILTER) -> DataFrame:
     """Distinct (server, vm_name) pairs of the matching Proxmox VMs."""
-    df = tel.where(F.col("plugin") == "proxmox")
-    df = filter_time_range(df, start, stop)
-    df = _where_col(df, "vm_name", col("vm_name").rlike(vm_name_filter))
+    df = _proxmox_vms(tel, start, stop, vm_name_filter)
     return distinct_pairs(df, SERVER, "vm_name")
 
 
@@ -119,7 +126,9 @@ def run_plugin(tel: DataFrame, plugin: str, start: datetime, stop: datetime, *,
        with none, nothing is selected for any plugin (existence gate);
     2. PDU, and scaphandre with a field: one selection per id, expressed as
        a single join in one plan:
-       PDU by an equi-join with the distinct ids, scaphandre host power by
+       PDU by an equi-join with the distinct ids (with a field also
+       ``url =~ /id/``, as in every selection by field and id), scaphandre
+       host power by
        ``url =~ /id/`` (regex theta join on distinct URLs); a row matching
        several ids is exported once per id;
     3. otherwise one selection with the vm_name filter (k8s/Kepler default
@@ -137,6 +146,8 @@ def run_plugin(tel: DataFrame, plugin: str, start: datetime, stop: datetime, *,
             else:
                 ids_named = broadcast_if_small(ids.select(col(SERVER).alias("__id")), n_ids)
                 out = base.join(ids_named, col(SERVER) == F.col("__id"), "inner")
+                if field:
+                    out = _where_col(out, "url", F.expr("url rlike __id"))
                 out = out.withColumn(EXPORT, F.col("__id")).drop("__id")
         else:
             out = regex_match_join(base, ids.select(col(SERVER).alias(EXPORT)), "url", EXPORT)

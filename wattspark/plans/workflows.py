@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from wattspark.operators.learn import anomaly, dense, forest, metrics, scale, split
 from wattspark.plans import datasets, preprocess, selection
+from wattspark.sources import sinks
 from wattspark.schemas import (
     ANOMALY_FEATURES, DEFAULT_VM_NAME_FILTER, ENERGY_FEATURES, ENERGY_TARGET, VM_FEATURES, VM_TARGET,
 )
@@ -30,6 +31,19 @@ class WorkflowResult:
     history: DataFrame | None = None
 
 
+def _store(output: str | None, splits: DataFrame, result_metrics: DataFrame, run_id: str,
+           save) -> None:
+    """Write a run's splits, model and metrics under ``output`` (if given):
+    ``splits`` and ``model`` are replaced, ``metrics`` gets one more row."""
+    if not output:
+        return
+    base = output.rstrip("/")
+    sinks.write_splits(splits, f"{base}/splits")
+    save(f"{base}/model")
+    sinks.append_metrics(result_metrics.select(F.lit(run_id).alias("run_id"), "*"),
+                         f"{base}/metrics")
+
+
 def _plugin_long(tel: DataFrame, plugin: str, start, stop, vm_name_filter: str, inventory,
                  field=None):
     return selection.run_plugin(tel, plugin, start, stop, field=field,
@@ -41,9 +55,11 @@ def energy_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
                     vm_name_filter: str = DEFAULT_VM_NAME_FILTER, interval: str = "1min",
                     features=ENERGY_FEATURES, target: str = ENERGY_TARGET,
                     test_size: float = 0.2, seed: int = 42, num_trees: int = 100,
-                    max_depth: int = 10, split_key=None) -> WorkflowResult:
+                    max_depth: int = 10, split_key=None, output: str | None = None,
+                    run_id: str = "energy") -> WorkflowResult:
     """Kepler + k8s selection -> processing -> energy dataset -> split ->
-    random forest -> test predictions -> MAE / MSE / R2."""
+    random forest -> test predictions -> MAE / MSE / R2.  ``output`` names a
+    folder that receives the splits, the model and the metrics."""
     inv = selection.lookup_inventory(tel, start, stop, vm_name_filter)   # once, shared
     kep = preprocess.prep_kepler(_plugin_long(tel, "kepler", start, stop, vm_name_filter, inv))
     k8s = preprocess.prep_k8s(_plugin_long(tel, "k8s", start, stop, vm_name_filter, inv))
@@ -56,9 +72,9 @@ def energy_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
                                      max_depth=max_depth, checkpoint=False)
     scored = forest.predict(model, test)
     m = metrics.regression_metrics(scored, target, "prediction")
-    n_train = train.count()
-    return WorkflowResult(data, splits, model, scored,
-                          m.withColumn("n_train", F.lit(n_train).cast("bigint")))
+    m = m.withColumn("n_train", F.lit(train.count()).cast("bigint"))
+    _store(output, splits, m, run_id, lambda path: forest.save_model(model, path))
+    return WorkflowResult(data, splits, model, scored, m)
 
 
 def vm_power_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
@@ -66,9 +82,12 @@ def vm_power_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
                       features=VM_FEATURES, target: str = VM_TARGET, test_size: float = 0.2,
                       seed: int = 42, epochs: int = 20, lr: float = 1e-3, batch_size: int = 32,
                       hidden=(128, 64), num_partitions: int | None = None,
-                      split_key=None) -> WorkflowResult:
+                      split_key=None, output: str | None = None,
+                      run_id: str = "vm_power") -> WorkflowResult:
     """Proxmox + scaphandre selection -> processing -> VM power dataset ->
-    split -> scaler fitted on train -> MLP -> test predictions -> metrics."""
+    split -> scaler fitted on train -> MLP -> test predictions -> metrics.
+    ``output`` names a folder that receives the splits, the model and the
+    metrics."""
     inv = selection.lookup_inventory(tel, start, stop, vm_name_filter)   # once, shared
     prox = preprocess.prep_proxmox(_plugin_long(tel, "proxmox", start, stop, vm_name_filter, inv))
     vm = preprocess.prep_scaphandre_vm(_plugin_long(tel, "scaphandre", start, stop, vm_name_filter,
@@ -85,9 +104,10 @@ def vm_power_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
     model.scaler_mean, model.scaler_scale = scale.scaler_arrays(scaler, features)
     scored = dense.predict_dense(test, model)
     m = metrics.regression_metrics(scored, target, "prediction")
-    n_train = train.count()
-    return WorkflowResult(data, splits, model, scored,
-                          m.withColumn("n_train", F.lit(n_train).cast("bigint")), history)
+    m = m.withColumn("n_train", F.lit(train.count()).cast("bigint"))
+    _store(output, splits, m, run_id,
+           lambda path: dense.save_dense(tel.sparkSession, model, path))
+    return WorkflowResult(data, splits, model, scored, m, history)
 
 
 def anomaly_workflow(vm_dataset: DataFrame, *, features=ANOMALY_FEATURES, epochs: int = 50,

@@ -101,8 +101,9 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The cluster setting ``spark.checkpoint.dir`` wins.  Only when it is unset
-    (local tests) is a private folder created and registered.
+    The cluster setting ``spark.checkpoint.dir`` wins.  Where it is unset, a
+    private folder is created in local mode; on a cluster, whose machines
+    would not share it, that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -115,6 +116,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises in Spark Connect
             configured = None
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
         configured = tempfile.mkdtemp(prefix="wattspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
