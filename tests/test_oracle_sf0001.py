@@ -56,5 +56,5 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     import __spark_entry__ as e
     df = e.entry(spark)
-    assert df.count() >= 0 and "container_power_watts" in df.columns
+    assert df.count() > 0 and "container_power_watts" in df.columns
     assert set(e.oracle_sql()) <= set(e.queries())

@@ -124,12 +124,12 @@ def test_export_roundtrip_with_missing_tokens(spark, tmp_dir):
                                      "_time timestamp, _value double, _field string, _measurement string, "
                                      "`inventory-rack-id` string, `inventory-server-id` string, "
                                      "placement string, plugin string, url string")
-    exports.write_exports(df, tmp_dir, "pdu", name_col="placement")
+    exports.write_exports(df, tmp_dir, "pdu", name_col="placement", run_id="r1")
     back = exports.read_exports(spark, tmp_dir, "pdu").orderBy("_field").collect()
     assert [r["_value"] for r in back] == [1.5, None]
     assert back[0]["inventory-server-id"] == "srv,1"           # quoted separator survives
     assert back[1]["inventory-rack-id"] is None                # 'NA' token is missing
-    assert sorted(r["_file"] for r in back) == ["pdu_A", "pdu_B"]
+    assert sorted(r["_file"] for r in back) == ["pdu_A_r1", "pdu_B_r1"]
     assert exports.read_exports(spark, os.path.join(tmp_dir, "nothing"), "pdu").count() == 0
 
 
@@ -187,9 +187,10 @@ def test_per_export_semantics_through_files(spark, tmp_dir):
     row = ("_result", 0, None, None, t, 2.0, "cpu_usage_nanocores", "m", "c", "cl", "r", "s",
            "ns", "n", "k8s", "p")
     rows = [row + ("exportA",), row[:5] + (4.0,) + row[6:] + ("exportB",)]
-    exports.write_exports(spark.createDataFrame(rows, cols), tmp_dir, "k8s", name_col="name")
+    exports.write_exports(spark.createDataFrame(rows, cols), tmp_dir, "k8s", name_col="name",
+                          run_id="r1")
     long = exports.read_exports(spark, tmp_dir, "k8s")
-    assert sorted(r["_file"] for r in long.collect()) == ["k8s_exportA", "k8s_exportB"]
+    assert sorted(r["_file"] for r in long.collect()) == ["k8s_exportA_r1", "k8s_exportB_r1"]
     wide = preprocess.prep_k8s(long)
     assert sorted(r.cpu_usage_nanocores for r in wide.collect()) == [2.0, 4.0]   # one row per export
     merged = preprocess.prep_k8s(long, per_file=False)
@@ -269,6 +270,6 @@ def test_leading_blank_export_roundtrip(spark, tmp_dir):
             "`inventory-cluster-id` string, `inventory-rack-id` string, plugin string, url string")
     exports.write_exports(spark.createDataFrame(rows, cols), tmp_dir, "scaphandre_host",
                           leading_blank=True)
-    back = exports.read_exports(spark, tmp_dir, "scaphandre_host", leading_blank=True)
+    back = exports.read_exports(spark, tmp_dir, "scaphandre_host")
     assert sorted((r["url"], r["_value"]) for r in back.collect()) == [
         ("http://h0", 0.0), ("http://h1", 1.0), ("http://h2", 2.0)]

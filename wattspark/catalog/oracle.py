@@ -85,8 +85,24 @@ def wide_k8s() -> str:
     return pivot_sql("k8s")
 
 
-def wide_kepler() -> str:
-    return pivot_sql("kepler")
+def wide_kepler(long_sql: str | None = None) -> str:
+    return pivot_sql("kepler", long_sql=long_sql)
+
+
+def selected(source: str) -> str:
+    """Rows of a source that the default selection of its plugin keeps."""
+    cond = f"_time >= {START} AND _time < {STOP}"
+    if source in ("k8s", "kepler"):
+        cond += f" AND regexp_matches(\"inventory-server-id\", '{CLUSTER}')"
+    else:
+        cond += f" AND regexp_matches(vm_name, '{VM_FILTER}')"
+    return f"(SELECT * FROM {L(source)} raw WHERE {cond})"
+
+
+def closer(source: str) -> str:
+    """The stand-in rows at finer times, as the 1-minute query shapes them."""
+    return (f"(SELECT * REPLACE (date_trunc('day', _time) + to_minutes(CAST(hour(_time) AS INTEGER)) "
+            f"+ to_seconds(CAST(second(_time) AS INTEGER)) AS _time) FROM {L(source)} raw)")
 
 
 def wide_pdu_faithful() -> str:
@@ -113,20 +129,22 @@ def disk_cols(prefix: str = "") -> str:
                         WHEN {p}disk_free < 0 THEN '-inf'::DOUBLE END) AS disk_usage_percent"""
 
 
-def wide_proxmox() -> str:
-    return f"(SELECT w.*, {disk_cols('w.')} FROM {pivot_sql('proxmox')} w)"
+def wide_proxmox(long_sql: str | None = None) -> str:
+    return f"(SELECT w.*, {disk_cols('w.')} FROM {pivot_sql('proxmox', long_sql=long_sql)} w)"
 
 
-def wide_scaph(source: str) -> str:
+def wide_scaph(source: str, long_sql: str | None = None) -> str:
     src = SOURCES[source]
     allc = src.index + src.fields
-    return (f"(SELECT DISTINCT * FROM {pivot_sql(source)} w "
+    return (f"(SELECT DISTINCT * FROM {pivot_sql(source, long_sql=long_sql)} w "
             f"WHERE {notmissing_all(allc, set(src.fields))})")
 
 
-def energy_join_sql(interval: str = DAY) -> str:
+def energy_join_sql(interval: str = DAY, rows=None) -> str:
+    """``rows`` gives the long rows of a source (default: all stand-in rows)."""
+    rows = rows or L
     k8s = pivot_sql("k8s", ["cpu_usage_nanocores", "memory_usage_bytes", "logsfs_used_bytes",
-                            "logsfs_capacity_bytes"])
+                            "logsfs_capacity_bytes"], long_sql=rows("k8s"))
     return f"""(
   SELECT k._time, k.container_name, k.namespace, k.pod_name, k.cpu_usage_nanocores,
          k.memory_usage_bytes, k.logsfs_used_bytes, k.logsfs_capacity_bytes,
@@ -136,20 +154,21 @@ def energy_join_sql(interval: str = DAY) -> str:
         FROM {k8s} w
         WHERE cpu_usage_nanocores IS NOT NULL AND memory_usage_bytes IS NOT NULL
           AND logsfs_used_bytes IS NOT NULL AND logsfs_capacity_bytes IS NOT NULL) k
-  JOIN {kepler_energy_sql(interval)} e
+  JOIN {kepler_energy_sql(interval, rows)} e
     ON k._time = e._time AND k.container_name = e.container_name
    AND k.namespace = e.namespace AND k.pod_name = e.pod_name)"""
 
 
-def kepler_energy_sql(interval: str = DAY) -> str:
+def kepler_energy_sql(interval: str = DAY, rows=None) -> str:
+    rows = rows or L
     return f"""(SELECT date_trunc('{interval}', _time) AS _time, container_name, namespace, pod_name,
          coalesce(sum(kepler_container_joules_total), 0.0) AS kepler_container_joules_total
-  FROM {wide_kepler()} w
+  FROM {wide_kepler(rows("kepler"))} w
   WHERE container_name IS NOT NULL AND namespace IS NOT NULL AND pod_name IS NOT NULL
   GROUP BY 1, 2, 3, 4)"""
 
 
-def energy_sql(interval: str = DAY) -> str:
+def energy_sql(interval: str = DAY, rows=None) -> str:
     return f"""(SELECT _time, container_name, namespace, pod_name,
        cpu_usage_nanocores / 1e6 AS cpu_millicores,
        memory_usage_bytes / 1048576 AS memory_usage_mb,
@@ -157,38 +176,40 @@ def energy_sql(interval: str = DAY) -> str:
             THEN logsfs_used_bytes / logsfs_capacity_bytes * 100 ELSE 0.0 END
          AS logsfs_usage_percent,
        kepler_container_joules_total / 60 AS container_power_watts
-  FROM {energy_join_sql(interval)} j)"""
+  FROM {energy_join_sql(interval, rows)} j)"""
 
 
-def scaph_agg_sql(interval: str = DAY) -> str:
+def scaph_agg_sql(interval: str = DAY, rows=None) -> str:
+    rows = rows or L
     aggs = []
     for c, how in VM_SCAPH_AGG.items():
         aggs.append(f"avg({q(c)}) AS {q(c)}" if how == "mean"
                     else f"coalesce(sum({q(c)}), 0.0) AS {q(c)}")
     return f"""(SELECT date_trunc('{interval}', _time) AS _time, vm_id, {', '.join(aggs)}
-  FROM {wide_scaph('scaphandre_vm')} w
+  FROM {wide_scaph('scaphandre_vm', rows('scaphandre_vm'))} w
   WHERE contains(vm_name, 'k8s') AND vm_id IS NOT NULL
   GROUP BY 1, 2)"""
 
 
-def vm_join_sql(interval: str = DAY) -> str:
+def vm_join_sql(interval: str = DAY, rows=None) -> str:
+    rows = rows or L
     pc = [c for c in VM_PROXMOX_COLUMNS if c not in ("_time",)]
     doubles = set(VM_PROXMOX_COLUMNS) - {"_time", "vm_id"}
     prox_ok = " AND ".join(f"p.{q(c)} IS NOT NULL" + (f" AND NOT isnan(p.{q(c)})" if c in doubles else "")
                            for c in VM_PROXMOX_COLUMNS)
     return f"""(SELECT p.*, {', '.join('s.' + q(c) for c in VM_SCAPH_AGG)}
   FROM (SELECT date_trunc('{interval}', _time) AS _time, {cols(pc)}
-        FROM {wide_proxmox()} w WHERE contains(vm_name, 'k8s')) p
-  JOIN {scaph_agg_sql(interval)} s ON p._time = s._time AND p.vm_id = s.vm_id
+        FROM {wide_proxmox(rows('proxmox'))} w WHERE contains(vm_name, 'k8s')) p
+  JOIN {scaph_agg_sql(interval, rows)} s ON p._time = s._time AND p.vm_id = s.vm_id
   WHERE {prox_ok})"""
 
 
-def vm_dataset_sql(interval: str = DAY) -> str:
+def vm_dataset_sql(interval: str = DAY, rows=None) -> str:
     allc = VM_PROXMOX_COLUMNS + list(VM_SCAPH_AGG) + ["uptime_hours", "vm_power_watts"]
     doubles = set(allc) - {"_time", "vm_id"}
     return f"""(SELECT * FROM (SELECT j.*, uptime / 3600 AS uptime_hours,
          scaph_process_power_consumption_microwatts / 1e6 AS vm_power_watts
-  FROM {vm_join_sql(interval)} j) d WHERE {notmissing_all(allc, doubles)})"""
+  FROM {vm_join_sql(interval, rows)} j) d WHERE {notmissing_all(allc, doubles)})"""
 
 
 def inventory_sql() -> str:
@@ -199,11 +220,24 @@ def inventory_sql() -> str:
     AND trim("inventory-server-id") <> '')"""
 
 
-def split_sql(interval: str = DAY, seed: int = SEED) -> str:
+def vm_split_sql(rows=None, seed: int = SEED) -> str:
+    key = "concat_ws('|', CAST(_time AS VARCHAR), CAST(vm_id AS VARCHAR))"
+    bucket = f"(('0x' || substr(md5({key} || '|{seed}'), 1, 8))::BIGINT % 10000)"
+    return (f"(SELECT v.*, CASE WHEN {bucket} < {TEST_CUT} THEN 'test' ELSE 'train' END AS split "
+            f"FROM {vm_dataset_sql(rows=rows)} v)")
+
+
+def stored_run_sql(run_id: str, splits: str) -> str:
+    return (f"SELECT '{run_id}' AS run_id, CAST(count(*) FILTER (WHERE split = 'test') AS BIGINT) AS n, "
+            f"CAST(count(*) FILTER (WHERE split = 'train') AS BIGINT) AS n_train, "
+            f"true AS splits_agree, true AS metrics_ok FROM {splits} s")
+
+
+def split_sql(interval: str = DAY, seed: int = SEED, rows=None) -> str:
     key = "concat_ws('|', CAST(_time AS VARCHAR), container_name, namespace, pod_name)"
     bucket = f"(('0x' || substr(md5({key} || '|{seed}'), 1, 8))::BIGINT % 10000)"
     return (f"(SELECT e.*, CASE WHEN {bucket} < {TEST_CUT} THEN 'test' ELSE 'train' END AS split "
-            f"FROM {energy_sql(interval)} e)")
+            f"FROM {energy_sql(interval, rows)} e)")
 
 
 # --------------------------------------------------------------------------
@@ -212,6 +246,12 @@ def split_sql(interval: str = DAY, seed: int = SEED) -> str:
 
 def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
+    for source in ("kepler", "pdu", "proxmox"):
+        tags = sorted(SOURCES[source].tags + ["plugin"])
+        o[f"scan_long_{source}"] = (f"SELECT result, \"table\", _time, _value, _field, _measurement, "
+                                    f"{cols(tags)} FROM {L(source)} x")
+    o["scan_long_proxmox"] = (f"SELECT * EXCLUDE (_value), {num()} AS number, CASE WHEN {num()} IS NULL "
+                              f"THEN _value END AS value_text FROM ({o['scan_long_proxmox']}) y")
     k8s_tags = sorted(SOURCES["k8s"].tags + ["plugin"])
     o["scan_long"] = (f"SELECT result, \"table\", _time, _value, _field, _measurement, "
                       f"{cols(k8s_tags)} FROM {L('k8s')} x")
@@ -224,10 +264,11 @@ def oracle_sql() -> dict[str, str]:
                              f"AND _time >= {START} AND _time < {STOP} "
                              f"AND regexp_matches(vm_name, '{VM_FILTER}')")
     o["telemetry_store_select"] = o["telemetry_select"]
-    o["export_partitioned"] = (f"SELECT 'pdu_' || i.\"inventory-server-id\" AS export, count(*) AS n_rows "
-                               f"FROM {L('pdu')} p JOIN {inventory_sql()} i "
+    o["export_partitioned"] = (f"SELECT 'pdu_' || i.\"inventory-server-id\" || '_run1' AS export, "
+                               f"p._time, p.\"inventory-server-id\", p.placement, p.url, p._field, "
+                               f"p._value FROM {L('pdu')} p JOIN {inventory_sql()} i "
                                f"ON p.\"inventory-server-id\" = i.\"inventory-server-id\" "
-                               f"WHERE p._time >= {START} AND p._time < {STOP} GROUP BY 1")
+                               f"WHERE p._time >= {START} AND p._time < {STOP}")
     o["processed_roundtrip"] = f"SELECT * FROM {wide_k8s()} w"
     o["split_sink"] = f"SELECT * FROM {split_sql()} s WHERE split = 'test'"
 
@@ -282,11 +323,9 @@ def oracle_sql() -> dict[str, str]:
     ov_host = overlapping_exports_sql("scaphandre_host")
     o["pivot_mean"] = f"SELECT * FROM {pivot_sql('pdu')} w"
     kidx = SOURCES["k8s"].index
-    o["pivot_discover"] = (
-        f"SELECT {cols(kidx)}, * EXCLUDE ({cols(['_file'] + kidx)}) FROM "
-        f"(PIVOT (SELECT _file, {cols(kidx)}, _field, _value FROM {standin_sql('k8s', with_file=True)} l "
-        f"WHERE _value IS NOT NULL AND NOT isnan(_value) AND {notnull_all(kidx)}) "
-        f"ON _field USING avg(_value) GROUP BY _file, {cols(kidx)}) p")
+    discovered = pivot_sql("k8s", sorted(STANDINS["k8s"].fields),
+                           long_sql=standin_sql("k8s", with_file=True), per_file=True)
+    o["pivot_discover"] = f"SELECT * FROM {discovered} w"
     o["pivot_mean_coerced"] = f"SELECT * FROM {pivot_sql('proxmox')} w"
     o["pivot_overlapping_exports"] = (
         f"SELECT * FROM {pivot_sql('k8s', long_sql=ov_k8s, per_file=True)} w")
@@ -341,12 +380,10 @@ def oracle_sql() -> dict[str, str]:
                       f"{hi} AS max_value, {tlo} AS min_time, {thi} AS max_time FROM e")
     o["profile_columns"] = f"WITH e AS {energy_sql()} " + " UNION ALL ".join(cparts)
     vs = []
-    for c in ["inventory-server-id", "vm_name"]:
-        vs.append(f"SELECT '{c}' AS \"column\", "
-                  f"CASE WHEN count(DISTINCT {q(c)}) <= 50 THEN count(DISTINCT {q(c)}) END AS n_values, "
-                  f"CASE WHEN count(DISTINCT {q(c)}) <= 50 THEN list(DISTINCT {q(c)} ORDER BY {q(c)}) "
-                  f"FILTER (WHERE {q(c)} IS NOT NULL) END AS \"values\" FROM w")
-    o["profile_value_sets"] = f"WITH w AS {wide_proxmox()} " + " UNION ALL ".join(vs)
+    for c in [x for x in kidx if x != "_time"]:
+        vs.append(f"SELECT '{c}' AS \"column\", {q(c)} AS value, count(*) AS n_rows FROM w "
+                  f"WHERE {q(c)} IS NOT NULL GROUP BY 2")
+    o["profile_value_sets"] = f"WITH w AS {wide_k8s()} " + " UNION ALL ".join(vs)
     o["threshold_3sigma"] = (f"SELECT round(avg(container_power_watts), 6) AS mean, "
                              f"round(stddev_pop(container_power_watts), 6) AS std, "
                              f"round(avg(container_power_watts) + 3 * stddev_pop(container_power_watts), 6) "
@@ -369,11 +406,14 @@ def oracle_sql() -> dict[str, str]:
                        f"JOIN {inventory_sql()} i ON t.\"inventory-server-id\" = i.\"inventory-server-id\" "
                        f"WHERE t.plugin = 'pdu' AND t._time >= {START} AND t._time < {STOP}")
 
+    o["run_plugin_field"] = (o["run_plugin"] + " AND t._field = 'activePower' "
+                             "AND regexp_matches(t.url, i.\"inventory-server-id\")")
+
     # scalar functions
     o["parse_time"] = ("SELECT event_id, ts AS parsed, CAST(NULL AS TIMESTAMP) AS parsed_props "
                        "FROM events")
     o["to_numeric_coerce"] = f"SELECT _time, vm_id, _field, {num()} AS value FROM {L('proxmox')} x"
-    o["time_floor"] = ("SELECT event_id, make_timestamp(epoch_us(ts) - epoch_us(ts) % 900000000) AS t15m, "
+    o["time_floor"] = ("SELECT event_id, date_trunc('minute', ts) AS t1m, make_timestamp(epoch_us(ts) - epoch_us(ts) % 900000000) AS t15m, "
                        "date_trunc('hour', ts) AS t1h, date_trunc('day', ts) AS t1d FROM events")
     o["unit_conversions"] = (f"SELECT _time, container_name, namespace, pod_name, "
                              f"cpu_usage_nanocores / 1e6 AS cpu_millicores, "
@@ -431,8 +471,33 @@ SELECT n, round(mae, 6) AS mae, round(mse, 6) AS mse,
     o["prep_scaphandre_vm"] = f"SELECT * FROM {wide_scaph('scaphandre_vm')} w"
     o["energy_dataset"] = f"SELECT * FROM {energy_sql()} e"
     o["vm_power_dataset"] = f"SELECT * FROM {vm_dataset_sql()} v"
+    o["energy_dataset_1min"] = f"SELECT * FROM {energy_sql('minute', closer)} e"
     o["energy_dataset_skew_split"] = o["energy_dataset"]
     o["vm_power_dataset_skew_split"] = o["vm_power_dataset"]
+
+    # models: keys, true values and checked properties
+    ekeys, vkeys = "_time, container_name, namespace, pod_name", "_time, vm_id"
+    test = "split = 'test'"
+    o["rf_energy"] = (f"SELECT {ekeys}, container_power_watts AS y_true, true AS in_range "
+                      f"FROM {split_sql()} s WHERE {test}")
+    o["rf_vm_power"] = (f"SELECT {vkeys}, vm_power_watts AS y_true, true AS in_range "
+                        f"FROM {vm_split_sql()} s WHERE {test}")
+    o["mlp_vm_power"] = (f"SELECT {vkeys}, vm_power_watts AS y_true, true AS finite "
+                         f"FROM {vm_split_sql()} s WHERE {test}")
+    o["model_roundtrip"] = f"SELECT {ekeys}, true AS same FROM {split_sql()} s WHERE {test}"
+    o["dense_model_roundtrip"] = f"SELECT {vkeys}, true AS same FROM {vm_split_sql()} s WHERE {test}"
+    o["batch_score"] = f"SELECT {ekeys}, true AS in_range, container_power_watts AS y_true FROM {energy_sql()} e"
+    o["feature_importance"] = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, true AS not_negative, CAST(1.0 AS DOUBLE) AS total"
+        for f in ENERGY_FEATURES)
+    o["loss_history"] = ("SELECT CAST(i AS INTEGER) AS epoch, true AS finite, true AS fell "
+                         "FROM range(1, 21) t(i)")
+    o["autoencoder_train"] = ("SELECT CAST(i AS INTEGER) AS epoch, true AS finite, "
+                              "true AS val_finite FROM range(1, 51) t(i)")
+    o["anomaly_flags"] = f"SELECT {vkeys}, true AS flag_ok FROM {vm_dataset_sql()} v"
+    o["anomaly_workflow"] = o["anomaly_flags"]
+    o["energy_workflow"] = stored_run_sql("energy", split_sql(rows=selected))
+    o["vm_power_workflow"] = stored_run_sql("vm_power", vm_split_sql(rows=selected))
     return o
 
 
