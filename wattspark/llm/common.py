@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches: Iterable, rows: int = 1024) -> Iterator:
+    """Arrow batches cut into pieces of at most ``rows`` rows (no copies), which bounds
+    what a task holds as Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def words_column(text: Column) -> Column:
     """Array of the words of a text (null or blank text: empty array)."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")

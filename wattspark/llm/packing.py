@@ -33,6 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import sliced
+
 CAPACITY = 1024
 END_ID = 2
 GROUP_PIECES = 1 << 15
@@ -83,28 +85,26 @@ def token_pieces(docs: DataFrame, paths: tuple[str, str] | None = None, capacity
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, ranks)
         row = TaskContext.get().partitionId() << 36
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                take, piece, start, length, ids, no = [], [], [], [], [], []
-                for k, text in enumerate(batch.column("text")):
-                    data = encode(text.as_py() or "") + end
-                    n, pos, part = len(data) // 4, 0, 0
-                    while pos < n:
-                        size = (n % capacity or capacity) if part == 0 else capacity
-                        take.append(k)
-                        piece.append(part)
-                        start.append(pos)
-                        length.append(size)
-                        ids.append(data[4 * pos:4 * (pos + size)])
-                        no.append(row)
-                        pos, part = pos + size, part + 1
-                    row += 1
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(take, pa.int32())),
-                     pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                     pa.array(length, pa.int64()), pa.array(ids, pa.binary()),
-                     pa.array(no, pa.int64())], names=schema.names)
+        for batch in sliced(batches):
+            take, piece, start, length, ids, no = [], [], [], [], [], []
+            for k, text in enumerate(batch.column("text")):
+                data = encode(text.as_py() or "") + end
+                n, pos, part = len(data) // 4, 0, 0
+                while pos < n:
+                    size = (n % capacity or capacity) if part == 0 else capacity
+                    take.append(k)
+                    piece.append(part)
+                    start.append(pos)
+                    length.append(size)
+                    ids.append(data[4 * pos:4 * (pos + size)])
+                    no.append(row)
+                    pos, part = pos + size, part + 1
+                row += 1
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(take, pa.int32())),
+                 pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
+                 pa.array(length, pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array(no, pa.int64())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 

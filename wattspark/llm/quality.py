@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import sliced
+
 TRAIN_DOCS = 2000
 TRAIN_LINES = 200
 MIN_SHARE = 0.5
@@ -273,19 +275,17 @@ def label_quality(docs: DataFrame, field: LineField, text_col: str = "text",
     """The input rows with the columns of RESULT."""
     added = {f.name for f in RESULT}
     keep = [c for c in docs.columns if c.lower() not in added]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep],
-                       F.col(f"`{text_col}`").cast("binary").alias("__text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep])
     schema = T.StructType([f for f in docs.schema.fields if f.name in keep] + RESULT.fields)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                cols = judge_texts(part.column("__text").to_pylist(), field, min_share)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in keep]
-                    + [pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                    names=keep + [f.name for f in RESULT])
+        for part in sliced(batches):
+            texts = part.column(text_col).cast(pa.binary()).to_pylist()
+            cols = judge_texts(texts, field, min_share)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(c) for c in keep]
+                + [pa.array(c, t) for c, t in zip(cols, types, strict=True)],
+                names=keep + [f.name for f in RESULT])
 
     return rows.mapInArrow(judge, schema)
