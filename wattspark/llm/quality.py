@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from .common import sliced
 
 TRAIN_DOCS = 2000
-TRAIN_LINES = 200
+TRAIN_LINES = 64
 MIN_SHARE = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
