@@ -14,7 +14,7 @@ from wattspark.session import scratch_path
 SPACES = r"[\x20\x09-\x0D]+"
 #: Rows at most this many times the mean row count are hashed into one bucket
 #: where an operator numbers rows inside buckets.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 8_192
 #: Largest table (bytes, counted before use) an operator broadcasts.
 BROADCAST_BYTES = 32 * 1024 ** 2
 
