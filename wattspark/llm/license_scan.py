@@ -2,15 +2,14 @@
 
 All rolling word k-grams of every text are hashed and joined to the positions
 of the same grams in the templates.  A hit at document position ``p`` of a
-gram at template position ``t`` votes for the diagonal ``p - t``.  Votes are
-summed per (document, template, diagonal); neighbouring diagonals are merged
-(a few inserted or missing words shift the diagonal); a merged span is
-verified by the template words it covers.
+gram at template position ``t`` votes for the diagonal ``p - t``.  The votes
+of the documents that have any are verified word by word against the text.
+Votes are summed per (document, template, diagonal); neighbouring diagonals
+are merged (a few inserted or missing words shift the diagonal); a merged span
+counts by the share of the template's words that its votes cover.
 
-The join is on the XXH64 of the gram and on the gram's text, so a hit is never
-a hash collision.  Short phrases use two-word grams and must be covered whole
-on one diagonal; long templates use five-word grams and must be covered to
-``min_coverage``.
+Short phrases use two-word grams and must be covered whole on one diagonal;
+long templates use five-word grams and must be covered to ``min_coverage``.
 
 Only DataFrame functions are used.
 
@@ -28,10 +27,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, hot_cold_join, materialize
+from .common import ascii_lower, checked_broadcast, materialize
 
 #: A word is a run of these: digits, letters a-z, and all non-ASCII characters.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same separators for a text whose A-Z are not yet lower-cased.
+NOT_WORD_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_COVERAGE = 0.6
 #: Diagonals at most this far apart are merged.
 SLACK = 4
@@ -84,11 +85,15 @@ def license_words(text: Column) -> Column:
     return F.filter(F.split(lower, NOT_WORD), lambda w: w != "")
 
 
-def rolling_grams(words: Column, k: int) -> Column:
-    """Array of (position, gram) of all runs of ``k`` words."""
-    starts = F.sequence(F.lit(1), F.size(words) - (k - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, k), " "))
-    return F.when(F.size(words) >= k, grams).otherwise(F.array().cast("array<string>"))
+def _gram_hash(words: Column, at: Column | int, k: int) -> Column:
+    return F.xxhash64(*[F.get(words, at + j) for j in range(k)])
+
+
+def rolling_hashes(words: Column, k: int) -> Column:
+    """Hashes of all runs of ``k`` words, in order."""
+    last = F.size(words) - k
+    hashes = F.transform(F.sequence(F.lit(0), last), lambda i: _gram_hash(words, i, k))
+    return F.when(last >= 0, hashes).otherwise(F.array().cast("array<bigint>"))
 
 
 def template_positions(spark, templates: Sequence[Template]) -> DataFrame:
@@ -97,58 +102,80 @@ def template_positions(spark, templates: Sequence[Template]) -> DataFrame:
     for no, t in enumerate(templates):
         words = t.text.split()
         for at in range(len(words) - t.k + 1):
-            rows.append((no, t.k, at, " ".join(words[at:at + t.k])))
-    grams = spark.createDataFrame(rows, "template int, k int, at int, gram string")
-    return grams.withColumn("gram_hash", F.xxhash64("gram"))
+            rows.append((no, t.k, at, words[at:at + t.k]))
+    grams = spark.createDataFrame(rows, "template int, k int, at int, gram array<string>")
+    hashed = F.coalesce(*[F.when(F.col("k") == k, _gram_hash(F.col("gram"), 0, k))
+                          for k in sorted({t.k for t in templates})])
+    return grams.withColumn("gram_hash", hashed)
+
+
+def _verified_votes(docs: DataFrame, places: DataFrame, ks: list[int], id_col: str,
+                    text_col: str) -> DataFrame:
+    """Distinct (``id_hash``, ``text_hash``, ``template``, ``pos``, ``at``) whose words agree."""
+    text = F.col(f"`{text_col}`")
+    key = ["id_hash", "text_hash"]
+    raw = docs.select(F.xxhash64(F.col(f"`{id_col}`")).alias("id_hash"),
+                      F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"),
+                      text.alias("text"))
+    words = raw.select(*key, license_words(F.col("text")).alias("words"))
+    # one array holds the grams of all lengths, one after the other
+    arrays = words.select(*key, F.size("words").alias("n"), *[
+        rolling_hashes(F.col("words"), k).alias(f"h{k}") for k in ks])
+    grams = arrays.select(*key, "n", F.posexplode(F.concat(*[f"h{k}" for k in ks]))
+                          .alias("slot", "gram_hash"))
+    hits = grams.join(F.broadcast(places), "gram_hash")
+    count = {k: F.greatest(F.col("n") - (k - 1), F.lit(0)) for k in ks}
+    before = F.lit(0)
+    pos = F.lit(None).cast("int")
+    for k in ks:
+        inside = (F.col("slot") >= before) & (F.col("slot") < before + count[k])
+        pos = F.when((F.col("k") == k) & inside, F.col("slot") - before).otherwise(pos)
+        before = before + count[k]
+    hits = hits.withColumn("pos", pos).filter("pos is not null")
+    # a row per document with hits: repeated rows vote once
+    hits = (hits.groupBy(*key, "template", "pos", "at").agg(F.first("gram").alias("gram"))
+            .groupBy(*key).agg(F.collect_list(F.struct("template", "pos", "at", "gram"))
+                               .alias("votes")))
+    hits = materialize(hits, "license-hits")
+    few = checked_broadcast(hits.select(*key), hits.count(), 64)
+    same = F.filter("votes", lambda v: F.slice(
+        F.col("words"), v["pos"] + 1, F.size(v["gram"])) == v["gram"])
+    checked = (raw.join(few, key, "left_semi").dropDuplicates(key).join(hits, key)
+               .select(*key, license_words(F.col("text")).alias("words"), "votes")
+               .select(*key, F.explode(same).alias("v")))
+    return checked.select(*key, "v.template", "v.pos", "v.at")
 
 
 def find_spans(docs: DataFrame, templates: Sequence[Template] = TEMPLATES,
                id_col: str = "doc_id", text_col: str = "text",
                min_coverage: float = MIN_COVERAGE, slack: int = SLACK) -> DataFrame:
     """Verified spans: ``id_hash``, ``text_hash``, ``template``, ``first_word`` and
-    ``last_word`` of the span, ``coverage`` of the template, ``copies`` (rows with this key)."""
+    ``last_word`` of the span, ``coverage`` of the template."""
     spark = docs.sparkSession
-    places = template_positions(spark, templates)
-    info = spark.createDataFrame(
-        [(no, len(t.text.split()), t.exact) for no, t in enumerate(templates)],
-        "template int, length int, exact boolean")
-    text = F.col(f"`{text_col}`")
-    words = docs.select(F.xxhash64(F.col(f"`{id_col}`")).alias("id_hash"),
-                        F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"),
-                        license_words(text).alias("words"))
-    hits = None
-    for k in sorted({t.k for t in templates}):
-        grams = words.select("id_hash", "text_hash", F.posexplode(rolling_grams(
-            F.col("words"), k)).alias("pos", "gram")).withColumn("gram_hash", F.xxhash64("gram"))
-        found = grams.join(F.broadcast(places.filter(F.col("k") == k).drop("k")),
-                           ["gram_hash", "gram"]).select("id_hash", "text_hash", "template",
-                                                         "pos", "at")
-        hits = found if hits is None else hits.unionByName(found)
+    info = F.broadcast(spark.createDataFrame(
+        [(no, t.k, len(t.text.split()), t.exact) for no, t in enumerate(templates)],
+        "template int, k int, length int, exact boolean"))
+    votes = _verified_votes(docs, template_positions(spark, templates),
+                            sorted({t.k for t in templates}), id_col, text_col)
     key = ["id_hash", "text_hash", "template"]
-    # repeated rows vote together; a vote counts once per place
-    votes = hits.groupBy(*key, "pos", "at").agg(F.count(F.lit(1)).alias("copies"))
-    votes = votes.join(F.broadcast(info), "template").withColumn("diagonal", F.expr("pos - at"))
-    diagonals = votes.groupBy(*key, "length", "exact", "diagonal").agg(
-        F.count(F.lit(1)).alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"),
-        F.collect_list("at").alias("ats"), F.max("copies").alias("copies"))
-    # neighbouring diagonals whose spans lie within one template length are one cluster
+    votes = votes.join(info, "template").withColumn("diagonal", F.expr("pos - at"))
+    diagonals = votes.groupBy(*key, "k", "length", "exact", "diagonal").agg(
+        F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.collect_list("at").alias("ats"))
+    # neighbouring diagonals are one cluster; each place of a phrase is its own
     order = Window.partitionBy(*key).orderBy("diagonal", "lo")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > slack, F.lit(True))
     merged = (diagonals.withColumn("cluster", F.sum(
         (F.col("exact") | apart).cast("int")).over(order))
-        .groupBy(*key, "length", "exact", "cluster")
+        .groupBy(*key, "k", "length", "exact", "cluster")
         .agg(F.flatten(F.collect_list("ats")).alias("ats"), F.min("lo").alias("first_word"),
-             F.max("hi").alias("last_word"), F.max("copies").alias("copies")))
-    grams = spark.createDataFrame([(no, t.k) for no, t in enumerate(templates)],
-                                  "template int, k int")
-    merged = merged.join(F.broadcast(grams), "template")
+             F.max("hi").alias("last_word")))
     covered = F.size(F.array_distinct(F.flatten(F.transform(
         "ats", lambda a: F.sequence(a, a + F.col("k") - 1)))))
     merged = merged.withColumn("coverage", covered / F.col("length"))
     return merged.filter(F.when(F.col("exact"), F.col("coverage") == 1.0)
                          .otherwise(F.col("coverage") >= min_coverage)).select(
         *key, "first_word", (F.col("last_word") + F.col("k") - 1).alias("last_word"),
-        "coverage", "copies")
+        "coverage")
 
 
 def scan_licenses(docs: DataFrame, templates: Sequence[Template] = TEMPLATES,
@@ -170,22 +197,16 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = TEMPLATES,
         F.min(base("first_word")).cast("long").alias("first_word"),
         F.max(base("first_word")).cast("long").alias("last_word"),
         joined(base("label")).alias("base_labels"), joined("label").alias("labels"),
-        F.max("coverage").alias("score"), F.max("copies").alias("copies")))
+        F.max("coverage").alias("score")))
     found = materialize(found.withColumnsRenamed({"id_hash": "__k", "text_hash": "__h"})
-                        .withColumnsRenamed({c: f"__{c}" for c in (*added, "copies")}),
-                        "license-found")
+                        .withColumnsRenamed({c: f"__{c}" for c in added}), "license-found")
     text = F.col(f"`{text_col}`")
     rows = docs.select(*[F.col(f"`{c}`") for c in keep],
                        F.xxhash64(F.col(f"`{id_col}`")).alias("__k"),
                        F.xxhash64(F.coalesce(text, F.lit(""))).alias("__h"),
-                       F.size(license_words(text)).cast("long").alias("n_words"))
-    n = found.count()
-    if n * 160 <= 32 * 1024 ** 2:
-        out = rows.join(F.broadcast(found), ["__k", "__h"], "left")
-    else:
-        hot = hot_cold_join(rows, found, ["__k", "__h"], "__copies", max(1, n))
-        out = hot.unionByName(rows.join(found.select("__k", "__h"), ["__k", "__h"], "left_anti"),
-                              allowMissingColumns=True)
+                       F.size(F.filter(F.split(F.coalesce(text, F.lit("")), NOT_WORD_ANY_CASE),
+                                       lambda w: w != "")).cast("long").alias("n_words"))
+    out = rows.join(checked_broadcast(found, found.count(), 200), ["__k", "__h"], "left")
     return out.select(
         *[F.col(f"`{c}`") for c in keep], "n_words",
         F.coalesce("__n_base", F.lit(0)).cast("long").alias("n_base"),
