@@ -8,7 +8,14 @@ from collections import Counter, defaultdict
 import brute
 import numpy as np
 import pytest
-from conftest import DOCS, as_multiset
+from corpus_fixtures import (  # noqa: F401  fixtures are used by name
+    DOCS,
+    as_multiset,
+    docs,
+    empty_docs,
+    rows,
+    wide_docs,
+)
 from pyspark.sql import functions as F
 
 from wattspark.llm import catalog, language_model, mixing, packing, sharding

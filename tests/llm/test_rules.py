@@ -6,7 +6,14 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
-from conftest import DOCS, as_multiset
+from corpus_fixtures import (  # noqa: F401  fixtures are used by name
+    DOCS,
+    as_multiset,
+    docs,
+    empty_docs,
+    rows,
+    wide_docs,
+)
 from itertools import product
 
 from wattspark.llm import license_scan, quality, url_filter
