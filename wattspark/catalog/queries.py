@@ -485,7 +485,7 @@ def q_threshold_3sigma(spark, sf_dir):
 @register("rowwise_mse")
 def q_rowwise_mse(spark, sf_dir):
     """Per-row mean squared deviation of the features from their means."""
-    df = energy(spark, sf_dir)
+    df = energy(spark, sf_dir).checkpoint(eager=True)   # read for the means and the rows
     means = df.agg(*[F.avg(c).alias(f"m_{c}") for c in ENERGY_FEATURES]).first()  # one row
     with_means = df.withColumns({f"m_{c}": F.lit(means[f"m_{c}"]) for c in ENERGY_FEATURES})
     out = lmetrics.rowwise_mse(with_means, ENERGY_FEATURES, [f"m_{c}" for c in ENERGY_FEATURES],
@@ -653,7 +653,7 @@ def q_train_test_split_exact(spark, sf_dir):
 @register("standard_scale")
 def q_standard_scale(spark, sf_dir):
     """M2: standard scaling fitted on the train split (population std)."""
-    df = energy_split(spark, sf_dir)
+    df = energy_split(spark, sf_dir).checkpoint(eager=True)   # fitted on, then scaled
     model = lscale.fit_standard_scaler(df.where(F.col("split") == "train"), ENERGY_FEATURES)
     out = lscale.transform_standard(df, model, ENERGY_FEATURES)
     return rnd(ntz(out.select(*SPLIT_KEY, "split", *ENERGY_FEATURES)), ENERGY_FEATURES)
@@ -662,7 +662,7 @@ def q_standard_scale(spark, sf_dir):
 @register("regression_metrics")
 def q_regression_metrics(spark, sf_dir):
     """M6: MAE / MSE / R2 of the train-mean predictor on the test split."""
-    df = energy_split(spark, sf_dir)
+    df = energy_split(spark, sf_dir).checkpoint(eager=True)   # mean of train, then test
     mean = df.where(F.col("split") == "train").agg(F.avg(ENERGY_TARGET)).first()[0]  # one value
     test = df.where(F.col("split") == "test").withColumn("prediction", F.lit(mean))
     out = lmetrics.regression_metrics(test, ENERGY_TARGET, "prediction")
