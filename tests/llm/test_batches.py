@@ -187,6 +187,14 @@ def test_a_group_larger_than_a_share_leaves_no_shard_empty(spark):
     assert rest[-1] <= 1.1 * rest[0]
 
 
+def test_written_shards_hold_all_rows(docs, spark, tmp_path):
+    sharding.write_shards(docs, str(tmp_path / "s"), 4)
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert as_multiset(back, *docs.columns) == as_multiset(docs, *docs.columns)
+    assert as_multiset(back, "doc_id", "shard") == as_multiset(
+        sharding.shard_documents(docs, 4), "doc_id", "shard")
+
+
 def test_numbers_do_not_depend_on_buckets(spark, monkeypatch):
     from wattspark.llm import common
 

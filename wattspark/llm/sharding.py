@@ -16,15 +16,17 @@ A group as large as an even share of what is left takes a shard of its own
 
 Cases: a null text has size 1 and belongs to the group of the empty text; null
 ids sort first; repeated rows are rows of one group; an empty table gives an
-empty result; extra columns are ignored whatever their names.
+empty result; extra columns are kept by ``write_shards`` (but one named ``shard``) and
+ignored by ``shard_documents``.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, numbered, order_key
@@ -156,23 +158,17 @@ def minimax_cuts(groups: DataFrame, shards: int, fan_bits: int = FAN_BITS) -> tu
     return high, firsts
 
 
-def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id``, ``size`` (UTF-8 bytes + 1), ``text_crc32``,
-    ``shard``, ``slot`` (gapless from 0 in the shard) and ``g`` (the group's key)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = materialize(docs.select(
-        F.col(id_col).alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("g")),
-        "shard-rows")
-    groups = materialize(rows.groupBy("g").agg(F.sum("size").alias("size"),
-                                               F.count(F.lit(1)).alias("rows")), "shard-groups")
-    head = groups.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size"),
-                      F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()
+def group_key(text: Column) -> Column:
+    """The atomic group of a text, by which groups are ordered."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def placement(groups: DataFrame, shards: int) -> Callable[[Column], Column]:
+    """The shard of a group key, for the groups (``g``, ``size``)."""
+    total = groups.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()["size"]
     # at most `shards` groups are as large as an even share
-    left, own = head["size"], []
-    large = (groups.filter(F.col("size") * shards >= head["size"])
-             .orderBy(F.desc("size"), "g").collect())
+    left, own = total, []
+    large = groups.filter(F.col("size") * shards >= total).orderBy(F.desc("size"), "g").collect()
     for r in large:
         if len(own) + 1 < shards and r["size"] * (shards - len(own)) >= left:
             own.append(r.g)
@@ -180,12 +176,43 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id",
     rest = groups.filter(~F.col("g").isin(own)) if own else groups
     _, firsts = minimax_cuts(rest, shards - len(own))
     inner = [c for c in firsts if c < 1 << 63]
-    place = F.lit(len(own))
-    if inner:
-        place = place + F.size(F.filter(F.array(*[F.lit(c) for c in inner]),
-                                        lambda c: c <= F.col("g")))
-    for k, g in enumerate(own):
-        place = F.when(F.col("g") == g, F.lit(k)).otherwise(place)
-    placed = rows.withColumn("shard", place.cast("int"))
+
+    def place(g: Column) -> Column:
+        out = F.lit(len(own))
+        if inner:
+            out = out + F.size(F.filter(F.array(*[F.lit(c) for c in inner]), lambda c: c <= g))
+        for k, x in enumerate(own):
+            out = F.when(g == x, F.lit(k)).otherwise(out)
+        return out.cast("int")
+
+    return place
+
+
+def _sized_rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (``doc_id``, ``size``, ``text_crc32``, ``g``) and groups (``g``, ``size``, ``rows``)."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = materialize(docs.select(
+        F.col(f"`{id_col}`").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), group_key(text).alias("g")), "shard-rows")
+    return rows, materialize(rows.groupBy("g").agg(F.sum("size").alias("size"), F.count(F.lit(1))
+                                                   .alias("rows")), "shard-groups")
+
+
+def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row per input row: ``doc_id``, ``size`` (UTF-8 bytes + 1), ``text_crc32``,
+    ``shard``, ``slot`` (gapless from 0 in the shard) and ``g`` (the group's key)."""
+    rows, groups = _sized_rows(docs, id_col, text_col)
+    placed = rows.withColumn("shard", placement(groups, shards)(F.col("g")))
+    total = groups.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows")).first()["rows"]
     spread = order_key(F.col("doc_id"), F.col("g"))
-    return numbered(placed, ["shard"], [F.col("doc_id"), F.col("g")], spread, "slot", head["rows"])
+    return numbered(placed, ["shard"], [F.col("doc_id"), F.col("g")], spread, "slot", total)
+
+
+def write_shards(docs: DataFrame, path: str, shards: int = 16, id_col: str = "doc_id",
+                 text_col: str = "text") -> None:
+    """Write the input rows (all columns) as ``<path>/shard=<n>/``, without a shuffle: the
+    shard follows from the text alone."""
+    _, groups = _sized_rows(docs, id_col, text_col)
+    shard = placement(groups, shards)(group_key(F.col(f"`{text_col}`")))
+    docs.drop("shard").withColumn("shard", shard).write.partitionBy("shard").parquet(path)
