@@ -205,9 +205,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = ANCHOR_WORDS,
     seeds = table.select("row", F.inline(F.arrays_zip(
         F.col("anchors").alias("anchor"), F.col("contexts").alias("context"),
         F.col("firsts").alias("first"), F.col("counts").alias("count"))))
-    twice = (seeds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-             .filter("n > 1").select("anchor"))
-    met = materialize(seeds.join(twice, "anchor", "left_semi"), "substring-met")
+    twice = (seeds.groupBy("anchor").agg(F.count(F.lit(1)).alias("places"))
+             .filter("places > 1"))
+    twice = materialize(twice, "substring-twice")
+    places = table.agg(F.coalesce(F.sum(F.size("anchors")), F.lit(0)).alias("n")).first()["n"]
+    met = materialize(hot_cold_join(seeds, twice, ["anchor"], "places", places).drop("places"),
+                      "substring-met")
     context = ["anchor", "context", "count"]
     classes = materialize(met.groupBy(*context).agg(
         F.count(F.lit(1)).alias("uses"), F.min(F.struct("row", "first")).alias("rep")),
