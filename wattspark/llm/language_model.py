@@ -36,17 +36,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, sliced
 
 ORDER = 3
 SHARE = 1e-5
 DISCOUNT = 0.5
 #: Text bytes of a block, whose distinct rare tokens are looked up once.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: The end token and the start of a text; white space is in no word.
 END, START = b"\n", b"\n\n"
 #: Distinct keys a task counts before it passes them on.
-COUNTER_KEYS = 1 << 19
+COUNTER_KEYS = 1 << 18
 
 
 def held_out(id_column: Column) -> Column:
@@ -68,7 +68,7 @@ def unigram_counts(train: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(
                 list(counts.values()), pa.int64())], names=["word", "n"])
 
-        for batch in batches:
+        for batch in sliced(batches):
             for text in batch.column("text"):
                 counts.update(tokens(text.as_py()))
                 if len(counts) >= COUNTER_KEYS:
@@ -99,7 +99,7 @@ def _extended(train: DataFrame, ids: dict[bytes, int], levels: list[np.ndarray])
             held_n.clear()
             return keys, n.astype(np.int64)
 
-        for batch in batches:
+        for batch in sliced(batches):
             find = ids.get
             found = [ids[START]]
             for text in batch.column("text"):
@@ -272,7 +272,7 @@ def score_texts(docs: DataFrame, order: int = ORDER, share: float = SHARE,
 
         names = ["block", "doc_id", "held_out", "n_tokens", "partial", "base", "rare", "lid", "word"]
         id_type = None
-        for batch in batches:
+        for batch in sliced(batches):
             id_type = batch.column("doc_id").type
             id_values, out_values = batch.column("doc_id").to_pylist(), batch.column("held_out")
             part: list[list] = [[] for _ in range(6)]
