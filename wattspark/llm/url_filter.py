@@ -115,13 +115,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url",
             .agg(F.max_by(F.struct("rule", "rule_verdict"), rank).alias("__best")))
     keys = ["__host", "__path"]
     judged = materialize(urls.join(best, keys, "left"), "url-judged")
-    n = judged.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("__uses"), F.lit(0)).alias("rows"),
-                   F.max(F.octet_length("__host") + F.octet_length("__path") + 160).alias("b")).first()
+    total = judged.agg(F.coalesce(F.sum("__uses"), F.lit(0)).alias("n")).first()["n"]
     rows = pages.withColumns({"__host": host, "__path": path})
-    if n["n"] * (n["b"] or 0) <= BROADCAST_BYTES:
-        out = rows.join(F.broadcast(judged), keys)
-    else:
-        out = hot_cold_join(rows, judged, keys, "__uses", n["rows"])
+    out = hot_cold_join(rows, judged, keys, "__uses", total)
     return out.select(
         *[F.col(f"`{c}`") for c in keep], F.col("__host").alias("host"),
         F.col("__path").alias("path"), F.col("__best.rule").alias("rule"),
