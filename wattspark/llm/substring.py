@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checked_broadcast, hot_cold_join, materialize
+from .common import hot_cold_join, materialize
 
 LENGTH = 35
 ANCHOR_WORDS = 8
@@ -165,11 +165,7 @@ def _context_windows(docs: DataFrame, reps: DataFrame, length: int, id_col: str,
     rows = docs.select(F.xxhash64(F.col(f"`{id_col}`")).alias("id_hash"),
                        F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"),
                        text.cast("binary").alias("text"))
-    n = reps.count()
-    reps = materialize(reps, "substring-open")
-    keys = ["id_hash", "text_hash"]
-    rows = rows.join(checked_broadcast(reps.select(*keys), n, 32), keys, "left_semi")
-    rows = rows.join(reps, keys).select("text", "seeds")
+    rows = rows.join(reps, ["id_hash", "text_hash"]).select("text", "seeds")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digests = Digests()
