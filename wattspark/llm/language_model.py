@@ -155,7 +155,7 @@ class Automaton:
         self.number = {(): 0} | {h: k + 1 for k, h in enumerate(
             sorted(following, key=lambda h: (len(h), h)))}
         self.prob: list[dict[bytes, float]] = [self.single]
-        self.fail, self.weight = [-1], [0.0]
+        self.fail, self.weight = [-1], [1.0]
         for context in list(self.number)[1:]:
             back = self.number[self._known(context[1:])]
             own = {w: (c - discount) / count[context] for w, c in following[context].items()}
