@@ -4,7 +4,8 @@ Texts are tokenized, get an end token, and only those longer than ``capacity``
 are cut into pieces of that length (the first may be shorter).  Pieces are
 packed bin by bin: the bin is filled greedily with the largest pieces that
 fit; then its smallest piece is replaced by the two unpacked pieces that fill
-the expanded gap most tightly, if they fill it better than that piece does.
+the expanded gap most tightly, if they fill it better than that piece does.  A
+group in which greedy filling alone needs fewer bins is packed that way.
 
 Packing works on counts of equal lengths.  Pieces are dealt by hash into
 groups of about ``GROUP_PIECES``; each group is packed in one task, so a group
@@ -109,8 +110,9 @@ def token_pieces(docs: DataFrame, paths: tuple[str, str] | None = None, capacity
     return rows.mapInArrow(run, schema)
 
 
-def best_two_fit(counts: np.ndarray, capacity: int) -> list[list[int]]:
-    """Bins (lists of lengths) for ``counts[n]`` pieces of each length ``n``."""
+def best_two_fit(counts: np.ndarray, capacity: int, replace: bool = True) -> list[list[int]]:
+    """Bins (lists of lengths) for ``counts[n]`` pieces of each length ``n``; without
+    ``replace`` the bins are only filled greedily."""
     left = counts.tolist()
     mask = sum(1 << n for n, c in enumerate(left) if c and n)
     # bit (capacity - n) of the mirror is set where length n is left: sums become shifts
@@ -137,7 +139,7 @@ def best_two_fit(counts: np.ndarray, capacity: int) -> list[list[int]]:
             use(n)
             own.append(n)
             gap -= n
-        if gap and mask and own:
+        if replace and gap and mask:
             smallest = own[-1]
             room = gap + smallest
             for total in range(room, smallest, -1):
@@ -161,7 +163,9 @@ def best_two_fit(counts: np.ndarray, capacity: int) -> list[list[int]]:
 
 def _place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin and offset of each piece."""
-    bins = best_two_fit(np.bincount(lengths, minlength=capacity + 1), capacity)
+    counts = np.bincount(lengths, minlength=capacity + 1)
+    # in a small group the replacements can use up the short pieces too early
+    bins = min((best_two_fit(counts, capacity, r) for r in (True, False)), key=len)
     flat = np.array([n for own in bins for n in own], np.int64)
     sizes = np.array([len(own) for own in bins], np.int64)
     number = np.repeat(np.arange(len(bins)), sizes)
