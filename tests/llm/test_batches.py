@@ -256,6 +256,27 @@ def test_scores_match_a_plain_model(docs, rows, block):
     assert len(out) == len(rows) and set(want) <= got
 
 
+def test_arcs_of_a_count_of_two_stay_in_a_large_input(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "RANGE_TOKENS", 1 << 16, raising=False)
+    ids = [i for i in range(40) if not _is_held_out(i)]
+    data = [(i, t, "en", "s", 1) for i, t in zip(ids, [
+        "w " * 400_000, "alpha beta gamma", "x alpha beta gamma y", "w x w alpha"])]
+    data.append((2 if _is_held_out(2) else next(i for i in range(99) if _is_held_out(i)),
+                 "w alpha beta gamma w alpha x alpha beta", "en", "s", 1))
+    table = spark.createDataFrame(data, DOCS)
+    train = table.filter(F.col("doc_id").isin(ids)).select(F.col("text").cast("binary"))
+    model, _, total = language_model.train_automaton(train, 3, 0.0)
+    assert 1e-5 * total > 3
+    single = Counter(w for _, t, *_ in data[:-1] for w in language_model.tokens(t.encode()))
+    got = {r.doc_id: r for r in language_model.score_texts(table, block_bytes=64).collect()}
+    assert len(got) == len(data)
+    for doc_id, text, *_ in data:
+        score, _, rare = language_model.traverse(
+            language_model.tokens(text.encode()), model.states, model.start)
+        score += sum(math.log10((single[w] + 1) * model.unseen) for w in rare)
+        assert math.isclose(got[doc_id].score, score, rel_tol=1e-9)
+
+
 def test_probabilities_of_every_state_sum_to_one(docs):
     train = docs.select(F.col("text").cast("binary").alias("text"))
     model, table, total = language_model.train_automaton(train, 3, 4e-4)

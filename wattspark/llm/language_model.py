@@ -1,21 +1,24 @@
 """Scoring texts with a weighted backoff automaton of smoothed word n-grams.
 
-Counts: all tokens of all training texts are counted on Spark.  Unigrams get
+Counts: all n-grams of all training texts are counted on Spark.  Unigrams get
 add-one probabilities over the training vocabulary and one unknown token.
-N-grams of two and more tokens with at least ``share`` of all training tokens
-become arcs (their words and parts have at least that share too, so each
-length is counted among extensions of the one before); there are at most
-``1 / share`` arcs of each length, which bounds what is collected and sent to
-the tasks.  Arcs have the absolutely discounted probability
-``(c - discount) / c(context)``; a context's failure arc carries the backoff
-weight that makes its probabilities sum to one.
-
-Automaton: states are contexts.  A text is traversed once from left to right:
-a token follows its arc from the current state, or failure arcs to shorter
-contexts until one has it.  Arcs of frequent tokens at the empty context are
-in the automaton; those of all other tokens stay in the distributed unigram
-table, are looked up per block of texts by a join, and lead to the empty
-context.
+Every n-gram of two and more tokens seen at least ``MIN_COUNT`` times is an
+arc, whatever the input's size (``share`` can raise that bar).  Arcs have the
+absolutely discounted probability ``(c - discount) / c(context)``; a context's
+failure arc carries the backoff weight that makes its probabilities sum to one.
+
+Automaton: states are contexts.  A token follows its arc from the current
+state, or failure arcs to shorter contexts until one has it.  No process holds
+the whole automaton.  Texts are put into blocks; a block sends each of its
+distinct n-grams once, to the owner of the n-gram's hash range, which sums the
+blocks' training counts and answers every block that asked.  The blocks then
+add up what their n-grams give to each context and get the contexts' sums back
+the same way.  A block thus holds all arcs and failure weights that its texts
+can reach, and traverses all of its texts at once.
+
+A frequent n-gram has one entry per block, not per occurrence, and a range is
+a group of its own, so no group grows with one n-gram.  N-grams are told apart
+by 64-bit hashes (5e9 distinct ones make 0.7 equal pairs in the mean).
 
 Cases: a null text counts as empty and has one token, its end; a null id
 counts as training; a token unseen in training has count 0; without training
@@ -26,23 +29,31 @@ names.
 
 from __future__ import annotations
 
+import gc
 import math
+import time
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, sliced
 
 ORDER = 3
+#: Least count of an n-gram of two and more tokens that is an arc.
+MIN_COUNT = 2
+#: Share of the training tokens an arc of ``train_automaton`` has.
 SHARE = 1e-5
 DISCOUNT = 0.5
-#: Text bytes of a block, whose distinct rare tokens are looked up once.
+#: Text bytes of a block, whose distinct n-grams are looked up once.
 BLOCK_BYTES = 8 << 20
+#: Tokens of the input per hash range of n-grams.
+RANGE_TOKENS = 1 << 21
 #: The end token and the start of a text; white space is in no word.
 END, START = b"\n", b"\n\n"
 #: Distinct keys a task counts before it passes them on.
@@ -210,12 +221,16 @@ def traverse(words: list[bytes], states: list[tuple], start: int) -> tuple[float
 
 def train_automaton(train: DataFrame, order: int = ORDER, share: float = SHARE,
                     discount: float = DISCOUNT) -> tuple[Automaton, DataFrame, int]:
-    """Count the training texts (binary column ``text``): automaton, unigram table, tokens."""
+    """Count the training texts (binary column ``text``): automaton, unigram table, tokens.
+
+    The automaton in one process, of the arcs with a ``share`` of the tokens: for small
+    texts (``share`` 0 has all arcs) and to compare ``score_texts`` with.
+    """
     table = materialize(unigram_counts(train), "lm-unigrams")
     head = table.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"),
                      F.coalesce(F.sum(F.when(F.col("word") == F.lit(END), F.col("c"))),
                                 F.lit(0)).alias("texts")).first()
-    total, bar = head["n"], max(2.0, share * head["n"])
+    total, bar = head["n"], max(float(MIN_COUNT), share * head["n"])
     # at most 1 / share words and n-grams reach the bar
     frequent = {bytes(r.word): r.c for r in table.filter(F.col("c") >= bar).collect()}
     words = [*sorted(frequent), START]
@@ -234,92 +249,298 @@ def train_automaton(train: DataFrame, order: int = ORDER, share: float = SHARE,
     return (Automaton(frequent, grams, total, head["v"], head["texts"], discount), table, total)
 
 
-def score_texts(docs: DataFrame, order: int = ORDER, share: float = SHARE,
-                discount: float = DISCOUNT, id_col: str = "doc_id", text_col: str = "text",
-                block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per input row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``,
-    ``train_tokens``, ``base_score`` and ``score`` (log10 probabilities of the text)."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
-                       held_out(F.col(f"`{id_col}`")).alias("held_out"),
-                       F.col(f"`{text_col}`").cast("binary").alias("text"))
-    model, table, total = train_automaton(rows.filter("not held_out"), order, share, discount)
-    shared = docs.sparkSession.sparkContext.broadcast((model.states, model.start))
-    unseen = model.unseen
+class _Numbers(dict):
+    """Numbers words in the order of their first look-up."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def _mixed(prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of n-grams from those of their first part and last word."""
+    x = prefix * np.uint64(0x9E3779B97F4A7C15) + last
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class Block:
+    """The n-grams of a block of texts, each length in the order of its hashes.
+
+    ``at[m]`` has the place, among the distinct (m + 1)-grams, of the one that ends at
+    each token (-1: none); ``first[m]`` has the token each of them first ends at.
+    """
+
+    def __init__(self, row: dict, order: int):
+        words = np.frombuffer(row["hashes"], np.uint64)
+        lids = _unpacked(row["lids"], np.int32)[:, 0]
+        self.n_tokens = np.array(row["n_tokens"], np.int64)
+        held = np.array(row["held_out"], bool)
+        sizes = self.n_tokens + 1  # the start, word 0, precedes each text
+        self.starts = np.cumsum(sizes) - sizes
+        self.trained = np.repeat(~held, sizes)
+        place = np.arange(len(lids)) - np.repeat(self.starts, sizes)
+        gram = last = words[lids]
+        self.hashes, self.at, self.first = [], [], []
+        for m in range(order):
+            if m:
+                gram = np.concatenate([gram[:1], _mixed(gram[:-1], last[1:])])
+            has = np.flatnonzero(place >= m)
+            keys, first, back = np.unique(gram[has], return_index=True, return_inverse=True)
+            at = np.full(len(lids), -1, np.int32)
+            at[has] = back
+            self.hashes.append(keys)
+            self.at.append(at)
+            self.first.append(has[first])
+
+    def counts(self, m: int) -> np.ndarray:
+        """Training counts in this block of the (m + 1)-grams."""
+        at = self.at[m]
+        return np.bincount(at[self.trained & (at >= 0)], minlength=len(self.hashes[m]))
+
+    def asks(self, m: int, counts: list, own: list, bar: float) -> np.ndarray:
+        """Which m-grams are contexts that an (m + 1)-gram fails at, or gives its count to."""
+        ends = np.flatnonzero(self.at[m] >= 0)
+        gram = self.at[m][ends]
+        asks = np.zeros(len(self.hashes[m - 1]), bool)
+        asks[self.at[m - 1][ends - 1][(counts[m][gram, 0] == 0) | own[m][gram]]] = True
+        return asks & (counts[m - 1][:, 0] >= bar)  # no other context has an arc
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Rows of 64-bit or 32-bit numbers (at least one) by byte places, compressed."""
+    places = np.ascontiguousarray(values.reshape(len(values), -1)).view(np.uint8).T
+    return len(values).to_bytes(8, "little") + pa.compress(
+        places.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, kind: type, width: int = 1) -> np.ndarray:
+    n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize * width
+    places = np.frombuffer(pa.decompress(data[8:], n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(places.reshape(size, n).T).view(kind)
+
+
+def _release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
+    spark.range(1).collect()  # the last query is held until the next one
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(2)  # files are deleted in the background
+
+
+def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of the hash ranges starts in sorted ``keys``, and the end."""
+    bounds = [np.uint64(-(-(r << 64) // ranges)) for r in range(ranges)]
+    return np.append(np.searchsorted(keys, np.array(bounds, np.uint64)), len(keys))
+
+
+def _sent(block: int, m: int, keys: np.ndarray, values: np.ndarray, ranges: int) -> Iterator[dict]:
+    """One row per hash range that ``keys`` (sorted) meet; ``values`` has a row per key."""
+    cuts = _cuts(keys, ranges)
+    for r in range(ranges):
+        a, b = cuts[r], cuts[r + 1]
+        if a < b:
+            yield {"m": m, "range": r, "block": block, "hashes": _packed(np.diff(keys[a:b], prepend=np.uint64(0))),
+                   "sums": _packed(values[a:b])}
+
+
+_SENT = "m int, range int, block long, hashes binary, sums binary"
+_SENT_ARROW = pa.schema([("m", pa.int32()), ("range", pa.int32()), ("block", pa.int64()),
+                         ("hashes", pa.binary()), ("sums", pa.binary())])
+_ANSWER = "m int, range int, block long, sums binary, own binary, known long"
+_ANSWER_ARROW = pa.schema([("m", pa.int32()), ("range", pa.int32()), ("block", pa.int64()),
+                           ("sums", pa.binary()), ("own", pa.binary()), ("known", pa.int64())])
+
+
+def _summed(table: pa.Table, width: int, bar: float) -> pa.Table:
+    """Answer a hash range's blocks: the sums of all blocks in place of each one's own.
+
+    Sums below ``bar`` of n-grams of two and more tokens become 0.  ``own`` marks the first
+    block of each key; ``known`` is the number of keys with a sum, on one row.
+    """
+    table = table.sort_by("block")
+    m = table.column("m")[0].as_py()
+    parts = [np.cumsum(_unpacked(x.as_py(), np.uint64)[:, 0], dtype=np.uint64)
+             for x in table.column("hashes")]
+    keys = np.concatenate(parts)
+    values = np.concatenate([_unpacked(x.as_py(), np.int64, width) for x in table.column("sums")])
+    order = np.argsort(keys, kind="stable")
+    new = np.concatenate([[True], keys[order][1:] != keys[order][:-1]])
+    total = np.add.reduceat(values[order], np.flatnonzero(new))
+    known = int((total[:, 0] > 0).sum())
+    if m:
+        total[total[:, 0] < bar] = 0
+    out, own = np.empty_like(values), np.empty(len(keys), bool)
+    out[order], own[order] = total[np.cumsum(new) - 1], new
+    ends = np.cumsum([len(x) for x in parts])
+    spans = list(zip([0, *ends[:-1]], ends, strict=True))
+    return pa.table([table.column("m"), table.column("range"), table.column("block"),
+                     pa.array([_packed(out[a:b]) for a, b in spans], pa.binary()),
+                     pa.array([np.packbits(own[a:b]).tobytes() for a, b in spans], pa.binary()),
+                     pa.array([known] + [0] * (len(spans) - 1), pa.int64())],
+                    schema=_ANSWER_ARROW)
+
+
+def _answers(table: pa.Table, width: int, order: int) -> tuple[list, list]:
+    """The sums and own marks of a block's n-grams, by length, in the order they were sent."""
+    table = table.sort_by([("m", "ascending"), ("range", "ascending")])
+    sums, own = [[] for _ in range(order)], [[] for _ in range(order)]
+    for m, s, o in zip(*(table.column(c).to_pylist() for c in ("m", "sums", "own")), strict=True):
+        s = _unpacked(s, np.int64, width)
+        sums[m].append(s)
+        own[m].append(np.unpackbits(np.frombuffer(o, np.uint8), count=len(s)).astype(bool))
+    none = np.zeros((0, width), np.int64)
+    return ([np.concatenate([none, *x]) for x in sums],
+            [np.concatenate([none[:, 0].astype(bool), *x]) for x in own])
+
+
+def _blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """Texts as blocks of word numbers: one row per block, word 0 is the start of a text."""
     kind = rows.schema["doc_id"].dataType
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states, start = shared.value
-        block = TaskContext.get().partitionId() << 32
-        size, ids, held = 0, {}, []
+        block, id_type = TaskContext.get().partitionId() << 32, None
+        size, ids, held = 0, None, []
 
         def flush():
             nonlocal block, size, ids, held
-            n, v = sum(len(x[0]) for x in held), len(ids)
-            text_rows = [sum((x[k] for x in held), []) for k in range(6)]
-            none = [None]
+            doc_ids, out, lids = (list(x) for x in zip(*held, strict=True))
+            n = [len(x) - 1 for x in lids]
+            hashes = b"".join(blake2b(w, digest_size=8).digest() for w in ids)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * (n + v), pa.int64()),
-                 pa.array(text_rows[0] + none * v, id_type),
-                 pa.array(text_rows[1] + none * v, pa.bool_()),
-                 pa.array(text_rows[2] + none * v, pa.int64()),
-                 pa.array(text_rows[3] + none * v, pa.float64()),
-                 pa.array(text_rows[4] + none * v, pa.float64()),
-                 pa.array(text_rows[5] + none * v, pa.binary()),
-                 pa.array(none * n + list(ids.values()), pa.int32()),
-                 pa.array(none * n + list(ids), pa.binary())], names=names)
+                [pa.array([block], pa.int64()), pa.array([doc_ids], pa.list_(id_type)),
+                 pa.array([out], pa.list_(pa.bool_())), pa.array([n], pa.list_(pa.int64())),
+                 pa.array([sum(k for k, o in zip(n, out, strict=True) if not o)], pa.int64()),
+                 pa.array([out.count(False)], pa.int64()), pa.array([sum(n)], pa.int64()),
+                 pa.array([hashes], pa.binary()),
+                 pa.array([_packed(np.concatenate(lids))], pa.binary())],
+                names=["block", "doc_id", "held_out", "n_tokens", "train_tokens", "train_texts",
+                       "tokens", "hashes", "lids"])
             block += 1
-            size, ids, held = 0, {}, []
+            size, ids, held = 0, None, []
 
-        names = ["block", "doc_id", "held_out", "n_tokens", "partial", "base", "rare", "lid", "word"]
-        id_type = None
         for batch in sliced(batches):
             id_type = batch.column("doc_id").type
-            id_values, out_values = batch.column("doc_id").to_pylist(), batch.column("held_out")
-            part: list[list] = [[] for _ in range(6)]
-            for k, text in enumerate(batch.column("text")):
+            for doc_id, out, text in zip(*(batch.column(c) for c in ("doc_id", "held_out", "text")),
+                                         strict=True):
                 text = text.as_py() or b""
-                words = tokens(text)
-                score, base, rare = traverse(words, states, start)
-                local = ids.setdefault
-                lids = np.fromiter((local(w, len(ids)) for w in rare), np.int32, len(rare))
-                for col, x in zip(part, (id_values[k], out_values[k].as_py(), len(words), score,
-                                         base, lids.tobytes()), strict=True):
-                    col.append(x)
+                if ids is None:
+                    ids = _Numbers({START: 0})
+                words = [START, *tokens(text)]
+                held.append((doc_id.as_py(), out.as_py(),
+                             np.fromiter(map(ids.__getitem__, words), np.int32, len(words))))
                 size += len(text)
                 if size >= block_bytes:
-                    held.append(part)
-                    part = [[] for _ in range(6)]
                     yield from flush()
-            held.append(part)
         if held:
             yield from flush()
 
-    walked = materialize(rows.mapInArrow(
-        walk, f"block long, doc_id {kind.simpleString()}, held_out boolean, n_tokens long, "
-              "partial double, base double, rare binary, lid int, word binary"), "lm-walk")
-    words = walked.filter("lid is not null").select(F.col("block").alias("of"), "lid", "word")
-    found = words.join(table, "word", "left").select("of", "lid", F.coalesce(
-        "c", F.lit(0)).alias("c"))
-    texts = walked.filter("lid is null").drop("lid", "word")
+    id_kind = kind.simpleString()
+    return materialize(rows.mapInArrow(
+        walk, f"block long, doc_id array<{id_kind}>, held_out array<boolean>, "
+              "n_tokens array<long>, train_tokens long, train_texts long, tokens long, "
+              "hashes binary, lids binary"), "lm-blocks")
+
+
+def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
+                discount: float = DISCOUNT, id_col: str = "doc_id", text_col: str = "text",
+                block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """One row per input row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``,
+    ``train_tokens``, ``base_score`` and ``score`` (log10 probabilities of the text)."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
+                       held_out(F.col(f"`{id_col}`")).alias("held_out"),
+                       F.col(f"`{text_col}`").cast("binary").alias("text"))
+    kind = rows.schema["doc_id"].dataType
+    blocks = _blocks(rows, block_bytes)
+    head = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                        for c in ("train_tokens", "train_texts", "tokens")]).first()
+    total, ranges = head["train_tokens"], max(1, -(-head["tokens"] // RANGE_TOKENS))
+    bar = max(float(MIN_COUNT), share * total)
+
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 1):
+            row = batch.to_pylist()[0]
+            block = Block(row, order)
+            for m in range(order):
+                yield pa.RecordBatch.from_pylist(list(_sent(
+                    row["block"], m, block.hashes[m], block.counts(m), ranges)), _SENT_ARROW)
+
+    texts = blocks.select("block", "doc_id", "held_out", "n_tokens", "hashes", "lids")
+    # starts are counted like words: their count is the number of training texts
+    counts = materialize(texts.mapInArrow(sent, _SENT).groupBy("m", "range").applyInArrow(
+        lambda t: _summed(t, 1, bar), _ANSWER), "lm-counts")
+    known = counts.filter("m = 0").agg(F.coalesce(F.sum("known"), F.lit(0)).alias("n")).first()
+    vocabulary = known["n"] - (1 if head["train_texts"] else 0)
+    mass = total + vocabulary + 1 if total else 1
+
+    def given(left: pa.Table, right: pa.Table) -> pa.Table:
+        """What the n-grams this block owns give to their contexts: number, counts, and
+        counts of the n-grams one token shorter."""
+        row = left.to_pylist()[0]
+        block = Block(row, order)
+        sums, own = _answers(right, 1, order)
+        out = []
+        for m in range(1, order):
+            mine = np.flatnonzero(own[m] & (sums[m][:, 0] > 0))
+            ends = block.first[m][mine]
+            context, shorter = block.at[m - 1][ends - 1], block.at[m - 1][ends]
+            give = np.zeros((len(block.hashes[m - 1]), 3), np.int64)
+            np.add.at(give, context, np.stack(
+                [np.ones(len(mine), np.int64), sums[m][mine, 0], sums[m - 1][shorter, 0]], axis=1))
+            may = block.asks(m, sums, own, bar)
+            out += _sent(row["block"], m - 1, block.hashes[m - 1][may], give[may], ranges)
+        return pa.Table.from_pylist(out, _SENT_ARROW)
+
+    _release(docs.sparkSession)
+    contexts = materialize(
+        texts.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(given, _SENT)
+        .groupBy("m", "range").applyInArrow(lambda t: _summed(t, 3, 0.0), _ANSWER), "lm-contexts")
+    _release(docs.sparkSession)
+    answers = (counts.withColumn("of", F.lit(0))
+               .unionByName(contexts.withColumn("of", F.lit(1))))
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        count = np.zeros(right.num_rows, np.int64)
-        count[right.column("lid").to_numpy()] = right.column("c").to_numpy()
-        logs = np.log10((count + 1) * unseen)
-        more, known = [], []
-        for rare, n in zip(left.column("rare").to_pylist(), left.column("n_tokens").to_pylist(),
-                           strict=True):
-            lids = np.frombuffer(rare, np.int32)
-            more.append(logs[lids].sum())
-            known.append(n - int((count[lids] == 0).sum()))
-        more = np.array(more, np.float64)
+        row = left.to_pylist()[0]
+        block = Block(row, order)
+        of = right.column("of").to_numpy()
+        counts_of, own = _answers(right.filter(pa.array(of == 0)), 1, order)
+        count = [x[:, 0] for x in counts_of]
+        given_to = _answers(right.filter(pa.array(of == 1)), 3, order)[0]
+        single = count[0][block.at[0]]
+        base = score = np.log10((single + 1) / mass)
+        for m in range(1, order):
+            weight = np.zeros(len(count[m - 1]))
+            has = np.flatnonzero(block.asks(m, counts_of, own, bar))[given_to[m - 1][:, 0] > 0]
+            n, longer, shorter = given_to[m - 1][given_to[m - 1][:, 0] > 0].T
+            c = count[m - 1][has]
+            if m == 1:
+                rest = (mass - shorter - n) / mass
+            else:
+                c_short = count[m - 2][block.at[m - 2][block.first[m - 1][has]]]
+                rest = (c_short - shorter + discount * n) / c_short
+            weight[has] = np.log10((c - longer + discount * n) / c / rest)
+            ends = np.flatnonzero(block.at[m] >= 0)
+            context = block.at[m - 1][ends - 1]
+            c, c_context = count[m][block.at[m][ends]], count[m - 1][context]
+            hit = c > 0
+            new = score.copy()
+            new[ends] = np.where(hit, np.log10(np.where(hit, c - discount, 1.0)
+                                               / np.where(hit, c_context, 1)),
+                                 score[ends] + weight[context])
+            score = new
+        score, base, single = score.copy(), base.copy(), single > 0
+        score[block.starts] = base[block.starts] = 0.0
+        single[block.starts] = False
         return pa.table({
-            "doc_id": left.column("doc_id"), "held_out": left.column("held_out"),
-            "n_tokens": left.column("n_tokens"), "n_known": pa.array(known, pa.int64()),
-            "train_tokens": pa.array([total] * len(known), pa.int64()),
-            "base_score": left.column("base").to_numpy() + more,
-            "score": left.column("partial").to_numpy() + more})
-
-    return texts.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(
+            "doc_id": pa.array(row["doc_id"], left.schema.field("doc_id").type.value_type),
+            "held_out": pa.array(row["held_out"], pa.bool_()),
+            "n_tokens": block.n_tokens,
+            "n_known": np.add.reduceat(single.astype(np.int64), block.starts),
+            "train_tokens": np.full(len(block.starts), total, np.int64),
+            "base_score": np.add.reduceat(base, block.starts),
+            "score": np.add.reduceat(score, block.starts)})
+
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         finish, f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, "
                 "train_tokens long, base_score double, score double")
