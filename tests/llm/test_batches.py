@@ -141,6 +141,14 @@ def test_quotas_are_sainte_lague_awards(spark):
     assert {(r.source, r.shard): r.blocks for r in got} == dict(want)
 
 
+def test_small_sources_keep_their_targets(spark):
+    sizes = {"big": 600_000, "mid": 9_000, "tiny": 8, "small": 30}
+    data = [(i, "w " * n, "en", s, 1) for i, (s, n) in enumerate(sizes.items())]
+    out = mixing.mix_rows(spark.createDataFrame(data, DOCS)).collect()
+    assert all(abs(r.taken - r.target) <= max(1, 0.02 * r.target) for r in out)
+    assert all(r.taken > 0 for r in out)
+
+
 def _groups(spark, sizes):
     rng = random.Random(len(sizes))
     keys = sorted({rng.getrandbits(64) - (1 << 63) for _ in sizes})

@@ -1,8 +1,10 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal blocks.
 
 The documents of each source are put in a seeded order; their words form the
-source's line, repeated up to ``max_epochs`` times.  The mix has about
-``blocks`` blocks of equal length, cut from these lines.  Each block in turn
+source's line, repeated up to ``max_epochs`` times.  The mix has at least
+about ``blocks`` blocks of equal length, cut from these lines; blocks are so
+short that the smallest target has ``LEAST_BLOCKS`` of them (one word, if it
+has fewer words).  Each block in turn
 goes to the source with the highest quotient ``target / (2 * blocks_so_far + 1)``
 (Sainte-Lague), so every shard, a run of consecutive awards, has an integer
 quota of blocks per source.  A source's blocks are taken from the front of its
@@ -22,6 +24,7 @@ an empty table gives an empty result; extra columns are kept by ``mix_rows``
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,6 +42,8 @@ from .common import (
 
 MAX_EPOCHS = 3
 BLOCKS = 8192
+#: Blocks that the smallest target has at least, unless a block is one word.
+LEAST_BLOCKS = 64
 SHARDS = 64
 WEIGHTS = (1, 2, 3)
 SEED = 17
@@ -66,25 +71,41 @@ def source_targets(totals: DataFrame, weight: Column, max_epochs: int = MAX_EPOC
 
 def block_quotas(targets: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS,
                  max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """Award the blocks one by one: rows (``source``, ``shard``, ``blocks``, ``block_words``)."""
+    """Award the blocks one by one: rows (``source``, ``shard``, ``blocks``, ``block_words``).
+
+    The awards up to each shard's end are counted without listing them: a source surely has
+    those with quotients above the highest divisor possible, and only its next few bids, up
+    to the lowest one, are ranked (about three per source, however many blocks there are).
+    """
     t = targets.withColumn("block_words", F.greatest(
         F.ceil(F.col("all_words") / blocks), F.lit(1)).cast("long"))
     t = t.withColumn("seats", F.round(F.col("all_words") / F.col("block_words")).cast("long"))
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    # no source can be awarded more (the divisor is at least all_words / (seats + sources / 2))
-    most = F.least(
-        F.ceil(F.col("target") * (F.col("seats") + n / 2)
-               / F.greatest(F.col("all_words"), F.lit(1.0)) + 0.5),
-        F.ceil(F.col("source_size") * max_epochs / F.col("block_words"))).cast("long")
-    t = t.withColumn("most", most).filter("most > 0")
-    bids = t.select("source", "target", "block_words", "seats",
-                    F.explode(F.sequence(F.lit(0).cast("long"), F.col("most") - 1)).alias("j"))
+    t = t.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy()))
+    t = t.withColumn("cap", F.ceil(F.col("source_size") * max_epochs / F.col("block_words")))
+    t = t.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    t = t.withColumn("turns", F.ceil((F.col("shard") + 1) * F.col("seats") / shards).cast("long"))
+    every = F.greatest(F.col("all_words"), F.lit(1.0))
+    # the divisor is between all_words / (turns + sources / 2) and / (turns - sources / 2)
+    most = F.least(F.ceil(F.col("target") * (F.col("turns") + F.col("n") / 2) / every + 0.5),
+                   F.col("cap")).cast("long")
+    sure = F.floor(F.col("target") * (F.col("turns") - F.col("n") / 2) / every + 0.5)
+    t = t.withColumn("most", most).filter("most > 0").withColumn(
+        "sure", F.greatest(F.lit(0), F.least(sure, F.col("most"))).cast("long"))
+    first = F.when(F.col("most") > F.col("sure"), F.sequence("sure", F.col("most") - 1))
+    bids = t.select("source", "shard", "target", "block_words", "turns", "sure",
+                    F.explode_outer(first).alias("j"))
     bids = bids.withColumn("q", F.col("target") / (2 * F.col("j") + 1))
-    turn = F.row_number().over(Window.orderBy(F.desc("q"), F.col("source").asc_nulls_last(), "j"))
-    awards = bids.withColumn("turn", turn).filter("turn <= seats")
-    shard = F.floor((F.col("turn") - 1) * shards / F.col("seats")).cast("int")
-    return (awards.groupBy("source", shard.alias("shard"), "block_words")
-            .agg(F.count(F.lit(1)).alias("blocks")))
+    in_turn = Window.partitionBy("shard").orderBy(
+        F.desc_nulls_last("q"), F.col("source").asc_nulls_last(), "j")
+    own = F.row_number().over(Window.partitionBy("shard", "source").orderBy("j"))
+    bids = bids.withColumn("once", F.when(own == 1, F.col("sure")).otherwise(0))
+    left = F.col("turns") - F.sum("once").over(Window.partitionBy("shard"))
+    won = (F.row_number().over(in_turn) <= left) & F.col("j").isNotNull()
+    upto = (bids.withColumn("won", won.cast("long")).groupBy("source", "shard", "block_words")
+            .agg((F.max("sure") + F.sum("won")).alias("upto")))
+    before = F.lag("upto", 1, 0).over(Window.partitionBy("source").orderBy("shard"))
+    return (upto.withColumn("blocks", (F.col("upto") - before).cast("long")).drop("upto")
+            .filter("blocks > 0"))
 
 
 def mix_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, *, size: Column | None = None,
@@ -109,6 +130,10 @@ def mix_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, *, size: Colum
                           (nth % len(weights) + 1).cast("int"))
     totals = materialize(totals, "mix-totals")
     targets = source_targets(totals.drop("rows"), weight, max_epochs)
+    least = targets.agg(F.max("all_words").alias("n"), F.min(F.when(
+        F.col("target") > 0, F.col("target"))).alias("target")).first()
+    if least["target"]:
+        blocks = max(blocks, math.ceil(least["n"] / max(1, least["target"] // LEAST_BLOCKS)))
     quotas = (block_quotas(targets, blocks, shards, max_epochs)
               .groupBy("source").agg((F.sum("blocks") * F.max("block_words")).alias("drawn")))
     plan = (targets.alias("t").join(quotas.alias("q"),
