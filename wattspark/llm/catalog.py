@@ -11,6 +11,7 @@ from wattspark.session import ship_package
 
 from . import (
     exact_dedup,
+    factorisation,
     language_model,
     license_scan,
     mixing,
@@ -20,6 +21,7 @@ from . import (
     simhash,
     substring,
     url_filter,
+    whitening,
 )
 from .common import materialize, read_table
 
@@ -103,10 +105,22 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leading 16 whitened components of every embedding (spectrum slicing)."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a factorisation machine."""
+    docs = read_table(spark, sf_dir, "documents")
+    machine = factorisation.train_machine(docs, read_table(spark, sf_dir, "labels"))
+    return factorisation.score_quality(docs, machine)
+
+
 _QUERIES = (
     op1_best_fit_packing, op2_url_filter, op3_source_mixing, op4_quality_rules,
     op5_simhash_near_dedup, op6_license_scan, op7_exact_dedup, op8_substring_dedup,
-    op9_sharding, op10_language_model,
+    op9_sharding, op10_language_model, op12_embedding_whitening, op13_quality_classifier,
 )
 
 
