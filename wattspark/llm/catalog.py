@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wattspark.session import ship_package
 
 from . import (
+    collocations,
     exact_dedup,
     factorisation,
     language_model,
@@ -105,6 +106,11 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_texts(read_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of two and three words of every language."""
+    return collocations.mine_phrases(read_table(spark, sf_dir, "documents")).drop("cut")
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leading 16 whitened components of every embedding (spectrum slicing)."""
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
@@ -120,7 +126,8 @@ def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = (
     op1_best_fit_packing, op2_url_filter, op3_source_mixing, op4_quality_rules,
     op5_simhash_near_dedup, op6_license_scan, op7_exact_dedup, op8_substring_dedup,
-    op9_sharding, op10_language_model, op12_embedding_whitening, op13_quality_classifier,
+    op9_sharding, op10_language_model, op11_phrase_collocations, op12_embedding_whitening,
+    op13_quality_classifier,
 )
 
 
@@ -193,6 +200,58 @@ FROM words x LEFT JOIN kept k ON x.doc_id = k.doc_id
 """
 
 
+_OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(
+           coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+sizes AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM words GROUP BY lang),
+one AS (SELECT lang, w, count(*) AS f FROM (SELECT lang, unnest(ws) AS w FROM words)
+        GROUP BY lang, w),
+two AS (
+  SELECT lang, g.a AS a, g.b AS b, count(*) AS f
+  FROM (SELECT lang, unnest([{'a': ws[i], 'b': ws[i + 1]} for i in range(1, len(ws))]) AS g
+        FROM words WHERE len(ws) >= 2)
+  GROUP BY ALL),
+three AS (
+  SELECT lang, g.a AS a, g.b AS b, g.c AS c, count(*) AS f
+  FROM (SELECT lang, unnest([{'a': ws[i], 'b': ws[i + 1], 'c': ws[i + 2]}
+                             for i in range(1, len(ws) - 1)]) AS g
+        FROM words WHERE len(ws) >= 3)
+  GROUP BY ALL HAVING count(*) >= 10),
+covers AS (
+  SELECT lang, a, b, max(f) AS f FROM (
+    SELECT lang, a, b, f FROM three UNION ALL SELECT lang, b, c, f FROM three) GROUP BY ALL),
+cuts AS (
+  SELECT t.lang, t.a || ' ' || t.b AS phrase, t.f AS a, x.f AS l, y.f AS r, 1 AS k
+  FROM two t JOIN one x ON x.lang = t.lang AND x.w = t.a
+             JOIN one y ON y.lang = t.lang AND y.w = t.b
+             LEFT JOIN covers c ON c.lang = t.lang AND c.a = t.a AND c.b = t.b
+  WHERE t.f >= 10 AND (c.f IS NULL OR 100 * c.f < 50 * t.f)
+  UNION ALL
+  SELECT t.lang, t.a || ' ' || t.b || ' ' || t.c, t.f, x.f, y.f, 1
+  FROM three t JOIN one x ON x.lang = t.lang AND x.w = t.a
+               JOIN two y ON y.lang = t.lang AND y.a = t.b AND y.b = t.c
+  UNION ALL
+  SELECT t.lang, t.a || ' ' || t.b || ' ' || t.c, t.f, x.f, y.f, 2
+  FROM three t JOIN two x ON x.lang = t.lang AND x.a = t.a AND x.b = t.b
+               JOIN one y ON y.lang = t.lang AND y.w = t.c),
+scored AS (
+  SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score
+  FROM cuts),
+lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored),
+ranks AS (
+  SELECT lang, phrase, a, l, r, score,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest WHERE nth = 1)
+SELECT k.lang, k.rank, k.phrase, k.a, k.l, k.r, s.n, k.score
+FROM ranks k JOIN sizes s ON s.lang = k.lang WHERE k.rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the operators SQL can state; the others are tested against brute force."""
-    return {"op2_url_filter": _OP2, "op7_exact_dedup": _OP7, "op8_substring_dedup": _OP8}
+    return {"op2_url_filter": _OP2, "op7_exact_dedup": _OP7, "op8_substring_dedup": _OP8,
+            "op11_phrase_collocations": _OP11}
