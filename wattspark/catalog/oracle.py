@@ -7,6 +7,7 @@ the operator's semantics directly in SQL, independently of the Spark code.
 
 from __future__ import annotations
 
+from wattspark.catalog import trained_sql
 from wattspark.schemas import (
     DEFAULT_CLUSTER_FILTER, DEFAULT_VM_NAME_FILTER, ENERGY_FEATURES, K8S_DROP, SOURCES,
     VM_PROXMOX_COLUMNS, VM_SCAPH_AGG,
@@ -498,7 +499,8 @@ SELECT n, round(mae, 6) AS mae, round(mse, 6) AS mse,
     o["anomaly_workflow"] = o["anomaly_flags"]
     o["energy_workflow"] = stored_run_sql("energy", split_sql(rows=selected))
     o["vm_power_workflow"] = stored_run_sql("vm_power", vm_split_sql(rows=selected))
-    return o
+    o["scan_paths"] = o["scan_long_pdu"]
+    return {**o, **trained_sql.oracle_sql()}
 
 
 def metrics_sql(seed: int = SEED) -> str:

@@ -59,6 +59,8 @@ def register(name: str):
 
 
 def queries() -> dict[str, Query]:
+    from wattspark.catalog import trained  # noqa: F401  registers its queries
+
     return dict(_REGISTRY)
 
 

@@ -8,13 +8,13 @@ NumPy model trained with synchronous parameter averaging:
   never from the cluster, so the same rows give the same model anywhere;
 * every epoch is one Spark job: the current weights and Adam moments are
   broadcast, each partition runs shuffled minibatch Adam over its own rows
-  (``mapInPandas``), and returns its weights, moments, row count and loss
-  sum as one row;
-* the per-partition states are averaged weighted by row count by a
-  distributed aggregation (``posexplode`` + ``groupBy``); only the averaged,
-  model-sized state comes back to the driver.
+  (``mapInArrow``), and returns its weights and moments in slices, with its
+  row count and loss sum;
+* the slices are averaged weighted by row count, one group per slice; only
+  the averaged, model-sized state comes back to the driver.
 
-With one partition this is plain minibatch Adam.  Prediction is a pandas UDF
+With one partition this is plain minibatch Adam.  Training that synchronises
+after every minibatch is :mod:`wattspark.operators.learn.sync`.  Prediction is a pandas UDF
 (Arrow batches) with the weights broadcast.  A model is stored as one
 Parquet row (layer sizes, activations, flat weights, scaler arrays).
 """
@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,13 +134,10 @@ def adam_epoch(state: np.ndarray, sizes, activations, x, y, lr: float, batch: in
     return np.concatenate([params, m, v, [t]]), loss_sum
 
 
-_STATE_SCHEMA = T.StructType([
-    T.StructField("n", T.LongType()),
-    T.StructField("loss_sum", T.DoubleType()),
-    T.StructField("val_n", T.LongType()),
-    T.StructField("val_loss_sum", T.DoubleType()),
-    T.StructField("state", T.ArrayType(T.DoubleType())),
-])
+#: Values of a state in one slice (a task averages one slice of all partitions).
+SLICE = 4096
+_SLICES = ("slice int, task int, n long, loss_sum double, val_n long, val_loss_sum double, "
+           "part binary")
 
 
 def _train_rows(df: DataFrame, features, targets, num_partitions, seed,
@@ -172,30 +170,40 @@ def training_partitions(n_rows: int, batch_size: int, requested: int | None = No
     return min(fit, requested) if requested else fit
 
 
-def _average(states: DataFrame) -> dict:
+def _average(states: DataFrame, size: int) -> dict:
     """Row-count-weighted mean of the partition states, in one job.
 
-    The states are exploded to (position, value) and reduced by a
-    ``groupBy`` (distributed; the partitions' states never meet in one
-    task); the totals of rows and losses ride along in the same aggregation.
-    Only the averaged, model-sized vector is collected and put in order on
-    the driver, so the training stage runs exactly once per epoch.
+    A group holds one slice of every partition's state (32 KB each) and adds
+    them in task order; only the averaged, model-sized vector is collected.
     """
-    exploded = states.select("n", "loss_sum", "val_n", "val_loss_sum",
-                             F.posexplode("state").alias("pos", "val"))
-    weight = F.col("n").cast("double")
-    avg = exploded.groupBy("pos").agg(
-        (F.sum(F.col("val") * weight) / F.sum(weight)).alias("val"),
-        F.sum("n").alias("n"), F.sum("loss_sum").alias("loss"),
-        F.sum("val_n").alias("val_n"), F.sum("val_loss_sum").alias("val_loss"))
-    pdf = avg.toPandas()   # Arrow transfer of the model-sized result
-    if pdf.empty or int(pdf["n"].iloc[0]) == 0:
+    def mean(table: pa.Table) -> pa.Table:
+        table = table.sort_by("task")
+        n = table.column("n").to_numpy()
+        total = np.zeros(len(table.column("part")[0].as_py()) // 8)
+        for rows, part in zip(n, table.column("part"), strict=True):
+            if rows:
+                total += np.frombuffer(part.as_py()) * rows
+        add = {c: pa.array([table.column(c).to_numpy().sum()], t) for c, t in (
+            ("n", pa.int64()), ("loss_sum", pa.float64()), ("val_n", pa.int64()),
+            ("val_loss_sum", pa.float64()))}
+        return pa.table({"slice": table.column("slice").slice(0, 1), "task": pa.array([0], pa.int32()),
+                         **add, "part": pa.array([(total / max(n.sum(), 1)).tobytes()], pa.binary())})
+
+    parts = states.groupBy("slice").applyInArrow(mean, _SLICES).collect()   # model-sized
+    if not parts or not parts[0]["n"]:
         raise ValueError("no training rows")
-    vec = np.empty(len(pdf), dtype=float)
-    vec[pdf["pos"].to_numpy()] = pdf["val"].to_numpy(dtype=float)
-    first = pdf.iloc[0]
-    return {"state": vec, "n": int(first["n"]), "loss": float(first["loss"]),
-            "val_n": int(first["val_n"]), "val_loss": float(first["val_loss"])}
+    vec = np.empty(size)
+    for r in parts:
+        own = np.frombuffer(bytes(r["part"]))
+        vec[r["slice"] * SLICE:r["slice"] * SLICE + len(own)] = own
+    first = parts[0]
+    return {"state": vec, "n": first["n"], "loss": first["loss_sum"],
+            "val_n": first["val_n"], "val_loss": first["val_loss_sum"]}
+
+
+def list_matrix(column: pa.Array) -> np.ndarray:
+    """A column of equally long lists of doubles as a matrix (no Python objects)."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def _mse_sum(params, sizes, acts, x, y) -> float:
@@ -243,12 +251,11 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
             cur, n, loss_sum, val_n, val_sum = start, 0, 0.0, 0, 0.0
             # stream the partition's Arrow batches: rows are already spread
             # at random over partitions, each batch is shuffled again
-            for pdf in batches:
-                if len(pdf) == 0:
+            for batch in batches:
+                if not batch.num_rows:
                     continue
-                x = np.array(pdf["x"].tolist(), dtype=float)
-                y = np.array(pdf["y"].tolist(), dtype=float)
-                is_val = pdf["is_val"].to_numpy(dtype=bool)
+                x, y = list_matrix(batch.column("x")), list_matrix(batch.column("y"))
+                is_val = batch.column("is_val").to_numpy(zero_copy_only=False)
                 if is_val.any():
                     val_sum += _mse_sum(start[:p], sizes, acts, x[is_val], y[is_val])
                     val_n += int(is_val.sum())
@@ -257,17 +264,23 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
                                          batch_size, rng)
                     n += int((~is_val).sum())
                     loss_sum += ls
-            yield pd.DataFrame({"n": [n], "loss_sum": [loss_sum], "val_n": [val_n],
-                                "val_loss_sum": [val_sum], "state": [cur]})
-
-        states = rows.mapInPandas(run, _STATE_SCHEMA)
+            cuts = range(0, len(cur), SLICE)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(cuts)), pa.int32())]
+                + [pa.array([v] * len(cuts), t) for v, t in (
+                    (pid, pa.int32()), (n, pa.int64()), (loss_sum, pa.float64()),
+                    (val_n, pa.int64()), (val_sum, pa.float64()))]
+                + [pa.array([cur[k:k + SLICE].tobytes() for k in cuts], pa.binary())],
+                names=["slice", "task", "n", "loss_sum", "val_n", "val_loss_sum", "part"])
+
+        states = rows.mapInArrow(run, _SLICES)
         if train_now:
-            res = _average(states)
+            res = _average(states, len(state))
             state = res["state"]
             history.append({"epoch": epoch, "loss": res["loss"] / res["n"]})
         else:
-            res = states.agg(F.sum("val_n").alias("val_n"),
-                             F.sum("val_loss_sum").alias("val_loss")).first()
+            res = states.where("slice = 0").agg(F.sum("val_n").alias("val_n"),
+                                                F.sum("val_loss_sum").alias("val_loss")).first()
             res = {"val_n": int(res["val_n"] or 0), "val_loss": float(res["val_loss"] or 0.0)}
         bstate.unpersist()
         if epoch > 1 and validation is not None:

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattspark.operators.learn import anomaly, dense, forest, metrics, scale, split
+from wattspark.operators.learn.sync import fit_dense_sync as sync_fit
 from wattspark.plans import datasets, preprocess, selection
+from wattspark.session import path_exists
 from wattspark.sources import sinks
 from wattspark.schemas import (
     ANOMALY_FEATURES, DEFAULT_VM_NAME_FILTER, ENERGY_FEATURES, ENERGY_TARGET, VM_FEATURES, VM_TARGET,
@@ -55,11 +57,11 @@ def energy_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
                     vm_name_filter: str = DEFAULT_VM_NAME_FILTER, interval: str = "1min",
                     features=ENERGY_FEATURES, target: str = ENERGY_TARGET,
                     test_size: float = 0.2, seed: int = 42, num_trees: int = 100,
-                    max_depth: int = 10, split_key=None, output: str | None = None,
+                    max_depth: int | None = None, split_key=None, output: str | None = None,
                     run_id: str = "energy") -> WorkflowResult:
     """Kepler + k8s selection -> processing -> energy dataset -> split ->
-    random forest -> test predictions -> MAE / MSE / R2.  ``output`` names a
-    folder that receives the splits, the model and the metrics."""
+    random forest (``max_depth=None``: unlimited trees) -> test predictions ->
+    MAE / MSE / R2.  ``output`` names a folder that receives the splits, the model and the metrics."""
     inv = selection.lookup_inventory(tel, start, stop, vm_name_filter)   # once, shared
     kep = preprocess.prep_kepler(_plugin_long(tel, "kepler", start, stop, vm_name_filter, inv))
     k8s = preprocess.prep_k8s(_plugin_long(tel, "k8s", start, stop, vm_name_filter, inv))
@@ -82,12 +84,13 @@ def vm_power_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
                       features=VM_FEATURES, target: str = VM_TARGET, test_size: float = 0.2,
                       seed: int = 42, epochs: int = 20, lr: float = 1e-3, batch_size: int = 32,
                       hidden=(128, 64), num_partitions: int | None = None,
-                      split_key=None, output: str | None = None,
+                      sync: bool = False, split_key=None, output: str | None = None,
                       run_id: str = "vm_power") -> WorkflowResult:
     """Proxmox + scaphandre selection -> processing -> VM power dataset ->
     split -> scaler fitted on train -> MLP -> test predictions -> metrics.
-    ``output`` names a folder that receives the splits, the model and the
-    metrics."""
+    ``sync`` takes a step per global minibatch (:mod:`sync`) instead of
+    averaging per epoch.  ``output`` names a folder that receives the splits,
+    the model and the metrics."""
     inv = selection.lookup_inventory(tel, start, stop, vm_name_filter)   # once, shared
     prox = preprocess.prep_proxmox(_plugin_long(tel, "proxmox", start, stop, vm_name_filter, inv))
     vm = preprocess.prep_scaphandre_vm(_plugin_long(tel, "scaphandre", start, stop, vm_name_filter,
@@ -97,10 +100,13 @@ def vm_power_workflow(tel: DataFrame, start: datetime, stop: datetime, *,
     train = splits.where(F.col("split") == "train")
     test = splits.where(F.col("split") == "test")
     scaler = scale.scaler_values(scale.fit_standard_scaler(train, features))  # one row
-    model, history = dense.fit_dense(scale.transform_standard(train, scaler, features), features,
-                                     [target], hidden, epochs=epochs, lr=lr,
-                                     batch_size=batch_size, seed=seed,
-                                     num_partitions=num_partitions)
+    scaled = scale.transform_standard(train, scaler, features)
+    args = dict(epochs=epochs, lr=lr, batch_size=batch_size, seed=seed)
+    if sync:
+        model, history = sync_fit(scaled, features, [target], hidden, workers=num_partitions, **args)
+    else:
+        model, history = dense.fit_dense(scaled, features, [target], hidden,
+                                         num_partitions=num_partitions, **args)
     model.scaler_mean, model.scaler_scale = scale.scaler_arrays(scaler, features)
     scored = dense.predict_dense(test, model)
     m = metrics.regression_metrics(scored, target, "prediction")
@@ -129,5 +135,14 @@ def anomaly_workflow(vm_dataset: DataFrame, *, features=ANOMALY_FEATURES, epochs
 
 
 def batch_score(model_path: str, df: DataFrame) -> DataFrame:
-    """Score any DataFrame with a stored forest (the served-model use)."""
-    return forest.predict(forest.load_model(model_path), df)
+    """Score any DataFrame with a stored model (the served-model use).
+
+    Forests and networks add ``prediction``; a network whose targets are its
+    features adds ``reconstruction_error``, ``threshold`` and ``is_anomaly``."""
+    path, spark = model_path.rstrip("/"), df.sparkSession
+    if any(path_exists(spark, f"{path}/{mark}") for mark in ("forest", "metadata")):
+        return forest.predict(forest.load_model(path), df)
+    model = dense.load_dense(spark, path)
+    if model.targets == model.features:
+        return anomaly.score_anomalies(df, model)
+    return dense.predict_dense(df, model)
