@@ -152,5 +152,5 @@ def q_scan_paths(spark, sf_dir):
         path = scratch_path(spark, f"exports-{name}")
         exports.write_exports(rows.where(F.hour("_time") % 2 == part), path, "pdu", run_id=name)
         paths.append(f"{path}/export=*_{name}/part-*")
-    df = exports.read_exports(spark, "", "pdu", paths=exports._existing(spark, paths))
+    df = exports.read_exports(spark, "", "pdu", paths=exports.existing(spark, paths))
     return base.ntz(df.drop("_file", "_start", "_stop"))

@@ -144,6 +144,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, through the file system it names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(str(f.getPath()) for f in found) if found else []
+
+
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Total size of the files under ``paths`` (file-system metadata only)."""
     jvm = spark.sparkContext._jvm

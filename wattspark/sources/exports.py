@@ -28,7 +28,12 @@ def _globs(directory: str, prefix: str) -> list[str]:
     return [f"{d}/{prefix}*.csv", f"{d}/export={prefix}*/part-*"]
 
 
-def _existing(spark: SparkSession, globs: list[str]) -> list[str]:
+def export_globs(directory: str, source: str) -> list[str]:
+    """Where the exports of a source lie in a folder."""
+    return _globs(directory, SOURCES[source].prefix)
+
+
+def existing(spark: SparkSession, globs: list[str]) -> list[str]:
     """Globs that match at least one file (checked through Hadoop FS)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -41,8 +46,13 @@ def _existing(spark: SparkSession, globs: list[str]) -> list[str]:
     return out
 
 
+#: Path of the file a row came from, when asked for.
+PATH_COL = "_path"
+
+
 def _typed_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(FILE_COL, T.StringType(), True)])
+    return T.StructType([*schema.fields, T.StructField(FILE_COL, T.StringType(), True),
+                         T.StructField(PATH_COL, T.StringType(), True)])
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -62,7 +72,7 @@ def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
         elif not isinstance(f.dataType, T.StringType):
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
-    return df.select(*cols, F.col(FILE_COL))
+    return df.select(*cols, F.col(FILE_COL), F.col(PATH_COL))
 
 
 #: Columns every export has; a line that names them is a header.
@@ -108,28 +118,54 @@ def _by_header(spark: SparkSession, paths: list[str], schema: T.StructType) -> l
     for header, own in sorted(files.items()):
         raw = (spark.read.schema(_header_schema(header)).option("header", False)
                .option("mode", "PERMISSIVE").csv(sorted(own)))
-        raw = raw.withColumn(FILE_COL, _export_name())
+        raw = raw.withColumns({FILE_COL: _export_name(), PATH_COL: F.col("_metadata.file_path")})
         parts.append(_typed(raw.where(F.col("_field").isNull() | (F.col("_field") != "_field")),
                             schema))
     if mixed:
-        text = spark.read.text(sorted(mixed)).select(
-            "value", F.col("_metadata.file_path").alias("path"), _export_name().alias(FILE_COL),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("nth"))
-        above = Window.partitionBy("path").orderBy("block", "nth")
-        text = text.withColumn("header", F.last(
-            F.when(_is_header(F.col("value")), F.col("value")), ignorenulls=True).over(above))
+        text = lines_under_headers(spark, sorted(mixed))
         for header in sorted({h for own in mixed.values() for h in own}):
             cells = F.from_csv(F.col("value"), _header_schema(header).toDDL())
             rows = text.where((F.col("header") == header) & (F.col("value") != header)
                               & (F.trim("value") != ""))
-            parts.append(_typed(rows.select(cells.alias("c"), FILE_COL).select("c.*", FILE_COL),
-                                schema))
+            parts.append(_typed(rows.select(cells.alias("c"), FILE_COL, PATH_COL)
+                                .select("c.*", FILE_COL, PATH_COL), schema))
     return parts
 
 
+def lines_under_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``value`` (a line), ``header`` (the last header above it), ``_file`` and ``_path``.
+
+    A segmented scan over the splits in which the files are read: each split's last
+    header is found, carried on to the following splits of its file (a table of one
+    row per split), and within a split the last header above a line wins over the one
+    carried in.  Lines are dealt by split, so a large file is read by many tasks.
+    """
+    text = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias(PATH_COL), _export_name().alias(FILE_COL),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("nth"))
+    text = text.withColumn("own", F.when(_is_header(F.col("value")), F.col("value")))
+    splits = text.groupBy(PATH_COL, "split").agg(F.max_by("own", F.when(
+        F.col("own").isNotNull(), F.col("nth"))).alias("last"))
+    # per file: its splits in order, each with the last header of those before it
+    ordered = F.array_sort(F.collect_list(F.struct("split", "last")))
+    start = F.struct(F.lit(None).cast("string").alias("header"),
+                     F.array().cast("array<struct<split:bigint,carried:string>>").alias("done"))
+    scan = F.aggregate(ordered, start, lambda acc, x: F.struct(
+        F.coalesce(x["last"], acc["header"]).alias("header"),
+        F.concat(acc["done"], F.array(F.struct(x["split"].alias("split"),
+                                               acc["header"].alias("carried")))).alias("done")))
+    carried = (splits.groupBy(PATH_COL).agg(scan["done"].alias("s"))
+               .select(PATH_COL, F.explode("s").alias("s")).select(PATH_COL, "s.split", "s.carried"))
+    above = Window.partitionBy(PATH_COL, "split").orderBy("nth")
+    rows = text.withColumn("inside", F.last("own", ignorenulls=True).over(above))
+    return rows.join(carried, [PATH_COL, "split"]).select(
+        "value", F.coalesce("inside", "carried").alias("header"), FILE_COL, PATH_COL)
+
+
 def read_exports(spark: SparkSession, directory: str, source: str | Source, *,
-                 prefix: str | None = None, paths: list[str] | None = None) -> DataFrame:
+                 prefix: str | None = None, paths: list[str] | None = None,
+                 with_path: bool = False) -> DataFrame:
     """Scan all ``<prefix>*.csv`` exports of a source in ``directory``.
 
     Returns the long telemetry with declared types, missing-value tokens in
@@ -139,19 +175,18 @@ def read_exports(spark: SparkSession, directory: str, source: str | Source, *,
     Headers repeated inside a file (concatenated exports), also with other
     columns than the first, and blank lines are dropped.  A file without a
     header has no columns and no rows.  ``paths`` scans an explicit list of
-    files instead of the prefix glob.
+    files instead of the prefix glob; ``with_path`` adds each row's file path
+    as ``_path``.
     """
     src = SOURCES[source] if isinstance(source, str) else source
     schema = raw_schema(src)
     if paths is None:
-        paths = _existing(spark, _globs(directory, prefix or src.prefix))
+        paths = existing(spark, _globs(directory, prefix or src.prefix))
     parts = _by_header(spark, paths, schema) if paths else []
-    if not parts:
-        return spark.createDataFrame([], _typed_schema(schema))
-    out = parts[0]
+    out = parts[0] if parts else spark.createDataFrame([], _typed_schema(schema))
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out if with_path else out.drop(PATH_COL)
 
 
 def read_routed(spark: SparkSession, directory: str, *,
@@ -183,12 +218,14 @@ def _text(c: str, dtype: T.DataType):
 def write_exports(df: DataFrame, directory: str, source: str | Source, *,
                   name_col: str | None = None, leading_blank: bool = False,
                   header_per: str | None = None, run_id: str | None = None,
-                  max_records_per_file: int = 5_000_000) -> None:
+                  max_records_per_file: int = 5_000_000, rows_per_part: int = 1_000_000) -> None:
     """Write long telemetry as exports ``<dir>/export=<prefix>_<name>_<run>/part-*``.
 
     One export (query result) per name and run is a directory of part files,
     so a second run never adds to an export of the first; ``run_id`` is
-    :func:`new_run_id` unless given.  Each
+    :func:`new_run_id` unless given.  The exports are staged and put in place
+    when all are written, replacing those of the same name and run, so a
+    repeated or retried run leaves the same rows.  Each
     task writes its own part files (no repartition, so a hot export name is
     not funnelled into one task) with the raw export column order and a
     header line at the top of every file.  With ``leading_blank`` every line
@@ -198,7 +235,8 @@ def write_exports(df: DataFrame, directory: str, source: str | Source, *,
     ``header_per`` writes the concatenated layout instead: the header is
     repeated once per distinct value of that column (one per appended query
     result) inside the export's files, above that result's rows and after a
-    blank line.  Results are spread over files by a hash of the column.
+    blank line.  Results are spread over files by a hash of the column, those of
+    more than ``rows_per_part`` rows in several parts with a header each.
     """
     src = SOURCES[source] if isinstance(source, str) else source
     names = [f.name for f in raw_schema(src).fields]
@@ -209,7 +247,7 @@ def write_exports(df: DataFrame, directory: str, source: str | Source, *,
     if header_per is None:
         lead = [F.lit(None).cast("string").alias("_c0")] if leading_blank else []
         out = df.select(export, *lead, *fields)
-        (out.write.mode("append").partitionBy("export")
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("export")
          .option("header", True).option("maxRecordsPerFile", max_records_per_file)
          .csv(directory))
         return
@@ -217,13 +255,18 @@ def write_exports(df: DataFrame, directory: str, source: str | Source, *,
     # to_csv quotes values holding separators or quotes
     line = F.to_csv(F.struct(*lead, *fields))
     table = F.col(f"`{header_per}`").alias("__table")
-    body = df.select(export, table, F.lit(1).alias("__part"), line.alias("value"))
+    body = df.select(export, table, F.xxhash64(*df.columns).alias("__row"), line.alias("value"))
+    large = (body.groupBy("export", "__table").count().filter(F.col("count") > rows_per_part)
+             .select("export", "__table", F.ceil(F.col("count") / rows_per_part).alias("__parts")))
+    salt = F.pmod(F.col("__row"), F.coalesce("__parts", F.lit(1).cast("long")))
+    body = (body.join(large, ["export", "__table"], "left").withColumn("__salt", salt)
+            .select("export", "__table", "__salt", F.lit(1).alias("__part"), "value"))
     header = ("," if leading_blank else "") + ",".join(names)
     top = F.explode(F.array(F.lit(""), F.lit(header)))
-    tables = df.select(export, table).distinct().select(
-        "export", "__table", F.lit(0).alias("__part"), top.alias("value"))
+    keys = ["export", "__table", "__salt"]
+    tables = body.select(*keys).distinct().select(*keys, F.lit(0).alias("__part"), top.alias("value"))
     # in a file: each result's blank line and header (part 0), then its rows
-    order = ["export", "__table", "__part", F.length(F.trim("value")) > 0]
-    (body.unionByName(tables).repartition("export", "__table").sortWithinPartitions(*order)
-     .select("export", "value").write.mode("append").partitionBy("export")
-     .text(directory))
+    order = [*keys, "__part", F.length(F.trim("value")) > 0]
+    (body.unionByName(tables).repartition(*keys).sortWithinPartitions(*order)
+     .select("export", "value").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("export").text(directory))
