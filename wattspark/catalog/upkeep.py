@@ -49,7 +49,7 @@ def q_scan_changing_headers(spark, sf_dir):
         both = own.unionByName(top)
         lines = both if lines is None else lines.unionByName(both)
     (lines.withColumn("export", F.lit("kepler_mixed")).repartition(8, "part")
-     .sortWithinPartitions("part", "table", "kind").select("export", "value")
+     .sortWithinPartitions("export", "part", "table", "kind").select("export", "value")
      .write.partitionBy("export").text(path))
     df = exports.read_exports(spark, path, "kepler")
     return base.ntz(df.drop("_file", "_start", "_stop"))

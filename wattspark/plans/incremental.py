@@ -87,20 +87,22 @@ def current_paths(spark: SparkSession, state: str, kind: str, dates=None) -> lis
             if dates is None or r["date"] in dates]
 
 
-def _read(spark: SparkSession, state: str, kind: str, dates=None) -> DataFrame | None:
-    paths = current_paths(spark, state, kind, dates)
-    if not paths:
-        return None
-    base = f"{state.rstrip('/')}/{kind}"
+def _read_paths(spark: SparkSession, base: str, paths: list[str]) -> DataFrame:
+    """Day folders below ``base`` in one scan, with ``date`` as text."""
     conf = "spark.sql.sources.partitionColumnTypeInference.enabled"
     old = spark.conf.get(conf)
-    spark.conf.set(conf, "false")       # dates stay text
+    spark.conf.set(conf, "false")
     try:
         return spark.read.option("basePath", base).parquet(*paths).drop("seq")
     finally:
         spark.conf.set(conf, old)
 
 
+def _read(spark: SparkSession, state: str, kind: str, dates=None) -> DataFrame | None:
+    paths = current_paths(spark, state, kind, dates)
+    return _read_paths(spark, f"{state.rstrip('/')}/{kind}", paths) if paths else None
+
+
 def apply_increment(spark: SparkSession, state: str, increment: str,
                     sources: Mapping[str, DataFrame], interval: str = "1min") -> dict[str, list[str]]:
     """Merge raw long rows per source into the state and rebuild the touched days' datasets.
@@ -139,14 +141,11 @@ def apply_increment(spark: SparkSession, state: str, increment: str,
         sides = []
         for source in pair:
             own = [d for d in days if d in touched.get(source, [])]
-            parts = [spark.read.parquet(f"{fresh[f'cells/{source}']}/date={d}") for d in own]
-            rest = _read(spark, state, f"cells/{source}", set(days) - set(own))
-            parts += [rest.drop("date")] if rest is not None else []
-            if not parts:
+            paths = [f"{fresh[f'cells/{source}']}/date={d}" for d in own]
+            paths += current_paths(spark, state, f"cells/{source}", set(days) - set(own))
+            if not paths:
                 break
-            cell = parts[0]
-            for p in parts[1:]:
-                cell = cell.unionByName(p)
+            cell = _read_paths(spark, f"{state}/cells/{source}", paths)
             sides.append(wide(cell, source))
         if len(sides) < 2:
             continue
