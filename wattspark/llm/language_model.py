@@ -9,16 +9,24 @@ failure arc carries the backoff weight that makes its probabilities sum to one.
 
 Automaton: states are contexts.  A token follows its arc from the current
 state, or failure arcs to shorter contexts until one has it.  No process holds
-the whole automaton.  Texts are put into blocks; a block sends each of its
-distinct n-grams once, to the owner of the n-gram's hash range, which sums the
-blocks' training counts and answers every block that asked.  The blocks then
-add up what their n-grams give to each context and get the contexts' sums back
-the same way.  A block thus holds all arcs and failure weights that its texts
-can reach, and traverses all of its texts at once.
-
-A frequent n-gram has one entry per block, not per occurrence, and a range is
-a group of its own, so no group grows with one n-gram.  N-grams are told apart
-by 64-bit hashes (5e9 distinct ones make 0.7 equal pairs in the mean).
+the whole automaton.  Texts are encoded once, in blocks with a dictionary
+each, in a table bucketed by block, so it is never shuffled.  Then one round
+per n-gram length: a block sends each of its distinct n-grams once, as (number
+of the context, number of the word), to the owner of the context, which sums
+the blocks' training counts, numbers the n-grams that are arcs, and answers
+with their counts and numbers and with each context's number of arcs, sum of
+counts and sum of the shorter n-grams' counts, all that its failure weight
+needs.  An n-gram is sent only if the two n-grams one token shorter inside it
+are arcs (words: seen often enough), for else it cannot be one.
+
+A block thus gets all arcs, states and failure weights that its texts can
+reach.  It builds that part of the automaton as arrays and traverses its texts
+left to right, many places at once: texts are cut into runs, each of which
+first reads the tokens before it that decide its state.  Texts longer than a
+block are cut over blocks in the same way.
+
+A frequent n-gram has one entry per block, not per occurrence.  Words are told
+apart by 64-bit hashes (5e9 distinct ones make 0.7 equal pairs in the mean).
 
 Cases: a null text counts as empty and has one token, its end; a null id
 counts as training; a token unseen in training has count 0; without training
@@ -29,35 +37,34 @@ names.
 
 from __future__ import annotations
 
-import gc
 import math
-import time
+import uuid
 from collections import Counter
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattspark.session import scratch_path
+
 from .common import materialize, sliced
 
 ORDER = 3
 #: Least count of an n-gram of two and more tokens that is an arc.
 MIN_COUNT = 2
-#: Share of the training tokens an arc of ``train_automaton`` has.
-SHARE = 1e-5
 DISCOUNT = 0.5
 #: Text bytes of a block, whose distinct n-grams are looked up once.
 BLOCK_BYTES = 8 << 20
-#: Tokens of the input per hash range of n-grams.
-RANGE_TOKENS = 1 << 21
+#: Tokens of the input per owner of n-grams, and tokens of a run of the traversal.
+RANGE_TOKENS, RUN = 1 << 21, 256
 #: The end token and the start of a text; white space is in no word.
 END, START = b"\n", b"\n\n"
-#: Distinct keys a task counts before it passes them on.
-COUNTER_KEYS = 1 << 18
+#: Distinct keys a task counts before it passes them on, and most buckets of the blocks.
+COUNTER_KEYS, MAX_BUCKETS = 1 << 18, 99_999
 
 
 def held_out(id_column: Column) -> Column:
@@ -219,12 +226,12 @@ def traverse(words: list[bytes], states: list[tuple], start: int) -> tuple[float
     return total, base, rare
 
 
-def train_automaton(train: DataFrame, order: int = ORDER, share: float = SHARE,
+def train_automaton(train: DataFrame, order: int = ORDER, share: float = 0.0,
                     discount: float = DISCOUNT) -> tuple[Automaton, DataFrame, int]:
     """Count the training texts (binary column ``text``): automaton, unigram table, tokens.
 
-    The automaton in one process, of the arcs with a ``share`` of the tokens: for small
-    texts (``share`` 0 has all arcs) and to compare ``score_texts`` with.
+    The automaton in one process: for small texts and to compare ``score_texts`` with.
+    ``share`` leaves out arcs under that share of the tokens.
     """
     table = materialize(unigram_counts(train), "lm-unigrams")
     head = table.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v"),
@@ -257,166 +264,358 @@ class _Numbers(dict):
         return n
 
 
-def _mixed(prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """64-bit hashes of n-grams from those of their first part and last word."""
-    x = prefix * np.uint64(0x9E3779B97F4A7C15) + last
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Block:
-    """The n-grams of a block of texts, each length in the order of its hashes.
-
-    ``at[m]`` has the place, among the distinct (m + 1)-grams, of the one that ends at
-    each token (-1: none); ``first[m]`` has the token each of them first ends at.
-    """
-
-    def __init__(self, row: dict, order: int):
-        words = np.frombuffer(row["hashes"], np.uint64)
-        lids = _unpacked(row["lids"], np.int32)[:, 0]
-        self.n_tokens = np.array(row["n_tokens"], np.int64)
-        held = np.array(row["held_out"], bool)
-        sizes = self.n_tokens + 1  # the start, word 0, precedes each text
-        self.starts = np.cumsum(sizes) - sizes
-        self.trained = np.repeat(~held, sizes)
-        place = np.arange(len(lids)) - np.repeat(self.starts, sizes)
-        gram = last = words[lids]
-        self.hashes, self.at, self.first = [], [], []
-        for m in range(order):
-            if m:
-                gram = np.concatenate([gram[:1], _mixed(gram[:-1], last[1:])])
-            has = np.flatnonzero(place >= m)
-            keys, first, back = np.unique(gram[has], return_index=True, return_inverse=True)
-            at = np.full(len(lids), -1, np.int32)
-            at[has] = back
-            self.hashes.append(keys)
-            self.at.append(at)
-            self.first.append(has[first])
-
-    def counts(self, m: int) -> np.ndarray:
-        """Training counts in this block of the (m + 1)-grams."""
-        at = self.at[m]
-        return np.bincount(at[self.trained & (at >= 0)], minlength=len(self.hashes[m]))
-
-    def asks(self, m: int, counts: list, own: list, bar: float) -> np.ndarray:
-        """Which m-grams are contexts that an (m + 1)-gram fails at, or gives its count to."""
-        ends = np.flatnonzero(self.at[m] >= 0)
-        gram = self.at[m][ends]
-        asks = np.zeros(len(self.hashes[m - 1]), bool)
-        asks[self.at[m - 1][ends - 1][(counts[m][gram, 0] == 0) | own[m][gram]]] = True
-        return asks & (counts[m - 1][:, 0] >= bar)  # no other context has an arc
-
-
 def _packed(values: np.ndarray) -> bytes:
-    """Rows of 64-bit or 32-bit numbers (at least one) by byte places, compressed."""
-    places = np.ascontiguousarray(values.reshape(len(values), -1)).view(np.uint8).T
+    """Rows of 64-bit or 32-bit numbers by byte places, compressed."""
+    places = np.ascontiguousarray(values.reshape(len(values), -1)).view(np.uint8).T if len(
+        values) else np.zeros(0, np.uint8)
     return len(values).to_bytes(8, "little") + pa.compress(
         places.tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpacked(data: bytes, kind: type, width: int = 1) -> np.ndarray:
     n, size = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize * width
+    if not n:
+        return np.zeros((0, width), kind)
     places = np.frombuffer(pa.decompress(data[8:], n * size, codec="zstd", asbytes=True), np.uint8)
     return np.ascontiguousarray(places.reshape(size, n).T).view(kind)
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
-    spark.range(1).collect()  # the last query is held until the next one
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(2)  # files are deleted in the background
+def _steps(values: np.ndarray) -> bytes:
+    """Sorted numbers by their differences."""
+    return _packed(np.diff(values, prepend=values.dtype.type(0)))
 
 
-def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
-    """Where each of the hash ranges starts in sorted ``keys``, and the end."""
-    bounds = [np.uint64(-(-(r << 64) // ranges)) for r in range(ranges)]
-    return np.append(np.searchsorted(keys, np.array(bounds, np.uint64)), len(keys))
+def _from_steps(data: bytes, kind: type) -> np.ndarray:
+    return np.cumsum(_unpacked(data, kind)[:, 0], dtype=kind)
 
 
-def _sent(block: int, m: int, keys: np.ndarray, values: np.ndarray, ranges: int) -> Iterator[dict]:
-    """One row per hash range that ``keys`` (sorted) meet; ``values`` has a row per key."""
-    cuts = _cuts(keys, ranges)
-    for r in range(ranges):
-        a, b = cuts[r], cuts[r + 1]
-        if a < b:
-            yield {"m": m, "range": r, "block": block, "hashes": _packed(np.diff(keys[a:b], prepend=np.uint64(0))),
-                   "sums": _packed(values[a:b])}
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, a place of each, and the number of each place's key."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.append(True, ordered[1:] != ordered[:-1]) if len(keys) else np.zeros(0, bool)
+    back = np.empty(len(keys), np.int32)
+    back[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], back
 
 
-_SENT = "m int, range int, block long, hashes binary, sums binary"
-_SENT_ARROW = pa.schema([("m", pa.int32()), ("range", pa.int32()), ("block", pa.int64()),
-                         ("hashes", pa.binary()), ("sums", pa.binary())])
-_ANSWER = "m int, range int, block long, sums binary, own binary, known long"
-_ANSWER_ARROW = pa.schema([("m", pa.int32()), ("range", pa.int32()), ("block", pa.int64()),
-                           ("sums", pa.binary()), ("own", pa.binary()), ("known", pa.int64())])
+class Level:
+    """The n-grams of one length in a block.
 
+    ``at`` is the number of the n-gram that ends at each token (-1: none that may be an
+    arc); per n-gram: ``context`` and ``suffix`` (numbers in the level below), ``word``,
+    ``seen`` (training count in the block), and once answered ``id`` (-1: no arc) and
+    ``count`` of the whole input, and as a context ``sums`` (arcs, their counts, and the
+    counts of the n-grams one token shorter).
+    """
 
-def _summed(table: pa.Table, width: int, bar: float) -> pa.Table:
-    """Answer a hash range's blocks: the sums of all blocks in place of each one's own.
+    def __init__(self, at, context, suffix, word, seen):
+        self.at, self.context, self.suffix, self.word, self.seen = at, context, suffix, word, seen
+        n = len(seen)
+        self.id, self.count = np.full(n, -1, np.int64), np.zeros(n, np.int64)
+        self.sums = np.zeros((n, 3), np.int64)
 
-    Sums below ``bar`` of n-grams of two and more tokens become 0.  ``own`` marks the first
-    block of each key; ``known`` is the number of keys with a sum, on one row.
-    """
+
+class Block:
+    """A block's tokens and the levels of its n-grams answered so far."""
+
+    def __init__(self, row: dict, answers: list[dict]):
+        self.row = row
+        self.words = np.frombuffer(row["hashes"], np.uint64)
+        self.lids = _unpacked(row["lids"], np.int32)[:, 0]
+        sizes, lead = np.array(row["sizes"], np.int64), np.array(row["lead"], np.int64)
+        self.starts, self.lead = np.cumsum(sizes) - sizes, lead
+        self.place = np.arange(len(self.lids)) - np.repeat(self.starts, sizes)
+        self.own = self.place >= np.repeat(lead, sizes)          # not read for context only
+        trained = ~np.repeat(np.array(row["held_out"], bool), sizes)
+        first = np.repeat(np.array(row["part"], np.int64) == 0, sizes)
+        # the start of a text is counted with its first part, like a word
+        counted = trained & (self.own | (first & (self.place == 0)))
+        self.counted = counted
+        seen = np.bincount(self.lids[counted], minlength=len(self.words))
+        self.levels = [Level(self.lids, None, None, np.arange(len(self.words)), seen)]
+        self.order0 = np.argsort(self.words, kind="stable")
+        by_level: dict[int, list[dict]] = {}
+        for a in answers:
+            by_level.setdefault(a["m"], []).append(a)
+        for m in range(max(by_level, default=-1) + 1):
+            if m:
+                self.extend()
+            self._answered(m, sorted(by_level.get(m, []), key=lambda a: a["range"]))
+
+    def extend(self) -> None:
+        """Add the level above: n-grams whose context and suffix are both arcs."""
+        below, m = self.levels[-1], len(self.levels)
+        can = np.flatnonzero(self.place[1:] >= m) + 1
+        a, b = below.at[can - 1], below.at[can]
+        fit = (a >= 0) & (b >= 0)
+        fit[fit] = (below.id[a[fit]] >= 0) & (below.id[b[fit]] >= 0)
+        can, a, b = can[fit], a[fit], b[fit]
+        size = len(self.words)
+        _, some, back = _distinct(a.astype(np.int64) * size + self.lids[can])
+        at = np.full(len(self.lids), -1, np.int32)
+        at[can] = back
+        seen = np.bincount(back[self.counted[can]], minlength=len(some))
+        self.levels.append(Level(at, a[some], b[some], self.lids[can[some]], seen))
+
+    def asked(self) -> np.ndarray:
+        """Numbers of the contexts of the top level that the block's tokens meet."""
+        below, m = self.levels[-2], len(self.levels) - 1
+        ends = np.flatnonzero(self.place[1:] >= m)
+        met = np.zeros(len(below.id), bool)
+        a = below.at[ends]
+        met[a[a >= 0]] = True
+        return np.flatnonzero(met & (below.id >= 0))
+
+    def sent_order(self, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Asked contexts by (owner, number), the top n-grams by (context, word), and how many
+        n-grams each context has."""
+        below, top = self.levels[-2], self.levels[-1]
+        contexts = self.asked()
+        ids = below.id[contexts]
+        contexts = contexts[np.argsort((ids % ranges) << 44 | ids // ranges)]
+        rank = np.zeros(len(below.id), np.int64)
+        rank[contexts] = np.arange(len(contexts))
+        own = rank[top.context]
+        grams = np.argsort(own << 34 | self.levels[0].id[top.word])
+        return contexts, grams, np.bincount(own, minlength=len(contexts))
+
+    def messages(self, ranges: int) -> Iterator[dict]:
+        """The top level's message to each owner."""
+        below, top, m = self.levels[-2], self.levels[-1], len(self.levels) - 1
+        contexts, grams, sizes = self.sent_order(ranges)
+        ends = np.cumsum(sizes)
+        owner = below.id[contexts] % ranges
+        cut = np.searchsorted(owner, np.arange(ranges + 1))
+        for r in range(ranges):
+            c = slice(cut[r], cut[r + 1])
+            if c.start == c.stop:
+                continue
+            g = grams[ends[c.start] - sizes[c.start]:ends[c.stop - 1]]
+            yield {"m": m, "range": r, "block": self.row["block"],
+                   "contexts": _steps(below.id[contexts[c]] // ranges), "sizes": _packed(sizes[c]),
+                   "words": _packed(self.levels[0].id[top.word[g]]),
+                   "values": _packed(np.stack([top.seen[g], below.count[top.suffix[g]]], axis=1))}
+
+    def _answered(self, m: int, rows: list[dict]) -> None:
+        """Fill a level from the owners' answers, which come in the order sent."""
+        if not rows:
+            return
+        level = self.levels[m]
+        count = np.concatenate([_unpacked(r["counts"], np.int64)[:, 0] for r in rows])
+        ids = []
+        for r in rows:
+            own = np.full(int.from_bytes(r["counts"][:8], "little"), -1, np.int64)
+            arc = np.unpackbits(np.frombuffer(r["arcs"], np.uint8), count=len(own)).astype(bool)
+            own[arc] = _from_steps(r["ids"], np.int64) * r["ranges"] + r["range"]
+            ids.append(own)
+        if m == 0:
+            order = self.order0
+        else:
+            contexts, order, _ = self.sent_order(rows[0]["ranges"])
+            self.levels[m - 1].sums[contexts] = np.concatenate(
+                [_unpacked(r["sums"], np.int64, 3) for r in rows])
+        level.count[order], level.id[order] = count, np.concatenate(ids)
+
+
+_SENT = ("m int, range int, block long, contexts binary, sizes binary, words binary, values binary")
+_SENT_ARROW = pa.schema([("m", pa.int32()), ("range", pa.int32()), ("block", pa.int64()),
+                         ("contexts", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()),
+                         ("values", pa.binary())])
+_ANSWER = ("m int, range int, ranges int, block long, counts binary, arcs binary, ids binary, "
+           "sums binary, known long")
+_ANSWER_ARROW = pa.schema([("m", pa.int32()), ("range", pa.int32()), ("ranges", pa.int32()),
+                           ("block", pa.int64()), ("counts", pa.binary()), ("arcs", pa.binary()),
+                           ("ids", pa.binary()), ("sums", pa.binary()), ("known", pa.int64())])
+
+
+def _words_sent(block: Block, ranges: int) -> Iterator[dict]:
+    """Level 0: word hashes in order, cut into ranges of hashes."""
+    order = block.order0
+    hashes, seen = block.words[order], block.levels[0].seen[order]
+    bounds = np.array([-(-(r << 64) // ranges) for r in range(ranges)], np.uint64)
+    cut = np.append(np.searchsorted(hashes, bounds), len(hashes))
+    for r in range(ranges):
+        a, b = cut[r], cut[r + 1]
+        if a < b:
+            yield {"m": 0, "range": r, "block": block.row["block"], "contexts": None, "sizes": None,
+                   "words": _steps(hashes[a:b]), "values": _packed(seen[a:b])}
+
+
+def _owned(table: pa.Table, ranges: int, bar: float) -> pa.Table:
+    """What the owner of a range answers to each block that sent to it."""
     table = table.sort_by("block")
-    m = table.column("m")[0].as_py()
-    parts = [np.cumsum(_unpacked(x.as_py(), np.uint64)[:, 0], dtype=np.uint64)
-             for x in table.column("hashes")]
-    keys = np.concatenate(parts)
-    values = np.concatenate([_unpacked(x.as_py(), np.int64, width) for x in table.column("sums")])
-    order = np.argsort(keys, kind="stable")
-    new = np.concatenate([[True], keys[order][1:] != keys[order][:-1]])
-    total = np.add.reduceat(values[order], np.flatnonzero(new))
-    known = int((total[:, 0] > 0).sum())
+    m, r = table.column("m")[0].as_py(), table.column("range")[0].as_py()
+    rows = table.to_pylist()
+    if m == 0:
+        parts = [_from_steps(x["words"], np.uint64) for x in rows]
+        keys = np.concatenate(parts)
+        seen = np.concatenate([_unpacked(x["values"], np.int64)[:, 0] for x in rows])
+        context = low = np.zeros(len(keys), np.int64)
+    else:
+        asked = [_from_steps(x["contexts"], np.int64) for x in rows]
+        sizes = [_unpacked(x["sizes"], np.int64)[:, 0] for x in rows]
+        names, _, every = _distinct(np.concatenate(asked))
+        context = np.repeat(every, np.concatenate(sizes)).astype(np.int64)
+        parts = [_unpacked(x["words"], np.int64)[:, 0] for x in rows]
+        if any(len(p) and p.max() >= 1 << 34 for p in parts):
+            raise ValueError("more than 2^34 words")
+        keys = context << 34 | np.concatenate(parts)
+        seen, low = np.concatenate([_unpacked(x["values"], np.int64, 2) for x in rows]).T
+    distinct, some, back = _distinct(keys)
+    total = np.bincount(back, seen, len(distinct)).astype(np.int64)      # exact below 2^53
+    known = int((total > 0).sum())
+    arc = total >= bar
+    number = np.cumsum(arc) - 1
+    if m:
+        total[~arc] = 0
+        of = context[some]
+        sums = np.stack([np.bincount(of[arc], w, len(names)) for w in (
+            np.ones(arc.sum()), total[arc], low[some][arc])], axis=1).astype(np.int64)
+    ends = np.cumsum([len(p) for p in parts])
+    spans = list(zip(ends - [len(p) for p in parts], ends, strict=True))
+    out = {"counts": [_packed(total[back[a:b]]) for a, b in spans],
+           "arcs": [np.packbits(arc[back[a:b]]).tobytes() for a, b in spans],
+           "ids": [_steps(number[back[a:b]][arc[back[a:b]]]) for a, b in spans]}
     if m:
-        total[total[:, 0] < bar] = 0
-    out, own = np.empty_like(values), np.empty(len(keys), bool)
-    out[order], own[order] = total[np.cumsum(new) - 1], new
-    ends = np.cumsum([len(x) for x in parts])
-    spans = list(zip([0, *ends[:-1]], ends, strict=True))
-    return pa.table([table.column("m"), table.column("range"), table.column("block"),
-                     pa.array([_packed(out[a:b]) for a, b in spans], pa.binary()),
-                     pa.array([np.packbits(own[a:b]).tobytes() for a, b in spans], pa.binary()),
-                     pa.array([known] + [0] * (len(spans) - 1), pa.int64())],
-                    schema=_ANSWER_ARROW)
-
-
-def _answers(table: pa.Table, width: int, order: int) -> tuple[list, list]:
-    """The sums and own marks of a block's n-grams, by length, in the order they were sent."""
-    table = table.sort_by([("m", "ascending"), ("range", "ascending")])
-    sums, own = [[] for _ in range(order)], [[] for _ in range(order)]
-    for m, s, o in zip(*(table.column(c).to_pylist() for c in ("m", "sums", "own")), strict=True):
-        s = _unpacked(s, np.int64, width)
-        sums[m].append(s)
-        own[m].append(np.unpackbits(np.frombuffer(o, np.uint8), count=len(s)).astype(bool))
-    none = np.zeros((0, width), np.int64)
-    return ([np.concatenate([none, *x]) for x in sums],
-            [np.concatenate([none[:, 0].astype(bool), *x]) for x in own])
-
-
-def _blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
-    """Texts as blocks of word numbers: one row per block, word 0 is the start of a text."""
+        cuts = np.cumsum([len(x) for x in asked])
+        out["sums"] = [_packed(sums[every[c - len(x):c]]) for c, x in zip(cuts, asked, strict=True)]
+    else:
+        out["sums"] = [None] * len(rows)
+    n = len(rows)
+    return pa.table([table.column("m"), table.column("range"), pa.array([ranges] * n, pa.int32()),
+                     table.column("block"),
+                     *[pa.array(out[k], pa.binary()) for k in ("counts", "arcs", "ids", "sums")],
+                     pa.array([known] + [0] * (n - 1), pa.int64())], schema=_ANSWER_ARROW)
+
+
+class LocalAutomaton:
+    """The part of the automaton that a block's texts can reach, as arrays.
+
+    State 0 is the empty context.  ``fail``, ``weight`` (log10) and ``length`` are by state;
+    an arc is an n-gram of the block: ``prob[m]`` (log10; NaN: no arc) and ``next[m]`` by its
+    number in level ``m``, so the arc of a state of length ``m`` at a token is that
+    of the level's n-gram that ends there.
+    """
+
+    def __init__(self, block: Block, order: int, mass: float, discount: float):
+        zero = np.zeros(1)
+        self.fail, self.weight, self.length = [zero.astype(np.int64)], [zero], [zero.astype(np.int64)]
+        self.prob, self.next, n = [], [], 1
+        for m, level in enumerate(block.levels):
+            if m == 0:
+                self.prob.append(np.log10((level.count + 1) / mass))
+                shorter = np.zeros(len(level.count), np.int64)
+            else:
+                held = level.count > 0
+                context = np.where(held, block.levels[m - 1].count[level.context], 1)
+                self.prob.append(np.where(held, np.log10(np.where(held, level.count - discount, 1.0)
+                                                         / context), np.nan))
+                shorter = self.next[m - 1][level.suffix]
+            state = shorter.copy()
+            if m < order - 1:
+                arcs, longer, lower = level.sums.T
+                inner = np.flatnonzero(arcs > 0)
+                state[inner] = n + np.arange(len(inner))
+                n += len(inner)
+                k, c = arcs[inner], level.count[inner]
+                if m == 0:
+                    rest = (mass - lower[inner] - k) / mass
+                else:
+                    c_short = block.levels[m - 1].count[level.suffix[inner]]
+                    rest = (c_short - lower[inner] + discount * k) / c_short
+                self.fail.append(shorter[inner])
+                self.weight.append(np.log10((c - longer[inner] + discount * k) / c / rest))
+                self.length.append(np.full(len(inner), m + 1))
+            self.next.append(state)
+        self.fail, self.weight, self.length = map(np.concatenate, (self.fail, self.weight, self.length))
+
+    def traverse(self, block: Block, order: int, run: int = RUN) -> np.ndarray:
+        """Log10 probability of every token (0 for those read for context only).
+
+        Texts are cut into runs, walked side by side from left to right.  A run that starts
+        inside a text starts ``order - 1`` tokens earlier, in the empty state: the
+        longest context of its first own token is then its state."""
+        sizes = np.diff(np.append(block.starts, len(block.lids)))
+        begin, end, state = [], [], []
+        runs = -(-(sizes - block.lead) // run)
+        text = np.repeat(np.arange(len(sizes)), runs)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(runs) - runs, runs)
+        first = block.starts[text] + block.lead[text] + nth * run       # first own token
+        end = np.minimum(first + run, block.starts[text] + sizes[text])
+        # from the start of a text: the state after reading it; else the tokens before decide
+        fresh = (nth == 0) & (np.array(block.row["part"], np.int64)[text] == 0)
+        begin = np.where(fresh, first, np.maximum(first - (order - 1), block.starts[text]))
+        # the start mark is read like a word, but never scored
+        state = np.where(fresh, self.next[0][0] if len(self.next[0]) else 0, 0)
+        longest = np.argsort(begin - end, kind="stable")
+        first, begin, end, state = first[longest], begin[longest], end[longest], state[longest]
+        length = end - begin
+        out = np.zeros(len(block.lids))
+        for step in range(int(length.max(initial=0))):
+            live = int(np.searchsorted(-length, -step))                 # runs longer than step
+            token, s = begin[:live] + step, state[:live]
+            score, todo = np.zeros(live), np.arange(live)
+            for m in range(min(order, len(block.levels)) - 1, -1, -1):
+                here = todo[self.length[s[todo]] == m] if m else todo
+                gram = block.levels[m].at[token[here]]
+                p = self.prob[m][gram]
+                hit = ~np.isnan(p) & (gram >= 0)
+                done, missed = here[hit], here[~hit]
+                score[done] += p[hit]
+                s[done] = self.next[m][gram[hit]]
+                score[missed] += self.weight[s[missed]]
+                s[missed] = self.fail[s[missed]]
+                if m:
+                    left = np.ones(live, bool)
+                    left[done] = False
+                    todo = todo[left[todo]]
+            own = token >= first[:live]
+            out[token[own]] = score[own]
+        return out
+
+
+def _blocks(rows: DataFrame, block_bytes: int, part_bytes: int, order: int) -> DataFrame:
+    """Texts as blocks of word numbers, one row per block, word 0 is the start of a text; a
+    table bucketed by block.  Each part of a text is led by the start, or by the tokens before
+    it that its first state depends on."""
     kind = rows.schema["doc_id"].dataType
 
+    def pieces(text: bytes) -> Iterator[list[bytes]]:
+        """The words of a text in parts that no word crosses, then the end."""
+        at = 0
+        while len(text) - at > part_bytes:
+            cut = at + part_bytes
+            while cut < len(text) and text[cut] not in b" \t\n\x0b\x0c\r":
+                cut += 1
+            own = text[at:cut].lower().split()
+            if own:
+                yield own
+            at = cut
+        yield [*text[at:].lower().split(), END]
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, id_type = TaskContext.get().partitionId() << 32, None
+        task = TaskContext.get().partitionId()
+        block, row, id_type = task << 32, task << 36, None
         size, ids, held = 0, None, []
 
         def flush():
             nonlocal block, size, ids, held
-            doc_ids, out, lids = (list(x) for x in zip(*held, strict=True))
-            n = [len(x) - 1 for x in lids]
-            hashes = b"".join(blake2b(w, digest_size=8).digest() for w in ids)
+            doc_ids, out, numbers, part, lead, lids = (list(x) for x in zip(*held, strict=True))
+            n = [len(x) - k for x, k in zip(lids, lead, strict=True)]
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, ids), np.uint64, len(ids)).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([doc_ids], pa.list_(id_type)),
-                 pa.array([out], pa.list_(pa.bool_())), pa.array([n], pa.list_(pa.int64())),
+                 pa.array([out], pa.list_(pa.bool_())), pa.array([numbers], pa.list_(pa.int64())),
+                 pa.array([part], pa.list_(pa.int32())), pa.array([lead], pa.list_(pa.int32())),
+                 pa.array([[len(x) for x in lids]], pa.list_(pa.int64())),
                  pa.array([sum(k for k, o in zip(n, out, strict=True) if not o)], pa.int64()),
-                 pa.array([out.count(False)], pa.int64()), pa.array([sum(n)], pa.int64()),
+                 pa.array([sum(not o and p == 0 for o, p in zip(out, part, strict=True))], pa.int64()),
+                 pa.array([sum(n)], pa.int64()), pa.array([any(part)], pa.bool_()),
                  pa.array([hashes], pa.binary()),
                  pa.array([_packed(np.concatenate(lids))], pa.binary())],
-                names=["block", "doc_id", "held_out", "n_tokens", "train_tokens", "train_texts",
-                       "tokens", "hashes", "lids"])
+                names=["block", "doc_id", "held_out", "row", "part", "lead", "sizes", "train_tokens",
+                       "train_texts", "tokens", "cut", "hashes", "lids"])
             block += 1
             size, ids, held = 0, None, []
 
@@ -424,123 +623,110 @@ def _blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
             id_type = batch.column("doc_id").type
             for doc_id, out, text in zip(*(batch.column(c) for c in ("doc_id", "held_out", "text")),
                                          strict=True):
-                text = text.as_py() or b""
-                if ids is None:
-                    ids = _Numbers({START: 0})
-                words = [START, *tokens(text)]
-                held.append((doc_id.as_py(), out.as_py(),
-                             np.fromiter(map(ids.__getitem__, words), np.int32, len(words))))
-                size += len(text)
-                if size >= block_bytes:
-                    yield from flush()
+                text, before = text.as_py() or b"", [START]
+                for part, words in enumerate(pieces(text)):
+                    if ids is None:
+                        ids = _Numbers({START: 0})
+                    words = [*before, *words]
+                    held.append((doc_id.as_py(), out.as_py(), row, part, len(before),
+                                 np.fromiter(map(ids.__getitem__, words), np.int32, len(words))))
+                    size += sum(map(len, words)) if len(text) > part_bytes else len(text)
+                    before = words[-(order - 1):] if order > 1 else []
+                    if size >= block_bytes:
+                        yield from flush()
+                row += 1
         if held:
             yield from flush()
 
     id_kind = kind.simpleString()
-    return materialize(rows.mapInArrow(
-        walk, f"block long, doc_id array<{id_kind}>, held_out array<boolean>, "
-              "n_tokens array<long>, train_tokens long, train_texts long, tokens long, "
-              "hashes binary, lids binary"), "lm-blocks")
+    spark = rows.sparkSession
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // (4 * BLOCK_BYTES) + 1)
+    schema = (f"block long, doc_id array<{id_kind}>, held_out array<boolean>, row array<long>, "
+              "part array<int>, lead array<int>, sizes array<long>, train_tokens long, "
+              "train_texts long, tokens long, cut boolean, hashes binary, lids binary")
+    name = f"lm_blocks_{uuid.uuid4().hex[:12]}"
+    (rows.mapInArrow(walk, schema).write.bucketBy(min(buckets, MAX_BUCKETS), "block")
+     .option("compression", "zstd").option("path", scratch_path(spark, "lm-blocks")).saveAsTable(name))
+    return spark.table(name)
 
 
 def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
                 discount: float = DISCOUNT, id_col: str = "doc_id", text_col: str = "text",
-                block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                block_bytes: int = BLOCK_BYTES, part_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per input row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``,
-    ``train_tokens``, ``base_score`` and ``score`` (log10 probabilities of the text)."""
+    ``train_tokens``, ``base_score`` and ``score`` (log10 probabilities of the text).
+
+    Texts of more than ``part_bytes`` are cut over blocks."""
+    spark = docs.sparkSession
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
                        held_out(F.col(f"`{id_col}`")).alias("held_out"),
                        F.col(f"`{text_col}`").cast("binary").alias("text"))
-    kind = rows.schema["doc_id"].dataType
-    blocks = _blocks(rows, block_bytes)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    blocks = _blocks(rows, block_bytes, part_bytes, order)
     head = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
-                        for c in ("train_tokens", "train_texts", "tokens")]).first()
+                        for c in ("train_tokens", "train_texts", "tokens")],
+                      F.coalesce(F.max("cut"), F.lit(False)).alias("cut")).first()
     total, ranges = head["train_tokens"], max(1, -(-head["tokens"] // RANGE_TOKENS))
     bar = max(float(MIN_COUNT), share * total)
+    owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ranges // 2 + 1)
+    texts = blocks.select("block", "doc_id", "held_out", "row", "part", "lead", "sizes", "hashes", "lids")
 
-    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, 1):
-            row = batch.to_pylist()[0]
-            block = Block(row, order)
-            for m in range(order):
-                yield pa.RecordBatch.from_pylist(list(_sent(
-                    row["block"], m, block.hashes[m], block.counts(m), ranges)), _SENT_ARROW)
+    def answered(sent: DataFrame, m: int) -> DataFrame:
+        return materialize(sent.repartition(owners, "range").groupBy("range").applyInArrow(
+            lambda t: _owned(t, ranges, bar), _ANSWER), f"lm-answers-{m}")
 
-    texts = blocks.select("block", "doc_id", "held_out", "n_tokens", "hashes", "lids")
-    # starts are counted like words: their count is the number of training texts
-    counts = materialize(texts.mapInArrow(sent, _SENT).groupBy("m", "range").applyInArrow(
-        lambda t: _summed(t, 1, bar), _ANSWER), "lm-counts")
-    known = counts.filter("m = 0").agg(F.coalesce(F.sum("known"), F.lit(0)).alias("n")).first()
-    vocabulary = known["n"] - (1 if head["train_texts"] else 0)
-    mass = total + vocabulary + 1 if total else 1
+    def together(answers: DataFrame, fn, schema: str) -> DataFrame:
+        return texts.groupBy("block").cogroup(
+            answers.withColumnRenamed("block", "of").groupBy("of")).applyInArrow(fn, schema)
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 1):
+            for row in batch.to_pylist():
+                yield pa.RecordBatch.from_pylist(list(_words_sent(Block(row, []), ranges)), _SENT_ARROW)
 
-    def given(left: pa.Table, right: pa.Table) -> pa.Table:
-        """What the n-grams this block owns give to their contexts: number, counts, and
-        counts of the n-grams one token shorter."""
-        row = left.to_pylist()[0]
-        block = Block(row, order)
-        sums, own = _answers(right, 1, order)
+    def longer(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        for m in range(1, order):
-            mine = np.flatnonzero(own[m] & (sums[m][:, 0] > 0))
-            ends = block.first[m][mine]
-            context, shorter = block.at[m - 1][ends - 1], block.at[m - 1][ends]
-            give = np.zeros((len(block.hashes[m - 1]), 3), np.int64)
-            np.add.at(give, context, np.stack(
-                [np.ones(len(mine), np.int64), sums[m][mine, 0], sums[m - 1][shorter, 0]], axis=1))
-            may = block.asks(m, sums, own, bar)
-            out += _sent(row["block"], m - 1, block.hashes[m - 1][may], give[may], ranges)
+        for row in left.to_pylist():
+            block = Block(row, right.to_pylist())
+            block.extend()
+            out += block.messages(ranges)
         return pa.Table.from_pylist(out, _SENT_ARROW)
 
-    _release(docs.sparkSession)
-    contexts = materialize(
-        texts.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(given, _SENT)
-        .groupBy("m", "range").applyInArrow(lambda t: _summed(t, 3, 0.0), _ANSWER), "lm-contexts")
-    _release(docs.sparkSession)
-    answers = (counts.withColumn("of", F.lit(0))
-               .unionByName(contexts.withColumn("of", F.lit(1))))
+    # starts are counted like words: their count is the number of training texts
+    answers = answered(texts.mapInArrow(words, _SENT), 0)
+    known = answers.agg(F.coalesce(F.sum("known"), F.lit(0)).alias("n")).first()["n"]
+    vocabulary = known - (1 if head["train_texts"] else 0)
+    mass = total + vocabulary + 1 if total else 1
+    for m in range(1, order):
+        answers = answers.unionByName(answered(together(answers, longer, _SENT), m))
+
+    result = (f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+              "base_score double, score double, row long")
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        block = Block(row, order)
-        of = right.column("of").to_numpy()
-        counts_of, own = _answers(right.filter(pa.array(of == 0)), 1, order)
-        count = [x[:, 0] for x in counts_of]
-        given_to = _answers(right.filter(pa.array(of == 1)), 3, order)[0]
-        single = count[0][block.at[0]]
-        base = score = np.log10((single + 1) / mass)
-        for m in range(1, order):
-            weight = np.zeros(len(count[m - 1]))
-            has = np.flatnonzero(block.asks(m, counts_of, own, bar))[given_to[m - 1][:, 0] > 0]
-            n, longer, shorter = given_to[m - 1][given_to[m - 1][:, 0] > 0].T
-            c = count[m - 1][has]
-            if m == 1:
-                rest = (mass - shorter - n) / mass
-            else:
-                c_short = count[m - 2][block.at[m - 2][block.first[m - 1][has]]]
-                rest = (c_short - shorter + discount * n) / c_short
-            weight[has] = np.log10((c - longer + discount * n) / c / rest)
-            ends = np.flatnonzero(block.at[m] >= 0)
-            context = block.at[m - 1][ends - 1]
-            c, c_context = count[m][block.at[m][ends]], count[m - 1][context]
-            hit = c > 0
-            new = score.copy()
-            new[ends] = np.where(hit, np.log10(np.where(hit, c - discount, 1.0)
-                                               / np.where(hit, c_context, 1)),
-                                 score[ends] + weight[context])
-            score = new
-        score, base, single = score.copy(), base.copy(), single > 0
-        score[block.starts] = base[block.starts] = 0.0
-        single[block.starts] = False
-        return pa.table({
-            "doc_id": pa.array(row["doc_id"], left.schema.field("doc_id").type.value_type),
-            "held_out": pa.array(row["held_out"], pa.bool_()),
-            "n_tokens": block.n_tokens,
-            "n_known": np.add.reduceat(single.astype(np.int64), block.starts),
-            "train_tokens": np.full(len(block.starts), total, np.int64),
-            "base_score": np.add.reduceat(base, block.starts),
-            "score": np.add.reduceat(score, block.starts)})
-
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        finish, f"doc_id {kind.simpleString()}, held_out boolean, n_tokens long, n_known long, "
-                "train_tokens long, base_score double, score double")
+        out = []
+        for row in left.to_pylist():
+            block = Block(row, right.to_pylist())
+            score = LocalAutomaton(block, order, mass, discount).traverse(block, order)
+            single = block.levels[0].count[block.lids]
+            base = np.where(block.own, np.log10((single + 1) / mass), 0.0)
+            own = np.add.reduceat
+            out.append(pa.table({
+                "doc_id": pa.array(row["doc_id"], left.schema.field("doc_id").type.value_type),
+                "held_out": pa.array(row["held_out"], pa.bool_()),
+                "n_tokens": own(block.own.astype(np.int64), block.starts),
+                "n_known": own(((single > 0) & block.own).astype(np.int64), block.starts),
+                "train_tokens": np.full(len(block.starts), total, np.int64),
+                "base_score": own(base, block.starts), "score": own(score, block.starts),
+                "row": pa.array(row["row"], pa.int64())}))
+        return pa.concat_tables(out)
+
+    scored = together(answers, finish, result)
+    if head["cut"]:      # parts of long texts are added up; the others are whole already
+        one = [F.first(c).alias(c) for c in ("doc_id", "held_out")]
+        scored = scored.groupBy("row").agg(
+            *one, F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
+            F.first("train_tokens").alias("train_tokens"), F.sum("base_score").alias("base_score"),
+            F.sum("score").alias("score"))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
