@@ -91,12 +91,13 @@ def encoded_blocks(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     schema = "block long, lang string, words array<binary>, counts array<long>, codes binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[_Codes, list]] = {}
+        held: dict[str, list] = {}      # codes, parts and bytes of a language's open block
         size, block = 0, TaskContext.get().partitionId() << 36
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal block
-            for lang, (codes, parts) in held.items():
+        def flush(langs: list[str]) -> Iterator[pa.RecordBatch]:
+            nonlocal block, size
+            for lang in langs:
+                codes, parts, length = held.pop(lang)
                 own = np.concatenate(parts)
                 counts = np.bincount(own[own >= 0], minlength=len(codes))
                 yield pa.RecordBatch.from_arrays(
@@ -106,19 +107,21 @@ def encoded_blocks(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
                      pa.array([own.tobytes()], pa.binary())],
                     names=["block", "lang", "words", "counts", "codes"])
                 block += 1
-            held.clear()
+                size -= length
 
         for batch in sliced(batches):
             for lang, text in zip(batch.column("lang"), batch.column("text").cast(pa.binary()),
                                   strict=True):
-                text = text.as_py()
-                codes, parts = held.setdefault(lang.as_py(), (_Codes(), []))
-                parts += encode_text(text, codes)
+                text, lang = text.as_py(), lang.as_py()
+                own = held.setdefault(lang, [_Codes(), [], 0])
+                own[1] += encode_text(text, own[0])
+                own[2] += len(text)
                 size += len(text)
-                if size >= BLOCK_BYTES:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+                if own[2] >= BLOCK_BYTES:
+                    yield from flush([lang])
+                elif size >= 4 * BLOCK_BYTES:      # many languages: all close early
+                    yield from flush(list(held))
+        yield from flush(list(held))
 
     return materialize(rows.mapInArrow(run, schema), "phrase-blocks")
 
@@ -332,7 +335,7 @@ def frequent_cells(rows: DataFrame, n_blocks: int, parts: int, least: int) -> Da
             .applyInArrow(finish, "lang string, unit long, a long, b long, f long"))
 
 
-def pair_answers(rows: DataFrame, pairs: DataFrame, n_blocks: int, parts: int) -> DataFrame:
+def pair_answers(rows: DataFrame, pairs: DataFrame, n_blocks: int) -> DataFrame:
     """``block``, ``keys`` and ``ranks`` of the ranked pairs among each block's pairs."""
     shuffles = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salts = max(1, -(-n_blocks // (2 * FAN_IN)))
@@ -369,7 +372,7 @@ def pair_answers(rows: DataFrame, pairs: DataFrame, n_blocks: int, parts: int) -
         return pa.table({"block": pa.array(block, pa.int64()), "keys": pa.array(keys, pa.binary()),
                          "ranks": pa.array(ranks, pa.binary())})
 
-    n, by = max(shuffles, parts + HEAD * HEAD * salts), ["lang", "unit", "salt"]
+    n, by = max(shuffles, n_blocks // 4 + 1), ["lang", "unit", "salt"]
     return (asked.repartition(n, *by).groupBy(*by)
             .cogroup(tables.repartition(n, *by).groupBy(*by))
             .applyInArrow(answer, "block long, keys binary, ranks binary"))
@@ -404,7 +407,7 @@ def mine_phrases(docs: DataFrame, least: int = 10, top: int = 2000, inside_perce
     top_ranks = (words.agg(F.max("rank")).first()[0] or 0, pairs.agg(F.max("rank")).first()[0] or 0)
     if top_ranks[0] >= 1 << 30 or top_ranks[1] >= 1 << 33:
         raise ValueError(f"ranks do not fit the tile keys: {top_ranks}")
-    answers = pair_answers(first, pairs, n_blocks, parts)
+    answers = pair_answers(first, pairs, n_blocks)
     second = triple_blocks(first, answers, n_blocks, parts)
     triples = materialize(frequent_cells(second, n_blocks, parts, least)
                           .select("lang", F.col("a").alias("pair"), F.col("b").alias("c"),
