@@ -508,6 +508,22 @@ SELECT {keys}, round({target}, 6) AS y_true, mean_mse, true AS fits FROM s CROSS
     o["vm_power_workflow"] = stored_run_sql("vm_power", vm_split_sql(rows=selected))
     o["scan_paths"] = o["scan_long_pdu"]
     o["ingest_exactly_once"] = o["scan_changing_headers"] = o["scan_long_kepler"]
+    o["theta_join_indexed"] = o["theta_join_regex"]
+    o["energy_dataset_bucketed"], o["vm_power_dataset_bucketed"] = o["energy_dataset"], o["vm_power_dataset"]
+    o["processed_clustered"] = o["prep_k8s"]
+    days = (f"(SELECT * FROM {L('scaphandre_vm')} x WHERE CAST(_time AS DATE) BETWEEN DATE '2024-01-05' "
+            f"AND DATE '2024-01-13')")
+    value = "CASE WHEN isnan(_value) THEN NULL ELSE _value END"
+    o["profile_range_sketched"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({e}) AS n_missing, "
+        f"{low} AS low, {high} AS high, true AS near FROM {days} d"
+        for c, e, low, high in (
+            ("_value", value, f"min({value})", f"max({value})"), ("_field", "_field", "NULL::DOUBLE", "NULL::DOUBLE"),
+            ("vm_id", "vm_id", "min(vm_id)::DOUBLE", "max(vm_id)::DOUBLE"),
+            ("vm_name", "vm_name", "NULL::DOUBLE", "NULL::DOUBLE"), ("url", "url", "NULL::DOUBLE", "NULL::DOUBLE")))
+    o["energy_run_resumed"] = (
+        f"SELECT count(*) FILTER (WHERE split = 'test') AS n, CAST(6 AS INTEGER) AS executed, "
+        f"CAST(6 AS INTEGER) AS reused FROM {split_sql(rows=selected)} s")
     o["incremental_energy"], o["incremental_vm_power"] = o["energy_dataset"], o["vm_power_dataset"]
     return {**o, **trained_sql.oracle_sql()}
 

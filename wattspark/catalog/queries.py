@@ -59,7 +59,7 @@ def register(name: str):
 
 
 def queries() -> dict[str, Query]:
-    from wattspark.catalog import trained, upkeep  # noqa: F401  they register their queries
+    from wattspark.catalog import layout, trained, upkeep  # noqa: F401  they register their queries
 
     return dict(_REGISTRY)
 

@@ -15,10 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wattspark.operators import regex_index
 from wattspark.operators.select import col
 
 #: Largest pattern set broadcast in one piece by :func:`regex_match_join`.
 MAX_BROADCAST_PATTERNS = 5000
+#: Most (distinct text, distinct pattern) pairs compared one by one without an index.
+MAX_LOOP_PAIRS = 10_000
 
 
 #: Largest lookup set (e.g. inventory ids) broadcast by an explicit hint: rows
@@ -98,14 +101,17 @@ def _pattern_chunks(patterns: DataFrame, pcol: str, max_rows: int) -> list[DataF
 
 def regex_match_join(df: DataFrame, patterns: DataFrame, text_col: str, pattern_col: str,
                      *, how: str = "inner", escape: bool = False,
-                     max_broadcast_rows: int = MAX_BROADCAST_PATTERNS) -> DataFrame:
+                     max_broadcast_rows: int = MAX_BROADCAST_PATTERNS,
+                     max_pairs: int = MAX_LOOP_PAIRS) -> DataFrame:
     """Theta join ``text_col =~ /pattern/`` (partial match, unescaped).
 
-    The nested-loop comparison runs only between the *distinct* texts of
-    ``df`` and the distinct patterns, never on raw rows.  The distinct texts
-    are materialised and counted: when they fit ``max_broadcast_rows`` they
-    are the broadcast side and the patterns stream past them, so each
-    pattern is compiled once for all texts; otherwise the patterns are
+    Only the *distinct* texts of ``df`` and the distinct patterns are
+    compared, never raw rows; both are counted.  Up to ``max_pairs`` pairs
+    they meet in a nested loop.  Beyond it, patterns that hold a literal of
+    three characters are looked up in a trigram index of the texts
+    (:mod:`wattspark.operators.regex_index`), and only the others are looped:
+    the texts are the broadcast side when they fit ``max_broadcast_rows``, so
+    each pattern is compiled once for all texts, otherwise the patterns are
     broadcast in counted pieces.  The matching (text, pattern) pairs are
     then equi-joined back to ``df``.  ``how='inner'`` yields one row per
     (row, matching pattern) with the pattern in ``pattern_col``;
@@ -119,16 +125,25 @@ def regex_match_join(df: DataFrame, patterns: DataFrame, text_col: str, pattern_
         return (F.instr(F.col("__text"), F.col("__pattern")) > 0) if escape else \
             F.expr("__text rlike __pattern")
 
-    if n_texts <= max_broadcast_rows:
-        pats = (patterns.select(col(pattern_col).alias("__pattern"))
-                .where(F.col("__pattern").isNotNull()).distinct())
-        pairs = pats.join(F.broadcast(texts), cond(), "inner")
-    else:
-        pieces = [texts.join(F.broadcast(chunk), cond(), "inner")
-                  for chunk in _pattern_chunks(patterns, pattern_col, max_broadcast_rows)]
-        pairs = pieces[0]
-        for p in pieces[1:]:
-            pairs = pairs.unionByName(p)
+    pats = (patterns.select(col(pattern_col).alias("__pattern"))
+            .where(F.col("__pattern").isNotNull()).distinct())
+    pats, n_pats = materialize_small(pats)
+    pieces = []
+    if n_texts * n_pats > max_pairs:
+        pats, _ = materialize_small(regex_index.with_literals(pats, escape))
+        long = F.length("__literal") >= regex_index.GRAM
+        pieces.append(regex_index.indexed_pairs(texts, pats.where(long), escape))
+        pats, n_pats = materialize_small(pats.where(~long).drop("__literal"))
+    if n_pats and n_texts <= max_broadcast_rows:
+        pieces.append(pats.join(F.broadcast(texts), cond(), "inner"))
+    elif n_pats:
+        pieces += [texts.join(F.broadcast(chunk), cond(), "inner")
+                   for chunk in _pattern_chunks(pats, "__pattern", max_broadcast_rows)]
+    if not pieces:
+        pieces = [texts.limit(0).withColumn("__pattern", F.lit(None).cast("string"))]
+    pairs = pieces[0].select("__text", "__pattern")
+    for p in pieces[1:]:
+        pairs = pairs.unionByName(p.select("__text", "__pattern"))
     pairs, n_pairs = materialize_small(pairs)
     if how == "left_semi":
         keys = small_side(pairs.select("__text").distinct())
