@@ -141,6 +141,44 @@ def test_quotas_are_sainte_lague_awards(spark):
     assert {(r.source, r.shard): r.blocks for r in got} == dict(want)
 
 
+def test_blocks_fill_the_quotas_of_their_shards(docs):
+    out = [r for r in mixing.mix_rows(docs, blocks=300, shards=7).collect() if r.block is not None]
+    rows = mixing.mix_rows(docs, blocks=300, shards=7)
+    assert {r.shard is None for r in rows.filter("start >= drawn").collect()} <= {True}
+    held = defaultdict(set)
+    for r in out:
+        assert 0 <= r.shard < 7
+        held[r.source, r.shard].add(r.block)
+    totals = {r.source: (r.source_size, r.target) for r in out}
+    t = docs.sparkSession.createDataFrame(
+        [(k, s, float(sum(x for x, _ in totals.values())), w) for k, (s, w) in totals.items()],
+        "source string, source_size long, all_words double, target double")
+    least, words = t.agg(F.min("target"), F.max("all_words")).first()
+    blocks = max(300, math.ceil(words / max(1, least // mixing.LEAST_BLOCKS)))
+    quotas = {(r.source, r.shard): r.blocks for r in mixing.block_quotas(t, blocks, 7).collect()}
+    for key, own in held.items():
+        assert len(own) <= quotas[key]
+    won = Counter()
+    for (source, _), n in quotas.items():
+        won[source] += n
+    for source in won:      # every block of the draw falls to one shard, as many as its quota
+        ordered = sorted((s, n) for (k, s), n in quotas.items() if k == source)
+        places = Counter()
+        for b in range(won[source]):
+            at, end = (mixing.STEP * b + mixing.SEED) % won[source], 0
+            for s, n in ordered:
+                end += n
+                if at < end:
+                    places[s] += 1
+                    break
+        assert places == Counter(dict(ordered))
+        for (k, s), own in held.items():
+            if k == source:
+                for b in own:
+                    at = (mixing.STEP * b + mixing.SEED) % won[source]
+                    assert sum(n for x, n in ordered if x < s) <= at < sum(n for x, n in ordered if x <= s)
+
+
 def test_small_sources_keep_their_targets(spark):
     sizes = {"big": 600_000, "mid": 9_000, "tiny": 8, "small": 30}
     data = [(i, "w " * n, "en", s, 1) for i, (s, n) in enumerate(sizes.items())]

@@ -51,6 +51,22 @@ def test_directory_splits_only_overfull_buckets(spark):
     assert len({r.bucket for r in sizes}) == len(sizes)
 
 
+def test_chains_are_those_of_a_bucket(spark, monkeypatch):
+    real_hash, real_index = F.xxhash64, exact_dedup.build_index
+    monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *c: real_hash(*c) % 2)
+    docs = spark.createDataFrame([(i, f"text {i % 7}", "en", "s", 1) for i in range(40)], DOCS)
+    right = sorted((r.doc_id, r.text_sha256, r.chain) for r in exact_dedup.exact_groups(docs).collect())
+    assert len(right) == 40
+
+    def wrong(entries, capacity):      # every text in a bucket of its own
+        return real_index(entries, capacity).withColumn("bucket", F.col("h") * 1000 + F.conv(
+            F.substring("sha", 1, 6), 16, 10).cast("long"))
+
+    monkeypatch.setattr(exact_dedup, "build_index", wrong)
+    out = exact_dedup.exact_groups(docs).collect()
+    assert sorted((r.doc_id, r.text_sha256, r.chain) for r in out) != right
+
+
 def test_texts_that_share_a_key_are_chained(spark, monkeypatch):
     real = F.xxhash64
     monkeypatch.setattr(exact_dedup.F, "xxhash64", lambda *c: real(*c) % 2)

@@ -1,10 +1,12 @@
 """The pipeline stage by stage against brute force on its own input."""
 
-from collections import Counter
+from collections import Counter, defaultdict
 
 import brute
 import corpus_pipeline
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wattspark.llm import quality
 from wattspark.llm.common import materialize
@@ -70,3 +72,38 @@ def test_packed_stage_holds_all_tokens(stages):
     for r in out:
         load[r.sequence_id] += r.length
     assert max(load.values()) <= 1024
+
+
+def test_sequences_are_rebuilt_from_the_output(stages):
+    from wattspark.llm import packing
+
+    encode = packing.encoder(*packing.vocabulary_paths())
+    end = np.array([packing.END_ID], "<u4").tobytes()
+    want = Counter(encode(r.text or "") + end for r in stages[4].collect())
+    out = stages[5].collect()
+    sequences, texts = defaultdict(bytearray), defaultdict(list)
+    for r in sorted(out, key=lambda r: (r.sequence_id, r.offset)):
+        assert len(sequences[r.sequence_id]) == 4 * r.offset and len(r.ids) == 4 * r.length
+        sequences[r.sequence_id] += r.ids
+    for r in out:
+        texts[r.doc_id].append((r.piece, bytes(r.ids)))
+    whole = Counter()
+    for pieces in texts.values():
+        pieces.sort(key=lambda x: x[0])
+        if sum(p == 0 for p, _ in pieces) == 1:          # repeated documents: checked by count below
+            whole[b"".join(b for _, b in pieces)] += 1
+    assert whole and all(want[t] for t in whole)
+    assert sum(map(len, sequences.values())) == sum(len(t) * n for t, n in want.items())
+
+
+def test_extra_columns_and_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    own = {c: F.lit("own") for c in ("__k", "__n", "__h", "__takes", "__b", "row", "block", "shard", "in_x")}
+    wide = docs.withColumns(own)
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, wide, SF)
+        assert out.columns == wide.columns and set(out.select("__takes", "in_x").distinct().collect()) == {("own", "own")}
+        assert sorted(map(repr, out.drop(*own).collect())) == sorted(map(repr, stage(spark, docs, SF).collect()))
+    none = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SF).count() == 0

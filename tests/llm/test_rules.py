@@ -175,3 +175,34 @@ def test_quality_of_nothing(empty_docs, spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     field = quality.train_field(empty_docs, none)
     assert quality.label_quality(empty_docs, field).count() == 0
+
+
+def test_training_lines_come_from_the_whole_text(spark):
+    from pyspark.sql import functions as F
+
+    from wattspark.llm import quality
+
+    rows = spark.createDataFrame([(i, [f"l{k}" for k in range(n)]) for i, n in enumerate((0, 5, 64, 65, 400))],
+                                 "id long, lines array<string>")
+    got = {r.id: r.t for r in rows.select("id", quality.training_lines(F.col("id"), F.col("lines"), 64).alias("t")).collect()}
+    assert [len(got[i]) for i in range(5)] == [0, 5, 64, 64, 64]
+    at = [int(x[1:]) for x in got[4]]
+    assert [a // 100 for a in at] == [0] * 16 + [1] * 16 + [2] * 16 + [3] * 16
+    assert all(b - a == 1 for a, b in zip(at, at[1:]) if a // 100 == b // 100)
+
+
+def test_columns_named_like_the_operators_own_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    from wattspark.llm import license_scan, url_filter
+
+    docs = spark.createDataFrame([(1, "under the mit license"), (2, None)], "doc_id long, text string")
+    wide = docs.withColumns({"__k": F.lit("own"), "__n_base": F.lit(7), "in_0": F.lit(1)})
+    got = license_scan.scan_licenses(wide)
+    assert got.drop("__k", "__n_base", "in_0").collect() == license_scan.scan_licenses(docs).collect()
+    assert {r["__k"] for r in got.collect()} == {"own"}
+    pages = spark.createDataFrame([(1, "http://a.com/x"), (2, None)], "page_id long, url string")
+    rules = spark.createDataFrame([("com", "/", "block")], url_filter.RULE_SCHEMA)
+    odd = pages.withColumnRenamed("url", "__url").withColumn("__uses", F.lit(3))
+    got = url_filter.judge_urls(odd, rules, url_col="__url")
+    assert {(r.page_id, r.rule, r["__uses"]) for r in got.collect()} == {(1, "com/", 3), (2, None, 3)}

@@ -43,6 +43,16 @@ def pack_table(docs: DataFrame) -> DataFrame:
     return packing.pack(pieces, pieces.count()).drop("row")
 
 
+def packed_ids(docs: DataFrame) -> DataFrame:
+    """Pieces with their token ids (``ids``, little-endian uint32) and their place: packed on
+    lengths alone, then the ids are joined back by row and piece."""
+    pieces = materialize(packing.token_pieces(docs), "pack-pieces")
+    placed = packing.pack(pieces.drop("ids"), pieces.count())
+    places = materialize(placed.select("row", "piece", "sequence_id", "offset"), "pack-places")
+    return (pieces.join(places, ["row", "piece"])
+            .withColumn("ids_crc32", F.crc32("ids")).drop("row"))
+
+
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 1024 tokens (best two fit)."""
     return pack_table(read_table(spark, sf_dir, "documents"))
@@ -58,7 +68,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents: words taken of each, by apportioned blocks per source."""
     return mixing.mix_rows(read_table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken", "shard", "block")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

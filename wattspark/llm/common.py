@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,25 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_names(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that keep all input columns and name their own ``__...``: input columns of
+    such names are renamed on the way in and back on the way out."""
+    @wraps(fn)
+    def run(df: DataFrame, *args, **how) -> DataFrame:
+        taken = [c for c in df.columns if c.startswith("__")]
+        if not taken:
+            return fn(df, *args, **how)
+        mark = "in_"
+        while any(c.lower().startswith(mark) for c in df.columns):
+            mark += "_"
+        safe = {c: f"{mark}{k}" for k, c in enumerate(taken)}
+        new = lambda v: safe.get(v, v) if isinstance(v, str) else v
+        out = fn(df.withColumnsRenamed(safe), *map(new, args), **{k: new(v) for k, v in how.items()})
+        return out.withColumnsRenamed({v: k for k, v in safe.items()})
+
+    return run
+
+
 def sliced(batches: Iterable, rows: int = 1024) -> Iterator:
     """Arrow batches cut into pieces of at most ``rows`` rows (no copies), which bounds
     what a task holds as Python objects at once."""

@@ -5,9 +5,10 @@ and hashed (XXH64).  The distinct keys fill the buckets of an extendible-hash
 directory: a bucket with more than ``capacity`` keys is split by one more hash
 bit, doubling the directory until no bucket is overfull or the last bit of the
 directory is used.  The index is written to the shared scratch folder in key
-order, so each file holds a range of buckets and the task that reads it owns
-these keys.  Texts that share a key are compared by their bytes; different
-texts under one key form a chain.
+order, so each file holds a range of buckets.  Texts that share a key are looked
+up with their bucket, combined and compared by their bytes, and dealt to tasks
+by ranges of buckets: the owner of a range chains the different texts under one
+key of a bucket.
 
 Only DataFrame functions are used.
 
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, checked_broadcast, hot_cold_join, keep_rows, materialize
+from .common import SPACES, checked_broadcast, hot_cold_join, keep_rows, materialize, own_names
 
 #: Keys a bucket holds before it is split.
 BUCKET_CAPACITY = 4096
@@ -76,10 +77,10 @@ def build_index(entries: DataFrame, capacity: int = BUCKET_CAPACITY) -> DataFram
 
 
 def _members(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (h, id, norm) of the documents whose hash occurs more than once."""
+    """Rows (bucket, h, id, norm) of the documents whose hash occurs more than once."""
     rows = (docs.select(F.col(id_col).alias("id"), normalized(F.col(text_col)).alias("norm"))
             .withColumn("h", F.xxhash64("norm")))
-    return rows.join(checked_broadcast(keys, keys.count(), 16), "h", "left_semi")
+    return rows.join(checked_broadcast(keys, keys.count(), 24), "h")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -92,24 +93,26 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                       F.sha2(norm, 256).alias("sha")), "dedup-entries")
     total = entries.count()
     index = build_index(entries, capacity)
-    shared = (index.groupBy("h").agg(F.sum("n").alias("rows"), F.max("bucket").alias("bucket"))
-              .filter("rows > 1").select("h"))
+    shared = (index.groupBy("bucket", "h").agg(F.sum("n").alias("rows"))
+              .filter("rows > 1").select("bucket", "h"))
     shared = materialize(shared, "dedup-shared")
     # grouping by the normalised text itself compares the bytes; equal texts
     # are combined before the shuffle, so a hot group sends one row per task
     chains = (_members(docs, shared, id_col, text_col)
-              .groupBy("h", "norm").agg(F.min("id").alias("keep_id"),
-                                        F.count(F.lit(1)).alias("group_size"))
-              .select("h", F.sha2("norm", 256).alias("sha"), "keep_id", "group_size"))
-    same = Window.partitionBy("h", "sha")
+              .groupBy("bucket", "h", "norm").agg(F.min("id").alias("keep_id"),
+                                                  F.count(F.lit(1)).alias("group_size"))
+              .select("bucket", "h", F.sha2("norm", 256).alias("sha"), "keep_id", "group_size"))
+    # one row per text that shares a key; the owner of a range of buckets chains them
+    chains = chains.repartitionByRange("bucket", "h")
+    same = Window.partitionBy("bucket", "h", "sha")
     chains = chains.select(
         "h", "sha", "keep_id", "group_size",
-        (F.row_number().over(Window.partitionBy("h").orderBy("sha")) - 1).alias("chain"),
+        (F.row_number().over(Window.partitionBy("bucket", "h").orderBy("sha")) - 1).alias("chain"),
         F.count(F.lit(1)).over(same).alias("texts"))
     chains = chains.select("h", "sha", "keep_id", "group_size", F.when(
         F.col("texts") > 1, F.raise_error(F.lit("different texts share both digests"))
         .cast("int")).otherwise(F.col("chain")).alias("chain"))
-    alone = (index.join(checked_broadcast(shared, shared.count(), 16), "h", "left_anti")
+    alone = (index.join(checked_broadcast(shared, shared.count(), 24), ["bucket", "h"], "left_anti")
              .select("h", "sha", "keep_id", F.col("n").alias("group_size"),
                      F.lit(0).alias("chain")))
     groups = materialize(chains.unionByName(alone), "dedup-groups")
@@ -122,6 +125,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("sha").alias("text_sha256"), "h", "chain")
 
 
+@own_names
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           capacity: int = BUCKET_CAPACITY) -> DataFrame:
     """The input rows that stay (all columns): of equal texts the one with the smallest id."""

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, checked_broadcast, materialize
+from .common import ascii_lower, checked_broadcast, materialize, own_names
 
 #: A word is a run of these: digits, letters a-z, and all non-ASCII characters.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -178,6 +178,7 @@ def find_spans(docs: DataFrame, templates: Sequence[Template] = TEMPLATES,
         "coverage")
 
 
+@own_names
 def scan_licenses(docs: DataFrame, templates: Sequence[Template] = TEMPLATES,
                   id_col: str = "doc_id", text_col: str = "text",
                   min_coverage: float = MIN_COVERAGE) -> DataFrame:

@@ -7,8 +7,9 @@ short that the smallest target has ``LEAST_BLOCKS`` of them (one word, if it
 has fewer words).  Each block in turn
 goes to the source with the highest quotient ``target / (2 * blocks_so_far + 1)``
 (Sainte-Lague), so every shard, a run of consecutive awards, has an integer
-quota of blocks per source.  A source's blocks are taken from the front of its
-seeded line, so exactly one document per source can be cut.
+quota of blocks per source.  A source's blocks come from the front of its
+seeded line, so exactly one document per source can be cut; a seeded permutation
+of them tells which blocks fill which shard's quota.
 
 Targets: each source gets its weight's share of all words; a target stops at
 ``max_epochs`` times the source's size and the excess is shared again by
@@ -36,6 +37,7 @@ from .common import (
     materialize,
     numbered,
     order_key,
+    own_names,
     word_count,
     words_column,
 )
@@ -114,7 +116,9 @@ def mix_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, *, size: Colum
              seed: int = SEED) -> DataFrame:
     """One row per document: ``doc_id``, ``source``, ``size``, ``source_size``, ``target``,
     ``taken`` (words the mix takes, repeats counted), ``start`` (its place in the
-    source's line), ``drawn`` (words of the line the mix takes) and ``text_hash``.
+    source's line), ``drawn`` (words of the line the mix takes), ``block`` (of its first
+    word, null if the mix does not reach it), ``shard`` (whose quota holds that block)
+    and ``text_hash``.
 
     Sources by code point weigh ``weights`` in turn, repeating.
     """
@@ -134,17 +138,20 @@ def mix_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, *, size: Colum
         F.col("target") > 0, F.col("target"))).alias("target")).first()
     if least["target"]:
         blocks = max(blocks, math.ceil(least["n"] / max(1, least["target"] // LEAST_BLOCKS)))
-    quotas = (block_quotas(targets, blocks, shards, max_epochs)
-              .groupBy("source").agg((F.sum("blocks") * F.max("block_words")).alias("drawn")))
+    # per source: its shards in order with the awards up to each one's end (at most `shards`)
+    quotas = (block_quotas(targets, blocks, shards, max_epochs).groupBy("source")
+              .agg((F.sum("blocks") * F.max("block_words")).alias("drawn"),
+                   F.max("block_words").alias("block_words"), F.sum("blocks").alias("won"),
+                   F.sort_array(F.collect_list(F.struct("shard", "blocks"))).alias("quotas")))
     plan = (targets.alias("t").join(quotas.alias("q"),
                                     F.col("t.source").eqNullSafe(F.col("q.source")), "left")
             .select("t.source", "t.source_size", "t.target", F.least(
                 F.coalesce("q.drawn", F.lit(0)), F.col("t.source_size") * max_epochs)
-                .cast("long").alias("drawn")))
+                .cast("long").alias("drawn"), "q.block_words", "q.won", "q.quotas"))
     counts = totals.select(F.col("source").alias("s2"), "rows")
     plan = materialize(plan.join(counts, F.col("source").eqNullSafe(F.col("s2")))
-                       .select(F.struct("source").alias("key"), "source_size", "target",
-                               "drawn", "rows"), "mix-plan")
+                       .select(F.struct("source").alias("key"), "source_size", "target", "drawn",
+                               "block_words", "won", "quotas", "rows"), "mix-plan")
     total = rows.count()
     spread = order_key(F.lit(seed), F.col("doc_id"), F.col("text_hash"))
     placed = numbered(rows, ["source"], [F.col("doc_id"), F.col("text_hash")], spread,
@@ -152,7 +159,26 @@ def mix_rows(docs: DataFrame, weights: Sequence[float] = WEIGHTS, *, size: Colum
     placed = materialize(placed.withColumn("key", F.struct("source")), "mix-placed")
     out = hot_cold_join(placed, plan, ["key"], "rows", total).drop("key", "rows")
     taken = sum((_pass_words(r) for r in range(max_epochs)), F.lit(0).cast("long"))
-    return out.withColumn("taken", taken.cast("long"))
+    block = F.when(F.col("start") < F.col("drawn"), F.floor(F.col("start") / F.col("block_words")))
+    out = out.withColumns({"taken": taken.cast("long"), "block": block.cast("long")})
+    return out.withColumn("shard", shard_of(F.col("block"), F.col("won"), F.col("quotas"), seed)
+                          ).drop("block_words", "won", "quotas")
+
+
+#: A prime that steps through a source's blocks in seeded order.
+STEP = 2_654_435_761
+
+
+def shard_of(block: Column, won: Column, quotas: Column, seed: int) -> Column:
+    """The shard whose quota holds a block: blocks are permuted by ``(STEP * block + seed) mod
+    won``, and the shards take as many of that order as their quotas say, one after another."""
+    place = F.pmod(block * F.lit(STEP) + F.lit(seed), won)
+    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit(None).cast("int").alias("shard"))
+    found = F.aggregate(quotas, start, lambda acc, q: F.struct(
+        (acc["end"] + q["blocks"]).alias("end"),
+        F.when(acc["shard"].isNull() & (place < acc["end"] + q["blocks"]), q["shard"])
+        .otherwise(acc["shard"]).alias("shard")))
+    return found["shard"]
 
 
 def _pass_words(r: int) -> Column:
@@ -161,6 +187,7 @@ def _pass_words(r: int) -> Column:
     return F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), room))
 
 
+@own_names
 def mix_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, *, id_col: str = "doc_id",
                   text_col: str = "text", chars_col: str | None = "n_chars",
                   max_epochs: int = MAX_EPOCHS, **how) -> DataFrame:

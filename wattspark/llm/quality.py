@@ -25,14 +25,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import sliced
 
-TRAIN_DOCS = 2000
-TRAIN_LINES = 64
+#: Documents and lines of each that training takes at most; longer texts give hashed runs of
+#: lines from all their parts.  Labelling itself reads every line.
+TRAIN_DOCS, TRAIN_LINES, TRAIN_RUNS = 2000, 64, 4
 MIN_SHARE = 0.5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -217,6 +218,16 @@ def fit_field(features: list[np.ndarray], labels: list[np.ndarray], steps: int =
     return LineField(w[0], w[1], w[2], mean, scale)
 
 
+def training_lines(key: Column, lines: Column, most: int, runs: int = TRAIN_RUNS) -> Column:
+    """All lines up to ``most``; else a run of ``most / runs`` lines at a hashed place in each
+    of ``runs`` equal parts of the text."""
+    part, run = F.floor(F.size(lines) / runs).cast("int"), most // runs
+    places = [k * part + 1 + F.pmod(F.xxhash64(key, F.lit(k)), (part - run + 1).cast("long")).cast("int")
+              for k in range(runs)]
+    return F.when(F.size(lines) <= most, lines).otherwise(
+        F.concat(*[F.slice(lines, p, run) for p in places]))
+
+
 def train_field(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                 text_col: str = "text", label_col: str = "quality",
                 train_docs: int = TRAIN_DOCS, train_lines: int = TRAIN_LINES) -> LineField:
@@ -226,7 +237,8 @@ def train_field(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
               .na.drop().orderBy(order, "__id", "__label").limit(train_docs))
     rows = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
             .join(F.broadcast(picked), "__id")
-            .select("__id", "__label", F.slice(F.split("__text", "\n"), 1, train_lines)
+            .select("__id", "__label", F.split("__text", "\n").alias("__lines"))
+            .select("__id", "__label", training_lines(F.col("__id"), F.col("__lines"), train_lines)
                     .alias("__lines"))
             .orderBy(order, "__id", "__label").limit(train_docs).toArrow())
     features, gold = [], []

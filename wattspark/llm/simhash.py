@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hot_cold_join, keep_rows, materialize
+from .common import hot_cold_join, keep_rows, materialize, own_names
 
 SHINGLE = 3
 DISTANCE = 2
@@ -153,6 +153,7 @@ def near_duplicate_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int
          & (F.col("text_hash") == F.col("best.text_hash"))).alias("kept"))
 
 
+@own_names
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
                          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows that stay (all columns): one document of each group."""

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, ascii_lower, hot_cold_join, materialize
+from .common import BROADCAST_BYTES, ascii_lower, hot_cold_join, materialize, own_names
 
 #: Hex digits of the digest by which rules are looked up (32 bits).
 PREFIX_HEX = 8
@@ -74,6 +74,7 @@ def expressions(host: Column, path: Column, labels: int, slashes: int) -> Column
         prefixes, lambda p: _digest(h, p))))
 
 
+@own_names
 def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url",
                default: str = "allow") -> DataFrame:
     """The input rows with ``host``, ``path``, ``rule`` (null if none fits) and ``verdict``."""
