@@ -43,9 +43,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack all documents into sequences of at most 1024 tokens."""
+    """Pack all documents into sequences of at most 1024 tokens, ids included."""
     ship_package(spark)
-    return catalog.pack_table(docs)
+    return catalog.packed_ids(docs)
 
 
 STAGES = [
