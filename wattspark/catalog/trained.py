@@ -25,9 +25,11 @@ BATCH, EPOCHS, RATE = 1024, 3, 0.05
 
 def _linear(data, features, targets, workers):
     """A network without hidden layer on scaled columns, from zero weights, batches in the
-    order of the rows' content."""
+    order of the rows' content.  Columns are not centred: the gradients of biases of centred
+    columns are rounding noise, which Adam's division by their size would carry into the result."""
     every = list(dict.fromkeys([*features, *targets]))
     scaler = lscale.scaler_values(lscale.fit_standard_scaler(data, every))
+    scaler = {k: 0.0 if k.startswith("mean_") else v for k, v in scaler.items()}
     scaled = lscale.transform_standard(data, scaler, every, suffix="_z")
     model, history = sync.fit_dense_sync(
         scaled, [f"{c}_z" for c in features], [f"{c}_z" for c in targets], (), epochs=EPOCHS, lr=RATE,

@@ -6,11 +6,11 @@ from wattspark.schemas import ENERGY_FEATURES, VM_FEATURES, VM_TARGET
 
 
 def scaled_sql(rows: str, columns: list[str]) -> str:
-    """The rows with ``z0``, ``z1``, ... (columns scaled by their population deviation) and
+    """The rows with ``z0``, ``z1``, ... (columns divided by their population deviation) and
     ``pos``, their place in the order of their content."""
-    stats = ", ".join(f"avg({c}) AS m{k}, CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1.0 "
+    stats = ", ".join(f"CASE WHEN coalesce(stddev_pop({c}), 0) = 0 THEN 1.0 "
                       f"ELSE stddev_pop({c}) END AS s{k}" for k, c in enumerate(columns))
-    z = ", ".join(f"({c} - m{k}) / s{k} AS z{k}" for k, c in enumerate(columns))
+    z = ", ".join(f"{c} / s{k} AS z{k}" for k, c in enumerate(columns))
     return (f"(SELECT d.*, {z}, row_number() OVER (ORDER BY _time, vm_id, {', '.join(columns)}) - 1 "
             f"AS pos FROM {rows} d CROSS JOIN (SELECT {stats} FROM {rows} d2) st)")
 
