@@ -103,10 +103,12 @@ ANOMALY_FEATURES = [
     "scaph_process_power_consumption_microwatts",
 ]
 
-# Defaults of the selection step.
+# Names the exports and their default selection use.
 DEFAULT_VM_NAME_FILTER = "^neuronet-"
 DEFAULT_CLUSTER_FILTER = "Neuronet"
 HOST_POWER_FIELD = "scaph_host_power_microwatts"
+SCAPH_HOST_PREFIX = "scaphandre_flux"
+SCAPH_VM_PREFIX = "scaphandre_neuronet"
 
 
 @dataclass(frozen=True)
@@ -150,12 +152,12 @@ SOURCES: dict[str, Source] = {
         index=["_time", "inventory-server-id", "vm_id", "vm_name"],
         fields=PROXMOX_FIELDS, value_is_text=True, id_columns={"vm_id": T.LongType()}),
     "scaphandre_host": Source(
-        "scaphandre_host", "scaphandre", "scaphandre_flux",
+        "scaphandre_host", "scaphandre", SCAPH_HOST_PREFIX,
         tags=["granularity", "inventory-cluster-id", "inventory-rack-id", "url"],
         index=["_time", "url"],
         fields=SCAPH_HOST_FIELDS),
     "scaphandre_vm": Source(
-        "scaphandre_vm", "scaphandre", "scaphandre_neuronet",
+        "scaphandre_vm", "scaphandre", SCAPH_VM_PREFIX,
         tags=["cmdline", "exe", "granularity", "inventory-cluster-id", "inventory-rack-id",
               "system_type", "url", "uuid", "vm_id", "vm_name"],
         index=["_time", "url", "uuid", "vm_id", "vm_name"],
