@@ -67,7 +67,11 @@ def energy_dataset(k8s_wide: DataFrame, kepler_wide: DataFrame,
     side is measured small, and splits a hot key's partition otherwise).
     ``skew='split'`` isolates hot keys explicitly instead.
     """
-    joined = energy_join(k8s_wide, kepler_wide, interval, skew)
+    return energy_features(energy_join(k8s_wide, kepler_wide, interval, skew))
+
+
+def energy_features(joined: DataFrame) -> DataFrame:
+    """The dataset's columns from joined k8s and Kepler columns; incomplete rows are dropped."""
     out = joined.select(
         *ENERGY_JOIN_KEYS,
         units.nanocores_to_millicores("cpu_usage_nanocores").alias("cpu_millicores"),
