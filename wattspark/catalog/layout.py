@@ -1,4 +1,4 @@
-"""Registered queries of stored layouts, the regex index, sketches and resumed runs."""
+"""Registered queries of stored layouts, the regex index, sketches, resumed runs and joined streams."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from wattspark.operators.joins import regex_match_join
 from wattspark.plans import resume, stored
 from wattspark.session import scratch_path
 from wattspark.sources import sinks, telemetry
+from wattspark.streaming import energy_stream, telemetry_stream
 
 
 @register("theta_join_indexed")
@@ -81,3 +82,20 @@ def q_energy_run_resumed(spark, sf_dir):
                                    interval=base.DATASET_INTERVAL, num_trees=4, split_key=base.SPLIT_KEY)
         executed, reused = executed + len(run.executed), reused + len(run.reused)
     return m.select("n", F.lit(executed).alias("executed"), F.lit(reused).alias("reused"))
+
+
+@register("stream_energy_join")
+def q_stream_energy_join(spark, sf_dir):
+    """J1/W6 as a stream-stream join: processed k8s and Kepler rows arrive as files; late-come
+    scrapes far ahead close the windows, and the joined rows are read back."""
+    folder, streams = scratch_path(spark, "stream-energy"), []
+    for source in ("k8s", "kepler"):
+        rows, path = base.wide(spark, sf_dir, source), f"{folder}/{source}"
+        rows.repartitionByRange(4, "_time").write.parquet(path)
+        for days in (400, 401):
+            ahead = rows.limit(1).withColumn("_time", F.col("_time") + F.expr(f"interval {days} days"))
+            ahead.write.mode("append").parquet(path)
+        streams.append(telemetry_stream.read_long_stream(spark, path, rows.schema, max_files_per_trigger=2))
+    out = energy_stream.stream_energy_dataset(*streams, interval="1 day", watermark="40 days")
+    telemetry_stream.run_to_table(out, f"{folder}/out", f"{folder}/ckpt")
+    return base.ntz(spark.read.parquet(f"{folder}/out").drop("batch_id"))

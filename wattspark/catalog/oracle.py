@@ -509,6 +509,7 @@ SELECT {keys}, round({target}, 6) AS y_true, mean_mse, true AS fits FROM s CROSS
     o["scan_paths"] = o["scan_long_pdu"]
     o["ingest_exactly_once"] = o["scan_changing_headers"] = o["scan_long_kepler"]
     o["theta_join_indexed"] = o["theta_join_regex"]
+    o["stream_energy_join"] = o["energy_dataset"]
     o["energy_dataset_bucketed"], o["vm_power_dataset_bucketed"] = o["energy_dataset"], o["vm_power_dataset"]
     o["processed_clustered"] = o["prep_k8s"]
     days = (f"(SELECT * FROM {L('scaphandre_vm')} x WHERE CAST(_time AS DATE) BETWEEN DATE '2024-01-05' "
