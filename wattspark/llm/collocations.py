@@ -45,7 +45,7 @@ from .common import checked_broadcast, hot_cold_join, materialize, sliced
 TILE_BITS, HEAD = 10, 8
 TILE = 1 << TILE_BITS
 #: Bytes of text in a block, blocks whose tiles one task adds, and words per hashed part.
-BLOCK_BYTES, FAN_IN, PART_WORDS = 4 << 20, 16, 4 << 20
+BLOCK_BYTES, FAN_IN, PART_WORDS = 4 << 20, 8, 4 << 20
 NO_LANGUAGE = "und"
 
 _SPLITS = b".,;:!?\n\x0b\x0c\r"
