@@ -202,3 +202,60 @@ def test_a_half_written_increment_is_not_seen_and_is_written_again(spark, tmp_di
     assert as_rows(incremental.read_processed(spark, state, "proxmox")) == as_rows(preprocess.prep_proxmox(prox))
     only = incremental.read_processed(spark, state, "proxmox", {"2025-08-07"})
     assert {r[0] for r in only.select(F.dayofmonth("_time")).distinct().collect()} == {7}
+
+
+def test_files_of_one_header_are_read_without_a_header_pass(spark, tmp_dir, monkeypatch):
+    back = NAMES[::-1]
+    write_file(f"{tmp_dir}/kepler_a.csv", range(10), back)
+    with open(f"{tmp_dir}/kepler_b.csv", "w") as f:                          # repeated header, blank lines
+        f.write("\n".join(["", ",".join(back), kepler_line(back, 10), "", ",".join(back),
+                           kepler_line(back, 11), "", ""]))
+    usual = exports.read_exports(spark, tmp_dir, "kepler")
+    monkeypatch.setattr(exports, "_by_header", None)                         # the pass over the headers
+    once = exports.read_exports(spark, tmp_dir, "kepler", one_header=True)
+    assert once.schema == usual.schema
+    assert sorted(map(str, once.collect())) == sorted(map(str, usual.collect()))
+    assert once.count() == 12 and values(once) == list(range(12))
+    assert {r["container_name"] for r in once.select("container_name").collect()} == {"a,b"}
+
+
+@pytest.mark.parametrize("lines", [
+    lambda: [",".join(NAMES[1:]), kepler_line(NAMES[1:], 1)],                # another first line
+    lambda: [",".join(NAMES), kepler_line(NAMES, 1), ",".join(NAMES[1:]), kepler_line(NAMES[1:], 2)]])
+def test_a_line_that_contradicts_the_one_header_fails_the_scan(spark, tmp_dir, lines):
+    write_file(f"{tmp_dir}/kepler_a.csv", range(2000))
+    with open(f"{tmp_dir}/kepler_b.csv", "w") as f:
+        f.write("\n".join(lines()) + "\n")
+    rows = exports.read_exports(spark, tmp_dir, "kepler", one_header=True)
+    for job in (rows.count, rows.select("_value").collect):
+        with pytest.raises(Exception, match="another header"):
+            job()
+    assert exports.read_exports(spark, tmp_dir, "kepler").count() == 2000 + len(lines()) // 2
+
+
+def test_one_header_without_any_header_or_file(spark, tmp_dir):
+    assert exports.read_exports(spark, tmp_dir, "kepler", one_header=True).count() == 0
+    with open(f"{tmp_dir}/kepler_a.csv", "w") as f:
+        f.write("1,2,3\n")
+    assert exports.read_exports(spark, tmp_dir, "kepler", one_header=True).count() == 0
+    with pytest.raises(ValueError):
+        exports.read_exports(spark, tmp_dir, "kepler", one_header=True, headers={})
+
+
+def test_an_ingest_reads_its_files_twice_not_three_times(spark, tmp_dir, monkeypatch):
+    """The pass that digests the lines finds the headers too, changed ones inside a file included."""
+    folder, store = f"{tmp_dir}/in", f"{tmp_dir}/store"
+    os.makedirs(folder)
+    write_file(f"{folder}/kepler_a.csv", range(5), NAMES[::-1])
+    few = [n for n in NAMES if n != "namespace"]
+    with open(f"{folder}/kepler_b.csv", "w") as f:
+        f.write("\n".join([",".join(NAMES), kepler_line(NAMES, 5), ",".join(few), kepler_line(few, 6)]) + "\n")
+    given = []
+    read = exports.read_exports
+    monkeypatch.setattr(exports, "read_exports",
+                        lambda *a, **k: given.append(k["headers"]) or read(*a, **k))
+    ledger.ingest_once(spark, store, "kepler", folder)
+    assert sorted(len(h) for h in given[0].values()) == [1, 2]
+    got = ledger.read_ingested(spark, store)
+    assert values(got) == list(range(7))
+    assert got.filter("namespace is null").count() == 1

@@ -136,10 +136,10 @@ def inventory(spark, sf_dir) -> DataFrame:
 @register("scan_long")
 def q_scan_long(spark, sf_dir):
     """k8s exports written as CSV files, then scanned with the declared
-    schema (``k8s*`` files, missing tokens -> null)."""
+    schema (``k8s*`` files of one header, missing tokens -> null)."""
     path = scratch_path(spark, "exports-k8s")
     exports.write_exports(long(spark, sf_dir, "k8s"), path, "k8s")
-    df = exports.read_exports(spark, path, "k8s")
+    df = exports.read_exports(spark, path, "k8s", one_header=True)
     return ntz(df.drop("_file", "_start", "_stop"))
 
 

@@ -23,16 +23,17 @@ _PREP = {
 
 def process_exports(spark: SparkSession, directory: str, source: str,
                     output: str | None = None, *, fmt: str = "parquet",
-                    sort: bool = False, **options):
+                    sort: bool = False, one_header: bool = False, **options):
     """Scan every export of ``source`` in ``directory`` and process it.
 
     ``source`` is one of k8s, kepler, pdu, proxmox or scaphandre; the last
     returns (host, vm) tables, routed by file prefix.  With ``output`` the
     result is written there (``<output>/host`` and ``<output>/vm`` for
-    scaphandre), rows ordered by time inside each file.
+    scaphandre), rows ordered by time inside each file.  ``one_header``: all
+    files of a source share one header, so their text is read once.
     """
     if source == "scaphandre":
-        host_long, vm_long = exports.read_routed(spark, directory)
+        host_long, vm_long = exports.read_routed(spark, directory, one_header=one_header)
         host = preprocess.prep_scaphandre_host(host_long, sort=sort, **options)
         vm = preprocess.prep_scaphandre_vm(vm_long, sort=sort, **options)
         if output:
@@ -41,7 +42,8 @@ def process_exports(spark: SparkSession, directory: str, source: str,
         return host, vm
     if source not in _PREP:
         raise ValueError(f"unknown source {source!r}")
-    wide = _PREP[source](exports.read_exports(spark, directory, source), sort=sort, **options)
+    long = exports.read_exports(spark, directory, source, one_header=one_header)
+    wide = _PREP[source](long, sort=sort, **options)
     if output:
         sinks.write_table(wide, output, fmt=fmt, sort_within="_time")
     return wide

@@ -4,6 +4,8 @@ Columns are taken by the names in each file's header, wherever they stand.
 One pass over the text finds the headers (repeated ones included); files with
 one header are scanned together with an explicit schema, files that hold
 several different headers are parsed line by line under the header above.
+Where all files are known to share one header, ``one_header`` reads the text
+once and fails on a line that contradicts it.
 The file name is kept in ``_file`` so the per-file semantics of the processing
 step can be reproduced.
 """
@@ -101,19 +103,47 @@ def _header_schema(header: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def _by_header(spark: SparkSession, paths: list[str], schema: T.StructType) -> list[DataFrame]:
-    lines = spark.read.text(paths)
-    headers = (lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("header"))
-               .where(_is_header(F.col("header"))).groupBy("path")
-               .agg(F.collect_set("header").alias("headers")))
-    # a row per file, with its distinct headers
+def distinct_headers(line: Column) -> Column:
+    """Aggregate: the distinct headers among the lines."""
+    return F.collect_set(F.when(_is_header(line), line))
+
+
+def _cells(rows: DataFrame, header: str, schema: T.StructType) -> DataFrame:
+    """Lines (``value``) parsed under a header."""
+    cells = F.from_csv(F.col("value"), _header_schema(header).toDDL())
+    return _typed(rows.select(cells.alias("c"), FILE_COL, PATH_COL)
+                  .select("c.*", FILE_COL, PATH_COL), schema)
+
+
+def _under_one_header(spark: SparkSession, paths: list[str], schema: T.StructType) -> list[DataFrame]:
+    value = F.col("value")
+    first = spark.read.text(paths).where(_is_header(value)).first()
+    if first is None:
+        return []
+    header = first["value"]
+    lines = spark.read.text(paths).select("value", _export_name().alias(FILE_COL),
+                                          F.col("_metadata.file_path").alias(PATH_COL))
+    other = F.raise_error(F.concat(F.lit("another header than the first file's in "), F.col(PATH_COL),
+                                   F.lit("; read the exports without one_header")))
+    data = (F.when(value == header, F.lit(False)).when(_is_header(value), other.cast("boolean"))
+            .otherwise(F.trim(value) != ""))
+    return [_cells(lines.where(data), header, schema)]
+
+
+def _by_header(spark: SparkSession, paths: list[str], schema: T.StructType,
+               headers: dict[str, list[str]] | None = None) -> list[DataFrame]:
+    if headers is None:
+        lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+        found = (lines.where(_is_header(F.col("value"))).groupBy("path")
+                 .agg(distinct_headers(F.col("value")).alias("headers")))
+        headers = {r["path"]: r["headers"] for r in found.collect()}      # a row per file
     files: dict[str, list[str]] = {}
     mixed: dict[str, list[str]] = {}
-    for r in headers.collect():
-        if len(r["headers"]) == 1:
-            files.setdefault(r["headers"][0], []).append(r["path"])
-        else:
-            mixed[r["path"]] = r["headers"]
+    for path, own in headers.items():
+        if len(own) == 1:
+            files.setdefault(own[0], []).append(path)
+        elif own:
+            mixed[path] = own
     parts = []
     for header, own in sorted(files.items()):
         raw = (spark.read.schema(_header_schema(header)).option("header", False)
@@ -124,11 +154,9 @@ def _by_header(spark: SparkSession, paths: list[str], schema: T.StructType) -> l
     if mixed:
         text = lines_under_headers(spark, sorted(mixed))
         for header in sorted({h for own in mixed.values() for h in own}):
-            cells = F.from_csv(F.col("value"), _header_schema(header).toDDL())
             rows = text.where((F.col("header") == header) & (F.col("value") != header)
                               & (F.trim("value") != ""))
-            parts.append(_typed(rows.select(cells.alias("c"), FILE_COL, PATH_COL)
-                                .select("c.*", FILE_COL, PATH_COL), schema))
+            parts.append(_cells(rows, header, schema))
     return parts
 
 
@@ -165,7 +193,8 @@ def lines_under_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def read_exports(spark: SparkSession, directory: str, source: str | Source, *,
                  prefix: str | None = None, paths: list[str] | None = None,
-                 with_path: bool = False) -> DataFrame:
+                 with_path: bool = False, one_header: bool = False,
+                 headers: dict[str, list[str]] | None = None) -> DataFrame:
     """Scan all ``<prefix>*.csv`` exports of a source in ``directory``.
 
     Returns the long telemetry with declared types, missing-value tokens in
@@ -177,12 +206,22 @@ def read_exports(spark: SparkSession, directory: str, source: str | Source, *,
     header has no columns and no rows.  ``paths`` scans an explicit list of
     files instead of the prefix glob; ``with_path`` adds each row's file path
     as ``_path``.
+
+    The headers are found by a pass over the text of its own.  Two ways without
+    it: ``one_header`` says that every file starts with the same header (the
+    first one met is taken; it may be repeated, and any other header line makes
+    the scan fail); ``headers`` names the distinct headers of each file path.
     """
+    if one_header and headers is not None:
+        raise ValueError("one_header and headers exclude each other")
     src = SOURCES[source] if isinstance(source, str) else source
     schema = raw_schema(src)
     if paths is None:
         paths = existing(spark, _globs(directory, prefix or src.prefix))
-    parts = _by_header(spark, paths, schema) if paths else []
+    parts = []
+    if paths:
+        parts = (_under_one_header(spark, paths, schema) if one_header
+                 else _by_header(spark, paths, schema, headers))
     out = parts[0] if parts else spark.createDataFrame([], _typed_schema(schema))
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -191,10 +230,11 @@ def read_exports(spark: SparkSession, directory: str, source: str | Source, *,
 
 def read_routed(spark: SparkSession, directory: str, *,
                 host_prefix: str = SOURCES["scaphandre_host"].prefix,
-                vm_prefix: str = SOURCES["scaphandre_vm"].prefix) -> tuple[DataFrame, DataFrame]:
+                vm_prefix: str = SOURCES["scaphandre_vm"].prefix,
+                one_header: bool = False) -> tuple[DataFrame, DataFrame]:
     """Two-way routing by file-name prefix: (host exports, VM exports)."""
-    return (read_exports(spark, directory, "scaphandre_host", prefix=host_prefix),
-            read_exports(spark, directory, "scaphandre_vm", prefix=vm_prefix))
+    return (read_exports(spark, directory, "scaphandre_host", prefix=host_prefix, one_header=one_header),
+            read_exports(spark, directory, "scaphandre_vm", prefix=vm_prefix, one_header=one_header))
 
 
 def read_multi_table_csv(spark: SparkSession, path: str, source: str) -> DataFrame:

@@ -5,8 +5,9 @@ The store holds data in ``data/batch=<n>/plugin=<p>/date=<d>`` and a ledger of f
 
 1. lists the files (names and lengths only; empty files count for nothing) and leaves out those the ledger knows by path
    and length (left-anti join);
-2. digests the others' lines (one distributed pass, no file in one task); a digest that the
-   ledger has under any path, or that an earlier file of this ingest has, is not read again;
+2. digests the others' lines and finds their headers (one distributed pass, no file in one
+   task); a digest that the ledger has under any path, or that an earlier file of this ingest
+   has, is not read again;
 3. stages the new files' rows in the next batch's folder, replacing what a failed attempt
    left there;
 4. commits by appending the batch's ledger rows, one file.
@@ -41,14 +42,16 @@ def read_ledger(spark: SparkSession, store: str) -> DataFrame:
 
 def file_digests(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """``path`` and ``digest`` of the lines of each file: their number and two sums of 64-bit
-    hashes, added up by every task (the order of lines does not count)."""
+    hashes, added up by every task (the order of lines does not count); ``headers``, the
+    distinct header lines."""
     wide = "decimal(38,0)"
     lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"))
     sums = lines.groupBy("path").agg(
         F.count(F.lit(1)).cast("string").alias("n"),
         F.sum(F.xxhash64("value").cast(wide)).cast("string").alias("a"),
-        F.sum(F.xxhash64("value", F.lit(7)).cast(wide)).cast("string").alias("b"))
-    return sums.select("path", F.sha2(F.concat_ws("|", "n", "a", "b"), 256).alias("digest"))
+        F.sum(F.xxhash64("value", F.lit(7)).cast(wide)).cast("string").alias("b"),
+        exports.distinct_headers(F.col("value")).alias("headers"))
+    return sums.select("path", F.sha2(F.concat_ws("|", "n", "a", "b"), 256).alias("digest"), "headers")
 
 
 def _listed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -85,13 +88,15 @@ def ingest_once(spark: SparkSession, store: str, source: str, directory: str = "
     rows = (sized.join(first, "digest").join(held, "digest", "left")
             .select(F.lit(batch).cast("long").alias("batch"), "path", F.xxhash64("path").alias("file_id"),
                     "length", "digest",
-                    (F.col("elsewhere").isNull() & (F.col("path") == F.col("first"))).alias("held")))
+                    (F.col("elsewhere").isNull() & (F.col("path") == F.col("first"))).alias("held"),
+                    "headers"))
     entries = rows.collect()                                               # one per new file
-    out = spark.createDataFrame(entries, LEDGER)
-    keep = [r["path"] for r in entries if r["held"]]
+    out = spark.createDataFrame([r[:-1] for r in entries], LEDGER)
+    keep = {r["path"]: r["headers"] for r in entries if r["held"]}
     target = f"{store}/data/batch={batch}"
     if keep:
-        long = exports.read_exports(spark, "", source, paths=keep, with_path=True)
+        long = exports.read_exports(spark, "", source, paths=list(keep), with_path=True,
+                                    headers=keep)
         long = normalize_values(long.withColumn("file_id", F.xxhash64("_path")).drop("_path", "_file"))
         if "plugin" not in long.columns:
             long = long.withColumn("plugin", F.lit(source))

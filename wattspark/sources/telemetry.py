@@ -88,15 +88,16 @@ def prune(df: DataFrame, plugin: str | None, start: datetime, stop: datetime) ->
 
 
 def ingest_exports(spark: SparkSession, directory: str, source: str, store_path: str, *,
-                   files_per_partition: int = 8) -> None:
+                   files_per_partition: int = 8, one_header: bool = False) -> None:
     """Read a source's CSV exports once and append them to the store, at most
     ``files_per_partition`` files per plugin and day.
 
     Text parsing happens here, once; later selections read typed Parquet
     with partition pruning instead of re-scanning CSV.  The export name is
     not part of the store (the store is the bucket, not the exports).
+    ``one_header``: the files share one header, so no pass has to find it.
     """
     from wattspark.sources.exports import read_exports
 
-    long = read_exports(spark, directory, source).drop("_file")
+    long = read_exports(spark, directory, source, one_header=one_header).drop("_file")
     write_telemetry(long, store_path, files_per_partition=files_per_partition)
