@@ -63,3 +63,21 @@ def test_every_number_is_in_one_batch_of_an_epoch():
         seen = [sorted(np.concatenate([r for _, b in sync.batch_numbers(n, batch, chunk, 1, e) for r in b]))
                 for e in (1, 2)]
         assert seen[0] == seen[1] == list(range(n))
+
+
+@pytest.mark.parametrize("gather_bytes", [1 << 20, 6000])
+def test_linear_workers_gather_the_sums_of_many_batches(spark, table, monkeypatch, gather_bytes):
+    """The steps of one process, with far fewer gatherings (each takes a second) than steps."""
+    import time
+
+    df, x, y = table
+    x = x + [1e4, 0, 0, -3e3]
+    df = df.selectExpr("i", "a + 1e4 as a", "b", "c", "d - 3e3 as d", "y", "z")
+    monkeypatch.setattr(sync, "GATHER_BYTES", gather_bytes)
+    args = dict(epochs=2, lr=5e-3, batch_size=8, seed=3, shuffle=True, chunk=64, initial=[0.0] * 10)
+    began = time.time()
+    model, history = sync.fit_dense_sync(df, list("abcd"), ["y", "z"], (), workers=2, order_cols=["i"], **args)
+    assert time.time() - began < 60          # 176 steps, a second each before
+    w, losses = one_process(x, y, [4, 2], ["linear"], np.zeros(10), 2, 5e-3, 8, 64, 3)
+    assert np.abs(model.params - w).max() < 1e-7
+    assert [r.loss for r in history.orderBy("epoch").collect()] == pytest.approx(losses, rel=1e-9)

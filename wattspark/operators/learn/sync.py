@@ -20,6 +20,10 @@ whatever the number of workers:
 Spark answers an ``allGather`` once a second, so steps cost about a second with two or
 more workers: large batches are meant for them (``workers`` defaults to one per 4,096
 rows of a batch).  One worker needs no gathering and runs at NumPy speed.
+
+Without hidden layers the gradient of a batch follows from sums over its rows, whatever
+the weights.  The workers then gather the sums of many batches at once (up to
+``GATHER_BYTES``), add them in worker order, and take every batch's step from its sums.
 """
 
 from __future__ import annotations
@@ -39,6 +43,8 @@ from wattspark.session import checkpoint_dir
 
 #: Rows shuffled together (and held by all workers together), and rows of a batch per worker.
 CHUNK, WORKER_ROWS = 65_536, 4_096
+#: Bytes of sums a worker gathers at once for a network without hidden layers.
+GATHER_BYTES = 1 << 20
 _RESULT = "worker int, loss_sum double, val_sum double, val_n long, state binary"
 
 
@@ -63,6 +69,28 @@ def adam_step(state: np.ndarray, g: np.ndarray, lr: float, beta1: float = 0.9,
     return np.concatenate([state[:p] - step, m, v, [t]])
 
 
+def batch_sums(x: np.ndarray, y: np.ndarray, origin: np.ndarray) -> np.ndarray:
+    """Flat sums over rows, from which :func:`sums_grad` has the gradient at any weights:
+    those of d'd, d'e and ee, where d is (x, 1) and e is y, both less ``origin``."""
+    d = np.c_[x - origin[:x.shape[1]], np.ones(len(x))]
+    e = y - origin[x.shape[1]:]
+    return np.concatenate([(d.T @ d).ravel(), (d.T @ e).ravel(), [float((e * e).sum())]])
+
+
+def sums_grad(flat: np.ndarray, sizes, sums: np.ndarray, origin: np.ndarray) -> tuple[float, np.ndarray]:
+    """``dense._grad`` of one linear layer from the sums of a batch."""
+    k, out = sizes
+    dd = sums[:(k + 1) ** 2].reshape(k + 1, k + 1)
+    de = sums[(k + 1) ** 2:-1].reshape(k + 1, out)
+    n = dd[k, k] * out
+    w = flat.reshape(k + 1, out).copy()
+    w[k] += origin[:k] @ w[:k] - origin[k:]
+    r = dd @ w - de                                # sums of d times the residual
+    g = 2.0 * r / n
+    g[:k] += np.outer(origin[:k], g[k])
+    return float(((w * (r - de)).sum() + sums[-1]) / n), g.ravel()
+
+
 def _rows_by_number(batches: Iterator[pa.RecordBatch]):
     """Function (upper) -> (numbers, x, y) of the next rows with numbers under ``upper``."""
     held: list[tuple] = []
@@ -117,9 +145,13 @@ def fit_dense_sync(df: DataFrame, features: Sequence[str], targets: Sequence[str
     order = ([F.col(f"__o{k}") for k in range(len(keys))] if keys else
              [F.xxhash64("x", "y", F.lit(seed))]) + [F.col("x"), F.col("y")]
     rows = number_rows(arrays(df, *keys), order).select("pos", "x", "y")
-    n = rows.count()
+    linear = not hidden and output_activation == "linear"
+    ends = [F.avg(F.col(c)[k]) for c, width in (("x", sizes[0]), ("y", sizes[-1]))
+            for k in range(width)] if linear else []
+    n, *origin = rows.agg(F.count(F.lit(1)), *ends).first()
     if not n:
         raise ValueError("no training rows")
+    origin = np.nan_to_num(np.array(origin, float))
     slots = spark.sparkContext.defaultParallelism       # a barrier job needs all workers at once
     count = max(1, min(slots, workers or batch_size // WORKER_ROWS))
     rows = rows.withColumn("is_val", F.lit(False))
@@ -145,6 +177,25 @@ def fit_dense_sync(df: DataFrame, features: Sequence[str], targets: Sequence[str
             else:
                 ctx, me = None, 0
             take, cur, loss_sum = _rows_by_number(batches), _held.value, 0.0
+            sums: list[np.ndarray] = []
+            lengths: list[int] = []
+
+            def gathered(own: np.ndarray) -> np.ndarray:
+                if ctx is None:
+                    return own
+                parts = ctx.allGather(base64.b64encode(own.tobytes()).decode())
+                return np.sum([np.frombuffer(base64.b64decode(s)) for s in parts], axis=0)
+
+            def step_by_sums():
+                nonlocal cur, loss_sum
+                if sums:
+                    for total, size in zip(gathered(np.concatenate(sums)).reshape(len(sums), -1), lengths):
+                        loss, g = sums_grad(cur[:p], sizes, total, origin)
+                        loss_sum += loss * size
+                        cur = adam_step(cur, g, lr)
+                sums.clear()
+                lengths.clear()
+
             for upper, chunk_batches in batch_numbers(n, batch_size, chunk, seed, _epoch, shuffle):
                 own = take(upper)
                 if own is None:
@@ -155,15 +206,20 @@ def fit_dense_sync(df: DataFrame, features: Sequence[str], targets: Sequence[str
                     at = at[np.flatnonzero((at < len(pos))
                                            & (pos[np.minimum(at, len(pos) - 1)] == numbers))
                             ] if len(pos) else at[:0]
+                    if linear and ctx is not None:
+                        sums.append(batch_sums(x[at], y[at], origin))
+                        lengths.append(len(numbers))
+                        if len(sums) * sums[0].nbytes >= GATHER_BYTES:
+                            step_by_sums()
+                        continue
                     share = np.zeros(p + 1)
                     if len(at):
                         loss, g = dense._grad(cur[:p], sizes, acts, x[at], y[at])
                         share = np.append(g, loss) * (len(at) / len(numbers))
-                    if ctx is not None:
-                        parts = ctx.allGather(base64.b64encode(share.tobytes()).decode())
-                        share = np.sum([np.frombuffer(base64.b64decode(s)) for s in parts], axis=0)
+                    share = gathered(share)
                     loss_sum += share[p] * len(numbers)
                     cur = adam_step(cur, share[:p], lr)
+            step_by_sums()
             val_sum, val_n = 0.0, 0
             while (own := take((1 << 62) + 1)) is not None and len(own[0]):
                 val_sum += dense._mse_sum(cur[:p], sizes, acts, own[1], own[2])
