@@ -273,3 +273,20 @@ def test_leading_blank_export_roundtrip(spark, tmp_dir):
     back = exports.read_exports(spark, tmp_dir, "scaphandre_host")
     assert sorted((r["url"], r["_value"]) for r in back.collect()) == [
         ("http://h0", 0.0), ("http://h1", 1.0), ("http://h2", 2.0)]
+
+
+def test_exports_are_compressed_in_files_of_bounded_rows(spark, tmp_dir):
+    """Long telemetry repeats its tags on each line: plain text was over ten times as large."""
+    rows = spark.range(20_000).selectExpr(
+        "cast(id % 7 as int) as `table`", "timestamp_seconds(1700000000 + id) as _time", "'power' as _field",
+        "cast(id as double) as _value", "'energy_measurements' as _measurement",
+        "'http://host.example:8080/metrics' as url", "concat('uuid-', id % 9) as uuid")
+    exports.write_exports(rows, tmp_dir, "scaphandre_vm", max_records_per_file=1000)
+    files = [os.path.join(d, f) for d, _, names in os.walk(tmp_dir) for f in names if f.startswith("part-")]
+    assert sum(os.path.getsize(f) for f in files) < 20_000 * 100 / 5
+    back = exports.read_exports(spark, tmp_dir, "scaphandre_vm", with_path=True)
+    one = exports.read_exports(spark, tmp_dir, "scaphandre_vm", one_header=True)
+    for got in (back, one):
+        got = got.select("_time", "_value", "uuid")
+        assert got.count() == 20_000 and not got.exceptAll(rows.select("_time", "_value", "uuid")).count()
+    assert back.groupBy("_path").count().agg(F.max("count")).first()[0] <= 1000

@@ -12,6 +12,9 @@ from wattspark.schemas import SOURCES, raw_schema
 from wattspark.session import scratch_path
 from wattspark.sources import exports, ledger
 
+#: Rows of one file of mixed headers, which one task sorts and writes.
+ROWS_PER_FILE = 262_144
+
 
 @register("ingest_exactly_once")
 def q_ingest_exactly_once(spark, sf_dir):
@@ -38,17 +41,18 @@ def q_scan_changing_headers(spark, sf_dir):
     names = [f.name for f in raw_schema(SOURCES["kepler"]).fields]
     rows = base.long(spark, sf_dir, "kepler").withColumn("odd", F.col("table") % 2)
     lines, orders = None, (names, names[::-1])
+    parts = max(8, -(-rows.count() // ROWS_PER_FILE))
     for odd, order in enumerate(orders):
         cells = [exports._text(n, rows.schema[n].dataType).alias(n) if n in rows.columns
                  else F.lit(None).cast("string").alias(n) for n in order]
         own = rows.where(F.col("odd") == odd).select(
-            "table", F.pmod(F.xxhash64("pod_name"), F.lit(8)).alias("part"), F.lit(1).alias("kind"),
+            "table", F.pmod(F.xxhash64("pod_name"), F.lit(parts)).alias("part"), F.lit(1).alias("kind"),
             F.to_csv(F.struct(*cells)).alias("value"))
         top = own.select("table", "part").distinct().select(
             "table", "part", F.lit(0).alias("kind"), F.lit(",".join(order)).alias("value"))
         both = own.unionByName(top)
         lines = both if lines is None else lines.unionByName(both)
-    (lines.withColumn("export", F.lit("kepler_mixed")).repartition(8, "part")
+    (lines.withColumn("export", F.lit("kepler_mixed")).repartition(parts, "part")
      .sortWithinPartitions("export", "part", "table", "kind").select("export", "value")
      .write.partitionBy("export").text(path))
     df = exports.read_exports(spark, path, "kepler")

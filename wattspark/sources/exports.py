@@ -13,8 +13,12 @@ step can be reproduced.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,16 +61,13 @@ def _typed_schema(schema: T.StructType) -> T.StructType:
                          T.StructField(PATH_COL, T.StringType(), True)])
 
 
-def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The declared columns by name, cast from text; an absent column and
-    unparseable text are missing, an undeclared column is left out."""
-    have = set(df.columns)
+def _typed_columns(schema: T.StructType, have: set[str], of: Callable[[str], Column]) -> list[Column]:
     cols = []
     for f in schema.fields:
         if f.name not in have:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
-        c = clean_tag(F.col(f"`{f.name}`"))
+        c = clean_tag(of(f.name))
         if isinstance(f.dataType, T.TimestampType):
             c = F.try_to_timestamp(c)
         elif isinstance(f.dataType, T.DoubleType):
@@ -74,6 +75,13 @@ def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
         elif not isinstance(f.dataType, T.StringType):
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
+    return cols
+
+
+def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns by name, cast from text; an absent column and
+    unparseable text are missing, an undeclared column is left out."""
+    cols = _typed_columns(schema, set(df.columns), lambda name: F.col(f"`{name}`"))
     return df.select(*cols, F.col(FILE_COL), F.col(PATH_COL))
 
 
@@ -115,6 +123,23 @@ def _cells(rows: DataFrame, header: str, schema: T.StructType) -> DataFrame:
                   .select("c.*", FILE_COL, PATH_COL), schema)
 
 
+def _cells_by_header(rows: DataFrame, headers: list[str], schema: T.StructType) -> DataFrame:
+    """Lines (``value``) parsed in one pass, each under its own ``header``, one of ``headers``."""
+    own = [F.when(F.col("header") == h, F.from_csv(F.col("value"), _header_schema(h).toDDL()))
+           .alias(f"__c{k}") for k, h in enumerate(headers)]
+    cells = rows.select(*own, "header", FILE_COL, PATH_COL)
+    typed = [_typed_columns(schema, set(_header_schema(h).names),
+                            lambda name, k=k: F.col(f"__c{k}").getField(name))
+             for k, h in enumerate(headers)]
+    cols = []
+    for place, f in enumerate(schema.fields):
+        c = F.lit(None).cast(f.dataType)
+        for k, h in enumerate(headers):
+            c = F.when(F.col("header") == h, typed[k][place]).otherwise(c)
+        cols.append(c.alias(f.name))
+    return cells.select(*cols, FILE_COL, PATH_COL)
+
+
 def _under_one_header(spark: SparkSession, paths: list[str], schema: T.StructType) -> list[DataFrame]:
     value = F.col("value")
     first = spark.read.text(paths).where(_is_header(value)).first()
@@ -153,28 +178,52 @@ def _by_header(spark: SparkSession, paths: list[str], schema: T.StructType,
                             schema))
     if mixed:
         text = lines_under_headers(spark, sorted(mixed))
-        for header in sorted({h for own in mixed.values() for h in own}):
-            rows = text.where((F.col("header") == header) & (F.col("value") != header)
-                              & (F.trim("value") != ""))
-            parts.append(_cells(rows, header, schema))
+        data = text.where((F.col("value") != F.col("header")) & (F.trim("value") != ""))
+        parts.append(_cells_by_header(data, sorted({h for own in mixed.values() for h in own}), schema))
     return parts
 
 
+def _carry_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``own`` (a header or null) filled forward inside each split, in the order of the scan."""
+    at, last = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        own, path, split = (batch.column(c) for c in ("own", PATH_COL, "split"))
+        code, start = path.dictionary_encode().indices.to_numpy(), split.to_numpy()
+        ends = np.flatnonzero((code[1:] != code[:-1]) | (start[1:] != start[:-1])) + 1
+        filled = []
+        for first, end in zip([0, *ends], [*ends, len(code)], strict=True):
+            here = (path[int(first)].as_py(), int(start[first]))
+            if here != at:
+                at, last = here, None
+            part = pc.fill_null_forward(own.slice(first, end - first))
+            if last is not None:
+                part = pc.fill_null(part, last)
+            filled.append(part)
+            last = part[-1].as_py()
+        columns = [pa.concat_arrays(filled) if name == "own" else batch.column(name)
+                   for name in batch.schema.names]
+        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+
 def lines_under_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``value`` (a line), ``header`` (the last header above it), ``_file`` and ``_path``.
 
     A segmented scan over the splits in which the files are read: each split's last
-    header is found, carried on to the following splits of its file (a table of one
-    row per split), and within a split the last header above a line wins over the one
-    carried in.  Lines are dealt by split, so a large file is read by many tasks.
+    header is found and carried on to the following splits of its file (a table of one
+    row per split).  Lines are not exchanged or sorted: within a split they stream by in
+    their order, and the last header above a line wins over the one carried in.
     """
     text = spark.read.text(paths).select(
         "value", F.col("_metadata.file_path").alias(PATH_COL), _export_name().alias(FILE_COL),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("nth"))
+        F.col("_metadata.file_block_start").alias("split"))
     text = text.withColumn("own", F.when(_is_header(F.col("value")), F.col("value")))
-    splits = text.groupBy(PATH_COL, "split").agg(F.max_by("own", F.when(
-        F.col("own").isNotNull(), F.col("nth"))).alias("last"))
+    keys = [PATH_COL, "split"]
+    heads = text.withColumn("nth", F.monotonically_increasing_id()).where("own is not null")
+    below = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("nth")))
+    last = heads.withColumn("below", below).where("below = 1").select(*keys, F.col("own").alias("last"))
+    splits = text.select(*keys).distinct().join(last, keys, "left")
     # per file: its splits in order, each with the last header of those before it
     ordered = F.array_sort(F.collect_list(F.struct("split", "last")))
     start = F.struct(F.lit(None).cast("string").alias("header"),
@@ -185,10 +234,9 @@ def lines_under_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
                                                acc["header"].alias("carried")))).alias("done")))
     carried = (splits.groupBy(PATH_COL).agg(scan["done"].alias("s"))
                .select(PATH_COL, F.explode("s").alias("s")).select(PATH_COL, "s.split", "s.carried"))
-    above = Window.partitionBy(PATH_COL, "split").orderBy("nth")
-    rows = text.withColumn("inside", F.last("own", ignorenulls=True).over(above))
-    return rows.join(carried, [PATH_COL, "split"]).select(
-        "value", F.coalesce("inside", "carried").alias("header"), FILE_COL, PATH_COL)
+    rows = text.mapInArrow(_carry_headers, text.schema)
+    return rows.join(F.broadcast(carried), keys).select(     # one row per split of the text
+        "value", F.coalesce("own", "carried").alias("header"), FILE_COL, PATH_COL)
 
 
 def read_exports(spark: SparkSession, directory: str, source: str | Source, *,
@@ -258,7 +306,8 @@ def _text(c: str, dtype: T.DataType):
 def write_exports(df: DataFrame, directory: str, source: str | Source, *,
                   name_col: str | None = None, leading_blank: bool = False,
                   header_per: str | None = None, run_id: str | None = None,
-                  max_records_per_file: int = 5_000_000, rows_per_part: int = 1_000_000) -> None:
+                  max_records_per_file: int = 1_000_000, rows_per_part: int = 1_000_000,
+                  compression: str = "gzip") -> None:
     """Write long telemetry as exports ``<dir>/export=<prefix>_<name>_<run>/part-*``.
 
     One export (query result) per name and run is a directory of part files,
@@ -268,11 +317,14 @@ def write_exports(df: DataFrame, directory: str, source: str | Source, *,
     repeated or retried run leaves the same rows.  Each
     task writes its own part files (no repartition, so a hot export name is
     not funnelled into one task) with the raw export column order and a
-    header line at the top of every file.  With ``leading_blank`` every line
+    header line at the top of every file.  The files are compressed (long telemetry
+    repeats its tags on every line); one is read by one task, which
+    ``max_records_per_file`` bounds.  With ``leading_blank`` every line
     starts with an empty column, as appended exports do.  An empty input
     writes nothing.
 
-    ``header_per`` writes the concatenated layout instead: the header is
+    ``header_per`` writes the concatenated layout instead, as plain text that is read
+    split by split: the header is
     repeated once per distinct value of that column (one per appended query
     result) inside the export's files, above that result's rows and after a
     blank line.  Results are spread over files by a hash of the column, those of
@@ -289,6 +341,7 @@ def write_exports(df: DataFrame, directory: str, source: str | Source, *,
         out = df.select(export, *lead, *fields)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("export")
          .option("header", True).option("maxRecordsPerFile", max_records_per_file)
+         .option("compression", compression)
          .csv(directory))
         return
     lead = [F.lit("").alias("_c0")] if leading_blank else []
