@@ -22,6 +22,21 @@ from wattspark.operators.learn import grower
 from wattspark.session import checkpoint_dir, path_exists
 
 FEATURES_VEC = "features"
+#: Bytes of a training partition in MLlib's cache, where a row holds a draw and a node id
+#: (4 bytes each) per tree, and a bin per feature.
+PARTITION_BYTES = 96 << 20
+
+
+def _spread(train: DataFrame, num_trees: int, width: int) -> DataFrame:
+    """``train`` (materialised), dealt anew if a partition would outgrow ``PARTITION_BYTES``.
+
+    Few features are small on disk, so a partition may hold millions of rows, each of
+    which MLlib expands by the number of trees and reads again at every level."""
+    most = max(PARTITION_BYTES // (8 * num_trees + 4 * width + 64), 1)
+    sizes = [r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()]
+    if max(sizes, default=0) <= most:
+        return train
+    return train.repartition(-(-sum(sizes) // most)).checkpoint(eager=True)
 
 
 def fit_random_forest(df: DataFrame, features: Sequence[str], label: str, *,
@@ -46,7 +61,7 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str, *,
         return grower.fit_grown_forest(df, features, label, num_trees=num_trees, seed=seed)
     train = df.select(*features, label).na.drop("any")
     if checkpoint:
-        train = train.checkpoint(eager=True)
+        train = _spread(train.checkpoint(eager=True), num_trees, len(features))
     assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES_VEC)
     rf = RandomForestRegressor(featuresCol=FEATURES_VEC, labelCol=label, predictionCol="prediction",
                                numTrees=num_trees, seed=seed, maxDepth=max_depth,
