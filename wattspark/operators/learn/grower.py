@@ -355,7 +355,9 @@ def fit_grown_forest(df: DataFrame, features: Sequence[str], label: str, *, num_
                      finish_rows: int = FINISH_ROWS, bins: int = BINS,
                      tree_group: int = TREE_GROUP) -> GrownForest:
     """Grow ``num_trees`` trees until leaves are pure (or ``max_depth``), all features tried
-    at every split.  Rows with a missing feature or label are left out."""
+    at every split.  Rows with a missing feature or label are left out.  A group finishes at
+    most ``FINISH_ROWS`` rows, also where ``finish_rows`` asks for more."""
+    finish_rows = min(finish_rows, FINISH_ROWS)
     spark, features = df.sparkSession, list(features)
     data = df.select(F.array(*[col(c).cast("double") for c in features]).alias("x"),
                      col(label).cast("double").alias("y"))
@@ -505,10 +507,18 @@ def predict_grown(df: DataFrame, model: GrownForest, out: str = "prediction",
 
     dealt = (rows.filter("__x is not null").select("__id", "__x")
              .mapInArrow(deal, "tree int, part long, __id long, __x array<double>, value double"))
-    shares = rows.count() // FINISH_ROWS + 1
-    dealt = dealt.withColumn("share", F.pmod(F.xxhash64("__id"), F.lit(shares)))
-    parts = (model.nodes.filter(F.col("part") != TOP)
-             .withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long")))))
+    path = scratch_path(spark, "forest-dealt")
+    dealt.write.parquet(path)
+    dealt = spark.read.parquet(path)
+    # only parts that many rows reach are copied
+    large = (dealt.filter("value is null").groupBy("tree", "part").count()
+             .filter(F.col("count") > FINISH_ROWS)
+             .select("tree", "part", F.ceil(F.col("count") / FINISH_ROWS).alias("__shares")))
+    shares = F.coalesce("__shares", F.lit(1).cast("long"))
+    dealt = (dealt.join(large, ["tree", "part"], "left")
+             .withColumn("share", F.pmod(F.xxhash64("__id"), shares)).drop("__shares"))
+    parts = (model.nodes.filter(F.col("part") != TOP).join(large, ["tree", "part"], "left")
+             .withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), shares - 1))).drop("__shares"))
     by = ["tree", "part", "share"]
 
     def walk(left: pa.Table, right: pa.Table) -> pa.Table:
