@@ -84,8 +84,8 @@ def wide(spark, sf_dir, source) -> DataFrame:
     return _PREP[source](long(spark, sf_dir, source))
 
 
-def tel(spark, sf_dir) -> DataFrame:
-    return telemetry_table(spark, sf_dir)
+def tel(spark, sf_dir, dealt=False) -> DataFrame:
+    return telemetry_table(spark, sf_dir, dealt=dealt)
 
 
 def ntz(df: DataFrame) -> DataFrame:
@@ -206,7 +206,7 @@ def q_telemetry_store_select(spark, sf_dir):
     """S6 over the partitioned store: the telemetry is written partitioned
     by plugin and date, then the same selection prunes partitions."""
     path = scratch_path(spark, "telemetry-store")
-    telemetry.write_telemetry(tel(spark, sf_dir), path)
+    telemetry.write_telemetry(tel(spark, sf_dir, dealt=True), path)
     spec = selection.TelemetrySpec.from_range("scaphandre", RANGE, vm_name_filter=VM_FILTER)
     df = selection.select_telemetry(telemetry.read_telemetry(spark, path), spec)
     return numeric_value(df, ["_time", "_field", "url", "vm_id", "vm_name"])

@@ -197,14 +197,23 @@ def _status_row(si: StandIn) -> list[tuple[str, str]]:
     return [("status", "'running'")] if si.source == "proxmox" else []
 
 
+#: Events of one task of a dealt stand-in: an event becomes up to 15 wide long rows.
+EVENTS_PER_TASK = 65_536
+
+
 def standin_long(spark: SparkSession, sf_dir: str, source: str,
-                 with_file: bool = True) -> DataFrame:
-    """Long telemetry rows of ``source`` derived from ``events``."""
+                 with_file: bool = True, dealt: bool = False) -> DataFrame:
+    """Long telemetry rows of ``source`` derived from ``events``.  ``dealt``: the events
+    are dealt over tasks by ranges of time before they are spread to long rows, so that a
+    task that sorts its rows holds few of them, of few days (input shaping only)."""
     si = STANDINS[source]
     src = SOURCES[source]
     ev = (spark.read.parquet(f"{sf_dir}/events.parquet")
-          .select("event_id", "ts", "user_id", "event_type", "value")
-          .withColumn("v", F.expr("round(value * 100)")))
+          .select("event_id", "ts", "user_id", "event_type", "value"))
+    tasks = -(-ev.count() // EVENTS_PER_TASK) if dealt else 1
+    if tasks > 1:
+        ev = ev.repartitionByRange(tasks, "ts", "event_id")
+    ev = ev.withColumn("v", F.expr("round(value * 100)"))
     if si.time == "raw":
         tcol = F.col("ts")
     else:
@@ -286,13 +295,13 @@ def standin_sql(source: str, events: str = "events", with_file: bool = False) ->
 
 
 def telemetry_table(spark: SparkSession, sf_dir: str,
-                    sources: list[str] | None = None) -> DataFrame:
+                    sources: list[str] | None = None, dealt: bool = False) -> DataFrame:
     """All stand-in sources in one long table (the shared bucket), in the
     store's value form (see :func:`wattspark.sources.telemetry.normalize_values`)."""
     from wattspark.sources.telemetry import normalize_values
 
     out = None
     for s in sources or list(STANDINS):
-        df = normalize_values(standin_long(spark, sf_dir, s, with_file=False))
+        df = normalize_values(standin_long(spark, sf_dir, s, with_file=False, dealt=dealt))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     return out
