@@ -148,3 +148,25 @@ def test_bootstrap_forest_generalises_and_is_the_same_on_any_partitioning(spark,
     loaded = forest.load_model(f"{tmp_dir}/forest")
     a, b = (forest.predict(m, test, "p").agg(F.sum("p")).first()[0] for m in (model, loaded))
     assert a == pytest.approx(b)
+
+
+def test_a_group_finishes_a_bounded_number_of_rows_whatever_is_asked(spark, monkeypatch):
+    """One part with an eighth of any table grew with it; scoring copied every part per share."""
+    monkeypatch.setattr(grower, "FINISH_ROWS", 200)
+    df = spark.range(1500).selectExpr("cast(id as double) as a", "cast(id % 7 as double) as b",
+                                      "cast(id % 3 as double) as c", "cast(id * 5 % 1499 as double) as y")
+    model = grower.fit_grown_forest(df, FEATURES, "y", num_trees=1, bootstrap=False, finish_rows=10_000)
+    roots = model.nodes.where(f"part <> {grower.TOP} and node = 0")
+    assert roots.agg(F.max("weight")).first()[0] <= 200
+    scored = grower.predict_grown(df, model, broadcast_nodes=0)
+    assert scored.count() == 1500 and not scored.where("abs(prediction - y) > 1e-9 or prediction is null").count()
+
+
+def test_training_rows_are_dealt_over_bounded_partitions(spark, monkeypatch):
+    """MLlib holds and reads a partition's rows times the number of trees."""
+    df = spark.range(4000).selectExpr("cast(id as double) as a", "id * 2.0 as y").coalesce(1).checkpoint()
+    assert forest._spread(df, 100, 1) is df
+    monkeypatch.setattr(forest, "PARTITION_BYTES", 868 * 500)
+    out = forest._spread(df, 100, 1)
+    assert out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] <= 510
+    assert out.count() == 4000 and not out.exceptAll(df).count()

@@ -253,3 +253,18 @@ def test_a_retried_micro_batch_is_not_appended_twice(spark, tmp_dir):
         ts.run_to_table(stream, tmp_dir + "/out", f"{tmp_dir}/ckpt{k}")
     out = spark.read.parquet(tmp_dir + "/out")
     assert out.count() == 10 and "batch_id" in out.columns
+
+
+def test_a_dealt_stand_in_spreads_few_events_per_task(spark, tmp_dir, monkeypatch):
+    """A task that writes the store sorts the long rows of its events, up to 15 of each."""
+    from wattspark.sources import standins
+
+    spark.range(3000).selectExpr(
+        "id as event_id", "cast(timestamp_seconds(1704067200 + id * 700) as timestamp_ntz) as ts",
+        "id % 50 as user_id", "'view' as event_type", "id / 3.0 as value", "'{}' as props",
+    ).coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    monkeypatch.setattr(standins, "EVENTS_PER_TASK", 300)
+    plain, dealt = (standins.telemetry_table(spark, tmp_dir, ["kepler"], dealt=d) for d in (False, True))
+    per_task = dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task < 2 * 3000 / 4
+    assert plain.count() == dealt.count() and not plain.exceptAll(dealt).count()

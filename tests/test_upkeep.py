@@ -259,3 +259,14 @@ def test_an_ingest_reads_its_files_twice_not_three_times(spark, tmp_dir, monkeyp
     got = ledger.read_ingested(spark, store)
     assert values(got) == list(range(7))
     assert got.filter("namespace is null").count() == 1
+
+
+def test_lines_are_not_exchanged_to_find_their_header(spark, tmp_dir):
+    """Windows over whole splits sorted all text; now it streams, parsed in one pass for all headers."""
+    with open(f"{tmp_dir}/kepler_a.csv", "w") as f:
+        for order in (NAMES, NAMES[::-1]):
+            f.write("\n".join([",".join(order), *[kepler_line(order, k) for k in range(20)], ""]) + "\n")
+    df = exports.read_exports(spark, tmp_dir, "kepler")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan
+    assert sorted(r[0] for r in df.select("_value").collect()) == sorted(2 * [float(k) for k in range(20)])
