@@ -127,3 +127,24 @@ def test_runs_start_in_the_state_they_would_have_reached(monkeypatch):
     whole = auto.traverse(block, 3, 1000)
     for run in (1, 2, 7, 30):
         assert np.allclose(auto.traverse(block, 3, run), whole)
+
+
+def test_answers_cross_no_shuffle_once_they_are_stored(docs, spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    out = language_model.score_texts(docs)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get(key) == before
+
+
+def test_numbers_are_coded_by_group_and_by_word():
+    rng = np.random.default_rng(3)
+    sizes = np.array([0, 4, 0, 1, 700, 0])
+    words = np.concatenate([np.sort(rng.choice(1 << 20, n, replace=False)) for n in sizes])
+    data = language_model._steps_within(words, sizes)
+    assert (language_model._from_steps_within(data, sizes) == words).all()
+    assert len(data) < len(language_model._packed(words))
+    assert not len(language_model._from_steps_within(language_model._steps_within(words[:0], sizes[:1]), sizes[:1]))
+    counts = 10_000_000 // (words + 1) + words % 3
+    data = language_model._by_word(words, counts)
+    assert (language_model._from_by_word(words, data) == counts).all()

@@ -17,7 +17,9 @@ the blocks' training counts, numbers the n-grams that are arcs, and answers
 with their counts and numbers and with each context's number of arcs, sum of
 counts and sum of the shorter n-grams' counts, all that its failure weight
 needs.  An n-gram is sent only if the two n-grams one token shorter inside it
-are arcs (words: seen often enough), for else it cannot be one.
+are arcs (words: seen often enough), for else it cannot be one.  Answers are
+appended to a table bucketed like the blocks, so each crosses a shuffle once,
+and the shuffle files of a round are removed after it.
 
 A block thus gets all arcs, states and failure weights that its texts can
 reach.  It builds that part of the automaton as arrays and traverses its texts
@@ -41,12 +43,13 @@ import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattspark.session import scratch_path
@@ -289,6 +292,33 @@ def _from_steps(data: bytes, kind: type) -> np.ndarray:
     return np.cumsum(_unpacked(data, kind)[:, 0], dtype=kind)
 
 
+def _steps_within(values: np.ndarray, sizes: np.ndarray) -> bytes:
+    """Numbers in groups of ``sizes``, sorted inside them, by their differences there."""
+    steps = np.diff(values, prepend=values.dtype.type(0))
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    steps[first] = values[first]
+    return _packed(steps)
+
+
+def _from_steps_within(data: bytes, sizes: np.ndarray) -> np.ndarray:
+    steps, sizes = _unpacked(data, np.int64)[:, 0], sizes[sizes > 0]
+    total, first = np.cumsum(steps), np.cumsum(sizes) - sizes
+    return total - np.repeat(total[first] - steps[first], sizes)
+
+
+def _by_word(words: np.ndarray, counts: np.ndarray) -> bytes:
+    """Counts that depend on the word only: one per distinct word, in the order of their
+    numbers, which rise as counts fall, by zigzag differences."""
+    _, some, _ = _distinct(words)
+    steps = np.diff(counts[some], prepend=0)
+    return _packed(steps << 1 ^ steps >> 63)
+
+
+def _from_by_word(words: np.ndarray, data: bytes) -> np.ndarray:
+    steps = _unpacked(data, np.int64)[:, 0]
+    return np.cumsum(steps >> 1 ^ -(steps & 1))[_distinct(words)[2]]
+
+
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, a place of each, and the number of each place's key."""
     order = np.argsort(keys)
@@ -392,10 +422,11 @@ class Block:
             if c.start == c.stop:
                 continue
             g = grams[ends[c.start] - sizes[c.start]:ends[c.stop - 1]]
+            words, low = self.levels[0].id[top.word[g]], below.count[top.suffix[g]]
             yield {"m": m, "range": r, "block": self.row["block"],
                    "contexts": _steps(below.id[contexts[c]] // ranges), "sizes": _packed(sizes[c]),
-                   "words": _packed(self.levels[0].id[top.word[g]]),
-                   "values": _packed(np.stack([top.seen[g], below.count[top.suffix[g]]], axis=1))}
+                   "words": _steps_within(words, sizes[c]), "seen": _packed(top.seen[g]),
+                   "low": _by_word(words, low) if m == 1 else _packed(low)}
 
     def _answered(self, m: int, rows: list[dict]) -> None:
         """Fill a level from the owners' answers, which come in the order sent."""
@@ -406,8 +437,10 @@ class Block:
         ids = []
         for r in rows:
             own = np.full(int.from_bytes(r["counts"][:8], "little"), -1, np.int64)
-            arc = np.unpackbits(np.frombuffer(r["arcs"], np.uint8), count=len(own)).astype(bool)
-            own[arc] = _from_steps(r["ids"], np.int64) * r["ranges"] + r["range"]
+            if r["ids"] is not None:        # the longest n-grams have no numbers
+                arc = np.unpackbits(np.frombuffer(r["arcs"], np.uint8), count=len(own)).astype(bool)
+                number = _from_steps(r["ids"], np.int64) if m else _unpacked(r["ids"], np.int64)[:, 0]
+                own[arc] = number * r["ranges"] + r["range"]
             ids.append(own)
         if m == 0:
             order = self.order0
@@ -418,10 +451,11 @@ class Block:
         level.count[order], level.id[order] = count, np.concatenate(ids)
 
 
-_SENT = ("m int, range int, block long, contexts binary, sizes binary, words binary, values binary")
+_SENT = ("m int, range int, block long, contexts binary, sizes binary, words binary, seen binary, "
+         "low binary")
 _SENT_ARROW = pa.schema([("m", pa.int32()), ("range", pa.int32()), ("block", pa.int64()),
                          ("contexts", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()),
-                         ("values", pa.binary())])
+                         ("seen", pa.binary()), ("low", pa.binary())])
 _ANSWER = ("m int, range int, ranges int, block long, counts binary, arcs binary, ids binary, "
            "sums binary, known long")
 _ANSWER_ARROW = pa.schema([("m", pa.int32()), ("range", pa.int32()), ("ranges", pa.int32()),
@@ -439,44 +473,50 @@ def _words_sent(block: Block, ranges: int) -> Iterator[dict]:
         a, b = cut[r], cut[r + 1]
         if a < b:
             yield {"m": 0, "range": r, "block": block.row["block"], "contexts": None, "sizes": None,
-                   "words": _steps(hashes[a:b]), "values": _packed(seen[a:b])}
+                   "words": _steps(hashes[a:b]), "seen": _packed(seen[a:b]), "low": None}
 
 
-def _owned(table: pa.Table, ranges: int, bar: float) -> pa.Table:
-    """What the owner of a range answers to each block that sent to it."""
+def _owned(table: pa.Table, ranges: int, bar: float, last: bool = False) -> pa.Table:
+    """What the owner of a range answers to each block that sent to it; arcs of the ``last``
+    round need no numbers."""
     table = table.sort_by("block")
     m, r = table.column("m")[0].as_py(), table.column("range")[0].as_py()
     rows = table.to_pylist()
     if m == 0:
         parts = [_from_steps(x["words"], np.uint64) for x in rows]
         keys = np.concatenate(parts)
-        seen = np.concatenate([_unpacked(x["values"], np.int64)[:, 0] for x in rows])
         context = low = np.zeros(len(keys), np.int64)
     else:
         asked = [_from_steps(x["contexts"], np.int64) for x in rows]
         sizes = [_unpacked(x["sizes"], np.int64)[:, 0] for x in rows]
         names, _, every = _distinct(np.concatenate(asked))
         context = np.repeat(every, np.concatenate(sizes)).astype(np.int64)
-        parts = [_unpacked(x["words"], np.int64)[:, 0] for x in rows]
+        parts = [_from_steps_within(x["words"], n) for x, n in zip(rows, sizes, strict=True)]
         if any(len(p) and p.max() >= 1 << 34 for p in parts):
             raise ValueError("more than 2^34 words")
         keys = context << 34 | np.concatenate(parts)
-        seen, low = np.concatenate([_unpacked(x["values"], np.int64, 2) for x in rows]).T
+        low = np.concatenate([_from_by_word(p, x["low"]) if m == 1 else _unpacked(x["low"], np.int64)[:, 0]
+                              for p, x in zip(parts, rows, strict=True)])
+    seen = np.concatenate([_unpacked(x["seen"], np.int64)[:, 0] for x in rows])
     distinct, some, back = _distinct(keys)
     total = np.bincount(back, seen, len(distinct)).astype(np.int64)      # exact below 2^53
     known = int((total > 0).sum())
     arc = total >= bar
-    number = np.cumsum(arc) - 1
     if m:
+        number = np.cumsum(arc) - 1
         total[~arc] = 0
         of = context[some]
         sums = np.stack([np.bincount(of[arc], w, len(names)) for w in (
             np.ones(arc.sum()), total[arc], low[some][arc])], axis=1).astype(np.int64)
+    else:       # frequent words have small numbers
+        number = np.empty(len(distinct), np.int64)
+        number[np.argsort(-total, kind="stable")] = np.arange(len(distinct))
+    coded = _steps if m else _packed
     ends = np.cumsum([len(p) for p in parts])
     spans = list(zip(ends - [len(p) for p in parts], ends, strict=True))
     out = {"counts": [_packed(total[back[a:b]]) for a, b in spans],
-           "arcs": [np.packbits(arc[back[a:b]]).tobytes() for a, b in spans],
-           "ids": [_steps(number[back[a:b]][arc[back[a:b]]]) for a, b in spans]}
+           "arcs": [None if last else np.packbits(arc[back[a:b]]).tobytes() for a, b in spans],
+           "ids": [None if last else coded(number[back[a:b]][arc[back[a:b]]]) for a, b in spans]}
     if m:
         cuts = np.cumsum([len(x) for x in asked])
         out["sums"] = [_packed(sums[every[c - len(x):c]]) for c, x in zip(cuts, asked, strict=True)]
@@ -575,9 +615,16 @@ class LocalAutomaton:
         return out
 
 
-def _blocks(rows: DataFrame, block_bytes: int, part_bytes: int, order: int) -> DataFrame:
+def _bucketed(df: DataFrame, buckets: int, name: str, path: str) -> DataFrame:
+    """Append to a table bucketed by block, and read all of it."""
+    (df.write.mode("append").bucketBy(buckets, "block").option("compression", "zstd")
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
+def _blocks(rows: DataFrame, block_bytes: int, part_bytes: int, order: int) -> tuple[DataFrame, int]:
     """Texts as blocks of word numbers, one row per block, word 0 is the start of a text; a
-    table bucketed by block.  Each part of a text is led by the start, or by the tokens before
+    table bucketed by block, and its number of buckets.  Each part of a text is led by the start, or by the tokens before
     it that its first state depends on."""
     kind = rows.schema["doc_id"].dataType
 
@@ -642,13 +689,24 @@ def _blocks(rows: DataFrame, block_bytes: int, part_bytes: int, order: int) -> D
     spark = rows.sparkSession
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // (4 * BLOCK_BYTES) + 1)
+    buckets = min(buckets, MAX_BUCKETS)
     schema = (f"block long, doc_id array<{id_kind}>, held_out array<boolean>, row array<long>, "
               "part array<int>, lead array<int>, sizes array<long>, train_tokens long, "
               "train_texts long, tokens long, cut boolean, hashes binary, lids binary")
     name = f"lm_blocks_{uuid.uuid4().hex[:12]}"
-    (rows.mapInArrow(walk, schema).write.bucketBy(min(buckets, MAX_BUCKETS), "block")
-     .option("compression", "zstd").option("path", scratch_path(spark, "lm-blocks")).saveAsTable(name))
-    return spark.table(name)
+    return _bucketed(rows.mapInArrow(walk, schema), buckets, name, scratch_path(spark, "lm-blocks")), buckets
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs run inside are removed when a job ends."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
 def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
@@ -663,7 +721,7 @@ def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
                        held_out(F.col(f"`{id_col}`")).alias("held_out"),
                        F.col(f"`{text_col}`").cast("binary").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    blocks = _blocks(rows, block_bytes, part_bytes, order)
+    blocks, buckets = _blocks(rows, block_bytes, part_bytes, order)
     head = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
                         for c in ("train_tokens", "train_texts", "tokens")],
                       F.coalesce(F.max("cut"), F.lit(False)).alias("cut")).first()
@@ -672,9 +730,13 @@ def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
     owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), ranges // 2 + 1)
     texts = blocks.select("block", "doc_id", "held_out", "row", "part", "lead", "sizes", "hashes", "lids")
 
+    name, path = f"lm_answers_{uuid.uuid4().hex[:12]}", scratch_path(spark, "lm-answers")
+
     def answered(sent: DataFrame, m: int) -> DataFrame:
-        return materialize(sent.repartition(owners, "range").groupBy("range").applyInArrow(
-            lambda t: _owned(t, ranges, bar), _ANSWER), f"lm-answers-{m}")
+        out = sent.repartition(owners, "range").groupBy("range").applyInArrow(
+            lambda t: _owned(t, ranges, bar, m == order - 1), _ANSWER)
+        with _shuffles_removed(spark):
+            return _bucketed(out.repartition(buckets, "block"), buckets, name, path)
 
     def together(answers: DataFrame, fn, schema: str) -> DataFrame:
         return texts.groupBy("block").cogroup(
@@ -699,7 +761,7 @@ def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
     vocabulary = known - (1 if head["train_texts"] else 0)
     mass = total + vocabulary + 1 if total else 1
     for m in range(1, order):
-        answers = answers.unionByName(answered(together(answers, longer, _SENT), m))
+        answers = answered(together(answers, longer, _SENT), m)
 
     result = (f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double, row long")
