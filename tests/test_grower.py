@@ -170,3 +170,22 @@ def test_training_rows_are_dealt_over_bounded_partitions(spark, monkeypatch):
     out = forest._spread(df, 100, 1)
     assert out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] <= 510
     assert out.count() == 4000 and not out.exceptAll(df).count()
+
+
+def test_rows_are_grouped_by_node_in_one_pass_over_them():
+    rng = np.random.default_rng(5)
+
+    class Counted(np.ndarray):
+        passes = 0
+
+        def __eq__(self, other):
+            Counted.passes += 1
+            return super().__eq__(other)
+
+    at, keep = rng.integers(0, 300, 5000), rng.random(5000) < 0.7
+    got = dict(grower._rows_by_node(at.view(Counted), keep))
+    assert Counted.passes == 0
+    want = {n: np.flatnonzero((at == n) & keep) for n in range(300)}
+    assert got.keys() == {n for n, r in want.items() if len(r)}
+    assert all((got[n] == want[n]).all() for n in got)
+    assert not list(grower._rows_by_node(at[:0], keep[:0]))

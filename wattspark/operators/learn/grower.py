@@ -176,6 +176,14 @@ class _Top:
         return at
 
 
+def _rows_by_node(at: np.ndarray, keep: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The kept rows of each node that has any, in order, without a pass over all rows per node."""
+    kept = np.flatnonzero(keep)
+    order = kept[np.argsort(at[kept], kind="stable")]
+    nodes, first = np.unique(at[order], return_index=True)
+    yield from zip(nodes.tolist(), np.split(order, first[1:]), strict=False)
+
+
 def _histograms(rows: DataFrame, top: _Top, wanted: list[tuple], edges: np.ndarray, seed: int,
                 bootstrap: bool) -> list:
     """The best binned split of each wanted (tree, node, own edges or None)."""
@@ -201,9 +209,9 @@ def _histograms(rows: DataFrame, top: _Top, wanted: list[tuple], edges: np.ndarr
             common = [np.searchsorted(edges[f], x[:, f]) for f in range(width)]
             for tree, nodes in slots.items():
                 w, at = _weights(pos, tree, seed, bootstrap), top.route(tree, x)
-                for node, k in nodes.items():
-                    r = np.flatnonzero((at == node) & (w > 0))
-                    if not len(r):
+                for node, r in _rows_by_node(at, w > 0):
+                    k = nodes.get(node)
+                    if k is None:
                         continue
                     own, wr, wy = wanted[k][2], w[r], w[r] * y[r]
                     for f in range(width):
