@@ -268,3 +268,20 @@ def test_a_dealt_stand_in_spreads_few_events_per_task(spark, tmp_dir, monkeypatc
     per_task = dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert per_task < 2 * 3000 / 4
     assert plain.count() == dealt.count() and not plain.exceptAll(dealt).count()
+
+
+def test_increments_deal_the_events_over_bounded_tasks(spark, tmp_dir, monkeypatch):
+    from wattspark.catalog import upkeep
+    from wattspark.sources import standins
+
+    seen = []
+    monkeypatch.setattr(standins, "EVENTS_PER_TASK", 50)
+    monkeypatch.setattr(upkeep.incremental, "apply_increment", lambda s, state, name, rows, i: seen.append(rows))
+    monkeypatch.setattr(upkeep.incremental, "read_dataset", lambda s, state, name: next(iter(seen[0].values())))
+    spark.range(1000).selectExpr(
+        "id as event_id", "cast(timestamp_seconds(1704067200 + id * 60) as timestamp_ntz) as ts",
+        "id % 9 as user_id", "'view' as event_type", "id / 2.0 as value").coalesce(1).write.parquet(f"{tmp_dir}/events.parquet")
+    upkeep._increments(spark, tmp_dir, ("scaphandre_vm",), "vm_power")
+    per_task = (seen[0]["scaphandre_vm"].groupBy(F.spark_partition_id().alias("p"))
+                .agg(F.count_distinct("_time").alias("n")).agg(F.max("n")).first()[0])
+    assert per_task < 150

@@ -68,8 +68,8 @@ def queries() -> dict[str, Query]:
 # shared building blocks
 # --------------------------------------------------------------------------
 
-def long(spark, sf_dir, source) -> DataFrame:
-    return standin_long(spark, sf_dir, source)
+def long(spark, sf_dir, source, dealt=False) -> DataFrame:
+    return standin_long(spark, sf_dir, source, dealt=dealt)
 
 
 _PREP = {

@@ -66,7 +66,7 @@ def _increments(spark, sf_dir, sources, name):
     day = F.dayofmonth("_time")
     late = F.pmod(F.xxhash64("_time", "_field", "table"), F.lit(9)) == 0
     parts = ((day < 11) & ~late, day.between(11, 20) & ~late, (day > 20) | late)
-    rows = {s: base.long(spark, sf_dir, s) for s in sources}
+    rows = {s: base.long(spark, sf_dir, s, dealt=True) for s in sources}
     for k in (0, 1, 1, 2):
         incremental.apply_increment(spark, state, f"part-{k}",
                                     {s: df.where(parts[k]) for s, df in rows.items()},
