@@ -285,3 +285,33 @@ def test_increments_deal_the_events_over_bounded_tasks(spark, tmp_dir, monkeypat
     per_task = (seen[0]["scaphandre_vm"].groupBy(F.spark_partition_id().alias("p"))
                 .agg(F.count_distinct("_time").alias("n")).agg(F.max("n")).first()[0])
     assert per_task < 150
+
+
+def test_an_epoch_runs_many_partitions_in_few_tasks_with_the_same_steps(spark, monkeypatch):
+    monkeypatch.setattr(dense, "MIN_BATCHES", 1)
+    df = _linear(spark).repartition(3).checkpoint()
+    cols, sizes, acts = list("abcd"), [4, 3, 4], ["relu", "linear"]
+    sc = spark.sparkContext
+    sc.setJobGroup("epochs", "")
+    model, _ = dense.fit_dense(df, cols, cols, (3,), epochs=1, batch_size=8, seed=5)
+    sc.setJobGroup("other", "")
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(k) for k in
+              tracker.getJobInfo(max(tracker.getJobIdsForGroup("epochs"))).stageIds]
+    count = df.count() // 8
+    tasks = max(2 * sc.defaultParallelism, -(-count // dense.PARTITIONS_PER_TASK))
+    assert tasks < count and all(s is None or s.numTasks <= tasks for s in stages)
+
+    parts = {}
+    for r in dense._train_rows(df, cols, cols, count, 5).withColumn(
+            "p", F.spark_partition_id()).collect():
+        parts.setdefault(r.p, []).append(r.x)
+    p = dense.param_count(sizes)
+    start = np.concatenate([dense.init_params(sizes, 5), np.zeros(2 * p), [0.0]])
+    total = 0.0
+    for k, x in parts.items():
+        x = np.array(x)
+        end, _ = dense.adam_epoch(start, sizes, acts, x, x, 1e-3, 8, np.random.default_rng([5, 1, k]))
+        total = total + end * len(x)
+    assert len(parts) == count
+    assert np.allclose(model.params, total[:p] / sum(map(len, parts.values())), rtol=1e-12, atol=0)

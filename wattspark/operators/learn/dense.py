@@ -5,7 +5,9 @@ NumPy model trained with synchronous parameter averaging:
 
 * the training rows are checkpointed (reliable, lineage cut) and dealt in turn
   over partitions whose number follows from the row count and the batch size,
-  never from the cluster, so the same rows give the same model anywhere;
+  never from the cluster, so the same rows give the same model anywhere; they
+  are packed once into one row per Arrow batch, which every epoch reads, and a task
+  runs up to ``PARTITIONS_PER_TASK`` partitions in turn;
 * every epoch is one Spark job: the current weights and Adam moments are
   broadcast, each partition runs shuffled minibatch Adam over its own rows
   (``mapInArrow``), and returns its weights and moments in slices, with its
@@ -25,6 +27,8 @@ import logging
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -156,6 +160,44 @@ def _train_rows(df: DataFrame, features, targets, num_partitions, seed,
     return rows.checkpoint(eager=True)
 
 
+#: Most partitions of a training set whose epochs one task runs, one after the other.
+PARTITIONS_PER_TASK = 16
+
+
+def _packed_rows(rows: DataFrame) -> DataFrame:
+    """Training rows as one row per Arrow batch: the partition's number and the matrices and
+    marks as bytes.  An epoch neither converts rows to Arrow nor sends targets that equal the
+    inputs twice, and its tasks run several partitions."""
+    def pack(batches):
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
+        for batch in batches:
+            if batch.num_rows:
+                x, y = list_matrix(batch.column("x")), list_matrix(batch.column("y"))
+                is_val = batch.column("is_val").to_numpy(zero_copy_only=False)
+                same = x.shape == y.shape and x.tobytes() == y.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([pid], pa.int32()), pa.array([len(x)], pa.int32())]
+                    + [pa.array([v], pa.binary()) for v in (
+                        x.tobytes(), None if same else y.tobytes(), is_val.tobytes())],
+                    names=["task", "n", "x", "y", "is_val"])
+
+    return rows.mapInArrow(pack, "task int, n int, x binary, y binary, is_val binary").checkpoint(
+        eager=True)
+
+
+def _unpacked_rows(batches):
+    """(partition, x, y, is_val) of every packed row."""
+    for batch in batches:
+        for task, n, *parts in zip(*(batch.column(c) for c in ("task", "n", "x", "y", "is_val")),
+                                   strict=True):
+            x, y, is_val = (np.frombuffer(p.as_buffer(), t) if p.is_valid else None
+                            for p, t in zip(parts, (float, float, bool), strict=True))
+            x = x.reshape(n.as_py(), -1)
+            yield task.as_py(), x, x if y is None else y.reshape(len(x), -1), is_val
+
+
 #: Fewest minibatches a partition has per epoch (the weights are averaged once
 #: per epoch, so with few of them training would hardly move), and the most
 #: partitions of a training set.
@@ -231,7 +273,9 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
     sizes = [len(features), *hidden, len(targets)]
     acts = ["relu"] * len(hidden) + [output_activation]
     nparts = training_partitions(df.count(), batch_size, num_partitions)
-    rows = _train_rows(df, features, targets, nparts, seed, validation)
+    # a task's own cost is several times that of a partition's epoch: tasks run some of them
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-nparts // PARTITIONS_PER_TASK))
+    rows = _packed_rows(_train_rows(df, features, targets, nparts, seed, validation)).coalesce(tasks)
     p = param_count(sizes)
     state = np.concatenate([init_params(sizes, seed), np.zeros(2 * p), [0.0]])
     history: list[dict] = []
@@ -243,35 +287,29 @@ def fit_dense(df: DataFrame, features: Sequence[str], targets: Sequence[str],
         train_now = epoch <= epochs
 
         def run(batches, _b=bstate, _epoch=epoch, _train=train_now):
-            from pyspark import TaskContext
-
-            pid = TaskContext.get().partitionId()
-            rng = np.random.default_rng([seed, _epoch, pid])
             start = _b.value
-            cur, n, loss_sum, val_n, val_sum = start, 0, 0.0, 0, 0.0
-            # stream the partition's Arrow batches: rows are already spread
-            # at random over partitions, each batch is shuffled again
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                x, y = list_matrix(batch.column("x")), list_matrix(batch.column("y"))
-                is_val = batch.column("is_val").to_numpy(zero_copy_only=False)
-                if is_val.any():
-                    val_sum += _mse_sum(start[:p], sizes, acts, x[is_val], y[is_val])
-                    val_n += int(is_val.sum())
-                if _train and (~is_val).any():
-                    cur, ls = adam_epoch(cur, sizes, acts, x[~is_val], y[~is_val], lr,
-                                         batch_size, rng)
-                    n += int((~is_val).sum())
-                    loss_sum += ls
-            cuts = range(0, len(cur), SLICE)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(cuts)), pa.int32())]
-                + [pa.array([v] * len(cuts), t) for v, t in (
-                    (pid, pa.int32()), (n, pa.int64()), (loss_sum, pa.float64()),
-                    (val_n, pa.int64()), (val_sum, pa.float64()))]
-                + [pa.array([cur[k:k + SLICE].tobytes() for k in cuts], pa.binary())],
-                names=["slice", "task", "n", "loss_sum", "val_n", "val_loss_sum", "part"])
+            for pid, held in groupby(_unpacked_rows(batches), itemgetter(0)):
+                rng = np.random.default_rng([seed, _epoch, pid])
+                cur, n, loss_sum, val_n, val_sum = start, 0, 0.0, 0, 0.0
+                # stream the partition's packed batches: rows are already spread
+                # at random over partitions, each batch is shuffled again
+                for _, x, y, is_val in held:
+                    if is_val.any():
+                        val_sum += _mse_sum(start[:p], sizes, acts, x[is_val], y[is_val])
+                        val_n += int(is_val.sum())
+                    if _train and (~is_val).any():
+                        cur, ls = adam_epoch(cur, sizes, acts, x[~is_val], y[~is_val], lr,
+                                             batch_size, rng)
+                        n += int((~is_val).sum())
+                        loss_sum += ls
+                cuts = range(0, len(cur), SLICE)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(len(cuts)), pa.int32())]
+                    + [pa.array([v] * len(cuts), t) for v, t in (
+                        (pid, pa.int32()), (n, pa.int64()), (loss_sum, pa.float64()),
+                        (val_n, pa.int64()), (val_sum, pa.float64()))]
+                    + [pa.array([cur[k:k + SLICE].tobytes() for k in cuts], pa.binary())],
+                    names=["slice", "task", "n", "loss_sum", "val_n", "val_loss_sum", "part"])
 
         states = rows.mapInArrow(run, _SLICES)
         if train_now:
