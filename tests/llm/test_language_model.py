@@ -148,3 +148,71 @@ def test_numbers_are_coded_by_group_and_by_word():
     counts = 10_000_000 // (words + 1) + words % 3
     data = language_model._by_word(words, counts)
     assert (language_model._from_by_word(words, data) == counts).all()
+
+
+def test_answers_hold_only_what_a_block_cannot_know():
+    rng = np.random.default_rng(4)
+    words = np.sort(rng.integers(1, 1 << 62, 40).astype(np.uint64))
+    import pyarrow as pa
+
+    def row(k, lids):
+        return {"hashes": words.tobytes(), "lids": language_model._packed(np.array([0, *lids], np.int32)),
+                "sizes": [len(lids) + 1], "lead": [1], "held_out": [False], "part": [0], "block": k}
+
+    # the second block repeats a part of the first, which has one text more of the same words
+    lids = rng.integers(1, 40, 3000)
+    rows = [row(0, lids), row(1, lids[:400]), row(2, np.tile([1, 2, 3], 20))]
+    answers = {k: [] for k in range(3)}
+    for m in range(3):
+        sent = []
+        for k, r in enumerate(rows):
+            block = language_model.Block(r, answers[k])
+            if m:
+                block.extend()
+            sent += list(block.messages(2) if m else language_model._words_sent(block, 2))
+        for r in {x["range"] for x in sent}:
+            part = pa.Table.from_pylist([x for x in sent if x["range"] == r], language_model._SENT_ARROW)
+            for a in language_model._owned(part, 2, 2.0).to_pylist():
+                answers[a["block"]].append(a)
+    blocks = [language_model.Block(r, answers[k]) for k, r in enumerate(rows)]
+    rests = [np.concatenate([language_model._from_sparse(a["sums"]) for a in answers[k] if a["m"]])
+             for k in range(3)]
+    assert all(a["arcs"] is None for k in range(3) for a in answers[k] if a["m"])
+    assert (rests[0][:, 0] > 0).sum() < (blocks[0].levels[0].sums[:, 0] > 0).sum() + (
+        blocks[0].levels[1].sums[:, 0] > 0).sum()
+    # where a block can fail, its sums are those over the arcs of all blocks
+    for m in (1, 2):
+        blocks = [language_model.Block(r, [a for a in answers[k] if a["m"] <= m])
+                  for k, r in enumerate(rows)]
+        total = {}
+        for b in blocks:
+            below, top = b.levels[m - 1], b.levels[m]
+            for g in np.flatnonzero(top.count > 0):
+                total.setdefault(below.id[top.context[g]], {})[b.levels[0].id[top.word[g]]] = (
+                    top.count[g], below.count[top.suffix[g]])
+        checked = 0
+        for b in blocks:
+            below, top = b.levels[m - 1], b.levels[m]
+            fails = b.open()
+            fails[top.context[top.count == 0]] = True
+            for h in np.flatnonzero(fails & (below.id >= 0)):
+                arcs = list(total.get(below.id[h], {}).values())
+                want = [len(arcs), sum(c for c, _ in arcs), sum(x for _, x in arcs)]
+                assert below.sums[h].tolist() == want
+                checked += any(want)
+        assert checked
+
+
+def test_a_block_stores_frequent_words_first(spark, tmp_path):
+    rows = spark.createDataFrame([(1, False, b"b a c a d a b e"), (2, True, None)],
+                                 "doc_id long, held_out boolean, text binary").coalesce(1)
+    table, _ = language_model._blocks(rows, 1 << 20, 1 << 20, 3)
+    row = table.first().asDict()
+    block = language_model._stored(row, [])
+    name = {language_model.xxhash.xxh64_intdigest(w): w for w in
+            (language_model.START, language_model.END, b"a", b"b", b"c", b"d", b"e")}
+    words = [name[int(h)] for h in block.words]
+    counts = np.bincount(block.lids, minlength=len(words))
+    assert words[0] == language_model.START and words[1] == b"a" and (np.diff(counts[1:]) <= 0).all()
+    assert [words[k] for k in block.lids] == [language_model.START, *b"b a c a d a b e".split(),
+                                              language_model.END, language_model.START, language_model.END]

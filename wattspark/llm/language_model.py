@@ -61,7 +61,7 @@ ORDER = 3
 MIN_COUNT = 2
 DISCOUNT = 0.5
 #: Text bytes of a block, whose distinct n-grams are looked up once.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 #: Tokens of the input per owner of n-grams, and tokens of a run of the traversal.
 RANGE_TOKENS, RUN = 1 << 21, 256
 #: The end token and the start of a text; white space is in no word.
@@ -319,6 +319,27 @@ def _from_by_word(words: np.ndarray, data: bytes) -> np.ndarray:
     return np.cumsum(steps >> 1 ^ -(steps & 1))[_distinct(words)[2]]
 
 
+def _sparse(rows: np.ndarray) -> bytes:
+    """Rows of three numbers, those whose first is 0 left out."""
+    some = rows[:, 0] > 0
+    return len(rows).to_bytes(8, "little") + np.packbits(some).tobytes() + _packed(rows[some])
+
+
+def _from_sparse(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    rows, end = np.zeros((n, 3), np.int64), 8 + -(-n // 8)
+    some = np.unpackbits(np.frombuffer(data[8:end], np.uint8), count=n).astype(bool)
+    rows[some] = _unpacked(data[end:], np.int64, 3)
+    return rows
+
+
+def _arc_sums(context: np.ndarray, count: np.ndarray, low: np.ndarray, n: int) -> np.ndarray:
+    """Per context its arcs, their counts and the counts of the n-grams one token shorter
+    (exact below 2^53)."""
+    return np.stack([np.bincount(context, w, n) for w in (np.ones(len(context)), count, low)],
+                    axis=1).astype(np.int64)
+
+
 def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, a place of each, and the number of each place's key."""
     order = np.argsort(keys)
@@ -336,7 +357,8 @@ class Level:
     arc); per n-gram: ``context`` and ``suffix`` (numbers in the level below), ``word``,
     ``seen`` (training count in the block), and once answered ``id`` (-1: no arc) and
     ``count`` of the whole input, and as a context ``sums`` (arcs, their counts, and the
-    counts of the n-grams one token shorter).
+    counts of the n-grams one token shorter; only those of the block's own arcs where each
+    token that follows has its arc there, for such a context never fails).
     """
 
     def __init__(self, at, context, suffix, word, seen):
@@ -397,6 +419,15 @@ class Block:
         met[a[a >= 0]] = True
         return np.flatnonzero(met & (below.id >= 0))
 
+    def open(self) -> np.ndarray:
+        """Whether a context of the top level is followed by a token with no n-gram there."""
+        below, top, m = self.levels[-2], self.levels[-1], len(self.levels) - 1
+        ends = np.flatnonzero(self.place[1:] >= m)
+        a = below.at[ends]
+        out = np.zeros(len(below.id), bool)
+        out[a[(a >= 0) & (top.at[ends + 1] < 0)]] = True
+        return out
+
     def sent_order(self, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Asked contexts by (owner, number), the top n-grams by (context, word), and how many
         n-grams each context has."""
@@ -414,7 +445,7 @@ class Block:
         """The top level's message to each owner."""
         below, top, m = self.levels[-2], self.levels[-1], len(self.levels) - 1
         contexts, grams, sizes = self.sent_order(ranges)
-        ends = np.cumsum(sizes)
+        ends, is_open = np.cumsum(sizes), self.open()
         owner = below.id[contexts] % ranges
         cut = np.searchsorted(owner, np.arange(ranges + 1))
         for r in range(ranges):
@@ -425,8 +456,8 @@ class Block:
             words, low = self.levels[0].id[top.word[g]], below.count[top.suffix[g]]
             yield {"m": m, "range": r, "block": self.row["block"],
                    "contexts": _steps(below.id[contexts[c]] // ranges), "sizes": _packed(sizes[c]),
-                   "words": _steps_within(words, sizes[c]), "seen": _packed(top.seen[g]),
-                   "low": _by_word(words, low) if m == 1 else _packed(low)}
+                   "open": np.packbits(is_open[contexts[c]]).tobytes(), "words": _steps_within(words, sizes[c]), "seen": _packed(top.seen[g]),
+                   "low": _by_word(words, low) if m == 1 else _packed(low[top.seen[g] > 0])}
 
     def _answered(self, m: int, rows: list[dict]) -> None:
         """Fill a level from the owners' answers, which come in the order sent."""
@@ -438,7 +469,8 @@ class Block:
         for r in rows:
             own = np.full(int.from_bytes(r["counts"][:8], "little"), -1, np.int64)
             if r["ids"] is not None:        # the longest n-grams have no numbers
-                arc = np.unpackbits(np.frombuffer(r["arcs"], np.uint8), count=len(own)).astype(bool)
+                arc = (_unpacked(r["counts"], np.int64)[:, 0] > 0 if m else
+                       np.unpackbits(np.frombuffer(r["arcs"], np.uint8), count=len(own)).astype(bool))
                 number = _from_steps(r["ids"], np.int64) if m else _unpacked(r["ids"], np.int64)[:, 0]
                 own[arc] = number * r["ranges"] + r["range"]
             ids.append(own)
@@ -446,16 +478,24 @@ class Block:
             order = self.order0
         else:
             contexts, order, _ = self.sent_order(rows[0]["ranges"])
-            self.levels[m - 1].sums[contexts] = np.concatenate(
-                [_unpacked(r["sums"], np.int64, 3) for r in rows])
         level.count[order], level.id[order] = count, np.concatenate(ids)
+        if m:       # the owners' sums leave out the block's own arcs
+            below, arc = self.levels[m - 1], np.flatnonzero(level.count > 0)
+            low = below.count[level.suffix[arc]]
+            below.sums = _arc_sums(level.context[arc], level.count[arc], low, len(below.id))
+            below.sums[contexts] += np.concatenate([_from_sparse(r["sums"]) for r in rows])
+
+
+def _stored(row: dict, answers: list[dict]) -> Block:
+    """A block of the table, where hashes are stored by their differences."""
+    return Block(row | {"hashes": _from_steps(row["hashes"], np.uint64).tobytes()}, answers)
 
 
-_SENT = ("m int, range int, block long, contexts binary, sizes binary, words binary, seen binary, "
-         "low binary")
+_SENT = ("m int, range int, block long, contexts binary, sizes binary, open binary, words binary, "
+         "seen binary, low binary")
 _SENT_ARROW = pa.schema([("m", pa.int32()), ("range", pa.int32()), ("block", pa.int64()),
-                         ("contexts", pa.binary()), ("sizes", pa.binary()), ("words", pa.binary()),
-                         ("seen", pa.binary()), ("low", pa.binary())])
+                         ("contexts", pa.binary()), ("sizes", pa.binary()), ("open", pa.binary()),
+                         ("words", pa.binary()), ("seen", pa.binary()), ("low", pa.binary())])
 _ANSWER = ("m int, range int, ranges int, block long, counts binary, arcs binary, ids binary, "
            "sums binary, known long")
 _ANSWER_ARROW = pa.schema([("m", pa.int32()), ("range", pa.int32()), ("ranges", pa.int32()),
@@ -473,7 +513,7 @@ def _words_sent(block: Block, ranges: int) -> Iterator[dict]:
         a, b = cut[r], cut[r + 1]
         if a < b:
             yield {"m": 0, "range": r, "block": block.row["block"], "contexts": None, "sizes": None,
-                   "words": _steps(hashes[a:b]), "seen": _packed(seen[a:b]), "low": None}
+                   "open": None, "words": _steps(hashes[a:b]), "seen": _packed(seen[a:b]), "low": None}
 
 
 def _owned(table: pa.Table, ranges: int, bar: float, last: bool = False) -> pa.Table:
@@ -495,10 +535,14 @@ def _owned(table: pa.Table, ranges: int, bar: float, last: bool = False) -> pa.T
         if any(len(p) and p.max() >= 1 << 34 for p in parts):
             raise ValueError("more than 2^34 words")
         keys = context << 34 | np.concatenate(parts)
-        low = np.concatenate([_from_by_word(p, x["low"]) if m == 1 else _unpacked(x["low"], np.int64)[:, 0]
-                              for p, x in zip(parts, rows, strict=True)])
     seen = np.concatenate([_unpacked(x["seen"], np.int64)[:, 0] for x in rows])
     distinct, some, back = _distinct(keys)
+    if m == 1:
+        low = np.concatenate([_from_by_word(p, x["low"]) for p, x in zip(parts, rows, strict=True)])
+    elif m:     # told where seen in training, as every arc is somewhere
+        told, known_low = np.flatnonzero(seen > 0), np.zeros(len(distinct), np.int64)
+        known_low[back[told]] = np.concatenate([_unpacked(x["low"], np.int64)[:, 0] for x in rows])
+        low = known_low[back]
     total = np.bincount(back, seen, len(distinct)).astype(np.int64)      # exact below 2^53
     known = int((total > 0).sum())
     arc = total >= bar
@@ -506,8 +550,7 @@ def _owned(table: pa.Table, ranges: int, bar: float, last: bool = False) -> pa.T
         number = np.cumsum(arc) - 1
         total[~arc] = 0
         of = context[some]
-        sums = np.stack([np.bincount(of[arc], w, len(names)) for w in (
-            np.ones(arc.sum()), total[arc], low[some][arc])], axis=1).astype(np.int64)
+        sums = _arc_sums(of[arc], total[arc], low[some][arc], len(names))
     else:       # frequent words have small numbers
         number = np.empty(len(distinct), np.int64)
         number[np.argsort(-total, kind="stable")] = np.arange(len(distinct))
@@ -515,11 +558,20 @@ def _owned(table: pa.Table, ranges: int, bar: float, last: bool = False) -> pa.T
     ends = np.cumsum([len(p) for p in parts])
     spans = list(zip(ends - [len(p) for p in parts], ends, strict=True))
     out = {"counts": [_packed(total[back[a:b]]) for a, b in spans],
-           "arcs": [None if last else np.packbits(arc[back[a:b]]).tobytes() for a, b in spans],
+           "arcs": [None if m else np.packbits(arc[back[a:b]]).tobytes() for a, b in spans],
            "ids": [None if last else coded(number[back[a:b]][arc[back[a:b]]]) for a, b in spans]}
     if m:
         cuts = np.cumsum([len(x) for x in asked])
-        out["sums"] = [_packed(sums[every[c - len(x):c]]) for c, x in zip(cuts, asked, strict=True)]
+        out["sums"] = []
+        for c, x, n, row, (a, b) in zip(cuts, asked, sizes, rows, spans, strict=True):
+            # a block adds up its own arcs itself, and fails only where a token has no arc
+            place, own = np.repeat(np.arange(len(x)), n), arc[back[a:b]]
+            rest = sums[every[c - len(x):c]] - _arc_sums(
+                place[own], total[back[a:b]][own], low[a:b][own], len(x))
+            fails = np.unpackbits(np.frombuffer(row["open"], np.uint8), count=len(x)).astype(bool)
+            fails[place[~own]] = True
+            rest[~fails] = 0
+            out["sums"].append(_sparse(rest))
     else:
         out["sums"] = [None] * len(rows)
     n = len(rows)
@@ -650,7 +702,13 @@ def _blocks(rows: DataFrame, block_bytes: int, part_bytes: int, order: int) -> t
             nonlocal block, size, ids, held
             doc_ids, out, numbers, part, lead, lids = (list(x) for x in zip(*held, strict=True))
             n = [len(x) - k for x, k in zip(lids, lead, strict=True)]
-            hashes = np.fromiter(map(xxhash.xxh64_intdigest, ids), np.uint64, len(ids)).tobytes()
+            # frequent words get small numbers; among equal counts the hashes rise
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, ids), np.uint64, len(ids))
+            every = np.concatenate(lids)
+            order = np.lexsort((hashes[1:], -np.bincount(every, minlength=len(ids))[1:]))
+            order = np.append(0, order + 1)
+            number = np.empty(len(ids), np.int32)
+            number[order] = np.arange(len(ids), dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block], pa.int64()), pa.array([doc_ids], pa.list_(id_type)),
                  pa.array([out], pa.list_(pa.bool_())), pa.array([numbers], pa.list_(pa.int64())),
@@ -659,8 +717,8 @@ def _blocks(rows: DataFrame, block_bytes: int, part_bytes: int, order: int) -> t
                  pa.array([sum(k for k, o in zip(n, out, strict=True) if not o)], pa.int64()),
                  pa.array([sum(not o and p == 0 for o, p in zip(out, part, strict=True))], pa.int64()),
                  pa.array([sum(n)], pa.int64()), pa.array([any(part)], pa.bool_()),
-                 pa.array([hashes], pa.binary()),
-                 pa.array([_packed(np.concatenate(lids))], pa.binary())],
+                 pa.array([_steps(hashes[order])], pa.binary()),
+                 pa.array([_packed(number[every])], pa.binary())],
                 names=["block", "doc_id", "held_out", "row", "part", "lead", "sizes", "train_tokens",
                        "train_texts", "tokens", "cut", "hashes", "lids"])
             block += 1
@@ -745,12 +803,12 @@ def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 1):
             for row in batch.to_pylist():
-                yield pa.RecordBatch.from_pylist(list(_words_sent(Block(row, []), ranges)), _SENT_ARROW)
+                yield pa.RecordBatch.from_pylist(list(_words_sent(_stored(row, []), ranges)), _SENT_ARROW)
 
     def longer(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in left.to_pylist():
-            block = Block(row, right.to_pylist())
+            block = _stored(row, right.to_pylist())
             block.extend()
             out += block.messages(ranges)
         return pa.Table.from_pylist(out, _SENT_ARROW)
@@ -769,7 +827,7 @@ def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in left.to_pylist():
-            block = Block(row, right.to_pylist())
+            block = _stored(row, right.to_pylist())
             score = LocalAutomaton(block, order, mass, discount).traverse(block, order)
             single = block.levels[0].count[block.lids]
             base = np.where(block.own, np.log10((single + 1) / mass), 0.0)
