@@ -216,3 +216,48 @@ def test_a_block_stores_frequent_words_first(spark, tmp_path):
     assert words[0] == language_model.START and words[1] == b"a" and (np.diff(counts[1:]) <= 0).all()
     assert [words[k] for k in block.lids] == [language_model.START, *b"b a c a d a b e".split(),
                                               language_model.END, language_model.START, language_model.END]
+
+
+def test_numbers_are_packed_by_class():
+    rng = np.random.default_rng(5)
+    for values in (np.zeros(0, np.int64), np.arange(70_000), np.array([-1, 0, 2 ** 63 - 1, -2 ** 63, 15, 16, 17]),
+                   rng.integers(0, 2 ** 63 - 1, 500), rng.integers(0, 300_000, 100_000)):
+        assert (language_model._from_classed(language_model._classed(values))[:, 0] == values).all()
+    # gaps of all lengths take few more bits than they differ in
+    gaps = (2.0 ** rng.uniform(0, 16, 20_000)).astype(np.int64)
+    sizes = np.full(20, 1000)
+    words = np.cumsum(gaps.reshape(20, 1000), axis=1).ravel()
+    assert (language_model._from_steps_within(language_model._steps_within(words, sizes), sizes) == words).all()
+    assert len(language_model._steps_within(words, sizes)) < 20_000 * 1.48
+    # sums whose arcs are counted about twice take little more than their arcs
+    arcs = rng.integers(1, 200, 20_000)
+    rows = np.stack([arcs, 2 * arcs + rng.integers(0, 2, 20_000), 2 * arcs + rng.integers(1, 3, 20_000)], axis=1)
+    rows[::3] = 0
+    data = language_model._sparse(rows)
+    assert (language_model._from_sparse(data) == rows).all()
+    assert len(data) < 1.5 * len(language_model._packed(arcs))
+
+
+def test_hashes_and_messages_leave_the_disk(docs, spark):
+    import os
+
+    from wattspark.session import checkpoint_dir, local_path
+
+    home = local_path(checkpoint_dir(spark))
+    before = set(os.listdir(home))
+    out = language_model.score_texts(docs)
+    kept = {x.rsplit("-", 1)[0] for x in set(os.listdir(home)) - before}
+    assert kept <= {"lm-texts", "lm-answers", "pyfiles"}
+    assert "hashes" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == docs.count()
+
+
+def test_a_block_without_hashes_knows_their_order(spark):
+    rows = spark.createDataFrame([(1, False, " ".join(f"w{k % 97 % (k % 13 + 1)}" for k in range(900)).encode()),
+                                  (2, True, None)], "doc_id long, held_out boolean, text binary").coalesce(1)
+    for part in (1 << 20, 200):     # blocks of later parts of a text have no start
+        table, _ = language_model._blocks(rows, part, part, 3)
+        for row in table.collect():
+            block = language_model._stored(row.asDict(), [])
+            bare = language_model.Block(row.asDict() | {"hashes": None, "uses": language_model._uses(block)}, [])
+            assert bare.words is None and (bare.order0 == block.order0).all()

@@ -18,8 +18,9 @@ with their counts and numbers and with each context's number of arcs, sum of
 counts and sum of the shorter n-grams' counts, all that its failure weight
 needs.  An n-gram is sent only if the two n-grams one token shorter inside it
 are arcs (words: seen often enough), for else it cannot be one.  Answers are
-appended to a table bucketed like the blocks, so each crosses a shuffle once,
-and the shuffle files of a round are removed after it.
+appended to a table bucketed like the blocks, so each crosses a shuffle once.
+The shuffle files of the messages are removed before the answers cross theirs,
+and the words' hashes, most of a block beside its tokens, after the first round.
 
 A block thus gets all arcs, states and failure weights that its texts can
 reach.  It builds that part of the automaton as arrays and traverses its texts
@@ -283,6 +284,62 @@ def _unpacked(data: bytes, kind: type, width: int = 1) -> np.ndarray:
     return np.ascontiguousarray(places.reshape(size, n).T).view(kind)
 
 
+#: Classes of numbers: each below ``_SINGLE`` has its own, the others go by their highest three
+#: bits.  First number of a class, and the bits that follow in it.
+_SINGLE, PACKED_AT_ONCE = 16, 1 << 16
+_FIRST = np.array([*range(_SINGLE), *(t << k for k in range(2, 62) for t in range(4, 8))], np.uint64)
+_BITS = np.array([0] * _SINGLE + [k for k in range(2, 62) for _ in range(4)], np.int64)
+
+
+def _classed(values: np.ndarray) -> bytes:
+    """Rows of 64-bit numbers by columns: the classes of the numbers, compressed, then the bits
+    that tell the numbers of a class apart, as they are.  For numbers of very unlike sizes."""
+    out = [len(values).to_bytes(8, "little")]
+    for column in values.reshape(len(values), -1).T if len(values) else ():
+        whole = column.astype(np.uint64)
+        kinds = (np.searchsorted(_FIRST, whole, "right") - 1).astype(np.uint8)
+        packed = pa.compress(kinds.tobytes(), codec="zstd", asbytes=True)
+        out += [len(packed).to_bytes(8, "little"), packed]
+        some = np.flatnonzero(kinds >= _SINGLE)
+        for at in range(0, len(some), PACKED_AT_ONCE):
+            part = some[at:at + PACKED_AT_ONCE]
+            rest = whole[part] - _FIRST[kinds[part]]
+            keep = _kept_bits(kinds[part])
+            low = rest.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :keep.shape[1] // 8]
+            out.append(np.packbits(np.unpackbits(low, axis=1, bitorder="little")[keep],
+                                   bitorder="little").tobytes())
+    return b"".join(out)
+
+
+def _from_classed(data: bytes, width: int = 1) -> np.ndarray:
+    n, at = int.from_bytes(data[:8], "little"), 8
+    out = np.zeros((n, width), np.int64)
+    for k in range(width if n else 0):
+        end = at + 8 + int.from_bytes(data[at:at + 8], "little")
+        kinds = np.frombuffer(pa.decompress(data[at + 8:end], n, codec="zstd", asbytes=True), np.uint8)
+        at, whole = end, _FIRST[kinds]
+        some = np.flatnonzero(kinds >= _SINGLE)
+        for first in range(0, len(some), PACKED_AT_ONCE):
+            part = some[first:first + PACKED_AT_ONCE]
+            keep = _kept_bits(kinds[part])
+            count = int(_BITS[kinds[part]].sum())
+            bits = np.zeros(keep.shape, np.uint8)
+            bits[keep] = np.unpackbits(np.frombuffer(data, np.uint8, -(-count // 8), at), count=count,
+                                       bitorder="little")
+            at += -(-count // 8)
+            low = np.zeros((len(part), 8), np.uint8)
+            low[:, :keep.shape[1] // 8] = np.packbits(bits, axis=1, bitorder="little")
+            whole[part] += low.view("<u8")[:, 0]
+        out[:, k] = whole.astype(np.int64)
+    return out
+
+
+def _kept_bits(kinds: np.ndarray) -> np.ndarray:
+    """Which of the lowest bits, in whole bytes, tell the numbers of their classes apart."""
+    bits = _BITS[kinds]
+    return np.arange(-(-int(bits.max()) // 8) * 8) < bits[:, None]
+
+
 def _steps(values: np.ndarray) -> bytes:
     """Sorted numbers by their differences."""
     return _packed(np.diff(values, prepend=values.dtype.type(0)))
@@ -297,11 +354,11 @@ def _steps_within(values: np.ndarray, sizes: np.ndarray) -> bytes:
     steps = np.diff(values, prepend=values.dtype.type(0))
     first = (np.cumsum(sizes) - sizes)[sizes > 0]
     steps[first] = values[first]
-    return _packed(steps)
+    return _classed(steps)
 
 
 def _from_steps_within(data: bytes, sizes: np.ndarray) -> np.ndarray:
-    steps, sizes = _unpacked(data, np.int64)[:, 0], sizes[sizes > 0]
+    steps, sizes = _from_classed(data)[:, 0], sizes[sizes > 0]
     total, first = np.cumsum(steps), np.cumsum(sizes) - sizes
     return total - np.repeat(total[first] - steps[first], sizes)
 
@@ -320,16 +377,21 @@ def _from_by_word(words: np.ndarray, data: bytes) -> np.ndarray:
 
 
 def _sparse(rows: np.ndarray) -> bytes:
-    """Rows of three numbers, those whose first is 0 left out."""
+    """Rows of a context's sums, those without arcs left out; an arc is counted ``MIN_COUNT``
+    times at least, and its n-gram one token shorter no less often, so only the rest is kept."""
     some = rows[:, 0] > 0
-    return len(rows).to_bytes(8, "little") + np.packbits(some).tobytes() + _packed(rows[some])
+    arcs, count, low = rows[some].T
+    rest = np.stack([arcs, count - MIN_COUNT * arcs, low - count], axis=1)
+    return len(rows).to_bytes(8, "little") + np.packbits(some).tobytes() + _classed(rest)
 
 
 def _from_sparse(data: bytes) -> np.ndarray:
     n = int.from_bytes(data[:8], "little")
     rows, end = np.zeros((n, 3), np.int64), 8 + -(-n // 8)
     some = np.unpackbits(np.frombuffer(data[8:end], np.uint8), count=n).astype(bool)
-    rows[some] = _unpacked(data[end:], np.int64, 3)
+    arcs, count, low = _from_classed(data[end:], 3).T
+    count = count + MIN_COUNT * arcs
+    rows[some] = np.stack([arcs, count, low + count], axis=1)
     return rows
 
 
@@ -373,7 +435,12 @@ class Block:
 
     def __init__(self, row: dict, answers: list[dict]):
         self.row = row
-        self.words = np.frombuffer(row["hashes"], np.uint64)
+        if row["hashes"] is None:       # told by the first round, and not kept after it
+            self.words, self.order0 = None, _hash_order(_unpacked(row["uses"], np.int64)[:, 0])
+        else:
+            self.words = np.frombuffer(row["hashes"], np.uint64)
+            self.order0 = np.argsort(self.words, kind="stable")
+        size = len(self.order0)
         self.lids = _unpacked(row["lids"], np.int32)[:, 0]
         sizes, lead = np.array(row["sizes"], np.int64), np.array(row["lead"], np.int64)
         self.starts, self.lead = np.cumsum(sizes) - sizes, lead
@@ -384,9 +451,8 @@ class Block:
         # the start of a text is counted with its first part, like a word
         counted = trained & (self.own | (first & (self.place == 0)))
         self.counted = counted
-        seen = np.bincount(self.lids[counted], minlength=len(self.words))
-        self.levels = [Level(self.lids, None, None, np.arange(len(self.words)), seen)]
-        self.order0 = np.argsort(self.words, kind="stable")
+        seen = np.bincount(self.lids[counted], minlength=size)
+        self.levels = [Level(self.lids, None, None, np.arange(size), seen)]
         by_level: dict[int, list[dict]] = {}
         for a in answers:
             by_level.setdefault(a["m"], []).append(a)
@@ -403,7 +469,7 @@ class Block:
         fit = (a >= 0) & (b >= 0)
         fit[fit] = (below.id[a[fit]] >= 0) & (below.id[b[fit]] >= 0)
         can, a, b = can[fit], a[fit], b[fit]
-        size = len(self.words)
+        size = len(self.order0)
         _, some, back = _distinct(a.astype(np.int64) * size + self.lids[can])
         at = np.full(len(self.lids), -1, np.int32)
         at[can] = back
@@ -457,7 +523,7 @@ class Block:
             yield {"m": m, "range": r, "block": self.row["block"],
                    "contexts": _steps(below.id[contexts[c]] // ranges), "sizes": _packed(sizes[c]),
                    "open": np.packbits(is_open[contexts[c]]).tobytes(), "words": _steps_within(words, sizes[c]), "seen": _packed(top.seen[g]),
-                   "low": _by_word(words, low) if m == 1 else _packed(low[top.seen[g] > 0])}
+                   "low": _by_word(words, low) if m == 1 else _classed(low[top.seen[g] > 0])}
 
     def _answered(self, m: int, rows: list[dict]) -> None:
         """Fill a level from the owners' answers, which come in the order sent."""
@@ -491,6 +557,27 @@ def _stored(row: dict, answers: list[dict]) -> Block:
     return Block(row | {"hashes": _from_steps(row["hashes"], np.uint64).tobytes()}, answers)
 
 
+def _uses(block: Block) -> bytes:
+    """How often a block's words stand in it, in the order of their hashes (the start: 0)."""
+    uses = np.bincount(block.lids, minlength=len(block.order0))
+    uses[0] = 0
+    return _packed(uses[block.order0])
+
+
+def _hash_order(uses: np.ndarray) -> np.ndarray:
+    """Numbers of a block's words in the order of their hashes, which ``_blocks`` gives by falling
+    use and rising hash after the start."""
+    number = np.empty(len(uses), np.int64)
+    number[np.argsort(np.where(uses > 0, -uses, np.iinfo(np.int64).min), kind="stable")] = np.arange(len(uses))
+    return number
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table's files."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 _SENT = ("m int, range int, block long, contexts binary, sizes binary, open binary, words binary, "
          "seen binary, low binary")
 _SENT_ARROW = pa.schema([("m", pa.int32()), ("range", pa.int32()), ("block", pa.int64()),
@@ -541,7 +628,7 @@ def _owned(table: pa.Table, ranges: int, bar: float, last: bool = False) -> pa.T
         low = np.concatenate([_from_by_word(p, x["low"]) for p, x in zip(parts, rows, strict=True)])
     elif m:     # told where seen in training, as every arc is somewhere
         told, known_low = np.flatnonzero(seen > 0), np.zeros(len(distinct), np.int64)
-        known_low[back[told]] = np.concatenate([_unpacked(x["low"], np.int64)[:, 0] for x in rows])
+        known_low[back[told]] = np.concatenate([_from_classed(x["low"])[:, 0] for x in rows])
         low = known_low[back]
     total = np.bincount(back, seen, len(distinct)).astype(np.int64)      # exact below 2^53
     known = int((total > 0).sum())
@@ -674,7 +761,8 @@ def _bucketed(df: DataFrame, buckets: int, name: str, path: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def _blocks(rows: DataFrame, block_bytes: int, part_bytes: int, order: int) -> tuple[DataFrame, int]:
+def _blocks(rows: DataFrame, block_bytes: int, part_bytes: int, order: int,
+            path: str | None = None) -> tuple[DataFrame, int]:
     """Texts as blocks of word numbers, one row per block, word 0 is the start of a text; a
     table bucketed by block, and its number of buckets.  Each part of a text is led by the start, or by the tokens before
     it that its first state depends on."""
@@ -752,7 +840,8 @@ def _blocks(rows: DataFrame, block_bytes: int, part_bytes: int, order: int) -> t
               "part array<int>, lead array<int>, sizes array<long>, train_tokens long, "
               "train_texts long, tokens long, cut boolean, hashes binary, lids binary")
     name = f"lm_blocks_{uuid.uuid4().hex[:12]}"
-    return _bucketed(rows.mapInArrow(walk, schema), buckets, name, scratch_path(spark, "lm-blocks")), buckets
+    return _bucketed(rows.mapInArrow(walk, schema), buckets, name,
+                     path or scratch_path(spark, "lm-blocks")), buckets
 
 
 @contextmanager
@@ -779,7 +868,8 @@ def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
                        held_out(F.col(f"`{id_col}`")).alias("held_out"),
                        F.col(f"`{text_col}`").cast("binary").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    blocks, buckets = _blocks(rows, block_bytes, part_bytes, order)
+    hashed = scratch_path(spark, "lm-blocks")
+    blocks, buckets = _blocks(rows, block_bytes, part_bytes, order, hashed)
     head = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
                         for c in ("train_tokens", "train_texts", "tokens")],
                       F.coalesce(F.max("cut"), F.lit(False)).alias("cut")).first()
@@ -793,8 +883,13 @@ def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
     def answered(sent: DataFrame, m: int) -> DataFrame:
         out = sent.repartition(owners, "range").groupBy("range").applyInArrow(
             lambda t: _owned(t, ranges, bar, m == order - 1), _ANSWER)
-        with _shuffles_removed(spark):
-            return _bucketed(out.repartition(buckets, "block"), buckets, name, path)
+        with _shuffles_removed(spark):      # messages are off the disk before answers are dealt
+            owned = scratch_path(spark, "lm-owned")
+            out.write.option("compression", "zstd").parquet(owned)
+            dealt = spark.read.schema(out.schema).parquet(owned).repartition(buckets, "block")
+            table = _bucketed(dealt, buckets, name, path)
+        _removed(spark, owned)
+        return table
 
     def together(answers: DataFrame, fn, schema: str) -> DataFrame:
         return texts.groupBy("block").cogroup(
@@ -805,10 +900,18 @@ def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
             for row in batch.to_pylist():
                 yield pa.RecordBatch.from_pylist(list(_words_sent(_stored(row, []), ranges)), _SENT_ARROW)
 
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 1):
+            for row in batch.to_pylist():
+                uses = pa.array([_uses(_stored(row, []))], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [uses if c == "hashes" else batch.column(c) for c in batch.schema.names],
+                    names=["uses" if c == "hashes" else c for c in batch.schema.names])
+
     def longer(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in left.to_pylist():
-            block = _stored(row, right.to_pylist())
+            block = Block(row | {"hashes": None}, right.to_pylist())
             block.extend()
             out += block.messages(ranges)
         return pa.Table.from_pylist(out, _SENT_ARROW)
@@ -818,6 +921,12 @@ def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
     known = answers.agg(F.coalesce(F.sum("known"), F.lit(0)).alias("n")).first()["n"]
     vocabulary = known - (1 if head["train_texts"] else 0)
     mass = total + vocabulary + 1 if total else 1
+    # the owners have numbered the words, so their hashes are needed no more
+    kinds = ", ".join(f"{'uses' if f.name == 'hashes' else f.name} {f.dataType.simpleString()}"
+                      for f in texts.schema)
+    texts = _bucketed(texts.mapInArrow(numbered, kinds), buckets, f"lm_texts_{uuid.uuid4().hex[:12]}",
+                      scratch_path(spark, "lm-texts"))
+    _removed(spark, hashed)
     for m in range(1, order):
         answers = answered(together(answers, longer, _SENT), m)
 
@@ -827,7 +936,7 @@ def score_texts(docs: DataFrame, order: int = ORDER, share: float = 0.0,
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in left.to_pylist():
-            block = _stored(row, right.to_pylist())
+            block = Block(row | {"hashes": None}, right.to_pylist())
             score = LocalAutomaton(block, order, mass, discount).traverse(block, order)
             single = block.levels[0].count[block.lids]
             base = np.where(block.own, np.log10((single + 1) / mass), 0.0)
